@@ -4,7 +4,8 @@ Batch-wide quantities (is a column constant? route-length median, per-station
 counts and their 33/67 % quantiles) come from ONE partial-aggregated pass
 keyed by ``(station_code, route_length)``; everything else is derived from
 that small table. The per-station counts join back (AQE broadcasts them when
-small) and the one-row scalar frame is broadcast (its size is one row).
+small) carrying the one-row scalar frame, so the batch meets its statistics
+in one hash join.
 """
 
 from __future__ import annotations
@@ -57,9 +58,12 @@ def batch_stats(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     scalars = g.agg(*fin)
 
     if has_station:
-        station_counts = (g.where(F.col("station_code").isNotNull())
-                           .groupBy("station_code").agg(F.sum("n").alias("station_traffic_rank")))
-        q = (station_counts.agg(
+        # one row per station value seen (null included, so every input row
+        # finds its row with a null-safe equi-join); null stations have no rank
+        station_counts = (g.groupBy("station_code").agg(F.sum("n").alias("_n"))
+                           .select(F.col("station_code").alias("_sc"),
+                                   F.when(F.col("station_code").isNotNull(), F.col("_n")).alias("station_traffic_rank")))
+        q = (station_counts.where(F.col("_sc").isNotNull()).agg(
             (F.min("station_traffic_rank") < F.max("station_traffic_rank")).alias("traffic_varies"),
             F.percentile(F.col("station_traffic_rank"), F.array(*[F.lit(x) for x in TRAFFIC_QUANTILES])).alias("tq")))
         q = q.select(F.coalesce("traffic_varies", F.lit(False)).alias("traffic_varies"),
@@ -75,11 +79,17 @@ def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guar
     tested at plan time; a group whose source column is absent is skipped."""
     groups = set(groups)
     station_counts, scalars = batch_stats(df)
-    s = F.broadcast(scalars)
-    base = df
-    if station_counts is not None and "categorical" in groups:
-        base = base.join(station_counts, on="station_code", how="left")
-    x = base.crossJoin(s)
+    if station_counts is not None:
+        # small table: per-station counts with the one-row statistics attached
+        # (a one-row broadcast); the batch joins it once on the station key
+        stats = station_counts.crossJoin(F.broadcast(scalars))
+        x = df.join(stats, df["station_code"].eqNullSafe(stats["_sc"]), "left")
+    else:
+        x = df.crossJoin(F.broadcast(scalars))
+
+    def S(name: str):
+        return F.col(name)
+
     new: dict = {}
 
     if "temporal" in groups and _has(df, "timestamp"):
@@ -87,7 +97,7 @@ def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guar
         new.update(parts)
         new["is_weekend"] = TF.is_weekend(parts["day_of_week"])
         new["is_rush_hour"] = TF.is_rush_hour(parts["hour_of_day"])
-        new["time_period"] = guarded(TF.time_period(parts["hour_of_day"]), F.col("hour_varies"), "Unknown",
+        new["time_period"] = guarded(TF.time_period(parts["hour_of_day"]), S("hour_varies"), "Unknown",
                                      guard_constant)
         new["season"] = TF.season(parts["month"])
 
@@ -101,11 +111,11 @@ def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guar
         if _has(df, "precip_mm"):
             new["is_raining"] = is_true(p > 0)
             new["rain_intensity"] = guarded(bin_column(fill0(p), *RAIN_BINS, include_lowest=True),
-                                            F.col("precip_varies"), "None", guard_constant)
+                                            S("precip_varies"), "None", guard_constant)
             new["is_heavy_rain"] = is_true(p > 10)
         if _has(df, "wind_speed"):
             new["wind_category"] = guarded(bin_column(fill0(w), *WIND_BINS, include_lowest=True),
-                                           F.col("wind_varies"), "Calm", guard_constant)
+                                           S("wind_varies"), "Calm", guard_constant)
             new["is_high_wind"] = is_true(w > 25)
         sev = F.lit(0.0)
         if _has(df, "temperature"):
@@ -124,7 +134,7 @@ def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guar
     if "delay" in groups:
         if _has(df, "delay_minutes"):
             d = F.col("delay_minutes")
-            new["delay_category"] = guarded(bin_column(fill0(d), *DELAY_BINS), F.col("delay_varies"), "On_Time",
+            new["delay_category"] = guarded(bin_column(fill0(d), *DELAY_BINS), S("delay_varies"), "On_Time",
                                             guard_constant)
             new["is_delayed"] = is_true(d > 5)
             new["is_significantly_delayed"] = is_true(d > 15)
@@ -144,15 +154,15 @@ def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guar
             new["is_regional"] = T.is_regional(F.col("train_category"))
         if _has(df, "station_code"):
             r = F.col("station_traffic_rank")
-            importance = bin_dynamic(r, F.lit(0), F.col("traffic_q33"), F.col("traffic_q67"), TRAFFIC_LABELS)
-            valid_edges = F.col("traffic_varies") & (F.col("traffic_q33") < F.col("traffic_q67"))
+            importance = bin_dynamic(r, F.lit(0), S("traffic_q33"), S("traffic_q67"), TRAFFIC_LABELS)
+            valid_edges = S("traffic_varies") & (S("traffic_q33") < S("traffic_q67"))
             new["station_traffic_rank"] = r
             # a constant count (or equal quantile edges) labels every row Medium
             new["station_importance"] = F.when(is_true(valid_edges), importance).otherwise(F.lit("Medium_Traffic"))
         if _has(df, "route"):
             rc = T.route_complexity(F.col("route"))
             new["route_complexity"] = rc
-            new["is_complex_route"] = is_true(rc > F.col("route_median"))
+            new["is_complex_route"] = is_true(rc > S("route_median"))
         if _has(df, "destination"):
             new["is_major_destination"] = T.is_major_destination(F.col("destination"))
 

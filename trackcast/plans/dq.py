@@ -98,11 +98,11 @@ def timestamp_parse_errors(df: DataFrame, col: str = "timestamp"):
 
 def _all_invalid_guard(raw: DataFrame, clean: DataFrame, required: Sequence[str]) -> DataFrame:
     """When every input row fails the schema check the output is empty.
-    The guard is a one-row aggregate (broadcast, size one) joined to the plan."""
+    The guard is one scalar subquery over the required columns, evaluated once."""
     if any(f not in raw.columns for f in required):
         return clean.limit(0)
-    ok = raw.agg(F.max((~any_required_null(raw, required)).cast("int")).alias("_any_valid"))
-    return clean.crossJoin(F.broadcast(ok)).where(F.col("_any_valid") == 1).drop("_any_valid")
+    any_valid = raw.agg(F.max((~any_required_null(raw, required)).cast("int"))).scalar()
+    return clean.where(F.coalesce(any_valid, F.lit(0)) == 1)
 
 
 def process_train(raw: DataFrame, cfg: TrainConfig = TrainConfig(), *, tie_break: str = "ingest_seq",
