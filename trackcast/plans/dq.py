@@ -149,26 +149,26 @@ def process_results(raw: DataFrame, clean: DataFrame, *, processor: str, require
     rule_rows = R.rule_counts(deduped, rules, processor=processor, step="business_rules")
     flagged = rule_rows.agg(F.coalesce(F.sum("affected_records"), F.lit(0)).cast("bigint").alias("flagged"))
     counts = counts.crossJoin(flagged)
+    def step(name, t, v, d, f):
+        return F.struct(F.lit(name).alias("step"), t.cast("bigint").alias("t"), v.cast("bigint").alias("v"),
+                        d.cast("bigint").alias("d"), f.cast("bigint").alias("f"))
+
+    c = F.col
+    zero = F.lit(0)
     steps = counts.select(F.explode(F.array(
-        F.struct(F.lit("schema_validation").alias("step"), F.col("total").alias("t"),
-                 (F.col("total") - F.col("schema_bad")).alias("v"), F.col("schema_bad").alias("d"),
-                 F.lit(0).cast("bigint").alias("f")),
-        F.struct(F.lit("timestamp_normalization"), F.col("total"), F.col("normalized"),
-                 F.col("total") - F.col("normalized"), F.lit(0).cast("bigint")),
-        F.struct(F.lit("deduplication"), F.col("normalized"), F.col("deduped"),
-                 F.col("normalized") - F.col("deduped"), F.lit(0).cast("bigint")),
-        F.struct(F.lit("business_rules"), F.col("deduped"), F.col("deduped"), F.lit(0).cast("bigint"),
-                 F.col("flagged")),
+        step("schema_validation", c("total"), c("total") - c("schema_bad"), c("schema_bad"), zero),
+        step("timestamp_normalization", c("total"), c("normalized"), c("total") - c("normalized"), zero),
+        step("deduplication", c("normalized"), c("deduped"), c("normalized") - c("deduped"), zero),
+        step("business_rules", c("deduped"), c("deduped"), zero, c("flagged")),
     )).alias("s")).select(F.lit(processor).alias("processor"), F.col("s.step").alias("step"),
-                          F.col("s.t").cast("bigint").alias("total_records"),
-                          F.col("s.v").cast("bigint").alias("valid_records"),
-                          F.col("s.d").cast("bigint").alias("dropped_records"),
-                          F.col("s.f").cast("bigint").alias("flagged_records"))
+                          F.col("s.t").alias("total_records"), F.col("s.v").alias("valid_records"),
+                          F.col("s.d").alias("dropped_records"), F.col("s.f").alias("flagged_records"))
     ts_rules = counts.select(F.explode(F.array(
         F.struct(F.lit("timestamp_parsing").alias("rule_name"), (F.col("parse_errors") == 0).alias("passed"),
-                 F.col("parse_errors").alias("affected_records"),
+                 F.col("parse_errors").cast("bigint").alias("affected_records"),
                  F.when(F.col("parse_errors") > 0, "drop").otherwise("none").alias("action")),
-        F.struct(F.lit("timestamp_normalization"), F.lit(True), F.col("normalized"), F.lit("transform")),
+        F.struct(F.lit("timestamp_normalization").alias("rule_name"), F.lit(True).alias("passed"),
+                 F.col("normalized").cast("bigint").alias("affected_records"), F.lit("transform").alias("action")),
     )).alias("r")).select(F.lit(processor).alias("processor"), F.lit("timestamp_normalization").alias("step"),
                           "r.rule_name", F.lit("schema").alias("rule_type"), "r.passed",
                           F.col("r.affected_records").cast("bigint").alias("affected_records"), "r.action")
