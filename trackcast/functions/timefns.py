@@ -13,7 +13,10 @@ from trackcast.config import RUSH_HOURS, SEASONS, TIME_PERIOD_BINS, WEEKEND_DAYS
 
 US_PER_MIN = 60_000_000
 US_PER_HOUR = 60 * US_PER_MIN
-EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def col_(c) -> Column:
@@ -22,11 +25,11 @@ def col_(c) -> Column:
 
 def epoch_us(ts) -> Column:
     """Microseconds since 1970-01-01 of a wall-clock timestamp."""
-    return F.timestamp_diff("MICROSECOND", EPOCH, col_(ts).cast("timestamp_ntz"))
+    return F.timestamp_diff("MICROSECOND", _epoch(), col_(ts).cast("timestamp_ntz"))
 
 
 def from_epoch_us(us: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", us, EPOCH)
+    return F.timestamp_add("MICROSECOND", us, _epoch())
 
 
 def micros_past_hour(ts) -> Column:
