@@ -32,4 +32,4 @@ def register(key: str, sql: str | None = None):
 
 
 # import the query modules for their registrations
-from trackcast.queries import assess, core, functions_q, metrics_q, parse_q, tables_q  # noqa: E402,F401
+from trackcast.queries import assess, core, functions_q, metrics_q, parse_q, stream_q, tables_q  # noqa: E402,F401
