@@ -63,6 +63,25 @@ def nearest_join(left: DataFrame, right: DataFrame, *, by: str = "station_code",
     return out.select(*cols, *[v.alias(k) for k, v in extra.items()])
 
 
+def ranked_candidates(left: DataFrame, right: DataFrame, *, left_cols, by: str = "station_code",
+                      left_ts: str = "timestamp", right_ts: str = "timestamp", tolerance_minutes: int = 60) -> DataFrame:
+    """Every right candidate within tolerance of each left row with its
+    rank by (distance, right time); rank 1 is the nearest-join pick. Uses the
+    same bucketed candidate lists, so no pair outside the window is formed."""
+    tol_us = int(tolerance_minutes) * US_PER_MIN
+    bucket_us = max(tol_us, US_PER_MIN)
+    cands = candidate_table(right, by=by, right_ts=right_ts, right_cols=[], bucket_us=bucket_us)
+    l2 = (left.select(*left_cols, F.col(by).alias("_lby"), epoch_us(left_ts).alias("_le"))
+              .withColumn("_bucket", F.floor(F.col("_le") / F.lit(bucket_us))))
+    j = l2.join(cands, (l2["_lby"] == cands["_by"]) & (l2["_bucket"] == cands["_bucket"]), "inner")
+    within = F.filter(F.col("_cands"), lambda c: F.abs(c["_e"] - F.col("_le")) <= F.lit(tol_us))
+    ordered = F.array_sort(F.transform(within, lambda c: F.struct(F.abs(c["_e"] - F.col("_le")).alias("d"),
+                                                                   c["_rts"].alias("t"))))
+    return (j.select(*left_cols, F.posexplode(ordered).alias("pos", "c"))
+             .select(*left_cols, (F.col("pos") + 1).alias("rank"), F.col("c.t").alias("candidate_timestamp"),
+                     F.col("c.d").alias("diff_us")))
+
+
 def nearest_join_window(left: DataFrame, right: DataFrame, *, by: str = "station_code", left_ts: str = "timestamp",
                         right_ts: str = "timestamp", tolerance_minutes: int = 60,
                         right_cols: Sequence[str] | None = None, left_id: str = "ingest_seq") -> DataFrame:

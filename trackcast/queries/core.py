@@ -170,3 +170,16 @@ from integrated
 def integration_quality_q(s):
     """Source counts, integrated rows and the temperature match rate."""
     return integration_quality(s.integrated, s.trains, s.weather)
+
+
+@register("nearest_rank", """
+select t.train_id, t.timestamp, t.station_code, row_number() over (partition by t.ingest_seq
+    order by abs(epoch_us(w.timestamp) - epoch_us(t.timestamp)), w.timestamp) as rank,
+  w.timestamp as candidate_timestamp, abs(epoch_us(w.timestamp) - epoch_us(t.timestamp)) as diff_us
+from trains_clean t join weather w on w.station_code = t.station_code
+  and w.timestamp between t.timestamp - interval 60 minute and t.timestamp + interval 60 minute""")
+def nearest_rank(s):
+    """The weather candidates of every train row ranked by time distance
+    (rank 1 is the nearest-join pick)."""
+    from trackcast.operators.nearest import ranked_candidates
+    return ranked_candidates(s.trains_clean, s.weather, left_cols=["train_id", "timestamp", "station_code"])

@@ -186,7 +186,8 @@ def _work_dir(s, name: str) -> str:
     return f"{base.rstrip('/')}/trackcast/{name}/{tag}"
 
 
-@register("scan_curated_csv")
+@register("scan_curated_csv", "select station_code, timestamp, temperature, wind_speed, precip_mm, weather_code, "
+                             "cast(year(timestamp) as integer) as year, station_code as file_station from weather")
 def scan_curated_csv(s):
     """A4: curated weather CSV files (written per station and year, header
     once) read back with an explicit schema and their file paths."""
@@ -195,11 +196,13 @@ def scan_curated_csv(s):
                         mode="overwrite")
     from pyspark.sql.types import IntegerType, StructType
     schema = StructType(list(WEATHER.fields)).add("year", IntegerType())
-    df = s.spark.read.schema(schema).option("header", True).csv(path)
-    return df.select(*[c for c in WEATHER.fieldNames()], F.col("_metadata.file_path").alias("source_file"))
+    df = s.spark.read.schema(schema).option("header", True).options(**B.TS_OPTIONS).csv(path)
+    src = F.regexp_extract(F.col("_metadata.file_path"), "station_code=([^/]+)", 1)
+    return df.select(*WEATHER.fieldNames(), "year", src.alias("file_station"))
 
 
-@register("scan_raw_json")
+@register("scan_raw_json", "select strftime(timestamp, '%Y-%m-%d') as date, station_code, train_id, timestamp, "
+                          "delay_minutes, delay_status from trains_raw")
 def scan_raw_json(s):
     """Raw train documents landed as JSON under date/station folders, read
     back recursively with an explicit schema."""
@@ -208,5 +211,5 @@ def scan_raw_json(s):
                         mode="overwrite")
     df = s.spark.read.schema("payload string, date string, station_code string").json(path)
     doc = "struct<train_id:string, timestamp:timestamp_ntz, delay_minutes:int, delay_status:string>"
-    return df.select("date", "station_code", F.from_json("payload", doc).alias("r")).select(
+    return df.select("date", "station_code", F.from_json("payload", doc, B.TS_OPTIONS).alias("r")).select(
         "date", "station_code", "r.*")

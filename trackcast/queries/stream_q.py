@@ -12,7 +12,7 @@ from trackcast.session import checkpoint_dir
 from trackcast.streaming import jobs as X
 
 WC = WeatherConfig()
-VERSION = "v3"
+VERSION = "v4"
 
 
 def _dirs(s, name: str) -> dict[str, str]:

@@ -168,7 +168,7 @@ def land_raw(s):
     return B.land_raw(s.trains_raw)
 
 
-@register("write_curated_csv")
+@register("write_curated_csv", "select *, cast(year(timestamp) as integer) as year from weather")
 def write_curated_csv(s):
     """Curated weather rows with the year partition column."""
     return B.curated_weather(s.weather)

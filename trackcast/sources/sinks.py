@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 
 from trackcast.config import INTEGRATED_COLUMNS, TRAIN_COLUMNS, WEATHER_COLUMNS
 
+# Text timestamps of landed files keep microseconds (the writers' default
+# format stops at milliseconds and would truncate event times).
+TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+TS_OPTIONS = {"timestampNTZFormat": TS_TEXT, "timestampFormat": TS_TEXT}
+
 
 def project_existing(df: DataFrame, target: Sequence[str]) -> DataFrame:
     """Keep the target columns that exist, in target order."""
@@ -45,6 +50,8 @@ def write_partitioned(df: DataFrame, path: str, *, partition_by: Sequence[str],
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     w = df.write.mode(mode).partitionBy(*partition_by).format(fmt)
+    if fmt in ("csv", "json"):
+        w = w.options(**TS_OPTIONS)
     if fmt == "csv":
         w = w.option("header", header)
     w.save(path)
@@ -89,7 +96,8 @@ def merge_into_table(new: DataFrame, table: str, key: str, overwrite: Sequence[s
 
 def land_raw(df: DataFrame) -> DataFrame:
     """B5 frame: one JSON document per row, partitioned by date and station."""
-    return with_date(df).select("date", "station_code", F.to_json(F.struct(*df.columns)).alias("payload"))
+    return with_date(df).select("date", "station_code",
+                                F.to_json(F.struct(*df.columns), TS_OPTIONS).alias("payload"))
 
 
 def curated_weather(df: DataFrame) -> DataFrame:

@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trackcast.operators.nearest import candidate_table  # noqa: F401  (documented alternative)
-from trackcast.sources.sinks import insert_if_absent
+from trackcast.sources.sinks import TS_OPTIONS, insert_if_absent
 
 
 def land_json(df: DataFrame, path: str, *, partition_by: Sequence[str] = ("date",)) -> None:
     """Land rows as JSON files, one folder per partition value (idempotent)."""
     out = df.withColumn("date", F.date_format("timestamp", "yyyy-MM-dd")) if "date" not in df.columns else df
-    out.write.mode("ignore").partitionBy(*partition_by).json(path)
+    out.write.mode("ignore").options(**TS_OPTIONS).partitionBy(*partition_by).json(path)
 
 
 EVENT_TIME = "_event_time"
@@ -33,7 +33,7 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, *, files_per
     """Landed JSON files as a stream; ``_event_time`` is the wall-clock
     timestamp as an instant (session zone UTC), the column watermarks need."""
     s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .option("recursiveFileLookup", "true").json(path))
+              .option("recursiveFileLookup", "true").options(**TS_OPTIONS).json(path))
     return s.withColumn(EVENT_TIME, F.col(ts).cast("timestamp")) if ts in schema.fieldNames() else s
 
 
