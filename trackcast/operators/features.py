@@ -27,7 +27,15 @@ ALL_GROUPS = ("temporal", "weather", "delay", "categorical")
 
 
 def _has(df: DataFrame, c: str) -> bool:
-    return c in df.columns
+    # one schema round trip per frame, not one per test
+    cols = getattr(df, "_tc_cols", None)
+    if cols is None:
+        cols = frozenset(df.columns)
+        try:
+            df._tc_cols = cols
+        except AttributeError:
+            pass
+    return c in cols
 
 
 def batch_stats(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -78,6 +86,7 @@ def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guar
     """All feature groups over the whole batch (F43). Optional columns are
     tested at plan time; a group whose source column is absent is skipped."""
     groups = set(groups)
+    df_cols = df.columns
     station_counts, scalars = batch_stats(df)
     if station_counts is not None:
         # small table: per-station counts with the one-row statistics attached
@@ -166,7 +175,7 @@ def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guar
         if _has(df, "destination"):
             new["is_major_destination"] = T.is_major_destination(F.col("destination"))
 
-    out_cols = [F.col(c) for c in df.columns] + [v.alias(k) for k, v in new.items()]
+    out_cols = [F.col(c) for c in df_cols] + [v.alias(k) for k, v in new.items()]
     return x.select(*out_cols)
 
 

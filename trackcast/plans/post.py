@@ -67,13 +67,18 @@ def assess(df: DataFrame, th: PostThresholds = PostThresholds()) -> dict[str, Da
     cols = set(df.columns)
     # the date key is ISO text so every consumer compares it the same way
     dated = df.withColumn("date", F.date_format("timestamp", "yyyy-MM-dd"))
-    c = dated.groupBy("date").agg(*_counters(dated, th))
     keys = ["train_id", "timestamp", "station_code"]
     has_keys = all(k in cols for k in keys)
+    counters = _counters(dated, th)
     if has_keys:
-        dups = (dated.groupBy("date", *keys).agg(F.count(F.lit(1)).alias("n"))
-                     .groupBy("date").agg(F.sum(F.col("n") - 1).cast("bigint").alias("dups")))
-        c = c.join(dups, "date", "left")
+        # ONE pass: counters per (date, key) combined map-side, then summed per
+        # date; the same keyed rows give the duplicate count (n - 1 per key)
+        per_key = dated.groupBy("date", *keys).agg(*counters)
+        names = [c for c in per_key.columns if c not in ("date", *keys)]
+        c = per_key.groupBy("date").agg(*[F.sum(n).cast("bigint").alias(n) for n in names],
+                                        F.sum(F.col("total") - 1).cast("bigint").alias("dups"))
+    else:
+        c = dated.groupBy("date").agg(*counters)
     t = F.col("total")
     rate = lambda x: F.when(t > 0, x / t).otherwise(F.lit(0.0))
     missing_req = [x for x in th.required_columns if x not in cols]
@@ -140,16 +145,13 @@ def assess(df: DataFrame, th: PostThresholds = PostThresholds()) -> dict[str, Da
     long = c.select("date", "total", F.explode(F.array(*R)).alias("r")).select("date", "total", "r.*")
     rules = long.where("emit").select("date", "assessment", "rule_name", "rule_type", "passed",
                                       "affected_records", "action")
-    per = (long.groupBy("date", "idx", "assessment").agg(F.max("total").alias("total_records"),
-                                                        F.sum("flagged").cast("bigint").alias("flagged_records")))
-    # every assessment yields a result even without rules
-    frame = c.select("date", "total", F.explode(F.array(*[F.struct(F.lit(i).alias("idx"), F.lit(a).alias("assessment"))
-                                                            for i, a in enumerate(ASSESSMENTS)])).alias("a"))
-    frame = frame.select("date", F.col("total").alias("total_records"), "a.idx", "a.assessment")
-    results = (frame.join(per.drop("total_records"), ["date", "idx", "assessment"], "left")
-               .select("date", "idx", "assessment", "total_records",
-                       F.coalesce("flagged_records", F.lit(0)).cast("bigint").alias("flagged_records")))
-    results = results.withColumn("valid_records", F.col("total_records") - F.col("flagged_records"))
+    # every assessment has rule rows before the emit filter, so the
+    # per-assessment results and the score come from ``long`` alone: one
+    # linear chain from the data (no branch re-reads the upstream)
+    results = (long.groupBy("date", "idx", "assessment")
+                   .agg(F.max("total").alias("total_records"),
+                        F.sum("flagged").cast("bigint").alias("flagged_records"))
+                   .withColumn("valid_records", F.col("total_records") - F.col("flagged_records")))
     weights = F.array(*[F.lit(x) for x in th.weights])
     score = (results.groupBy("date").agg(
         F.max("total_records").alias("total_records"),
