@@ -34,7 +34,7 @@ tp as (
     count(*) filter (where delay_minutes < 0) as t_delay_neg, count(*) filter (where timestamp is null) as t_ts_issue,
     min(timestamp) as t_min, max(timestamp) as t_max,
     count(*) filter (where scheduled_time > actual_time) as t_sched_bad,
-    coalesce(sum(delay_outlier), 0) as t_flagged
+    cast(coalesce(sum(delay_outlier), 0) as bigint) as t_flagged
   from tf),
 wp as (
   select count(*) as w_rows,
@@ -45,7 +45,7 @@ wp as (
     count(*) filter (where precip_mm < 0) as w_precip_neg,
     count(*) filter (where temperature < -20 or temperature > 50) as w_temp_bad,
     count(*) filter (where timestamp is null) as w_ts_issue, min(timestamp) as w_min, max(timestamp) as w_max,
-    coalesce(sum(temp_outlier), 0) as w_flagged
+    cast(coalesce(sum(temp_outlier), 0) as bigint) as w_flagged
   from wf),
 pre_comp as (
   select 'delay_minutes' as field_name, t_delay_null as missing_count, t_delay_null * 100e0 / t_rows as missing_percentage,

@@ -173,8 +173,8 @@ def integration_quality_q(s):
 
 
 @register("nearest_rank", """
-select t.train_id, t.timestamp, t.station_code, row_number() over (partition by t.ingest_seq
-    order by abs(epoch_us(w.timestamp) - epoch_us(t.timestamp)), w.timestamp) as rank,
+select t.train_id, t.timestamp, t.station_code, cast(row_number() over (partition by t.ingest_seq
+    order by abs(epoch_us(w.timestamp) - epoch_us(t.timestamp)), w.timestamp) as integer) as rank,
   w.timestamp as candidate_timestamp, abs(epoch_us(w.timestamp) - epoch_us(t.timestamp)) as diff_us
 from trains_clean t join weather w on w.station_code = t.station_code
   and w.timestamp between t.timestamp - interval 60 minute and t.timestamp + interval 60 minute""")

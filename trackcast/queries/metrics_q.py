@@ -82,7 +82,7 @@ def metrics_long(s):
 @register("metrics_to_json", msql(
     "select processor, step, date, json_object('processor_type', processor, 'step', step, 'date', date, 'counts', "
     "json_object('total_records', total_records, 'valid_records', valid_records, 'dropped_records', dropped_records, "
-    "'flagged_records', flagged_records)) as details from msteps"))
+    "'flagged_records', flagged_records))::varchar as details from msteps"))
 def metrics_to_json(s):
     """The JSON details of every step result."""
     return M.details_json(_steps(s))

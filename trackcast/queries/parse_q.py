@@ -36,7 +36,7 @@ pg as (
                 lambda e: not regexp_matches(e, '^\\s*$')) as kept
   from train_pages),
 ents as (
-  select page_id, station_code, day, unnest(kept[2:]) as entry, unnest(range(0, len(kept) - 1)) as pos
+  select page_id, station_code, day, unnest(kept[2:]) as entry, cast(unnest(range(0, len(kept) - 1)) as integer) as pos
   from pg where has_table and len(kept) > 1),
 fl as (
   select page_id, pos, entry, station_code, day, string_split(entry, ',') as f from ents),
@@ -67,7 +67,7 @@ def _pages(s):
 
 
 @register("extract_train_rows", PARSE_CTES + """
-select p.page_id, p.has_table, case when p.has_table then len(p.kept) else 0 end as entries_found,
+select p.page_id, p.has_table, cast(case when p.has_table then len(p.kept) else 0 end as integer) as entries_found,
   count(*) filter (where x.valid) as kept, count(*) filter (where not x.valid) as rejected
 from pg p left join parsed x on x.page_id = p.page_id
 group by p.page_id, p.has_table, p.kept""")

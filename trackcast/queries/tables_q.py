@@ -682,7 +682,7 @@ _VIOL_SQL = " union all ".join(
 
 
 @register("violation_examples", f"select rule_name, ingest_seq, rank from (select rule_name, ingest_seq, "
-                                f"row_number() over (partition by rule_name order by ingest_seq) as rank "
+                                f"cast(row_number() over (partition by rule_name order by ingest_seq) as integer) as rank "
                                 f"from ({_VIOL_SQL}) v) x where rank <= 5")
 def violation_examples(s):
     """At most 5 example rows per violated rule (two-stage top-k)."""
