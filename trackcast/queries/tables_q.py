@@ -594,7 +594,43 @@ def run_summary(s):
                     *[F.round(c, 9).alias(c) for c in ("validation_success_rate", "drop_rate", "flag_rate")])
 
 
-@register("dq_rule_results")
+_RULE_ROWS_SQL = """
+select processor, 'schema_validation' as step, rule_name, 'schema' as rule_type, n = 0 as passed,
+  n as affected_records, case when n > 0 then 'drop' else 'none' end as action
+from (
+  select 'train' as processor, 'station_code_not_null' as rule_name, count(*) filter (where station_code is null) as n from trains_raw
+  union all select 'train', 'timestamp_not_null', count(*) filter (where timestamp is null) from trains_raw
+  union all select 'train', 'train_id_not_null', count(*) filter (where train_id is null) from trains_raw
+  union all select 'weather', 'station_code_not_null', count(*) filter (where station_code is null) from weather_raw
+  union all select 'weather', 'timestamp_not_null', count(*) filter (where timestamp is null) from weather_raw
+  union all select 'weather', 'temperature_not_null', count(*) filter (where temperature is null) from weather_raw) a
+union all
+select processor, 'timestamp_normalization', 'timestamp_parsing', 'schema', true, cast(0 as bigint), 'none'
+from (values ('train'), ('weather')) p(processor)
+union all select 'train', 'timestamp_normalization', 'timestamp_normalization', 'schema', true,
+  (select count(*) from trains_norm), 'transform'
+union all select 'weather', 'timestamp_normalization', 'timestamp_normalization', 'schema', true,
+  (select count(*) from weather_norm), 'transform'
+union all select 'train', 'deduplication', 'duplicate_removal', 'deduplication', true, n,
+  case when n > 0 then 'drop' else 'none' end
+from (select (select count(*) from trains_norm) - (select count(*) from trains_dedup) as n) d
+union all select 'weather', 'deduplication', 'duplicate_removal', 'deduplication', true, n,
+  case when n > 0 then 'drop' else 'none' end
+from (select (select count(*) from weather_norm) - (select count(*) from weather_dedup) as n) d
+union all
+select processor, 'business_rules', rule_name, rule_type, false, n, action from (
+  select 'train' as processor, 'extreme_early_delay' as rule_name, 'business' as rule_type, 'transform' as action,
+    count(*) filter (where delay_minutes < -5) as n from trains_dedup
+  union all select 'train', 'extreme_delay_outlier', 'business', 'flag',
+    count(*) filter (where delay_minutes > 300) from trains_dedup
+  union all select 'weather', 'temperature_range_validation', 'range', 'transform',
+    count(*) filter (where temperature < -20 or temperature > 50) from weather_dedup
+  union all select 'weather', 'precip_mm_range_validation', 'range', 'transform',
+    count(*) filter (where precip_mm < 0) from weather_dedup) b
+where n > 0"""
+
+
+@register("dq_rule_results", ",\n" + _STEPS_SQL.strip() + "\n" + _RULE_ROWS_SQL)
 def dq_rule_results(s):
     """G5/G6 rule rows of every step (schema, timestamp, dedup, business)."""
     _, tr = dq.train_results(s.trains_raw)
