@@ -261,3 +261,16 @@ def test_points_in_region(spark):
     df = spark.createDataFrame([("in", 2.0, 2.0), ("out", 5.0, 2.0), ("nolat", None, 2.0)],
                                "code string, longitude double, latitude double")
     assert rows(points_in_region(df, ring), "code") == [("in",)]
+
+
+def test_nearest_join_exact_at_bucket_edges(spark):
+    """A row 1 us before an hour edge still finds the observation exactly 60 min
+    earlier: bucket indices are exact integers, not rounded doubles."""
+    from datetime import timedelta
+    base = ts("2024-01-17 00:00:00")
+    left = spark.createDataFrame([(h, f"S{h}", base + timedelta(hours=h, microseconds=-1)) for h in range(48)],
+                                 f"id int, station_code string, timestamp {TS}")
+    right = spark.createDataFrame([(f"S{h}", base + timedelta(hours=h - 1, microseconds=-1), float(h))
+                                   for h in range(48)], f"station_code string, timestamp {TS}, v double")
+    got = dict(rows(nearest_join(left, right, right_cols=["v"]), "id", "v"))
+    assert got == {h: float(h) for h in range(48)}

@@ -21,12 +21,21 @@ from pyspark.sql import functions as F
 from trackcast.functions.timefns import US_PER_MIN, epoch_us
 
 
+def time_bucket(e, bucket_us: int):
+    """Exact bucket index of epoch microseconds: ``(e - pmod(e, B)) / B`` divides
+    an exact multiple of ``B``, so no floating-point rounding can move a value
+    that sits a microsecond before a bucket edge (a plain ``floor(e / B)`` in
+    double precision can)."""
+    b = F.lit(int(bucket_us))
+    return ((e - F.pmod(e, b)) / b).cast("long")
+
+
 def candidate_table(right: DataFrame, *, by: str, right_ts: str, right_cols: Sequence[str], bucket_us: int) -> DataFrame:
     """``(by, bucket, cands)``: right rows within one bucket of ``bucket``."""
     payload = [F.col(c).alias(f"p_{i}") for i, c in enumerate(right_cols)]
     r = (right.where(F.col(by).isNotNull() & F.col(right_ts).isNotNull())
               .select(F.col(by).alias("_by"), epoch_us(right_ts).alias("_e"), F.col(right_ts).alias("_rts"), *payload))
-    b0 = F.floor(F.col("_e") / F.lit(bucket_us))
+    b0 = time_bucket(F.col("_e"), bucket_us)
     r = r.withColumn("_bucket", F.explode(F.array(b0 - 1, b0, b0 + 1)))
     return (r.groupBy("_by", "_bucket")
              .agg(F.collect_list(F.struct("_e", "_rts", *[f"p_{i}" for i in range(len(right_cols))])).alias("_cands")))
@@ -46,7 +55,7 @@ def nearest_join(left: DataFrame, right: DataFrame, *, by: str = "station_code",
     cands = candidate_table(right, by=by, right_ts=right_ts, right_cols=right_cols, bucket_us=bucket_us)
 
     le = epoch_us(left_ts)
-    l2 = left.withColumn("_le", le).withColumn("_bucket", F.floor(F.col("_le") / F.lit(bucket_us)))
+    l2 = left.withColumn("_le", le).withColumn("_bucket", time_bucket(F.col("_le"), bucket_us))
     j = l2.join(cands, (l2[by] == cands["_by"]) & (l2["_bucket"] == cands["_bucket"]), "left")
 
     within = F.filter(F.col("_cands"), lambda c: F.abs(c["_e"] - F.col("_le")) <= F.lit(tol_us))
@@ -72,7 +81,7 @@ def ranked_candidates(left: DataFrame, right: DataFrame, *, left_cols, by: str =
     bucket_us = max(tol_us, US_PER_MIN)
     cands = candidate_table(right, by=by, right_ts=right_ts, right_cols=[], bucket_us=bucket_us)
     l2 = (left.select(*left_cols, F.col(by).alias("_lby"), epoch_us(left_ts).alias("_le"))
-              .withColumn("_bucket", F.floor(F.col("_le") / F.lit(bucket_us))))
+              .withColumn("_bucket", time_bucket(F.col("_le"), bucket_us)))
     j = l2.join(cands, (l2["_lby"] == cands["_by"]) & (l2["_bucket"] == cands["_bucket"]), "inner")
     within = F.filter(F.col("_cands"), lambda c: F.abs(c["_e"] - F.col("_le")) <= F.lit(tol_us))
     ordered = F.array_sort(F.transform(within, lambda c: F.struct(F.abs(c["_e"] - F.col("_le")).alias("d"),

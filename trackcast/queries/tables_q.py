@@ -659,9 +659,9 @@ def per_date_dq(s):
 def flag_sum(s):
     """Sum of every column whose name holds 'flag' or 'outlier', after the fixes."""
     tf, wf = pre.apply_fixes(s.trains_raw, s.weather_raw)
-    tp, wp = pre.table_profiles(tf, wf)
-    return tp.crossJoin(wp).select(F.col("t_flagged").alias("train_flagged"), F.col("w_flagged").alias("weather_flagged"),
-                                   (F.col("t_flagged") + F.col("w_flagged")).alias("total_flagged"))
+    p = pre.profile(tf, wf)
+    return p.select(F.col("t_flagged").alias("train_flagged"), F.col("w_flagged").alias("weather_flagged"),
+                    (F.col("t_flagged") + F.col("w_flagged")).alias("total_flagged"))
 
 
 @register("metric_average", ",\n" + __import__("trackcast.queries.assess", fromlist=["PRE_CTES"]).PRE_CTES.strip()
