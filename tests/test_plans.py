@@ -37,3 +37,20 @@ def test_no_python_udf_in_headline_plans(spark):
               "post_overall_score"):
         p = _plan(E.queries()[k](spark, SF_MID))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, k
+
+
+def test_nearest_join_without_broadcast_is_a_sort_merge_join(spark):
+    """Beyond the broadcast bounds the match stays an equi-join on (station,
+    bucket): a sort-merge join, never a nested loop or cartesian product."""
+    import __spark_entry__ as E
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        p = _plan(E.queries()["nearest_join"](spark, SF_MID))
+        assert "SortMergeJoin" in p and "_bucket" in p
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -53,18 +53,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(STATIONS_SQL, nation=table(spark, sf_dir, "nation"))
+def stations(spark: SparkSession, sf_dir: str, nation: DataFrame | None = None) -> DataFrame:
+    return spark.sql(STATIONS_SQL, nation=nation if nation is not None else table(spark, sf_dir, "nation"))
 
 
-def trains_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trains_raw(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     base = BASE_SQL.format(events="{events}")
-    return spark.sql(TRAINS_RAW_SQL.replace("{base}", base), events=table(spark, sf_dir, "events"))
+    ev = events if events is not None else table(spark, sf_dir, "events")
+    return spark.sql(TRAINS_RAW_SQL.replace("{base}", base), events=ev)
 
 
-def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_raw(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     base = BASE_SQL.format(events="{events}")
-    return spark.sql(WEATHER_RAW_SQL.replace("{base}", base), events=table(spark, sf_dir, "events"))
+    ev = events if events is not None else table(spark, sf_dir, "events")
+    return spark.sql(WEATHER_RAW_SQL.replace("{base}", base), events=ev)
 
 
 def duckdb_ctes() -> str:

@@ -23,21 +23,26 @@ class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return fixtures.table(self.spark, self.sf_dir, name)
+        """One reader per table per query: every stage built from it shares the
+        same relation (one file listing, identical subtrees for exchange reuse)."""
+        if name not in self._tables:
+            self._tables[name] = fixtures.table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     @cached_property
     def stations(self) -> DataFrame:
-        return fixtures.stations(self.spark, self.sf_dir)
+        return fixtures.stations(self.spark, self.sf_dir, nation=self.table("nation"))
 
     @cached_property
     def trains_raw(self) -> DataFrame:
-        return fixtures.trains_raw(self.spark, self.sf_dir)
+        return fixtures.trains_raw(self.spark, self.sf_dir, events=self.table("events"))
 
     @cached_property
     def weather_raw(self) -> DataFrame:
-        return fixtures.weather_raw(self.spark, self.sf_dir)
+        return fixtures.weather_raw(self.spark, self.sf_dir, events=self.table("events"))
 
     @cached_property
     def trains_clean(self) -> DataFrame:
