@@ -93,7 +93,7 @@ def ranked_candidates(left: DataFrame, right: DataFrame, *, left_cols, by: str =
 
 def nearest_join_window(left: DataFrame, right: DataFrame, *, by: str = "station_code", left_ts: str = "timestamp",
                         right_ts: str = "timestamp", tolerance_minutes: int = 60,
-                        right_cols: Sequence[str] | None = None, left_id: str = "ingest_seq") -> DataFrame:
+                        right_cols: Sequence[str] | None = None) -> DataFrame:
     """Second strategy for large tolerances: union both sides, carry the last
     right row forward and the next one backward over ``(by, ts)`` order, pick
     the nearer. No explosion, but one ``by`` value is one window partition."""

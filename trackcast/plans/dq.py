@@ -198,14 +198,23 @@ def weather_results(raw: DataFrame, cfg: WeatherConfig = WeatherConfig(), order_
 def run_summary(steps: DataFrame) -> DataFrame:
     """Sums of total / valid / dropped / flagged over every step result of
     a processor and the three rates over the summed total (0 when empty). A
-    row dropped by two steps counts twice, as in the summed results."""
+    row dropped by two steps counts twice, as in the summed results. The run
+    succeeds when raw rows exist and clean rows remain (or the clean share of
+    the raw rows exceeds 10 %)."""
+    step = F.col("step")
     s = steps.groupBy("processor").agg(
         F.sum("total_records").cast("bigint").alias("total_records"),
         F.sum("valid_records").cast("bigint").alias("total_valid"),
         F.sum("dropped_records").cast("bigint").alias("total_dropped"),
-        F.sum("flagged_records").cast("bigint").alias("total_flagged"))
+        F.sum("flagged_records").cast("bigint").alias("total_flagged"),
+        F.max(F.when(step == "schema_validation", F.col("total_records"))).cast("bigint").alias("raw_records"),
+        F.max(F.when(step == "business_rules", F.col("valid_records"))).cast("bigint").alias("clean_records"))
     t = F.col("total_records")
     rate = lambda c: F.when(t > 0, F.col(c) / t).otherwise(F.lit(0.0))
+    raw, clean = F.coalesce("raw_records", F.lit(0)), F.coalesce("clean_records", F.lit(0))
+    quality = F.when(raw > 0, clean / raw).otherwise(F.lit(0.0))
     return s.select("processor", "total_records", "total_valid", "total_dropped", "total_flagged",
                     rate("total_valid").alias("validation_success_rate"), rate("total_dropped").alias("drop_rate"),
-                    rate("total_flagged").alias("flag_rate"))
+                    rate("total_flagged").alias("flag_rate"), raw.alias("raw_records"), clean.alias("clean_records"),
+                    quality.alias("overall_quality_rate"),
+                    ((raw > 0) & ((clean > 0) | (quality > 0.1))).alias("success"))

@@ -585,13 +585,23 @@ select processor, cast(sum(total_records) as bigint) as total_records, cast(sum(
   round(case when sum(total_records) > 0 then sum(dropped_records) * 1e0 / sum(total_records) else 0e0 end, 9)
     as drop_rate,
   round(case when sum(total_records) > 0 then sum(flagged_records) * 1e0 / sum(total_records) else 0e0 end, 9)
-    as flag_rate
-from steps group by processor""")
+    as flag_rate,
+  raw as raw_records, clean as clean_records,
+  round(case when raw > 0 then clean * 1e0 / raw else 0e0 end, 9) as overall_quality_rate,
+  raw > 0 and (clean > 0 or (case when raw > 0 then clean * 1e0 / raw else 0e0 end) > 0.1) as success
+from (select *, cast(max(case when step = 'schema_validation' then total_records end) over (partition by processor)
+                     as bigint) as raw,
+             cast(max(case when step = 'business_rules' then valid_records end) over (partition by processor)
+                  as bigint) as clean
+      from steps) s
+group by processor, raw, clean""")
 def run_summary(s):
     """Sums over the step results of each processor and the three rates."""
     r = dq.run_summary(_steps(s))
     return r.select("processor", "total_records", "total_valid", "total_dropped", "total_flagged",
-                    *[F.round(c, 9).alias(c) for c in ("validation_success_rate", "drop_rate", "flag_rate")])
+                    *[F.round(c, 9).alias(c) for c in ("validation_success_rate", "drop_rate", "flag_rate")],
+                    "raw_records", "clean_records", F.round("overall_quality_rate", 9).alias("overall_quality_rate"),
+                    "success")
 
 
 _RULE_ROWS_SQL = """

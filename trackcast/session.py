@@ -30,13 +30,12 @@ DEFAULT_CONF = {
 def get_session(master: str | None = None, app: str = "trackcast", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    ``master`` defaults to ``local[$BENCH_CPUS]`` (or ``local[*]``); on a
-    cluster pass ``None`` through spark-submit and the master comes from there.
+    ``master`` defaults to ``local[$BENCH_CPUS]`` when that is set; otherwise
+    it is left to spark-submit (cluster) or Spark's own default.
     """
     builder = SparkSession.builder.appName(app)
-    if master is None and "SPARK_MASTER" not in os.environ and not os.environ.get("SPARK_HOME_CLUSTER"):
-        cpus = os.environ.get("BENCH_CPUS", "*")
-        master = f"local[{cpus}]"
+    if master is None and os.environ.get("BENCH_CPUS"):
+        master = f"local[{os.environ['BENCH_CPUS']}]"
     if master:
         builder = builder.master(master)
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
@@ -68,3 +67,19 @@ def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     spark = spark or df.sparkSession
     checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 ** 2, floor: int = 200) -> int:
+    """Initial shuffle partition count for a job reading ``input_bytes``: about
+    ``target_bytes`` of shuffle input per task so partitions fit executor
+    memory (AQE then coalesces small ones). 100 TB gives ~400k partitions."""
+    return max(floor, -(-int(input_bytes) // int(target_bytes)))
+
+
+def cluster_conf(input_bytes: int) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of input."""
+    n = shuffle_partitions_for(input_bytes)
+    return {**DEFAULT_CONF, "spark.sql.shuffle.partitions": str(n),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+            "spark.sql.files.maxPartitionBytes": "256m"}

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from trackcast.operators.nearest import candidate_table  # noqa: F401  (documented alternative)
 from trackcast.sources.sinks import TS_OPTIONS, insert_if_absent
 
 
