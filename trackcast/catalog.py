@@ -23,7 +23,10 @@ def register(key: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(Stages(spark, sf_dir))
         run.__name__ = fn.__name__
+        run.__qualname__ = fn.__qualname__
+        run.__module__ = fn.__module__
         run.__doc__ = fn.__doc__
+        run.__wrapped__ = fn
         QUERIES[key] = run
         if sql is not None:
             ORACLE[key] = with_(sql)

@@ -189,3 +189,24 @@ def feature_families(columns: Sequence[str]) -> dict[str, list[str]]:
         "categorical": ["category", "importance", "traffic", "speed", "regional"],
     }
     return {fam: [c for c in columns if any(t in c.lower() for t in ts)] for fam, ts in terms.items()}
+
+
+def feature_profile(df: DataFrame, *, approx_distinct: bool = False) -> DataFrame:
+    """Per column, its families (by name pattern) and null / non-null
+    counts from ONE aggregate, unpivoted to one row per column. With
+    ``approx_distinct`` each column also gets a HyperLogLog distinct estimate
+    (exact distinct counts over every column would expand the rows once per
+    column)."""
+    cols = df.columns
+    fam = feature_families(cols)
+    aggs = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
+    aggs += [F.count(F.col(c)).alias(f"v{i}") for i, c in enumerate(cols)]
+    if approx_distinct:
+        aggs += [F.approx_count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)]
+    agg = df.agg(*aggs)
+    items = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count"),
+                      F.col(f"v{i}").alias("non_null_count"),
+                      *([F.col(f"d{i}").alias("approx_distinct")] if approx_distinct else []),
+                      *[F.lit(c in fam[k]).alias(f"in_{k}") for k in fam])
+             for i, c in enumerate(cols)]
+    return agg.select(F.explode(F.array(*items)).alias("r")).select("r.*")

@@ -47,7 +47,9 @@ def _feature_query(cols):
 
 for _k, _cols in FEATURE_KEYS.items():
     _fn = _feature_query(_cols)
-    _fn.__doc__ = f"Feature columns {', '.join(_cols)} of every integrated row."
+    _fn.__name__ = _fn.__qualname__ = _k
+    _fn.__doc__ = (f"Feature columns {', '.join(_cols)} of every integrated row "
+                   "(built by operators.features.engineer_features).")
     register(_k, f"select {', '.join(KEY + _cols)} from features")(_fn)
 
 
@@ -243,12 +245,5 @@ def _profile_sql() -> str:
 def feature_profile(s):
     """Per column of the feature table, its families (by name pattern)
     and null / non-null counts from one aggregate, unpivoted."""
-    f = s.features
-    fam = feature_families(f.columns)
-    agg = f.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(f.columns)],
-                *[F.count(F.col(c)).alias(f"v{i}") for i, c in enumerate(f.columns)])
-    items = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count"),
-                      F.col(f"v{i}").alias("non_null_count"),
-                      *[F.lit(c in fam[k]).alias(f"in_{k}") for k in fam])
-             for i, c in enumerate(f.columns)]
-    return agg.select(F.explode(F.array(*items)).alias("r")).select("r.*")
+    from trackcast.operators.features import feature_profile as profile
+    return profile(s.features)
