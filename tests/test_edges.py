@@ -274,3 +274,13 @@ def test_nearest_join_exact_at_bucket_edges(spark):
                                    for h in range(48)], f"station_code string, timestamp {TS}, v double")
     got = dict(rows(nearest_join(left, right, right_cols=["v"]), "id", "v"))
     assert got == {h: float(h) for h in range(48)}
+
+
+def test_attach_one_row_requires_a_proven_bound(spark):
+    from trackcast.operators.attach import attach_one_row, max_rows
+    rows_df = spark.range(10)
+    one = rows_df.agg(F.max("id").alias("m"))
+    assert max_rows(one) == 1 and max_rows(rows_df.where("id > 3")) is None or max_rows(rows_df.where("id > 3")) > 1
+    assert attach_one_row(rows_df, one).count() == 10
+    with pytest.raises(ValueError):
+        attach_one_row(one, rows_df.where("id > 3"))

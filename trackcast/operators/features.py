@@ -22,6 +22,7 @@ from trackcast.functions import text as T
 from trackcast.functions import timefns as TF
 from trackcast.functions.binning import bin_column, bin_dynamic, guarded
 from trackcast.functions.nulls import fill0, is_true
+from trackcast.operators.attach import attach_one_row, one_row
 
 ALL_GROUPS = ("temporal", "weather", "delay", "categorical")
 
@@ -76,7 +77,7 @@ def batch_stats(df: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.percentile(F.col("station_traffic_rank"), F.array(*[F.lit(x) for x in TRAFFIC_QUANTILES])).alias("tq")))
         q = q.select(F.coalesce("traffic_varies", F.lit(False)).alias("traffic_varies"),
                      F.col("tq")[0].alias("traffic_q33"), F.col("tq")[1].alias("traffic_q67"))
-        scalars = scalars.crossJoin(q)
+        scalars = one_row(scalars, q)
     else:
         station_counts = None
     return station_counts, scalars
@@ -91,10 +92,10 @@ def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guar
     if station_counts is not None:
         # small table: per-station counts with the one-row statistics attached
         # (a one-row broadcast); the batch joins it once on the station key
-        stats = station_counts.crossJoin(F.broadcast(scalars))
+        stats = attach_one_row(station_counts, scalars)
         x = df.join(stats, df["station_code"].eqNullSafe(stats["_sc"]), "left")
     else:
-        x = df.crossJoin(F.broadcast(scalars))
+        x = attach_one_row(df, scalars)
 
     def S(name: str):
         return F.col(name)

@@ -18,6 +18,7 @@ from trackcast.functions.nulls import count_if
 from trackcast.functions.timefns import parse_timestamp, round_hour_half_up
 from trackcast.operators import rules as R
 from trackcast.operators.dedup import dedup_best, dedup_last
+from trackcast.operators.attach import attach_one_row, one_row
 
 STEP_SCHEMA = ("processor string, step string, total_records bigint, valid_records bigint, "
                "dropped_records bigint, flagged_records bigint")
@@ -145,10 +146,10 @@ def process_results(raw: DataFrame, clean: DataFrame, *, processor: str, require
                 count_if(timestamp_parse_errors(raw)).alias("parse_errors"))
     b = normed.agg(F.count(F.lit(1)).alias("normalized"))
     c = deduped.agg(F.count(F.lit(1)).alias("deduped"))
-    counts = a.crossJoin(b).crossJoin(c)
+    counts = one_row(a, b, c)
     rule_rows = R.rule_counts(deduped, rules, processor=processor, step="business_rules")
     flagged = rule_rows.agg(F.coalesce(F.sum("affected_records"), F.lit(0)).cast("bigint").alias("flagged"))
-    counts = counts.crossJoin(flagged)
+    counts = attach_one_row(counts, flagged)
     def step(name, t, v, d, f):
         return F.struct(F.lit(name).alias("step"), t.cast("bigint").alias("t"), v.cast("bigint").alias("v"),
                         d.cast("bigint").alias("d"), f.cast("bigint").alias("f"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackcast.config import INTEGRATED_COLUMNS, WEATHER_FIELDS
 from trackcast.operators.features import engineer_features
 from trackcast.operators.nearest import nearest_join
+from trackcast.operators.attach import one_row
 
 TRAIN_PART = ("train_id", "timestamp", "station_code", "delay_minutes", "train_category", "route",
               "delay_status", "destination", "is_cancelled")
@@ -37,7 +38,7 @@ def integration_quality(integrated: DataFrame, trains: DataFrame, weather: DataF
     t = trains.agg(F.count(F.lit(1)).alias("train_records"))
     w = weather.agg(F.count(F.lit(1)).alias("weather_records"))
     rate = F.when(F.col("total_records") > 0, F.col("weather_matched") / F.col("total_records")).otherwise(F.lit(0.0))
-    return (t.crossJoin(w).crossJoin(i)
+    return (one_row(t, w, i)
              .select("train_records", "weather_records", "total_records", "weather_matched",
                      rate.alias("match_rate"), F.least(rate + F.lit(0.2), F.lit(1.0)).alias("quality_score")))
 

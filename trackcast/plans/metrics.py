@@ -17,6 +17,7 @@ from trackcast.functions.nulls import as_flag, count_if
 from trackcast.operators import rules as R
 from trackcast.operators.dedup import dedup_best, dedup_last
 from trackcast.plans import dq
+from trackcast.operators.attach import attach_one_row, one_row
 
 STEP_METRICS = ("total_records", "valid_records", "dropped_records", "flagged_records", "validation_success_rate")
 PRE_SUMMARY = ("overall_quality_score", "completeness_score", "accuracy_score", "consistency_score",
@@ -116,7 +117,7 @@ def post_report_rows(summary: DataFrame, stations: DataFrame, recs: DataFrame) -
     ``report_summary`` row with value 1.0; details carry the report header."""
     st = stations.agg(F.array_sort(F.collect_set("station_code")).alias("station_codes"))
     rc = recs.groupBy("date").agg(F.array_sort(F.collect_list("recommendation")).alias("recommendations"))
-    s = summary.join(rc, "date", "left").crossJoin(st)
+    s = attach_one_row(summary.join(rc, "date", "left"), st)
     details = F.to_json(F.struct(F.concat(F.lit("post_integration_"), F.col("date")).alias("report_id"),
                                  F.lit("post_integration").alias("report_type"),
                                  F.struct(F.col("date").alias("start"), F.col("date").alias("end")).alias("date_range"),
@@ -136,7 +137,7 @@ def pre_report_rows(score: DataFrame, recs: DataFrame, date_range: DataFrame, st
     0.0) and one ``complete_report`` row of table ``pre_integration_complete``."""
     rc = recs.agg(F.array_sort(F.collect_list("recommendation")).alias("recommendations"))
     st = stations.agg(F.array_sort(F.collect_set("station_code")).alias("station_codes"))
-    x = score.withColumn("processing_duration", F.lit(0.0)).crossJoin(rc).crossJoin(st).crossJoin(date_range)
+    x = one_row(score.withColumn("processing_duration", F.lit(0.0)), rc, st, date_range)
     pillars = F.struct(*[F.col(c) for c in ("completeness_score", "accuracy_score", "consistency_score",
                                             "uniqueness_score", "coverage_score")])
     details = F.to_json(F.struct(F.lit("pre_integration").alias("processor_type"),

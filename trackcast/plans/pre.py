@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from trackcast.config import PRE_WEIGHTS
 from trackcast.functions.nulls import count_if
 from trackcast.functions.timefns import round_hour_half_even
+from trackcast.operators.attach import one_row
 
 WEATHER_FIELDS = ("temperature", "precip_mm", "wind_speed", "weather_code")
 COORD_FIELDS = ("station_lat", "station_lon", "latitude", "longitude")
@@ -116,7 +117,7 @@ def profile(train: DataFrame, weather: DataFrame) -> DataFrame:
                     .agg(F.max(t.cast("int")).alias("in_t"), F.max(w.cast("int")).alias("in_w")))
     stations = per_station.agg(F.count(F.lit(1)).alias("n_all"),
                                count_if((F.col("in_t") == 1) & (F.col("in_w") == 1)).alias("n_both"))
-    return counters.crossJoin(dups).crossJoin(stations)  # three one-row frames
+    return one_row(counters, dups, stations)
 
 
 def _items(train: DataFrame, weather: DataFrame):

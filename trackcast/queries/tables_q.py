@@ -18,6 +18,7 @@ from trackcast.operators.windows import top_k_per_group
 from trackcast.plans import dq, post, pre
 from trackcast.sources import constraints as K
 from trackcast.sources import sinks as B
+from trackcast.operators.attach import one_row
 
 TC, WC = TrainConfig(), WeatherConfig()
 RANGE_START, RANGE_END = "2024-01-01", "2024-01-31"   # the whole month of the test data
@@ -519,7 +520,7 @@ def overlap_hours(s):
     t = s.trains_raw.agg(F.min("timestamp").alias("t0"), F.max("timestamp").alias("t1"))
     w = s.weather_raw.agg(F.min("timestamp").alias("w0"), F.max("timestamp").alias("w1"))
     h = lambda a, b: F.timestamp_diff("MICROSECOND", a, b) / F.lit(3_600_000_000.0)
-    x = t.crossJoin(w)
+    x = one_row(t, w)
     return x.select(h(F.greatest("t0", "w0"), F.least("t1", "w1")).cast("bigint").alias("overlap_hours"),
                     F.greatest(h(F.col("t0"), F.col("t1")), h(F.col("w0"), F.col("w1"))).cast("bigint")
                     .alias("total_hours"))
@@ -684,7 +685,7 @@ def metric_average(s):
     a = p["completeness"].agg(F.round(F.avg("missing_percentage"), 9).alias("avg_missing_pct"))
     b = p["accuracy"].agg(F.round(F.avg("violations_percentage"), 9).alias("avg_violation_pct"))
     c = p["coverage"].agg(F.round(F.avg("coverage_percentage"), 9).alias("avg_coverage_pct"))
-    return a.crossJoin(b).crossJoin(c)
+    return one_row(a, b, c)
 
 
 @register("issues_by_type", ",\n" + __import__("trackcast.queries.assess", fromlist=["POST_CTES"]).POST_CTES.strip()

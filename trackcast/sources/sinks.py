@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackcast.config import INTEGRATED_COLUMNS, TRAIN_COLUMNS, WEATHER_COLUMNS
+from trackcast.operators.attach import attach_one_row
 
 # Text timestamps of landed files keep microseconds (the writers' default
 # format stops at milliseconds and would truncate event times).
@@ -134,7 +135,7 @@ def skip_loaded_range(bounds: DataFrame, target: DataFrame, days: int, ts: str =
     start = bounds.select(F.col("start_date").alias("_s"))
     per_date = target.groupBy(F.to_date(ts).alias("d")).agg(F.count(F.lit(1)).alias("n"))
     k = F.floor(F.datediff(F.col("d"), F.col("_s")) / n).cast("int")
-    per_chunk = (per_date.join(start, how="cross")  # one-row frame of the range start
+    per_chunk = (attach_one_row(per_date, start)  # one-row frame of the range start
                  .withColumn("chunk_start", F.date_add(F.col("_s"), k * n))
                  .groupBy("chunk_start").agg(F.sum("n").alias("n"), F.min("d").alias("min_date"),
                                              F.max("d").alias("max_date")))
