@@ -19,10 +19,11 @@ WEATHER4 = ("temperature", "wind_speed", "precip_mm", "weather_code")
 
 
 def scan_day(df: DataFrame, day: str) -> DataFrame:
-    """A3: rows of one date, as a sargable range on the raw timestamp so the
-    filter reaches the Parquet reader."""
+    """A3: rows of one date ordered by (timestamp, station), the date test
+    written as a sargable range on the raw timestamp so it reaches the reader."""
     start = F.lit(day).cast("timestamp_ntz")
-    return df.where((F.col("timestamp") >= start) & (F.col("timestamp") < F.timestamp_add("DAY", F.lit(1), start)))
+    return (df.where((F.col("timestamp") >= start) & (F.col("timestamp") < F.timestamp_add("DAY", F.lit(1), start)))
+              .orderBy("timestamp", "station_code"))
 
 
 def _counters(df: DataFrame, th: PostThresholds) -> DataFrame:

@@ -321,7 +321,7 @@ def _post(s):
 
 
 @register("scan_integrated_day", "select * from integrated_table where timestamp >= timestamp '2024-01-15 00:00:00' "
-                                 "and timestamp < timestamp '2024-01-16 00:00:00'")
+                                 "and timestamp < timestamp '2024-01-16 00:00:00' order by timestamp, station_code")
 def scan_integrated_day(s):
     """A3: the stored integrated rows of one date (range on the raw column)."""
     return post.scan_day(s.integrated_table, "2024-01-15")
