@@ -25,3 +25,18 @@ def test_pipeline_end_to_end_and_rerun(spark):
     run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=wh)
     again = {k: spark.read.parquet(v).count() for k, v in p.items()}
     assert again == counts
+
+
+def test_partition_overwrite_is_idempotent(spark):
+    from pyspark.sql import functions as F
+    from trackcast.sources.sinks import curated_weather, write_partitioned
+    from trackcast.stages import Stages
+    s = Stages(spark, SF)
+    path = tempfile.mkdtemp(prefix="trackcast-csv-") + "/curated"
+    w = curated_weather(s.weather)
+    write_partitioned(w, path, partition_by=("station_code", "year"), fmt="csv", mode="overwrite")
+    one = w.where(F.col("station_code") == "S01")
+    write_partitioned(one, path, partition_by=("station_code", "year"), fmt="csv", mode="overwrite")
+    back = spark.read.option("header", True).csv(path)
+    assert back.count() == w.count()          # S01 replaced, other stations untouched
+    assert back.where(F.col("station_code") == "S01").count() == one.count()
