@@ -2,8 +2,9 @@
 
 A global aggregate yields exactly one row, so joining it to every row of a
 frame is a broadcast of one row. ``attach_one_row`` asks Catalyst for the
-optimized plan's ``maxRows`` and refuses anything not provably at most one
-row -- a broadcast whose size cannot grow with the data.
+analyzed plan's ``maxRows`` (already computed when the frame was built, so
+the check costs no optimizer run) and refuses anything not provably at most
+one row -- a broadcast whose size cannot grow with the data.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 def max_rows(df: DataFrame) -> int | None:
     """Catalyst's static upper bound on the rows of ``df`` (None: unbounded)."""
-    bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+    bound = df._jdf.queryExecution().analyzed().maxRows()
     return int(bound.get()) if bound.isDefined() else None
 
 
@@ -27,10 +28,13 @@ def attach_one_row(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def one_row(*frames: DataFrame) -> DataFrame:
-    """Several one-row frames side by side as one row."""
+    """Several one-row frames side by side as one row. Every piece is checked;
+    they are combined without a hint, so the result's bound stays provable."""
+    for f in frames:
+        n = max_rows(f)
+        if n is None or n > 1:
+            raise ValueError(f"one_row needs frames of at most one row (bound: {n})")
     out = frames[0]
-    if max_rows(out) not in (0, 1):
-        raise ValueError("one_row needs frames of at most one row")
     for f in frames[1:]:
-        out = attach_one_row(out, f)
+        out = out.crossJoin(f)
     return out
