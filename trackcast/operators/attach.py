@@ -13,16 +13,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+UNKNOWN = -1  # no JVM plan to inspect (Spark Connect client): the check is skipped
+
+
 def max_rows(df: DataFrame) -> int | None:
     """Catalyst's static upper bound on the rows of ``df`` (None: unbounded)."""
-    bound = df._jdf.queryExecution().analyzed().maxRows()
+    jdf = getattr(df, "_jdf", None)
+    if jdf is None:
+        return UNKNOWN
+    bound = jdf.queryExecution().analyzed().maxRows()
     return int(bound.get()) if bound.isDefined() else None
 
 
+def _bounded(n: int | None) -> bool:
+    return n is not None and n <= 1
+
+
 def attach_one_row(left: DataFrame, right: DataFrame) -> DataFrame:
     """Every row of ``left`` with the columns of the one-row frame ``right``."""
     n = max_rows(right)
-    if n is None or n > 1:
+    if not _bounded(n):
         raise ValueError(f"attach_one_row needs a frame of at most one row (bound: {n})")
     return left.crossJoin(F.broadcast(right))
 
@@ -32,7 +42,7 @@ def one_row(*frames: DataFrame) -> DataFrame:
     they are combined without a hint, so the result's bound stays provable."""
     for f in frames:
         n = max_rows(f)
-        if n is None or n > 1:
+        if not _bounded(n):
             raise ValueError(f"one_row needs frames of at most one row (bound: {n})")
     out = frames[0]
     for f in frames[1:]:
