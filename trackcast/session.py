@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # PySpark otherwise records the Python call site of every Column call
+    # (extra JVM round trips + a stack walk each) for error messages only
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
