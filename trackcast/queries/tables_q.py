@@ -163,7 +163,25 @@ def skip_loaded_range(s):
     return r.select(fmt("chunk_start"), fmt("chunk_end"), "record_count", fmt("min_date"), fmt("max_date"), "skip")
 
 
-@register("land_raw")
+_LAND_RAW_SQL = """
+select strftime(timestamp, '%Y-%m-%d') as date, station_code,
+  '{' || concat_ws(',',
+    case when train_id is null then null else '"train_id":' || cast(to_json(train_id) as varchar) end,
+    case when timestamp is null then null else '"timestamp":"' || strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '"' end,
+    case when station_code is null then null else '"station_code":' || cast(to_json(station_code) as varchar) end,
+    case when scheduled_time is null then null else '"scheduled_time":"' || strftime(scheduled_time, '%Y-%m-%dT%H:%M:%S.%f') || '"' end,
+    case when actual_time is null then null else '"actual_time":"' || strftime(actual_time, '%Y-%m-%dT%H:%M:%S.%f') || '"' end,
+    case when delay_minutes is null then null else '"delay_minutes":' || cast(delay_minutes as varchar) end,
+    case when train_category is null then null else '"train_category":' || cast(to_json(train_category) as varchar) end,
+    case when route is null then null else '"route":' || cast(to_json(route) as varchar) end,
+    case when delay_status is null then null else '"delay_status":' || cast(to_json(delay_status) as varchar) end,
+    case when destination is null then null else '"destination":' || cast(to_json(destination) as varchar) end,
+    case when is_cancelled is null then null else '"is_cancelled":' || cast(is_cancelled as varchar) end,
+    case when ingest_seq is null then null else '"ingest_seq":' || cast(ingest_seq as varchar) end) || '}' as payload
+from trains_raw"""
+
+
+@register("land_raw", _LAND_RAW_SQL)
 def land_raw(s):
     """Raw train rows as JSON documents keyed by date and station."""
     return B.land_raw(s.trains_raw)
