@@ -29,7 +29,7 @@ from trackcast.config import INTEGRATED_COLUMNS, TRAIN_COLUMNS, WEATHER_COLUMNS
 from trackcast.operators.features import engineer_features
 from trackcast.plans import dq, metrics, post
 from trackcast.plans.integrate import match_weather, project_integrated
-from trackcast.session import checkpoint_dir
+from trackcast.session import new_work_dir
 from trackcast.sources import sinks as B
 
 
@@ -90,7 +90,7 @@ def run_pipeline(spark: SparkSession, *, trains_raw: DataFrame, weather_raw: Dat
     batch_w = stored_w.join(wdates, "date", "left_semi").drop("date", "ingest_seq")
 
     # 4. match, cut lineage in shared storage, features over the batch, append
-    matched_path = f"{checkpoint_dir(spark).rstrip('/')}/trackcast-matched/{uuid.uuid4().hex}"
+    matched_path = new_work_dir(spark, "matched")
     match_weather(batch_t, batch_w, tolerance_minutes=tolerance_minutes).write.parquet(matched_path)
     matched = spark.read.parquet(matched_path)
     out = B.with_date(project_integrated(engineer_features(matched)))

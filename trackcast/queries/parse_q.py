@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from trackcast.functions.timefns import parse_clock as parse_clock_fn
 from trackcast.functions.timefns import strict_weather_time
 from trackcast.operators.spatial import EXAMPLE_REGION, ring_edges_sql
 from trackcast.schemas import WEATHER
-from trackcast.session import checkpoint_dir
+from trackcast.session import new_work_dir
 from trackcast.sources import parsers as P
 from trackcast.sources import sinks as B
 
@@ -180,18 +179,12 @@ def parse_station_feed(s):
 
 # ---- files written by one job and scanned by the next (A4, A9) -------------------------
 
-def _work_dir(s, name: str) -> str:
-    base = checkpoint_dir(s.spark, fallback="/tmp/trackcast-checkpoints")
-    tag = hashlib.sha1(s.sf_dir.encode()).hexdigest()[:10]
-    return f"{base.rstrip('/')}/trackcast/{name}/{tag}"
-
-
 @register("scan_curated_csv", "select station_code, timestamp, temperature, wind_speed, precip_mm, weather_code, "
                              "cast(year(timestamp) as integer) as year, station_code as file_station from weather")
 def scan_curated_csv(s):
     """A4: curated weather CSV files (written per station and year, header
     once) read back with an explicit schema and their file paths."""
-    path = _work_dir(s, "curated_csv")
+    path = new_work_dir(s.spark, "curated-csv")
     B.write_partitioned(B.curated_weather(s.weather), path, partition_by=("station_code", "year"), fmt="csv",
                         mode="overwrite")
     from pyspark.sql.types import IntegerType, StructType
@@ -206,7 +199,7 @@ def scan_curated_csv(s):
 def scan_raw_json(s):
     """Raw train documents landed as JSON under date/station folders, read
     back recursively with an explicit schema."""
-    path = _work_dir(s, "raw_json")
+    path = new_work_dir(s.spark, "raw-json")
     B.write_partitioned(B.land_raw(s.trains_raw), path, partition_by=("date", "station_code"), fmt="json",
                         mode="overwrite")
     df = s.spark.read.schema("payload string, date string, station_code string").json(path)

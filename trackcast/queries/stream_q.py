@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import functions as F
 
 from trackcast.catalog import register
 from trackcast.config import WeatherConfig
-from trackcast.session import checkpoint_dir
+from trackcast.session import new_work_dir
 from trackcast.streaming import jobs as X
 
 WC = WeatherConfig()
-VERSION = "v4"
 
 
 def _dirs(s, name: str) -> dict[str, str]:
-    base = checkpoint_dir(s.spark, fallback="/tmp/trackcast-checkpoints").rstrip("/")
-    tag = hashlib.sha1(s.sf_dir.encode()).hexdigest()[:10]
-    root = f"{base}/trackcast-stream/{VERSION}/{tag}/{name}"
+    root = new_work_dir(s.spark, f"stream-{name}")
     return {k: f"{root}/{k}" for k in ("landing", "landing2", "target", "checkpoint")}
 
 

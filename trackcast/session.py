@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from measured shuffle sizes
 # (broadcast only when the runtime size is under the threshold) and splits
@@ -48,41 +51,30 @@ def get_session(master: str | None = None, app: str = "trackcast", extra: dict |
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Shared folder for lineage cuts, taken from ``spark.checkpoint.dir``.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Shared folder for work tables and lineage cuts: ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (tests, local runs) is ``fallback`` set,
-    so jobs never write to a machine-local folder on a cluster.
+    A private folder is made only for a plain ``local[...]`` master whose
+    setting is unset (tests, one-machine runs). On a cluster an unset folder is
+    an error, because executors cannot see each other's local disks.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
-        return spark.sparkContext.getCheckpointDir() or current
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass a shared fallback folder")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return spark.sparkContext.getCheckpointDir()
+    if not current:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; a cluster run needs a shared folder")
+        current = tempfile.mkdtemp(prefix="trackcast-work-")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
+    return current
 
 
-def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    spark = spark or df.sparkSession
-    checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+def new_work_dir(spark: SparkSession, name: str) -> str:
+    """Path of a new folder (not yet created) under the shared folder; no two calls give the same path."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 ** 2, floor: int = 200) -> int:
-    """Initial shuffle partition count for a job reading ``input_bytes``: about
-    ``target_bytes`` of shuffle input per task so partitions fit executor
-    memory (AQE then coalesces small ones). 100 TB gives ~400k partitions."""
-    return max(floor, -(-int(input_bytes) // int(target_bytes)))
-
-
-def cluster_conf(input_bytes: int) -> dict:
-    """Settings for a cluster run over ``input_bytes`` of input."""
-    n = shuffle_partitions_for(input_bytes)
-    return {**DEFAULT_CONF, "spark.sql.shuffle.partitions": str(n),
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-            "spark.sql.files.maxPartitionBytes": "256m"}
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a work table through Hadoop's file system API (works on any store)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
