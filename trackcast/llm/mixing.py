@@ -12,8 +12,7 @@ block is flown in one pass with three documents in hand. Blocks of a
 source hold about ``block_rows`` documents each (a hot source simply has more
 blocks); every block leaves at most two documents undecided, and those of all
 blocks fly together again, level by level, until one block per source is left.
-Its at most two undecided documents are the landing problem: the choice whose word total comes
-nearest to what the probabilities promised is taken.
+Its at most two undecided documents, and at most three reversals, are the landing problem (``land``).
 """
 
 from __future__ import annotations
@@ -92,16 +91,26 @@ def _null_vector(xa: float, xb: float, xc: float) -> tuple[float, float, float]:
     return (1.0, -1.0, 0.0) if m == 0 else (u[0] / m, u[1] / m, u[2] / m)
 
 
-def land(p: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Landing phase of the few undecided entries: of all 0/1 choices, the one
-    whose total of x is nearest to what p promises (ties: fewer documents, then earlier ones)."""
+def land(p: np.ndarray, x: np.ndarray, promise: float, flips: int = 3) -> np.ndarray:
+    """Landing phase: the 0/1 choice for the at most two undecided entries whose
+    total of x is nearest to ``promise``; then at most ``flips`` single decisions are reversed, each
+    the one that brings the total nearest (a long document decided against leaves a gap that a few
+    shorter ones fill). Ties go to fewer documents, then earlier ones."""
+    out = p.copy()
     open_ = [i for i in range(len(p)) if 0.0 < p[i] < 1.0]
-    promise = sum(p[i] * x[i] for i in open_)
+    base = float((out * x)[(p == 0.0) | (p == 1.0)].sum())
     best = min(range(1 << len(open_)), key=lambda m: (
-        abs(sum(x[i] for k, i in enumerate(open_) if m >> k & 1) - promise), bin(m).count("1"), m))
-    out = p.copy()
+        abs(base + sum(x[i] for k, i in enumerate(open_) if m >> k & 1) - promise), bin(m).count("1"), m))
     for k, i in enumerate(open_):
         out[i] = float(best >> k & 1)
+    gap = promise - float((out * x).sum())
+    for _ in range(flips if len(x) else 0):
+        left = np.abs(gap - np.where(out == 0.0, x, -x))
+        i = int(left.argmin())
+        if left[i] >= abs(gap):
+            break
+        gap -= x[i] if out[i] == 0.0 else -x[i]
+        out[i] = 1.0 - out[i]
     return out
 
 
@@ -110,12 +119,15 @@ _FLOWN = "source string, block long, id long, size long, seed double, p double"
 
 def _fly_block(last: bool):
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        # long documents fly first, so that those left undecided are short
-        block = block.sort_values(["size", "seed", "id"], ascending=[False, True, True], kind="stable"
-                                  ).reset_index(drop=True)
+        # longest octave of sizes first, at random within an octave: a long document meets enough
+        # others of comparable but different size to be decided, and those left undecided are short
+        block = (block.assign(octave=np.frexp(block["size"].to_numpy(float))[1])
+                 .sort_values(["octave", "seed", "id", "size"], ascending=[False, True, True, True], kind="stable")
+                 .drop(columns="octave").reset_index(drop=True))
         x = block["size"].to_numpy(float)
-        p = fly(block["p"].to_numpy(float), x, block["seed"].to_numpy(float))
-        return block.assign(p=land(p, x) if last else p)
+        before = block["p"].to_numpy(float)
+        p = fly(before, x, block["seed"].to_numpy(float))
+        return block.assign(p=land(p, x, float((before * x).sum())) if last else p)
     return run
 
 
