@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from trackcast.llm.bpe import encode_decode_digests
 from trackcast.llm.common import table
 from trackcast.llm.mixing import mix_to_weights
 from trackcast.llm.register import register
@@ -12,3 +13,18 @@ def op6_mixing(spark, sf_dir):
     """Mix of all documents to target weights, as words taken per document."""
     return mix_to_weights(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "times")
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    """Where the installed package of public tokenizers keeps the default file."""
+    import public_tokenizers
+    return public_tokenizers.path(TOKENIZER)
+
+
+@register("op3_bpe")
+def op3_bpe(spark, sf_dir):
+    """BPE encoding of every whole text of documents, and decoding of the ids."""
+    return encode_decode_digests(table(spark, sf_dir, "documents"), tokenizer_path())
