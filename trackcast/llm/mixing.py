@@ -133,7 +133,7 @@ def _fly_block(last: bool):
 
 def mix_to_weights(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                    weights: tuple[float, ...] = DEFAULT_WEIGHTS, share: float = 1.0, cap: float = 3.0,
-                   block_rows: int = 20_000, seed: int = 6) -> DataFrame:
+                   block_rows: int = 2_000, seed: int = 6) -> DataFrame:
     """One row per input row: id, source, size (words), source_size, target, times, taken (size * times).
 
     Weights repeat over the sources in code-point order, null last. Defined
