@@ -113,3 +113,48 @@ def sliding_argmin(key: np.ndarray, width: int) -> np.ndarray:
     pre, suf = pre.ravel(), suf[:, ::-1].ravel()
     a, b = suf_at[:out], pre_at[width - 1:width - 1 + out]
     return np.where(suf[:out] <= pre[width - 1:width - 1 + out], a, b)
+
+
+def with_row_key(docs: DataFrame, id_col: str, text_col: str, work: WorkTables) -> DataFrame:
+    """(key, id, text) with a long key of its own for every row; a null text becomes empty.
+
+    The key is the id where ids are whole numbers, present and unique. Otherwise the rows are numbered
+    once and written, so that every later read sees the same numbers.
+    """
+    rows = narrow(docs, id_col, text_col).toDF("id", "text").withColumn("text", F.coalesce("text", F.lit("")))
+    if dict(rows.dtypes)["id"] in ("bigint", "int", "smallint", "tinyint"):
+        odd = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or id is null")
+        if odd.isEmpty():
+            return rows.select(F.col("id").cast("long").alias("key"), "id", "text")
+    return work.put("numbered", rows.select(F.monotonically_increasing_id().alias("key"), "id", "text"))
+
+
+def at_places(rows: DataFrame, places: DataFrame, *fields: str) -> DataFrame:
+    """Rows (key, text) that have places, with those as an array of structs.
+
+    ``places`` (key, fields) are positions within one text, so a text's own
+    length bounds the array. The texts without places leave at the join.
+    """
+    lists = places.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("places"))
+    return rows.select("key", "text").join(lists, "key")
+
+
+def list_fields(column, *fields: str) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Of an Arrow list<struct> column: entries per row, and each field of all entries as an array."""
+    import pyarrow.compute as pc
+    flat = column.flatten()
+    return (pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False),
+            {f: flat.field(f).to_numpy(zero_copy_only=False) for f in fields})
+
+
+_L = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+
+
+def pair_name(a: np.ndarray, b: np.ndarray, lane: int) -> np.ndarray:
+    """64-bit name of a pair of names; the two lanes together name it with 128 bits."""
+    h = a * _L[lane]
+    h += b
+    h ^= h >> np.uint64(32)
+    h *= _M1 if lane == 0 else _M2
+    h ^= h >> np.uint64(29)
+    return h

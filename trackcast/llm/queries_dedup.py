@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from trackcast.llm.common import table
 from trackcast.llm.exact_dedup import exact_dedup
 from trackcast.llm.register import register
+from trackcast.llm.suffix_dedup import suffix_dedup
 
 
 @register("op1_exact_dedup", """
@@ -15,3 +18,11 @@ from d join g on d.t = g.t""")
 def op1_exact_dedup(spark, sf_dir):
     """Exact dedup of every row of documents."""
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op10_suffix_dedup")
+def op10_suffix_dedup(spark, sf_dir):
+    """Repeated strings of 200 bytes removed from every row of documents."""
+    return suffix_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
