@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trackcast.llm.common import table
 from trackcast.llm.exact_dedup import exact_dedup
 from trackcast.llm.register import register
+from trackcast.llm.substring_dedup import substring_dedup
 from trackcast.llm.suffix_dedup import suffix_dedup
 
 
@@ -26,3 +27,10 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op2_substring_dedup")
+def op2_substring_dedup(spark, sf_dir):
+    """Windows of 50 words that a smaller document has, removed from every row of documents."""
+    return substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WorkTables, at_places, list_fields, pair_name, with_row_key
+from trackcast.llm.common import (WorkTables, at_places, list_fields, pair_name, ranges, sliding_min,
+                                  with_row_key)
 
 CHUNK = 1 << 18
 _POS = np.uint64((1 << 20) - 1)
@@ -60,22 +61,6 @@ def name_of_length(names: np.ndarray, power: int, length: int, lane: int) -> np.
     return pair_name(names[:len(names) - later], names[later:], lane)
 
 
-def sliding_min(key: np.ndarray, width: int) -> np.ndarray:
-    """Smallest value of each window, by block prefix and suffix minima."""
-    out = len(key) - width + 1
-    k = np.concatenate([key, np.full(-len(key) % width, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, width)
-    pre = np.minimum.accumulate(k, axis=1).ravel()
-    suf = np.minimum.accumulate(k[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(suf[:out], pre[width - 1:width - 1 + out])
-
-
-def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """first[0], first[0] + 1, ... (count[0] of them), first[1], ..."""
-    total = int(count.sum())
-    begin = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-    return begin + np.arange(total)
-
-
 def _run_name(at_first, at_last, shape, lane):
     return pair_name(at_first, at_last ^ pair_name(shape, shape, lane), lane)
 
@@ -93,7 +78,7 @@ def _anchor_runs(length: int):
         data = np.frombuffer(b"".join(p[2] for p in pieces), np.uint8)
         sizes = np.array([len(p[2]) for p in pieces])
         base = np.cumsum(sizes) - sizes
-        starts = _ranges(base, sizes - length + 1)
+        starts = ranges(base, sizes - length + 1)
         whole = []
         for lane in (0, 1):
             names = bucket_names(data, power, lane)
@@ -147,7 +132,7 @@ def _pieces(length: int, width: int):
         base = np.cumsum(sizes) - sizes
         low = (cols["back"] - cols["len"] + 1) // width
         count = cols["back"] // width - low + 1
-        c = _ranges(low, count)
+        c = ranges(low, count)
         base, start, back, size, n, key = (np.repeat(x, count) for x in (
             base, cols["start"], cols["back"], cols["len"], cols["n"], key))
         far, near = np.minimum(back, c * width + width - 1), np.maximum(back - size + 1, c * width)
