@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from trackcast.llm.common import table
 from trackcast.llm.exact_dedup import exact_dedup
+from trackcast.llm.near_dedup import near_duplicates
 from trackcast.llm.register import register
 from trackcast.llm.substring_dedup import substring_dedup
 from trackcast.llm.suffix_dedup import suffix_dedup
@@ -34,3 +35,9 @@ def op2_substring_dedup(spark, sf_dir):
     """Windows of 50 words that a smaller document has, removed from every row of documents."""
     return substring_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op5_minhash_near_dedup")
+def op5_minhash_near_dedup(spark, sf_dir):
+    """Near-duplicate classes of all documents on 2-word shingles at similarity 0.8."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
