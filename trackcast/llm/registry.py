@@ -6,5 +6,5 @@ returns the operator's full result in the contract's columns.
 
 from __future__ import annotations
 
-from trackcast.llm import queries_dedup, queries_text  # noqa: F401
+from trackcast.llm import queries_dedup, queries_text, queries_vectors  # noqa: F401
 from trackcast.llm.register import ORACLE, QUERIES  # noqa: F401
