@@ -26,10 +26,12 @@ import json
 import re
 import unicodedata
 from array import array
+from itertools import accumulate
 from typing import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trackcast.llm.common import narrow
 
@@ -220,31 +222,48 @@ def _shipped(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(compile_merges(path))
 
 
-def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_tokens, ids (array of token ids).
+def encode(docs: DataFrame, path: str, *, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per input row: the carried columns, n_tokens, ids (array of token ids).
 
     Defined results: a null text counts as empty and gives no token, as does one of white space only;
     ids and repeated rows are passed through as they are; texts of any length are encoded whole; an empty table gives an empty result; extra
     columns are not read.
     """
+    return _coded(docs, path, text_col, carry, ids=True, digests=False)
+
+
+def encode_decode(docs: DataFrame, path: str, *, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",),
+                  ids: bool = False) -> DataFrame:
+    """Encoding, and decoding of the ids, in one pass over the texts: the carried columns, n_tokens, if asked for ids, and the
+    SHA-256 of the ids (little-endian unsigned 32-bit) and of the decoded text."""
+    return _coded(docs, path, text_col, carry, ids=ids, digests=True)
+
+
+def _coded(docs: DataFrame, path: str, text_col: str, carry: tuple[str, ...], ids: bool, digests: bool) -> DataFrame:
     tables = _shipped(docs.sparkSession, path)
+    kinds = dict(docs.dtypes)
+    places = [f"c{i}" for i in range(len(carry))]
+    names = [*places, "n_tokens", *["ids"] * ids, *["ids_sha256", "decoded_sha256"] * digests]
+    ddl = [*(f"{p} {kinds[c]}" for p, c in zip(places, carry)), "n_tokens long", *["ids array<int>"] * ids,
+           *["ids_sha256 string", "decoded_sha256 string"] * digests]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from hashlib import sha256
         enc = Encoder(tables.value)
         for part in _parts(batches):
-            coded = [enc.encode(t or "") for t in part.column(1).to_pylist()]
-            sizes = [len(c) // 4 for c in coded]
-            offsets = [0]
-            for k in sizes:
-                offsets.append(offsets[-1] + k)
-            values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(coded))])
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)],
-                names=["id", "n_tokens", "ids"])
-
-    kind = dict(docs.dtypes)[id_col]
-    return (narrow(docs, id_col, text_col).toDF("id", "text").mapInArrow(run, f"id {kind}, n_tokens long, ids array<int>")
-            .withColumnRenamed("id", id_col))
+            coded = [enc.encode(t.as_py() or "") for t in part.column(len(places))]
+            size = [len(c) // 4 for c in coded]
+            out = [*part.columns[:len(places)], pa.array(size, pa.int64())]
+            if ids:
+                values = pa.Array.from_buffers(pa.int32(), sum(size), [None, pa.py_buffer(b"".join(coded))])
+                out.append(pa.ListArray.from_arrays(pa.array([0, *accumulate(size)], pa.int32()), values))
+            if digests:
+                out.append(pa.array([sha256(c).hexdigest() for c in coded], pa.string()))
+                out.append(pa.array([sha256(enc.decode(c).encode("utf-8")).hexdigest() for c in coded], pa.string()))
+            yield pa.RecordBatch.from_arrays(out, names=names)
+
+    return (docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text_col}`")).toDF(*places, "text")
+            .mapInArrow(run, ", ".join(ddl)).toDF(*carry, *names[len(carry):]))
 
 
 def decode(encoded: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -262,31 +281,6 @@ def decode(encoded: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: st
             .withColumnRenamed("id", id_col))
 
 
-def encode_decode_digests(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encoding and decoding in one pass over the texts: id, n_tokens and the
-    SHA-256 of the ids (little-endian unsigned 32-bit) and of the decoded text."""
-    tables = _shipped(docs.sparkSession, path)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from hashlib import sha256
-        enc = Encoder(tables.value)
-        for part in _parts(batches):
-            n, of_ids, of_text = [], [], []
-            for t in part.column(1):
-                ids = enc.encode(t.as_py() or "")
-                n.append(len(ids) // 4)
-                of_ids.append(sha256(ids).hexdigest())
-                of_text.append(sha256(enc.decode(ids).encode("utf-8")).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
-                names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kind = dict(docs.dtypes)[id_col]
-    return (narrow(docs, id_col, text_col).toDF("id", "text")
-            .mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
-            .withColumnRenamed("id", id_col))
-
-
 def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Small slices, so that the outputs held at once stay small."""
     for batch in batches:

@@ -95,17 +95,26 @@ def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def with_row_key(docs: DataFrame, id_col: str, text_col: str, work: WorkTables) -> DataFrame:
-    """(key, id, text) with a long key of its own for every row; a null text becomes empty.
+    """(key, id, text) with a long key of its own for every row; a null text becomes empty."""
+    rows, key = numbered_rows(narrow(docs, id_col, text_col).toDF("id", "text"), "id", work)
+    return rows.select(F.col(key).alias("key"), "id", F.coalesce("text", F.lit("")).alias("text"))
 
-    The key is the id where ids are whole numbers, present and unique. Otherwise the rows are numbered
+
+def numbered_rows(docs: DataFrame, id_col: str, work: WorkTables) -> tuple[DataFrame, str]:
+    """The input with a further long column, by a name it does not have, that differs in every row.
+
+    It is the id where ids are whole numbers, present and unique. Otherwise the rows are numbered
     once and written, so that every later read sees the same numbers.
     """
-    rows = narrow(docs, id_col, text_col).toDF("id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    if dict(rows.dtypes)["id"] in ("bigint", "int", "smallint", "tinyint"):
-        odd = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or id is null")
+    name = "row_key"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    ids = narrow(docs, id_col).toDF("id")
+    if dict(ids.dtypes)["id"] in ("bigint", "int", "smallint", "tinyint"):
+        odd = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or id is null")
         if odd.isEmpty():
-            return rows.select(F.col("id").cast("long").alias("key"), "id", "text")
-    return work.put("numbered", rows.select(F.monotonically_increasing_id().alias("key"), "id", "text"))
+            return docs.withColumn(name, F.col(f"`{id_col}`").cast("long")), name
+    return work.put("numbered", docs.withColumn(name, F.monotonically_increasing_id())), name
 
 
 def at_places(rows: DataFrame, places: DataFrame, *fields: str) -> DataFrame:

@@ -63,10 +63,25 @@ def _attach(keyed: DataFrame, classes: DataFrame, by_digest: DataFrame, id_col:
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"))
 
 
-def drop_copies(docs: DataFrame, **options) -> DataFrame:
-    """The input without the rows whose text a kept row already has; all columns stay.
+def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int = 16,
+                digest=lambda text: F.sha2(text, 256)) -> DataFrame:
+    """One row of the input for each text, all columns kept: the row with the largest id.
 
-    The same combining, with the kept ids joined back (ids must be unique here).
+    The same three combining steps, carrying the rows instead of counts: no join is needed.
+    Of rows that repeat an id with the same text the greatest one by its other columns, in order,
+    stays; a null text equals the empty one, and a row without an id stays only where no equal text has one.
     """
-    kept = exact_dedup(docs, **options).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rest = [c for c in docs.columns if c != id_col]
+    row = F.struct(F.col(f"`{id_col}`").alias("c0"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest, 1)])
+    salt = F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(salts)).cast("int")
+    keyed = docs.select(text.alias("t"), digest(text).alias("digest"), salt.alias("salt"), row.alias("row"))
+    # the text is in the group key; the winning row is carried without it
+    at = rest.index(text_col) + 1
+    slim = F.struct(*[F.col(f"row.c{i}").alias(f"c{i}") if i != at else F.col("row")[f"c{i}"].isNotNull().alias(f"c{i}")
+                      for i in range(len(docs.columns))])
+    salted = keyed.groupBy("digest", "salt", "t").agg(F.max(slim).alias("row"))
+    best = salted.groupBy("digest", "t").agg(F.max("row").alias("row"))
+    out = {id_col: F.col("row.c0")} | {c: F.col(f"row.c{i}") if i != at else F.when(F.col(f"row.c{i}"), F.col("t"))
+                                       for i, c in enumerate(rest, 1)}
+    return best.select(*[out[c].alias(c) for c in docs.columns])

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WORD, WorkTables, narrow
+from trackcast.llm.common import WORD, WorkTables, narrow, numbered_rows
 
 DEFAULT_WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -114,7 +114,7 @@ def land(p: np.ndarray, x: np.ndarray, promise: float, flips: int = 3) -> np.nda
     return out
 
 
-_FLOWN = "source string, block long, id long, size long, seed double, p double"
+_FLOWN = "source string, block long, key long, size long, seed double, p double"
 
 
 def _fly_block(last: bool):
@@ -122,7 +122,7 @@ def _fly_block(last: bool):
         # longest octave of sizes first, at random within an octave: a long document meets enough
         # others of comparable but different size to be decided, and those left undecided are short
         block = (block.assign(octave=np.frexp(block["size"].to_numpy(float))[1])
-                 .sort_values(["octave", "seed", "id", "size"], ascending=[False, True, True, True], kind="stable")
+                 .sort_values(["octave", "seed", "key", "size"], ascending=[False, True, True, True], kind="stable")
                  .drop(columns="octave").reset_index(drop=True))
         x = block["size"].to_numpy(float)
         before = block["p"].to_numpy(float)
@@ -138,15 +138,38 @@ def mix_to_weights(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     Weights repeat over the sources in code-point order, null last. Defined
     results: null and empty texts have size 0 and are taken floor(target / source size) times or, in
-    a source without words, never; the null source is a source of its own; rows that repeat an id are
+    a source without words, never; the null source is a source of its own; rows that repeat an id, or have none, are
     rows of their own; an empty table gives an empty result; extra columns are ignored. The draw depends
     on id, size and ``seed`` only, never on partitioning, so reruns agree.
     """
-    spark = docs.sparkSession
-    work = WorkTables(spark, "mixing")
-    sized = work.put("sizes", narrow(docs, id_col, text_col, source_col).select(
-        F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"),
-        F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    work = WorkTables(docs.sparkSession, "mixing")
+    rows, key = numbered_rows(narrow(docs, *dict.fromkeys([id_col, text_col, source_col])), id_col, work)
+    sized = work.put("sizes", _sized(rows, key, id_col, text_col, source_col))
+    return _mixed(sized, work, weights, share, cap, block_rows, seed).select(
+        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "times",
+        (F.col("size") * F.col("times")).alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               weights: tuple[float, ...] = DEFAULT_WEIGHTS, share: float = 1.0, cap: float = 3.0,
+               block_rows: int = 2_000, seed: int = 6) -> DataFrame:
+    """The mix itself: the input's rows, all columns, each as often as it is taken."""
+    work = WorkTables(docs.sparkSession, "mixed-rows")
+    rows, key = numbered_rows(docs, id_col, work)
+    sized = work.put("sizes", _sized(rows, key, id_col, text_col, source_col))
+    taken = _mixed(sized, work, weights, share, cap, block_rows, seed).filter("times > 0").select(
+        F.col("key").alias(key), F.sequence(F.lit(1).cast("long"), "times").alias("_each"))
+    return rows.join(taken, key).withColumn("_each", F.explode("_each")).select(*[f"`{c}`" for c in docs.columns])
+
+
+def _sized(rows: DataFrame, key: str, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return rows.select(F.col(key).alias("key"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+                       F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+
+
+def _mixed(sized: DataFrame, work: WorkTables, weights, share: float, cap: float, block_rows: int, seed: int) -> DataFrame:
+    """(key, id, source, size, source_size, target, times) for every row."""
+    spark = sized.sparkSession
     # one row per source: the list of sources is a bounded dimension
     by_source = sorted(((r["source"], r["words"], r["n"]) for r in sized.groupBy("source").agg(
         F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).collect()),
@@ -159,39 +182,27 @@ def mix_to_weights(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
           max(1, -(-n // block_rows))) for s, w, n in by_source],
         "source string, source_size long, target double, whole long, part double, blocks long")
     rate = plan.select(F.col("source").alias("_s"), "part", "blocks")
-    # the seed makes the order of flight and its directions; ids repeat only in repeated rows
+    # the seed makes the order of flight and its directions
+    draw = F.xxhash64(F.lit(seed), "key", "size").bitwiseAND(2 ** 52 - 1) / float(2 ** 52)
     level = (sized.join(F.broadcast(rate), F.col("source").eqNullSafe(F.col("_s"))).filter("part > 0 and size > 0")
-             .select("source", "id", "size", ((F.xxhash64(F.lit(seed), "id", "size").bitwiseAND(2 ** 52 - 1)
-                                               ) / float(2 ** 52)).alias("seed"), F.col("part").alias("p"),
-                     F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.col("blocks")).alias("block")))
-    most = max([b[2] for b in by_source], default=0)
-    blocks = max(1, -(-most // block_rows))
-    decided, depth = [], 0
+             .select("source", "key", "size", draw.alias("seed"), F.col("part").alias("p"),
+                     F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.col("blocks")).alias("block")))
+    blocks = max([1, *(-(-n // block_rows) for _, _, n in by_source)])
+    drawn, depth = None, 0
     while True:
         last = blocks == 1
-        flown = level.groupBy("source", "block").applyInPandas(_fly_block(last), _FLOWN)
-        flown = work.put(f"level{depth}", flown)
-        decided.append(flown.filter("p = 1").select("source", "id", "size"))
+        flown = work.put(f"level{depth}", level.groupBy("source", "block").applyInPandas(_fly_block(last), _FLOWN))
+        taken = flown.filter("p = 1").select("key", F.lit(1).alias("drawn"))
+        drawn = taken if drawn is None else drawn.unionByName(taken)
         if last:
             break
         # at most two undecided documents per block fly on, in blocks of the same bounded size
         blocks = max(1, -(-2 * blocks // block_rows))
         level = flown.filter("p > 0 and p < 1").withColumn(
-            "block", F.pmod(F.xxhash64(F.lit(seed + 2 + depth), "id"), F.lit(blocks)))
+            "block", F.pmod(F.xxhash64(F.lit(seed + 2 + depth), "key"), F.lit(blocks)))
         depth += 1
-    drawn = decided[0]
-    for more in decided[1:]:
-        drawn = drawn.unionByName(more)
-    # rows that repeat (id, size, source) draw separately: count the draws and hand them out by row number
-    drawn = drawn.groupBy("source", "id", "size").agg(F.count(F.lit(1)).alias("draws"))
-    same = sized.groupBy("source", "id", "size").agg(F.count(F.lit(1)).alias("rows"))
-    one = (same.join(drawn.withColumnsRenamed({"source": "_s", "id": "_id", "size": "_z"}),
-                     F.col("source").eqNullSafe(F.col("_s")) & F.col("id").eqNullSafe(F.col("_id"))
-                     & (F.col("size") == F.col("_z")), "left")
-           .select("source", "id", "size", "rows", F.coalesce("draws", F.lit(0)).alias("draws"))
-           .select("source", "id", "size", "draws", F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("k")))
     full = plan.select(F.col("source").alias("_s"), "source_size", "target", "whole")
-    return (one.join(F.broadcast(full), F.col("source").eqNullSafe(F.col("_s")))
-            .withColumn("times", F.col("whole") + (F.col("k") <= F.col("draws")).cast("long"))
-            .select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-                    "times", (F.col("size") * F.col("times")).alias("taken")))
+    return (sized.join(drawn, "key", "left")
+            .join(F.broadcast(full), F.col("source").eqNullSafe(F.col("_s")))
+            .select("key", "id", "source", "size", "source_size", "target",
+                    (F.col("whole") + F.coalesce("drawn", F.lit(0))).alias("times")))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WorkTables, pair_name, with_row_key
+from trackcast.llm.common import WorkTables, numbered_rows, pair_name, with_row_key
 from trackcast.llm.components import components
 from trackcast.llm.substring_dedup import _groups
 from trackcast.llm.words import WordNames, gram_names
@@ -234,9 +234,31 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.
     component or null if there is none; kept means id = component_id (both null counts); an empty table gives an
     empty result; extra columns are ignored; texts of any length are treated whole.
     """
-    spark = docs.sparkSession
-    work = WorkTables(spark, "near-dedup")
+    work = WorkTables(docs.sparkSession, "near-dedup")
     rows = with_row_key(docs, id_col, text_col, work)
+    found = work.put("found", _classes(rows, work, shingle, similarity, block).join(rows.select("key", "id"), "key"))
+    least = found.groupBy("component").agg(F.min("id").alias("component_id"))
+    return found.join(least, "component").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id",
+                         text_col: str = "text", block: int = 4096) -> DataFrame:
+    """One row of the input for each class, all columns kept: that with the smallest id
+    (rows that repeat an id or have none: the first of them by a number given once)."""
+    work = WorkTables(docs.sparkSession, "drop-near")
+    rows, key = numbered_rows(docs, id_col, work)
+    slim = rows.select(F.col(key).alias("key"), F.col(f"`{id_col}`").alias("id"),
+                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    found = _classes(slim, work, shingle, similarity, block).join(slim.select("key", "id"), "key")
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    stay = found.groupBy("component").agg(F.min(first).alias("one")).select(F.col("one.key").alias(key))
+    return rows.join(stay, key, "left_semi").select(*[f"`{c}`" for c in docs.columns])
+
+
+def _classes(rows: DataFrame, work: WorkTables, shingle: int, similarity: float, block: int) -> DataFrame:
+    """(key, n, component): size of each row's shingle set, and the smallest key it is linked with."""
     signed = work.put("signed", rows.select("key", "text").mapInArrow(
         _signatures(shingle), "key long, n long, s1 long, s2 long, bands array<long>, sketch binary"))
     digest = ["n", "s1", "s2"]
@@ -272,10 +294,5 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.
 
     by_class = classes.join(comp.withColumnRenamed("key", "class"), "class", "left").select(
         *digest, F.coalesce("component", "class").alias("component"))
-    found = signed.select("key", *digest).join(by_class, digest, "left").select(
+    return signed.select("key", *digest).join(by_class, digest, "left").select(
         "key", "n", F.coalesce("component", "key").alias("component"))
-    found = work.put("found", found.join(rows.select("key", "id"), "key"))
-    least = found.groupBy("component").agg(F.min("id").alias("component_id"))
-    return found.join(least, "component").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

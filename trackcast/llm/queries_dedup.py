@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from trackcast.llm.common import table
 from trackcast.llm.exact_dedup import exact_dedup
+from trackcast.llm.line_dedup import line_dedup
 from trackcast.llm.near_dedup import near_duplicates
 from trackcast.llm.register import register
 from trackcast.llm.substring_dedup import substring_dedup
@@ -41,3 +42,10 @@ def op2_substring_dedup(spark, sf_dir):
 def op5_minhash_near_dedup(spark, sf_dir):
     """Near-duplicate classes of all documents on 2-word shingles at similarity 0.8."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+@register("op4_line_dedup")
+def op4_line_dedup(spark, sf_dir):
+    """Repeated multi-line chunks removed from every row of documents."""
+    return line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trackcast.llm.bpe import encode_decode_digests
+from trackcast.llm.bpe import encode_decode
 from trackcast.llm.common import table
 from trackcast.llm.language_id import identify_language
 from trackcast.llm.mixing import mix_to_weights
@@ -29,7 +29,7 @@ def tokenizer_path() -> str:
 @register("op3_bpe")
 def op3_bpe(spark, sf_dir):
     """BPE encoding of every whole text of documents, and decoding of the ids."""
-    return encode_decode_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 @register("op8_kneser_ney_toxicity")

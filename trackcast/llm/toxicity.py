@@ -23,11 +23,12 @@ from __future__ import annotations
 from typing import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WorkTables, narrow, with_row_key
+from trackcast.llm.common import WorkTables, narrow
 from trackcast.llm.substring_dedup import _groups
 from trackcast.llm.words import WordNames
 
@@ -110,16 +111,20 @@ def fit_models(learn: DataFrame, work: WorkTables, reliable: int) -> np.ndarray
     return table
 
 
-def _margins(table) -> callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def margin_of(table):
+    """Column function: a text's margin under the models shipped in ``table``; whole texts, nulls count as empty."""
+    @F.pandas_udf("double")
+    def margin(texts: pd.Series) -> pd.Series:
         names = WordNames()
-        for part, texts in _lowered(batches, 1):
-            counts, name = _expressions(texts, names)
+        out = []
+        for at in range(0, len(texts), 64):
+            part = [(t or "").lower().encode("utf-8") for t in texts.iloc[at:at + 64]]
+            counts, name = _expressions(part, names)
             sums = np.concatenate([[0.0], np.cumsum(table.value[name].astype(np.float64))])
             end = np.cumsum(counts)
-            margin = (sums[end] - sums[end - counts]) / np.maximum(counts, 1)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(margin)], names=["key", "margin"])
-    return run
+            out.append((sums[end] - sums[end - counts]) / np.maximum(counts, 1))
+        return pd.Series(np.concatenate(out) if out else np.empty(0))
+    return margin
 
 
 def fit_curve(margin: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> tuple[float, float]:
@@ -143,6 +148,30 @@ def in_fold(id_col: str, folds: int, fold: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                 label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0, reliable: int = 5):
+    """Column function from a text column to a score, learned from the labelled rows outside the held-out fold."""
+    spark = docs.sparkSession
+    work = WorkTables(spark, "toxicity")
+    known = (narrow(labels, id_col, label_col).toDF("id", "toxic").filter("id is not null and toxic is not null")
+             .groupBy("id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+             .filter(~in_fold("id", folds, held_out_fold)))
+    learn = join_within(narrow(docs, id_col, text_col).toDF("id", "text").withColumn(
+        "text", F.coalesce("text", F.lit(""))), known, "id")
+    table = fit_models(learn, work, reliable)
+    if table is None:
+        share = known.agg(F.avg("toxic")).first()[0]
+        return lambda text: F.lit(0.5 if share is None else float(share))
+    shipped = spark.sparkContext.broadcast(table)  # 2 ** NAME_BITS numbers
+    margin = margin_of(shipped)
+    # margins lie within a few units, so their histogram has a few thousand rows
+    bins = (learn.select("toxic", F.round(margin("text"), 3).alias("m")).groupBy("m")
+            .agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))).toPandas()
+    toxic = bins["t"].to_numpy(float)
+    slope, offset = fit_curve(bins["m"].to_numpy(float), toxic, bins["n"].to_numpy(float) - toxic)
+    return lambda text: 1 / (1 + F.exp(-(F.lit(slope) * margin(text) + F.lit(offset))))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                    label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0, reliable: int = 5) -> DataFrame:
     """One row per input row: id, held_out, score (0 to 1), predicted (1 from 0.5 on).
@@ -153,25 +182,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     their own; without labels of both classes every score is the toxic share (0.5 without any label); empty
     tables give empty results; extra columns are ignored; whole texts are read.
     """
-    spark = docs.sparkSession
-    work = WorkTables(spark, "toxicity")
-    rows = with_row_key(docs, id_col, text_col, work).withColumn("held_out", in_fold("id", folds, held_out_fold))
-    known = (narrow(labels, id_col, label_col).toDF("id", "toxic").filter("id is not null and toxic is not null")
-             .groupBy("id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-             .filter(~in_fold("id", folds, held_out_fold)))
-    table = fit_models(join_within(rows.select("id", "text"), known, "id"), work, reliable)
-    if table is None:
-        share = known.agg(F.avg("toxic")).first()[0]
-        score = F.lit(0.5 if share is None else float(share))
-        return rows.select(F.col("id").alias(id_col), "held_out", score.alias("score"),
-                           (score >= 0.5).cast("int").alias("predicted"))
-    shipped = spark.sparkContext.broadcast(table)
-    scored = work.put("margins", rows.select("key", "text").mapInArrow(_margins(shipped), "key long, margin double"))
-    margins = scored.join(rows.select("key", "id", "held_out"), "key")
-    bins = (join_within(margins.select("id", "margin"), known, "id").groupBy(F.round("margin", 3).alias("m"))
-            .agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))).toPandas()  # margins lie within a few units
-    toxic = bins["t"].to_numpy(float)
-    slope, offset = fit_curve(bins["m"].to_numpy(float), toxic, bins["n"].to_numpy(float) - toxic)
-    score = 1 / (1 + F.exp(-(F.lit(slope) * F.col("margin") + F.lit(offset))))
-    return margins.select(F.col("id").alias(id_col), "held_out", score.alias("score"),
-                          (score >= 0.5).cast("int").alias("predicted"))
+    score = fit_toxicity(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, folds=folds,
+                         held_out_fold=held_out_fold, reliable=reliable)
+    return (narrow(docs, id_col, text_col).select(
+        F.col(id_col), in_fold(id_col, folds, held_out_fold).alias("held_out"), score(F.col(text_col)).alias("score"))
+        .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The input without the rows whose score is 0.5 or more; all columns stay."""
+    text = options.get("text_col", "text")
+    return docs.filter(fit_toxicity(docs, labels, **options)(F.col(text)) < 0.5)
