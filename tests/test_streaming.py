@@ -1,53 +1,86 @@
-"""Streaming: reruns add nothing; the streaming nearest equals the batch one."""
-
-import tempfile
+"""Streaming: reruns add nothing, and the result depends neither on the number of landed files nor on their order."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from trackcast.streaming import jobs as X
 
+SF = "/root/testdata/sf0.001"
+W_COLS = ["temperature", "wind_speed", "precip_mm", "weather_code"]
 
-def test_incremental_ingest_twice_adds_nothing(spark):
-    from trackcast import fixtures
-    d = tempfile.mkdtemp(prefix="trackcast-x1-")
-    w = fixtures.weather_raw(spark, "/root/testdata/sf0.001")
-    X.land_json(w, f"{d}/landing")
-    for _ in range(2):
-        X.incremental_ingest(spark, f"{d}/landing", f"{d}/target", f"{d}/ckpt", w.schema,
-                             ["station_code", "timestamp"], "ingest_seq")
-    out = spark.read.parquet(f"{d}/target")
-    assert out.count() == w.select("station_code", "timestamp").distinct().count()
 
-
-def test_stream_nearest_equals_batch(spark):
+@pytest.fixture(scope="module")
+def stages(spark):
     from trackcast.stages import Stages
-    s = Stages(spark, "/root/testdata/sf0.001")
-    d = tempfile.mkdtemp(prefix="trackcast-x3-")
-    left = s.trains_clean.select("train_id", "timestamp", "station_code", "delay_minutes", "ingest_seq")
-    right = s.weather.select("station_code", "timestamp", "temperature", "wind_speed", "precip_mm", "weather_code")
-    # one file per side: a single micro-batch, so no row is late for the watermark
-    X.land_json(left.coalesce(1), f"{d}/l", partition_by=())
-    X.land_json(right.coalesce(1), f"{d}/r", partition_by=())
-    X.stream_candidates(spark, f"{d}/l", f"{d}/r", f"{d}/out", f"{d}/ckpt", left.schema, right.schema)
-    got = X.finalize_nearest(left, spark.read.parquet(f"{d}/out"), left_key=["ingest_seq"],
-                             right_cols=["temperature", "wind_speed", "precip_mm", "weather_code"])
-    from trackcast.plans.integrate import match_weather
-    batch = match_weather(s.trains_clean, s.weather).join(
-        s.trains_clean.select("train_id", "timestamp", "station_code", "ingest_seq"),
-        ["train_id", "timestamp", "station_code"])
-    a = got.select("ingest_seq", "temperature", "precip_mm")
-    b = batch.select("ingest_seq", "temperature", "precip_mm")
+    return Stages(spark, SF)
+
+
+def _land(df, path, tasks):
+    """Landed by one task, by several, or (tasks = 0) day by day with the newest day first."""
+    if tasks:
+        X.land_json(df.repartition(tasks), path)
+        return
+    dated = df.withColumn("date", F.date_format("timestamp", "yyyy-MM-dd"))
+    for k, r in enumerate(dated.select("date").distinct().orderBy(F.desc("date")).collect()):
+        X.land_json(dated.where(F.col("date") == r["date"]), f"{path}/run{k:03d}")
+
+
+def _same(a, b):
+    cols = sorted(a.columns)
+    a, b = a.select(*cols), b.select(*cols)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_hourly_counters_cover_all_rows(spark):
-    from trackcast.stages import Stages
-    s = Stages(spark, "/root/testdata/sf0.001")
-    d = tempfile.mkdtemp(prefix="trackcast-x4-")
-    t = s.trains_clean.select("train_id", "timestamp", "station_code", "delay_minutes")
-    X.land_json(t.coalesce(1), f"{d}/l", partition_by=())
-    X.stream_hourly_dq(spark, f"{d}/l", f"{d}/out", f"{d}/ckpt", t.schema)
-    w = X.latest_windows(spark.read.parquet(f"{d}/out"))
-    # windows still open when the input ends are emitted by the update mode too
-    assert w.agg(F.sum("rows")).first()[0] == t.count()
+def test_incremental_ingest_twice_adds_nothing(spark, stages, tmp_path):
+    w = stages.weather_raw.where(F.col("timestamp").isNotNull())
+    X.land_json(w, f"{tmp_path}/landing")
+    for _ in range(2):
+        X.incremental_ingest(spark, f"{tmp_path}/landing", f"{tmp_path}/target", f"{tmp_path}/ckpt", w.schema,
+                             ["station_code", "timestamp"], "ingest_seq", files_per_batch=3)
+    out = spark.read.parquet(f"{tmp_path}/target")
+    assert out.count() == w.select("station_code", "timestamp").distinct().count()
+
+
+@pytest.mark.parametrize("tasks", [1, 4, 10, 0])
+def test_dedup_and_counters_lose_nothing(spark, stages, tmp_path, tasks):
+    t = stages.trains_clean.select("train_id", "timestamp", "station_code", "delay_minutes", "ingest_seq")
+    _land(t, f"{tmp_path}/l", tasks)
+    files = 8 if tasks else 1
+    X.stream_hourly_dq(spark, f"{tmp_path}/l", f"{tmp_path}/h", f"{tmp_path}/ch", t.schema, files_per_batch=files)
+    totals = X.window_totals(spark.read.parquet(f"{tmp_path}/h"))
+    assert totals.agg(F.sum("rows")).first()[0] == t.count()
+    keys = ["station_code", "delay_minutes"]
+    X.stream_dedup(spark, f"{tmp_path}/l", f"{tmp_path}/d", f"{tmp_path}/cd", t.schema, keys, "ingest_seq",
+                   files_per_batch=files)
+    _same(X.first_arrivals(spark.read.parquet(f"{tmp_path}/d"), keys, "ingest_seq"), X.first_arrivals(t, keys, "ingest_seq"))
+
+
+@pytest.mark.parametrize("tasks", [1, 6, 0])
+def test_stream_nearest_equals_batch(spark, stages, tmp_path, tasks):
+    left = stages.trains_clean.select("train_id", "timestamp", "station_code", "delay_minutes", "ingest_seq")
+    right = stages.weather.select("station_code", "timestamp", *W_COLS)
+    _land(left, f"{tmp_path}/l", tasks)
+    _land(right, f"{tmp_path}/r", tasks)
+    for side, schema in (("l", left.schema), ("r", right.schema)):
+        X.stream_store(spark, f"{tmp_path}/{side}", f"{tmp_path}/s{side}", f"{tmp_path}/c{side}", schema,
+                       files_per_batch=8)
+    X.finish_nearest(spark, f"{tmp_path}/sl", f"{tmp_path}/sr", f"{tmp_path}/out", right_cols=W_COLS)
+    from trackcast.operators.nearest import nearest_join
+    _same(spark.read.parquet(f"{tmp_path}/out").drop("date"), nearest_join(left, right, right_cols=W_COLS))
+
+
+def test_nearest_is_finished_again_when_weather_comes_later(spark, stages, tmp_path):
+    left = stages.trains_clean.select("train_id", "timestamp", "station_code", "delay_minutes", "ingest_seq")
+    right = stages.weather.select("station_code", "timestamp", *W_COLS)
+    cut = F.col("timestamp") < F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    args = dict(right_cols=W_COLS)
+    X.land_json(left, f"{tmp_path}/l/a")
+    X.stream_store(spark, f"{tmp_path}/l", f"{tmp_path}/sl", f"{tmp_path}/cl", left.schema)
+    for k, part in enumerate((right.where(~cut), right.where(cut))):
+        X.land_json(part, f"{tmp_path}/r/{k}")
+        X.stream_store(spark, f"{tmp_path}/r", f"{tmp_path}/sr", f"{tmp_path}/cr", right.schema)
+        X.finish_nearest(spark, f"{tmp_path}/sl", f"{tmp_path}/sr", f"{tmp_path}/out",
+                         since_left=-1 if k == 0 else 0, since_right=k - 1, **args)
+    from trackcast.operators.nearest import nearest_join
+    _same(spark.read.parquet(f"{tmp_path}/out").drop("date"), nearest_join(left, right, **args))

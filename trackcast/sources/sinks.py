@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trackcast.config import INTEGRATED_COLUMNS, TRAIN_COLUMNS, WEATHER_COLUMNS
 from trackcast.operators.attach import attach_one_row
@@ -48,9 +50,7 @@ def write_partitioned(df: DataFrame, path: str, *, partition_by: Sequence[str],
                       mode: str = "append", header: bool = True) -> None:
     """Write ``df`` under ``path``; with ``mode='overwrite'`` only the
     partitions present in ``df`` are replaced (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = df.write.mode(mode).partitionBy(*partition_by).format(fmt)
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).format(fmt)
     if fmt in ("csv", "json"):
         w = w.options(**TS_OPTIONS)
     if fmt == "csv":
@@ -58,6 +58,18 @@ def write_partitioned(df: DataFrame, path: str, *, partition_by: Sequence[str],
     w.save(path)
 
 
+def read_if_exists(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stored table, or an empty frame of its schema before the first write.
+
+    Only a missing path counts as "not written yet"; any other failure is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def insert_if_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
     """B2: rows of ``new`` whose key is not in ``existing`` (the stored row
     wins); within the batch the first row per key (smallest ``order_by``)."""
@@ -86,15 +98,6 @@ def upsert(new: DataFrame, existing: DataFrame, key: str, *, overwrite: Sequence
     return j.select(*cols)
 
 
-def merge_into_table(new: DataFrame, table: str, key: str, overwrite: Sequence[str], coalesce_cols: Sequence[str]):
-    """B3 as a row-level MERGE where the table format supports it."""
-    cond = f"t.{key} = s.{key}"
-    sets = {c: F.col(f"s.{c}") for c in overwrite}
-    sets.update({c: F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}")) for c in coalesce_cols})
-    (new.alias("s").mergeInto(table, F.expr(cond)).whenMatched().update(sets)
-        .whenNotMatched().insertAll().merge())
-
-
 def land_raw(df: DataFrame) -> DataFrame:
     """B5 frame: one JSON document per row, partitioned by date and station."""
     return with_date(df).select("date", "station_code",

@@ -1,127 +1,131 @@
 """Structured Streaming forms of the batch operators.
 
-The reference polls closed dates and skips what exists; here landed files
-are a file stream with a checkpoint, so each file is processed exactly once,
-``trigger(availableNow=True)`` drains what has landed and stops, and a rerun
-adds nothing. Every job writes to shared storage under the session's
-``spark.checkpoint.dir``.
+Landed files are a file stream with a checkpoint, so each file is taken
+exactly once, ``trigger(availableNow=True)`` drains what has landed and
+stops, and a rerun adds nothing. No job drops late rows: closed dates may
+land in any order and in any number of files, so nothing depends on an
+event-time watermark. What a micro-batch contributes is combined before it is
+written (first row per key, hourly counters), under the batch's own id, so a
+batch replayed after a failure replaces its own output; a key that spans
+batches is finished by the batch operator over those small contributions.
+State therefore lives in shared tables, not in executors.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from trackcast.sources.sinks import TS_OPTIONS, insert_if_absent
+from trackcast.sources.sinks import TS_OPTIONS, insert_if_absent, read_if_exists, with_date
 
 
 def land_json(df: DataFrame, path: str, *, partition_by: Sequence[str] = ("date",)) -> None:
-    """Land rows as JSON files, one folder per partition value (idempotent)."""
-    out = df.withColumn("date", F.date_format("timestamp", "yyyy-MM-dd")) if "date" not in df.columns else df
-    out.write.mode("ignore").options(**TS_OPTIONS).partitionBy(*partition_by).json(path)
+    """Land rows as JSON files in a new folder, one folder per partition value."""
+    out = with_date(df) if "date" not in df.columns else df
+    out.write.options(**TS_OPTIONS).partitionBy(*partition_by).json(path)
 
 
-EVENT_TIME = "_event_time"
+def file_stream(spark: SparkSession, path: str, schema: StructType, *, files_per_batch: int | None = None) -> DataFrame:
+    """Landed JSON files as a stream; all that has landed is one micro-batch unless ``files_per_batch`` is given."""
+    s = spark.readStream.schema(schema).option("recursiveFileLookup", "true").options(**TS_OPTIONS)
+    if files_per_batch:
+        s = s.option("maxFilesPerTrigger", files_per_batch)
+    return s.json(path)
 
 
-def file_stream(spark: SparkSession, path: str, schema: StructType, *, files_per_batch: int = 8,
-                ts: str = "timestamp") -> DataFrame:
-    """Landed JSON files as a stream; ``_event_time`` is the wall-clock
-    timestamp as an instant (session zone UTC), the column watermarks need."""
-    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .option("recursiveFileLookup", "true").options(**TS_OPTIONS).json(path))
-    return s.withColumn(EVENT_TIME, F.col(ts).cast("timestamp")) if ts in schema.fieldNames() else s
-
-
-def _run(writer) -> None:
-    q = writer.trigger(availableNow=True).start()
+def _drain(stream: DataFrame, each_batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    q = (stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
         raise q.exception()
 
 
+def _to_store(store: str, make: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()):
+    """Each micro-batch's contribution as the folder ``batch=<id>`` of the store (a replay replaces it)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        make(batch).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{store}/batch={batch_id:012d}")
+    return write
+
+
 def incremental_ingest(spark: SparkSession, landing: str, target: str, checkpoint: str, schema: StructType,
-                       keys: Sequence[str], order_by: str, normalize=lambda b: b) -> None:
+                       keys: Sequence[str], order_by: str, normalize=lambda b: b, *, ts: str = "timestamp",
+                       files_per_batch: int | None = None) -> None:
     """New landed rows (after ``normalize``) inserted into ``target``
-    unless their key is stored (insert-if-absent per micro-batch, B2)."""
-    def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = normalize(batch.drop(EVENT_TIME))
-        try:
-            existing = spark.read.parquet(target)
-        except Exception:  # first batch: the target does not exist yet
-            existing = batch.limit(0)
-        insert_if_absent(batch, existing, keys, order_by).write.mode("append").parquet(target)
-
-    _run(file_stream(spark, landing, schema).writeStream.foreachBatch(upsert_batch)
-         .option("checkpointLocation", checkpoint))
-
-
-def stream_dedup(spark: SparkSession, landing: str, target: str, checkpoint: str, schema: StructType,
-                 keys: Sequence[str], ts: str = "timestamp", delay: str = "2 hours", prepare=lambda d: d) -> None:
-    """One row per key within the watermark (keeps the first arrival,
-    unlike the batch keep-last); ``prepare`` runs first (e.g. hour rounding)."""
-    s = prepare(file_stream(spark, landing, schema).drop(EVENT_TIME))
-    s = (s.withColumn(EVENT_TIME, F.col(ts).cast("timestamp")).withWatermark(EVENT_TIME, delay)
-         .dropDuplicatesWithinWatermark(list(keys)).drop(EVENT_TIME))
-    _run(s.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-         .outputMode("append"))
-
-
-def stream_candidates(spark: SparkSession, left_landing: str, right_landing: str, target: str, checkpoint: str,
-                      left_schema: StructType, right_schema: StructType, *, by: str = "station_code",
-                      ts: str = "timestamp", tolerance_minutes: int = 60, delay: str = "3 hours") -> None:
-    """X3, streaming half: stream-stream interval join (both sides
-    watermarked, bounded state) emitting every (left, right) pair of the same
-    station within the tolerance."""
-    l = file_stream(spark, left_landing, left_schema).withWatermark(EVENT_TIME, delay).alias("l")
-    r = (file_stream(spark, right_landing, right_schema)
-         .select(F.col(by).alias("r_by"), F.col(ts).alias("r_ts"), F.col(EVENT_TIME).alias("r_et"),
-                 *[F.col(c).alias(f"r_{c}") for c in right_schema.fieldNames() if c not in (by, ts)])
-         .withWatermark("r_et", delay).alias("r"))
-    tol = F.expr(f"interval {int(tolerance_minutes)} minutes")
-    cond = ((F.col(f"l.{by}") == F.col("r_by")) & (F.col("r_et") >= F.col(f"l.{EVENT_TIME}") - tol)
-            & (F.col("r_et") <= F.col(f"l.{EVENT_TIME}") + tol))
-    j = l.join(r, cond, "inner").drop(EVENT_TIME, "r_et")
-    _run(j.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-         .outputMode("append"))
-
-
-def finalize_nearest(left: DataFrame, candidates: DataFrame, *, left_key: Sequence[str],
-                     right_cols: Sequence[str], ts: str = "timestamp") -> DataFrame:
-    """X3, batch half: nearest candidate per left row (ties to the earlier),
-    joined back so unmatched left rows keep null weather."""
-    from trackcast.functions.timefns import abs_diff_us
-    order = F.struct(abs_diff_us(F.col("r_ts"), F.col(ts)).alias("d"), F.col("r_ts").alias("t"))
-    best = (candidates.groupBy(*left_key)
-                      .agg(F.min_by(F.struct(*[F.col(f"r_{c}").alias(c) for c in right_cols]), order).alias("_b")))
-    return left.join(best, list(left_key), "left").select(*left.columns, *[F.col(f"_b.{c}").alias(c)
-                                                                           for c in right_cols])
-
-
-def stream_hourly_dq(spark: SparkSession, landing: str, target: str, checkpoint: str, schema: StructType, *,
-                     ts: str = "timestamp", delay: str = "1 hour") -> None:
-    """Hourly DQ counters with a watermark; each micro-batch writes its
-    updated windows tagged with the batch id (read with ``latest_windows``)."""
-    s = file_stream(spark, landing, schema).withWatermark(EVENT_TIME, delay)
-    agg = s.groupBy(F.window(EVENT_TIME, "1 hour").alias("w")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("delay_minutes").isNull()).alias("null_delays"),
-        F.count_if(F.col("delay_minutes") > 5).alias("delayed"))
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), "rows",
-                      "null_delays", "delayed", F.lit(batch_id).alias("batch_id"))
-              .write.mode("append").parquet(target))
-
-    _run(agg.writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint))
-
-
-def latest_windows(updates: DataFrame) -> DataFrame:
-    """The newest emitted value of every window (max batch id per window)."""
-    return (updates.groupBy("window_start", "window_end")
-                   .agg(F.max_by(F.struct("rows", "null_delays", "delayed"), "batch_id").alias("v"))
-                   .select("window_start", "window_end", "v.*"))
+    unless their key is stored (insert-if-absent per micro-batch, B2).
+
+    The target is partitioned by date, and a micro-batch reads only the
+    dates it touches (a key holds its timestamp, so it cannot be stored elsewhere).
+    """
+    def insert(batch: DataFrame, batch_id: int) -> None:
+        new = with_date(normalize(batch), ts)
+        stored = read_if_exists(spark, target, StructType(list(new.schema.fields)))
+        dates = [r["date"] for r in new.select("date").distinct().collect()]  # the days of one micro-batch
+        seen = stored.where(F.col("date").isin(dates))
+        insert_if_absent(new, seen, keys, order_by).write.mode("append").partitionBy("date").parquet(target)
+
+    _drain(file_stream(spark, landing, schema, files_per_batch=files_per_batch), insert, checkpoint)
+
+
+def stream_dedup(spark: SparkSession, landing: str, store: str, checkpoint: str, schema: StructType,
+                 keys: Sequence[str], order_by: str, prepare=lambda d: d, *, files_per_batch: int | None = None) -> None:
+    """The first row per key (smallest ``order_by``) of every micro-batch; finish with ``first_arrivals``."""
+    _drain(file_stream(spark, landing, schema, files_per_batch=files_per_batch),
+           _to_store(store, lambda b: first_arrivals(prepare(b), keys, order_by)), checkpoint)
+
+
+def first_arrivals(rows: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
+    """One row per key: the one with the smallest ``order_by`` (combined map-side)."""
+    cols = [c for c in rows.columns if c != "batch"]
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.col(order_by)).alias("_r")).select("_r.*")
+
+
+def stream_store(spark: SparkSession, landing: str, store: str, checkpoint: str, schema: StructType, *,
+                 ts: str = "timestamp", files_per_batch: int | None = None) -> None:
+    """X3, one side: landed rows into a store partitioned by micro-batch and date."""
+    _drain(file_stream(spark, landing, schema, files_per_batch=files_per_batch),
+           _to_store(store, lambda b: with_date(b, ts), ("date",)), checkpoint)
+
+
+def finish_nearest(spark: SparkSession, left_store: str, right_store: str, target: str, *, since_left: int = -1,
+                   since_right: int = -1, right_cols: Sequence[str], tolerance_minutes: int = 60) -> None:
+    """X3, closing: the nearest match of every date that new micro-batches
+    (ids above ``since_*``) touch, a right row touching its own and the two neighbouring dates. Each
+    such date is matched whole and replaces its partition of ``target``, so the
+    result does not depend on the order of arrival or on which side came first.
+    """
+    from trackcast.operators.nearest import nearest_join
+    left, right = spark.read.parquet(left_store), spark.read.parquet(right_store)
+    near = F.explode(F.array(*[F.date_format(F.date_add(F.to_date("date"), k), "yyyy-MM-dd") for k in (-1, 0, 1)]))
+    touched = (left.where(F.col("batch") > since_left).select("date")
+               .unionByName(right.where(F.col("batch") > since_right).select("date").distinct()
+                            .select(near.alias("date"))).distinct())
+    reach = touched.select(near.alias("date")).distinct()
+    rows = left.join(touched, "date", "left_semi")
+    matched = nearest_join(rows.drop("batch", "date"), right.join(reach, "date", "left_semi").drop("batch", "date"),
+                           tolerance_minutes=tolerance_minutes, right_cols=list(right_cols))
+    (with_date(matched).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").parquet(target))
+
+
+def stream_hourly_dq(spark: SparkSession, landing: str, store: str, checkpoint: str, schema: StructType, *,
+                     ts: str = "timestamp", files_per_batch: int | None = None) -> None:
+    """Hourly DQ counters of every micro-batch; add them up with ``window_totals``."""
+    from trackcast.functions.timefns import hour_floor
+
+    def counters(batch: DataFrame) -> DataFrame:
+        start = hour_floor(ts)
+        return batch.groupBy(start.alias("window_start"), F.timestamp_add("HOUR", F.lit(1), start).alias("window_end")).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("delay_minutes").isNull()).alias("null_delays"),
+            F.count_if(F.col("delay_minutes") > 5).alias("delayed"))
+
+    _drain(file_stream(spark, landing, schema, files_per_batch=files_per_batch), _to_store(store, counters), checkpoint)
+
+
+def window_totals(contributions: DataFrame) -> DataFrame:
+    """Counters per hour over all micro-batches."""
+    return contributions.groupBy("window_start", "window_end").agg(
+        *[F.sum(c).alias(c) for c in ("rows", "null_delays", "delayed")])
