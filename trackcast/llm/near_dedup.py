@@ -7,12 +7,12 @@
 3. Representatives that share a band are candidates. The population count of the XOR of two odd sketches
    estimates how far the two samples differ; candidates more than 4.5 standard deviations beyond what a
    similarity at the threshold gives are dropped. The others are confirmed on the full sets.
-4. No bucket's pairs are all listed. First each bucket links its members to one centre (of several tried, the one
+4. No bucket's pairs are listed. First each bucket links its members to one centre (of several tried, the one
    most members are near by their sketches); confirmed links give components. Then only
-   members of different components of a bucket are compared, so that no link between them is missed, and what the sketches leave is
-   confirmed. A pair that shares several bands is listed in the first one only.
+   members of different components of a bucket are compared, so that no link between them is missed: where sketches
+   leave a pair (in the first band it shares), the full sets decide at once, and only links come out.
 
-A bucket of any size is cut into blocks of about ``block`` members and compared block by
+A bucket of any size is cut into blocks of about ``block`` members and 16 MB of sets and compared block by
 block, in as many tasks as there are pairs of blocks. Two sets at exactly 0.8 share no band with probability 5e-8.
 """
 
@@ -110,14 +110,17 @@ def most_odd_bits(total: np.ndarray, similarity: float) -> np.ndarray:
     """Largest XOR count of the odd sketches of two sets of ``total`` shingles
     together that a similarity at the threshold gives, plus 4.5 standard deviations.
 
-    At similarity J a range that holds any of the union's names holds different samples with probability
-    1 - J, and then two of them unless one set has no name there.
+    A range that holds any of the union's names holds different samples with probability 1 - J, and then two of them
+    unless one set has no name there. In sparsely filled ranges nearly every name is a sample, so
+    little is left to chance. The parity bitmap adds the variance of the number of odd cells.
     """
     load = total / ((1 + similarity) * SAMPLES)
-    apart = SAMPLES * (1 - np.exp(-load)) * (1 - similarity) * (2 - np.exp(-(1 + similarity) / 2 * load))
-    apart = apart + 4.5 * np.sqrt(2 * apart)
-    odd = BITS / 2 * (1 - np.exp(-2 * apart / BITS))
-    return odd + 4.5 * np.sqrt(odd * (1 - odd / BITS))
+    full = 1 - np.exp(-load)
+    apart = SAMPLES * full * (1 - similarity) * (2 - np.exp(-(1 + similarity) / 2 * load))
+    one, two = (1 - 2 / BITS) ** apart, (1 - 4 / BITS) ** apart
+    odd = BITS * (1 - one) / 2
+    cells = odd + BITS * (BITS - 1) * (1 - 2 * one + two) / 4 - odd ** 2
+    return odd + 4.5 * np.sqrt(np.maximum(cells, 0) + one ** 2 * 2 * similarity * full * apart + 0.25)
 
 
 def _near(n: np.ndarray, sketch: np.ndarray, a, b, similarity: float) -> np.ndarray:
@@ -127,44 +130,48 @@ def _near(n: np.ndarray, sketch: np.ndarray, a, b, similarity: float) -> np.ndar
     return ok & (odd <= most_odd_bits((n[a] + n[b]).astype(float), similarity))
 
 
-_MEMBER = "bucket long, x int, y int, band int, blk int, key long, n long, comp long, bands array<long>, sketch binary"
+_MEMBER = ["bucket", "x", "y", "band", "blk", "key", "n", "comp", "bands", "sketch"]
 
 
-def _in_buckets(pairs_of_bucket, similarity: float):
-    """Runs a function over the rows of each (bucket, x, y), which come sorted; yields its pairs (a, b)."""
+def _in_buckets(of_bucket, similarity: float):
+    """Runs a function over the rows of each (bucket, x, y), which come sorted, some whole buckets at a time."""
     def arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         out = {c: batch.column(c).to_numpy(zero_copy_only=False)
                for c in ("bucket", "x", "y", "band", "blk", "key", "n", "comp")}
         out["bands"] = batch.column("bands").flatten().to_numpy().reshape(-1, BANDS)
         out["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        if "set" in batch.schema.names:
+            out["set"] = np.array([None, *batch.column("set").to_pylist()], object)[1:]
         return out
 
-    def solve(rows: dict[str, np.ndarray]):
+    def solve(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
         same = np.concatenate([[False], (rows["bucket"][1:] == rows["bucket"][:-1]) & (rows["x"][1:] == rows["x"][:-1])
                                & (rows["y"][1:] == rows["y"][:-1])])
-        cut = np.concatenate([np.flatnonzero(~same), [len(same)]])
-        a, b = pairs_of_bucket(rows, cut, similarity)
-        lo, hi = np.minimum(rows["key"][a], rows["key"][b]), np.maximum(rows["key"][a], rows["key"][b])
-        return pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], names=["a", "b"])
+        return of_bucket(rows, np.concatenate([np.flatnonzero(~same), [len(same)]]), similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = arrays(batch)
-            if held is not None:
-                rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
-            last = ((rows["bucket"] == rows["bucket"][-1]) & (rows["x"] == rows["x"][-1]) & (rows["y"] == rows["y"][-1]))
-            begin = len(last) - int(last.sum())
-            if begin:
-                yield solve({c: v[:begin] for c, v in rows.items()})
-            held = {c: v[begin:] for c, v in rows.items()}
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                rows = arrays(whole.slice(at, 2048))
+                if held is not None:
+                    rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
+                last = ((rows["bucket"] == rows["bucket"][-1]) & (rows["x"] == rows["x"][-1])
+                        & (rows["y"] == rows["y"][-1]))
+                begin = len(last) - int(last.sum())
+                if begin:
+                    yield solve({c: v[:begin] for c, v in rows.items()})
+                held = {c: v[begin:] for c, v in rows.items()}
         if held is not None:
             yield solve(held)
     return run
 
 
+def _pairs(rows, a, b) -> pa.RecordBatch:
+    lo, hi = np.minimum(rows["key"][a], rows["key"][b]), np.maximum(rows["key"][a], rows["key"][b])
+    return pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], names=["a", "b"])
+
+
 def _star_pairs(rows, cut, similarity):
     """Each member with its bucket's centre; small buckets take their first member, larger ones the
     best of up to 32 tried."""
@@ -179,42 +186,76 @@ def _star_pairs(rows, cut, similarity):
     a = np.repeat(centre, size)
     b = np.arange(cut[-1])
     ok = (a != b) & _near(n, sketch, a, b, similarity)
-    return a[ok], b[ok]
+    return _pairs(rows, a[ok], b[ok])
 
 
-def _cross_pairs(rows, cut, similarity):
-    """Members of different components of a bucket; each pair in the first band it shares, once."""
-    found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+def _across(rows, lo: int, hi: int, similarity: float):
+    """For each member of a bucket, the later ones of other components that sizes and sketches
+    leave, if this is the first band the two share."""
     n, sketch, comp, blk = rows["n"], rows["sketch"], rows["comp"], rows["blk"]
-    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
-        across = rows["x"][lo] != rows["y"][lo]
-        for i in range(lo, hi - 1):
-            b = np.arange(i + 1, hi)
-            b = b[(comp[b] != comp[i]) & ((blk[b] != blk[i]) | (not across))]
-            if not len(b):
-                continue
+    across = rows["x"][lo] != rows["y"][lo]
+    for i in range(lo, hi - 1):
+        b = np.arange(i + 1, hi)
+        b = b[(comp[b] != comp[i]) & ((blk[b] != blk[i]) | (not across))]
+        if len(b):
             b = b[_near(n, sketch, np.full(len(b), i), b, similarity)]
+        if len(b):
+            band = rows["band"][i]
+            b = b[~(rows["bands"][b, :band] == rows["bands"][i, :band]).any(axis=1)]
             if len(b):
-                earlier = (rows["bands"][b, :rows["band"][i]] == rows["bands"][i, :rows["band"][i]]).any(axis=1)
-                b = b[~earlier]
-                found_a.append(np.full(len(b), i))
-                found_b.append(b)
-    return np.concatenate(found_a), np.concatenate(found_b)
+                yield i, b
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose full sets reach the threshold (exactly, in whole numbers of hundredths)."""
-    percent = round(100 * similarity)
+def _cross_members(rows, cut, similarity) -> pa.RecordBatch:
+    """The members that have such a partner (their full sets are needed)."""
+    on = np.zeros(cut[-1], bool)
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        for i, b in _across(rows, lo, hi, similarity):
+            on[i] = on[b] = True
+    return pa.RecordBatch.from_arrays([pa.array(rows[c][on]) for c in _PLACE], names=_PLACE)
+
+
+_PLACE = ["bucket", "x", "y", "band", "blk", "key"]
 
+
+def _cross_links(rows, cut, similarity) -> pa.RecordBatch:
+    """Links between components of a bucket, confirmed on the full sets. A pair of components that
+    a link has joined is not compared further."""
+    found_a, found_b = [], []
+    sets, comp, joined = rows["set"], rows["comp"].tolist(), {}
+
+    def root(c):
+        while c in joined:
+            c = joined[c]
+        return c
+
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        joined = {}
+        for i, partners in _across(rows, lo, hi, similarity):
+            own = np.frombuffer(sets[i], np.uint64)
+            for j in partners.tolist():
+                one, two = root(comp[i]), root(comp[j])
+                if one != two and _linked(own, np.frombuffer(sets[j], np.uint64), similarity):
+                    joined[max(one, two)] = min(one, two)
+                    found_a.append(i)
+                    found_b.append(j)
+    return _pairs(rows, np.array(found_a, np.int64), np.array(found_b, np.int64))
+
+
+def _linked(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets (distinct names) reach the threshold, in whole numbers of hundredths."""
+    both = np.concatenate([a, b])
+    both.sort()
+    inter = int((both[1:] == both[:-1]).sum())
+    return 100 * inter >= round(100 * similarity) * (len(a) + len(b) - inter)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for one, two in zip(batch.column(2), batch.column(3)):
-                a, b = np.frombuffer(one.as_py(), np.uint64), np.frombuffer(two.as_py(), np.uint64)
-                both = np.concatenate([a, b])
-                both.sort()
-                inter = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * inter >= percent * (len(a) + len(b) - inter))
+            keep = [_linked(np.frombuffer(one.as_py(), np.uint64), np.frombuffer(two.as_py(), np.uint64), similarity)
+                    for one, two in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
                 pa.array(keep, pa.bool_()))
 
@@ -265,32 +306,38 @@ def _classes(rows: DataFrame, work: WorkTables, shingle: int, similarity: float,
     classes = signed.filter("n > 0").groupBy(*digest).agg(F.min("key").alias("class"))
     reps = work.put("reps", signed.select("key", "n", "bands", "sketch").join(
         classes.select(F.col("class").alias("key")), "key", "left_semi"))
-    placed = reps.select("key", F.posexplode("bands").alias("band", "bucket"))
-    counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    shared = work.put("shared", placed.join(counts, "bucket").select("bucket", "band", "key", F.ceil(
-        F.col("m") / block).cast("int").alias("blocks")))
+    # a bucket's blocks hold about `block` members and 16 MB of full sets each
+    placed = reps.select("key", "n", F.posexplode("bands").alias("band", "bucket"))
+    counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("names")).filter("m > 1")
+    counts = counts.select("bucket", F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("names") / (1 << 21)))
+                           .cast("int").alias("blocks"))
+    shared = work.put("shared", placed.drop("n").join(counts, "bucket"))
     sets = work.put("sets", rows.select("key", "text").join(shared.select("key").distinct(), "key", "left_semi")
                     .mapInArrow(_full_sets(shingle), "key long, set binary"))
 
-    def compared(members: DataFrame, how) -> DataFrame:
-        """Candidate pairs from the members (bucket, band, key, blocks, comp) of buckets, block by block."""
-        own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-        grid = (members.withColumn("blk", own)
+    def dealt(places: DataFrame, of_bucket, ddl: str) -> DataFrame:
+        return (places.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "key")
+                .mapInArrow(_in_buckets(of_bucket, similarity), ddl))
+
+    def in_blocks(members: DataFrame) -> DataFrame:
+        """Members (bucket, band, key, blocks, comp) under every pair of blocks they take part in."""
+        return (members.withColumn("blk", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                .withColumn("x", F.least("blk", "other")).withColumn("y", F.greatest("blk", "other")).drop("other"))
-        whole = grid.join(reps, "key").select(*[c.split(" ")[0] for c in _MEMBER.split(", ")])
-        dealt = whole.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "key")
-        return dealt.mapInArrow(_in_buckets(how, similarity), "a long, b long").distinct()
+                .withColumn("x", F.least("blk", "other")).withColumn("y", F.greatest("blk", "other"))
+                .join(reps, "key").select(*_MEMBER))
 
-    stars = work.put("stars", compared(shared.withColumn("comp", F.col("key")), _star_pairs))
-    links = work.put("links0", _confirmed(stars, sets, similarity))
+    stars = dealt(in_blocks(shared.withColumn("comp", F.col("key"))), _star_pairs, "a long, b long").distinct()
+    links = work.put("links0", _confirmed(work.put("stars", stars), sets, similarity))
     comp = work.put("comp0", components(links, work, "cc0"))
     placed = shared.join(comp, "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    cross = work.put("cross", compared(placed.join(mixed.select("bucket"), "bucket", "left_semi"), _cross_pairs))
-    more = work.put("links1", _confirmed(cross, sets, similarity))
+    cross = in_blocks(placed.join(mixed.select("bucket"), "bucket", "left_semi"))
+    active = work.put("active", dealt(cross, _cross_members, "bucket long, x int, y int, band int, blk int, key long"))
+    whole = (active.join(reps, "key").join(sets, "key").join(comp, "key", "left")
+             .withColumn("comp", F.coalesce("component", "key")).select(*_MEMBER, "set"))
+    more = work.put("links1", dealt(whole, _cross_links, "a long, b long"))
     comp = work.put("comp1", components(links.unionByName(more), work, "cc1"))
-    work.drop("sets", "shared", "stars", "cross", "reps")
+    work.drop("sets", "shared", "stars", "active", "reps")
 
     by_class = classes.join(comp.withColumnRenamed("key", "class"), "class", "left").select(
         *digest, F.coalesce("component", "class").alias("component"))
