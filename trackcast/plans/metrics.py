@@ -112,24 +112,30 @@ def latest_per_metric(metrics: DataFrame) -> DataFrame:
                         F.max("timestamp").alias("timestamp")))
 
 
-def post_report_rows(summary: DataFrame, stations: DataFrame, recs: DataFrame) -> DataFrame:
+def post_report_rows(report: DataFrame) -> DataFrame:
     """L4: per date, one row per summary metric of the post report and one
-    ``report_summary`` row with value 1.0; details carry the report header."""
-    st = stations.agg(F.array_sort(F.collect_set("station_code")).alias("station_codes"))
-    rc = recs.groupBy("date").agg(F.array_sort(F.collect_list("recommendation")).alias("recommendations"))
-    s = attach_one_row(summary.join(rc, "date", "left"), st)
-    details = F.to_json(F.struct(F.concat(F.lit("post_integration_"), F.col("date")).alias("report_id"),
-                                 F.lit("post_integration").alias("report_type"),
-                                 F.struct(F.col("date").alias("start"), F.col("date").alias("end")).alias("date_range"),
-                                 "station_codes", "recommendations"))
-    items = [F.struct(F.lit(m).alias("metric_name"), F.col(m).cast("double").alias("metric_value"))
-             for m in POST_SUMMARY] + [F.struct(F.lit("report_summary").alias("metric_name"),
-                                               F.lit(1.0).alias("metric_value"))]
+    ``report_summary`` row with value 1.0. ``report`` is the row per date of the
+    post assessment; details carry the report header with the date's own stations, and the
+    summary row the full report with its metrics."""
+    from trackcast.plans.post import with_recommendations, with_summary
+    s = with_recommendations(with_summary(report))
+    header = [F.concat(F.lit("post_integration_"), F.col("date")).alias("report_id"),
+              F.lit("post_integration").alias("report_type")]
+    body = [F.struct(F.col("date").alias("start"), F.col("date").alias("end")).alias("date_range"), F.col("station_codes"),
+            F.array_sort(F.transform("recommendation_list", lambda r: r["recommendation"])).alias("recommendations")]
+    rules = F.size(F.filter("rule_list", lambda r: r["emit"]))
+    of_metric = F.to_json(F.struct(*header, *body, rules.alias("detailed_results_count")))
+    metrics = F.struct(*[F.col(m).cast("double").alias(m) for m in POST_SUMMARY])
+    of_report = F.to_json(F.struct(*header, F.struct(*body, metrics.alias("summary_metrics")).alias("full_report")))
+
+    def item(name, value, details):
+        return F.struct(F.lit(name).alias("metric_name"), value.cast("double").alias("metric_value"), details.alias("details"))
+
+    items = [item(m, F.col(m), of_metric) for m in POST_SUMMARY] + [item("report_summary", F.lit(1.0), of_report)]
     return s.select(F.lit("post_integration_report").alias("table_name"), "date",
-                    run_time(F.col("date")).alias("timestamp"), details.alias("details"),
-                    F.explode(F.array(*items)).alias("m")) \
+                    run_time(F.col("date")).alias("timestamp"), F.explode(F.array(*items)).alias("m")) \
             .select("table_name", F.col("m.metric_name").alias("metric_name"),
-                    F.col("m.metric_value").alias("metric_value"), "timestamp", "details", "date")
+                    F.col("m.metric_value").alias("metric_value"), "timestamp", F.col("m.details").alias("details"), "date")
 
 
 def pre_report_rows(score: DataFrame, recs: DataFrame, date_range: DataFrame, stations: DataFrame) -> DataFrame:
@@ -156,9 +162,9 @@ def pre_report_rows(score: DataFrame, recs: DataFrame, date_range: DataFrame, st
 
 # ---- retrieval ----------------------------------------------------------------
 
-REPORT_SCHEMA = ("struct<report_id:string, report_type:string, processor_type:string, "
-                 "date_range:struct<start:string, end:string>, station_codes:array<string>, "
-                 "recommendations:array<string>>")
+_BODY = ("date_range:struct<start:string, end:string>, station_codes:array<string>, recommendations:array<string>, "
+         "summary_metrics:map<string, double>")
+REPORT_SCHEMA = f"struct<report_id:string, report_type:string, processor_type:string, {_BODY}, full_report:struct<{_BODY}>>"
 
 
 def filter_report_window(metrics: DataFrame, *, report_type: str | None = None, start_date: str | None = None,
@@ -176,16 +182,35 @@ def filter_report_window(metrics: DataFrame, *, report_type: str | None = None,
 
 
 def parse_details(metrics: DataFrame) -> DataFrame:
-    """Report header fields parsed from ``details``."""
-    return metrics.withColumn("report", F.from_json("details", REPORT_SCHEMA))
+    """Report header and body parsed from ``details``; a report row has its body under ``full_report``."""
+    r = F.from_json("details", REPORT_SCHEMA)
+    body = [F.coalesce(F.col(f"_r.full_report.{c}"), F.col(f"_r.{c}")).alias(c)
+            for c in ("date_range", "station_codes", "recommendations", "summary_metrics")]
+    return metrics.withColumn("_r", r).withColumn("report", F.struct(
+        F.col("_r.report_id"), F.col("_r.report_type"), F.col("_r.processor_type"), *body)).drop("_r")
+
+
+def overlaps(stations: Sequence[str]) -> Column:
+    """The report's station list shares a station with the requested one."""
+    return F.arrays_overlap(F.col("report.station_codes"), F.array(*[F.lit(c) for c in stations]))
 
 
 def retrieve_reports(metrics: DataFrame, *, report_type: str | None = None, start_date: str | None = None,
                      end_date: str | None = None, station_codes: Sequence[str] | None = None) -> DataFrame:
-    """Window filter, JSON parse, station overlap (J3), newest first."""
-    out = parse_details(filter_report_window(metrics, report_type=report_type, start_date=start_date,
-                                             end_date=end_date))
+    """The ``report_summary`` row of each stored report in the window, JSON
+    parsed, filtered by station overlap (J3), newest first."""
+    out = parse_details(filter_report_window(metrics.where(F.col("metric_name") == "report_summary"),
+                                             report_type=report_type, start_date=start_date, end_date=end_date))
     if station_codes:
-        out = out.where(F.arrays_overlap(F.col("report.station_codes"),
-                                         F.array(*[F.lit(c) for c in station_codes])))
+        out = out.where(overlaps(station_codes))
     return out.orderBy(F.col("timestamp").desc())
+
+
+def retrieve_pre_reports(metrics: DataFrame, *, start_date: str | None = None, end_date: str | None = None,
+                         station_codes: Sequence[str] | None = None, limit: int = 10) -> DataFrame:
+    """L6 for pre-integration reports: the newest ``limit`` complete reports of
+    the window, then the station filter (in this order, as stored reports are cut before they are read)."""
+    out = parse_details(filter_report_window(metrics.where(F.col("metric_name") == "complete_report"),
+                                             report_type="pre_integration_complete", start_date=start_date,
+                                             end_date=end_date).orderBy(F.col("timestamp").desc()).limit(limit))
+    return out.where(overlaps(station_codes)) if station_codes else out

@@ -76,10 +76,12 @@ def assess(df: DataFrame, th: PostThresholds = PostThresholds()) -> dict[str, Da
         # date; the same keyed rows give the duplicate count (n - 1 per key)
         per_key = dated.groupBy("date", *keys).agg(*counters)
         names = [c for c in per_key.columns if c not in ("date", *keys)]
+        # the station list of a date is bounded by the station dimension
         c = per_key.groupBy("date").agg(*[F.sum(n).cast("bigint").alias(n) for n in names],
-                                        F.sum(F.col("total") - 1).cast("bigint").alias("dups"))
+                                        F.sum(F.col("total") - 1).cast("bigint").alias("dups"),
+                                        F.array_sort(F.collect_set("station_code")).alias("station_codes"))
     else:
-        c = dated.groupBy("date").agg(*counters)
+        c = dated.groupBy("date").agg(*counters).withColumn("station_codes", F.array().cast("array<string>"))
     t = F.col("total")
     rate = lambda x: F.when(t > 0, x / t).otherwise(F.lit(0.0))
     missing_req = [x for x in th.required_columns if x not in cols]
@@ -143,43 +145,66 @@ def assess(df: DataFrame, th: PostThresholds = PostThresholds()) -> dict[str, Da
         d = F.coalesce(F.col("dups"), F.lit(0))
         R.append(rule(4, "duplicate_detection", "deduplication", d == 0, d, fl(d > 0), flagged=d))
 
-    long = c.select("date", "total", F.explode(F.array(*R)).alias("r")).select("date", "total", "r.*")
+    # one row per date carries its rules; rule rows, results, score, summary and
+    # recommendations are all expressions over that row (no branch re-reads the data)
+    per_date = c.select("date", "total", "station_codes", F.array(*R).alias("rule_list"))
+    flagged = [_total("rule_list", _of_assessment(i), "flagged") for i in range(len(ASSESSMENTS))]
+    weighted = sum(((t - f) / t * F.lit(w) for f, w in zip(flagged, th.weights)), F.lit(0.0))
+    report = per_date.select("*", sum(flagged, F.lit(0)).cast("bigint").alias("total_flagged_records"),
+                             F.when(t > 0, F.least(weighted, F.lit(1.0))).otherwise(F.lit(0.0)).alias("overall_quality_score"))
+    long = per_date.select("date", "total", F.explode("rule_list").alias("r")).select("date", "total", "r.*")
     rules = long.where("emit").select("date", "assessment", "rule_name", "rule_type", "passed",
                                       "affected_records", "action")
-    # every assessment has rule rows before the emit filter, so the
-    # per-assessment results and the score come from ``long`` alone: one
-    # linear chain from the data (no branch re-reads the upstream)
-    results = (long.groupBy("date", "idx", "assessment")
-                   .agg(F.max("total").alias("total_records"),
-                        F.sum("flagged").cast("bigint").alias("flagged_records"))
-                   .withColumn("valid_records", F.col("total_records") - F.col("flagged_records")))
-    weights = F.array(*[F.lit(x) for x in th.weights])
-    score = (results.groupBy("date").agg(
-        F.max("total_records").alias("total_records"),
-        F.sum(F.when(F.col("total_records") > 0, F.col("valid_records") / F.col("total_records")
-                     * F.get(weights, F.col("idx")))).alias("w"),
-        F.sum("flagged_records").cast("bigint").alias("total_flagged_records"))
-        .select("date", "total_records",
-                F.when(F.col("total_records") > 0, F.least(F.coalesce("w", F.lit(0.0)), F.lit(1.0)))
-                 .otherwise(F.lit(0.0)).alias("overall_quality_score"),
-                "total_flagged_records"))
-    return {"counters": c, "rules": rules, "results": results, "score": score}
+    results = report.select("date", "total", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("idx"), F.lit(ASSESSMENTS[i]).alias("assessment"), f.cast("bigint").alias("flagged_records"))
+        for i, f in enumerate(flagged)])).alias("a")).select(
+        "date", "a.idx", "a.assessment", F.col("total").alias("total_records"), "a.flagged_records",
+        (F.col("total") - F.col("a.flagged_records")).alias("valid_records"))
+    score = report.select("date", F.col("total").alias("total_records"), "overall_quality_score", "total_flagged_records")
+    return {"counters": c, "rules": rules, "results": results, "score": score, "report": report}
+
+
+def _total(rules: str, keep, field: str) -> Column:
+    """Sum of ``field`` over the rules of a date that ``keep`` selects."""
+    return F.aggregate(F.filter(F.col(rules), keep), F.lit(0).cast("bigint"), lambda acc, r: acc + r[field])
+
+
+def _of_assessment(i: int):
+    return lambda r: r["idx"] == i
+
+
+def _failed(r: Column) -> Column:
+    return r["emit"] & ~r["passed"]
+
+
+def _failed_of_type(kind: str):
+    return lambda r: _failed(r) & (r["rule_type"] == kind)
+
+
+# FIXED VALUES: quality levels and rule types.
+LEVELS = ((0.95, "EXCELLENT"), (0.85, "GOOD"), (0.70, "ACCEPTABLE"))
+RULE_TYPES = ("schema", "completeness", "consistency", "range", "business", "deduplication")
+
+
+def with_summary(report: DataFrame) -> DataFrame:
+    """G21 on the row of each date: quality level, flagged rate, issues by rule type (failed rules)."""
+    sc, t = F.col("overall_quality_score"), F.col("total")
+    level = F.lit("POOR")
+    for least, name in reversed(LEVELS):
+        level = F.when(sc >= least, name).otherwise(level)
+    of_type = [(k, _failed_of_type(k)) for k in RULE_TYPES]
+    issues = F.filter(F.array(*[F.when(F.exists("rule_list", keep), F.struct(
+        F.lit(k).alias("rule_type"), _total("rule_list", keep, "affected_records").alias("n"))) for k, keep in of_type]),
+        lambda x: x.isNotNull())
+    return report.select("*", level.alias("quality_level"), t.alias("total_records"),
+                         F.when(t > 0, F.col("total_flagged_records") / t).otherwise(F.lit(0.0)).alias("flagged_rate"),
+                         F.when(F.size(issues) > 0, F.map_from_entries(issues)).alias("issues_by_type"))
 
 
 def summary(parts: dict[str, DataFrame]) -> DataFrame:
-    """Quality level, flagged rate, issues by rule type (failed rules)."""
-    s = parts["score"]
-    sc = F.col("overall_quality_score")
-    level = (F.when(sc >= 0.95, "EXCELLENT").when(sc >= 0.85, "GOOD").when(sc >= 0.70, "ACCEPTABLE")
-             .otherwise("POOR"))
-    issues = (parts["rules"].where(~F.col("passed")).groupBy("date", "rule_type")
-              .agg(F.sum("affected_records").alias("n"))
-              .groupBy("date").agg(F.map_from_entries(F.collect_list(F.struct("rule_type", "n"))).alias("issues_by_type")))
-    return (s.join(issues, "date", "left")
-             .select("date", level.alias("quality_level"), "overall_quality_score", "total_records",
-                     "total_flagged_records",
-                     F.when(F.col("total_records") > 0, F.col("total_flagged_records") / F.col("total_records"))
-                      .otherwise(F.lit(0.0)).alias("flagged_rate"), "issues_by_type"))
+    """One row per date."""
+    return with_summary(parts["report"]).select("date", "quality_level", "overall_quality_score", "total_records",
+                                                "total_flagged_records", "flagged_rate", "issues_by_type")
 
 
 # FIXED VALUES: recommendation texts.
@@ -191,21 +216,27 @@ REC_ANOMALY = "Investigate and handle data anomalies and outliers"
 REC_GOOD = "Data quality is good. Continue monitoring."
 
 
+def with_recommendations(report: DataFrame) -> DataFrame:
+    """G22 on the row of each date: the critical line, one line per failed
+    rule with affected rows (first matching pattern), else the 'good' line."""
+    def text(r):
+        n = r["rule_name"]
+        return (F.when(n == "weather_data_matching", REC_MATCHING).when(n.contains("consistency"), REC_CONSISTENCY)
+                .when(n.contains("completeness"), REC_COMPLETENESS)
+                .when(n.contains("anomaly") | n.contains("extreme"), REC_ANOMALY))
+
+    def line(kind, name, words):
+        return F.struct(F.lit(kind).alias("kind"), name.cast("string").alias("rule_name"), words.alias("recommendation"))
+
+    none = F.lit(None)
+    failed = F.filter("rule_list", lambda r: _failed(r) & (r["affected_records"] > 0))
+    lines = F.filter(F.transform(failed, lambda r: line(1, r["rule_name"], text(r))), lambda x: x["recommendation"].isNotNull())
+    critical = F.when(F.col("overall_quality_score") < 0.70, F.array(line(0, none, F.lit(REC_CRITICAL))))
+    every = F.concat(F.coalesce(critical, F.filter(F.array(line(0, none, F.lit(""))), lambda x: F.lit(False))), lines)
+    good = F.array(line(2, none, F.lit(REC_GOOD)))
+    return report.withColumn("recommendation_list", F.when(F.size(every) > 0, every).otherwise(good))
+
+
 def recommendations(parts: dict[str, DataFrame]) -> DataFrame:
-    """Per date, the critical line, one line per failed rule with
-    affected rows (first matching pattern), else the 'good' line."""
-    r = parts["rules"].where(~F.col("passed") & (F.col("affected_records") > 0))
-    n = F.col("rule_name")
-    text = (F.when(n == "weather_data_matching", REC_MATCHING).when(n.contains("consistency"), REC_CONSISTENCY)
-            .when(n.contains("completeness"), REC_COMPLETENESS)
-            .when(n.contains("anomaly") | n.contains("extreme"), REC_ANOMALY))
-    per_rule = r.select("date", F.lit(1).alias("kind"), n.alias("rule_name"), text.alias("recommendation")) \
-        .where(F.col("recommendation").isNotNull())
-    crit = parts["score"].where(F.col("overall_quality_score") < 0.70).select(
-        "date", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("rule_name"),
-        F.lit(REC_CRITICAL).alias("recommendation"))
-    got = crit.unionByName(per_rule)
-    good = (parts["score"].select("date").join(got.select("date").distinct(), "date", "left_anti")
-            .select("date", F.lit(2).alias("kind"), F.lit(None).cast("string").alias("rule_name"),
-                    F.lit(REC_GOOD).alias("recommendation")))
-    return got.unionByName(good)
+    """One row per date and line."""
+    return with_recommendations(parts["report"]).select("date", F.explode("recommendation_list").alias("r")).select("date", "r.*")

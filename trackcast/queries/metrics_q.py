@@ -129,9 +129,7 @@ def filter_report_window(s):
 # ---- report rows (L4, L5) and retrieval (J2, J3, L6) ---------------------------------
 
 def _post_rows(s):
-    parts = post.assess(s.integrated_table)
-    return M.post_report_rows(post.summary(parts), s.integrated_table.select("station_code").distinct(),
-                              post.recommendations(parts))
+    return M.post_report_rows(post.assess(s.integrated_table)["report"])
 
 
 _POST_ROWS_SQL = """
@@ -161,8 +159,8 @@ def report_rows(s):
 
 @register("json_details_extract", psql(
     "select distinct 'post_integration_' || date as report_id, 'post_integration' as report_type, "
-    "date as range_start, (select count(distinct station_code) from integrated_table) as station_count "
-    "from prow"))
+    "date as range_start, (select count(distinct station_code) from integrated_table i "
+    "where strftime(i.timestamp, '%Y-%m-%d') = prow.date) as station_count from prow"))
 def json_details_extract(s):
     """Report header fields read back from the stored JSON details."""
     r = M.parse_details(_post_rows(s))
@@ -172,19 +170,19 @@ def json_details_extract(s):
 
 
 @register("station_overlap_filter", psql(
-    "select count(*) as report_rows from prow where exists "
-    "(select 1 from integrated_table where station_code in ('S03', 'S99'))"))
+    "select count(*) as report_rows from prow where exists (select 1 from integrated_table i "
+    "where strftime(i.timestamp, '%Y-%m-%d') = prow.date and i.station_code in ('S03', 'S99'))"))
 def station_overlap_filter(s):
     """Report rows whose station list overlaps a requested list."""
     r = M.parse_details(_post_rows(s))
-    ov = F.arrays_overlap(F.col("report.station_codes"), F.array(F.lit("S03"), F.lit("S99")))
-    return r.where(ov).agg(F.count(F.lit(1)).alias("report_rows"))
+    return r.where(M.overlaps(["S03", "S99"])).agg(F.count(F.lit(1)).alias("report_rows"))
 
 
 @register("retrieve_reports", psql(
     f"select table_name, metric_name, {_R9}, timestamp, date from prow "
-    "where timestamp >= timestamp '2024-01-10 00:00:00' and timestamp < timestamp '2024-01-20 00:00:00' + interval 1 day "
-    "and exists (select 1 from integrated_table where station_code in ('S01'))"))
+    "where metric_name = 'report_summary' and timestamp >= timestamp '2024-01-10 00:00:00' "
+    "and timestamp < timestamp '2024-01-20 00:00:00' + interval 1 day and exists (select 1 from integrated_table i "
+    "where strftime(i.timestamp, '%Y-%m-%d') = prow.date and i.station_code in ('S01'))"))
 def retrieve_reports(s):
     """Window + station filter over the stored report rows, JSON parsed."""
     r = M.retrieve_reports(_post_rows(s), report_type="post_integration_report", start_date="2024-01-10",
