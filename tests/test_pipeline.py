@@ -2,16 +2,26 @@
 
 import tempfile
 
+from pyspark.sql import functions as F
+
 from trackcast import fixtures
 from trackcast.plans.pipeline import run_pipeline
 
 SF = "/root/testdata/sf0.001"
 
 
+def _upto(df, day):
+    return df.where(F.col("timestamp") < F.lit(day).cast("timestamp_ntz"))
+
+
+def _rows(spark, path):
+    return sorted(map(str, spark.read.parquet(path).collect()))
+
+
 def test_pipeline_end_to_end_and_rerun(spark):
     wh = tempfile.mkdtemp(prefix="trackcast-wh-")
     tr, wr = fixtures.trains_raw(spark, SF), fixtures.weather_raw(spark, SF)
-    out = run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=wh)
+    out = run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=wh, chunk_days=31)
     p = out["paths"]
     counts = {k: spark.read.parquet(v).count() for k, v in p.items()}
 
@@ -20,15 +30,41 @@ def test_pipeline_end_to_end_and_rerun(spark):
     got = spark.read.parquet(p["integrated"]).drop("date")
     assert counts["integrated"] == want.count() == counts["trains"]
     assert got.exceptAll(want.select(*got.columns)).count() == 0
-    assert counts["metrics"] == 5 * spark.read.parquet(p["integrated"]).select("date").distinct().count()
+    m = spark.read.parquet(p["metrics"])
+    days = spark.read.parquet(p["integrated"]).select("date").distinct().count()
+    assert m.where("table_name = 'post_integration_report'").count() == 5 * days
+    assert m.where("table_name in ('train', 'weather')").count() > 0 and m.where("details is null").count() == 0
+    assert out["results"][0]["success"] and 0 < out["results"][0]["match_rate"] < 1
+
+    again = run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=wh, chunk_days=31)
+    assert {k: spark.read.parquet(v).count() for k, v in p.items()} == counts
+    assert [r["skipped"] for r in again["results"]] == [True]
+
+
+def test_days_that_come_later_in_a_chunk_are_integrated(spark):
+    """Ten days, then fourteen, in chunks of seven: no day is lost."""
+    tr, wr = _upto(fixtures.trains_raw(spark, SF), "2024-01-15"), _upto(fixtures.weather_raw(spark, SF), "2024-01-15")
+    wh = tempfile.mkdtemp(prefix="trackcast-wh-")
+    for day in ("2024-01-11", "2024-01-15"):
+        p = run_pipeline(spark, trains_raw=_upto(tr, day), weather_raw=_upto(wr, day), warehouse=wh, chunk_days=7,
+                         start_date="2024-01-01")["paths"]
+    stored, done = (spark.read.parquet(p[k]).groupBy("date").count() for k in ("trains", "integrated"))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, done.collect()))
+
 
-    run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=wh)
-    again = {k: spark.read.parquet(v).count() for k, v in p.items()}
-    assert again == counts
+def test_without_weather_nothing_is_stored_and_it_is_tried_again(spark):
+    tr, wr = _upto(fixtures.trains_raw(spark, SF), "2024-01-05"), _upto(fixtures.weather_raw(spark, SF), "2024-01-06")
+    wh, other = (tempfile.mkdtemp(prefix="trackcast-wh-") for _ in range(2))
+    args = dict(trains_raw=tr, chunk_days=4)
+    first = run_pipeline(spark, weather_raw=wr.limit(0), warehouse=wh, **args)
+    assert [(r["success"], r["error"]) for r in first["results"]] == [(False, "No source data available")]
+    second = run_pipeline(spark, weather_raw=wr, warehouse=wh, **args)
+    assert second["results"][0]["success"] and second["results"][0]["match_rate"] > 0
+    once = run_pipeline(spark, weather_raw=wr, warehouse=other, **args)
+    assert _rows(spark, second["paths"]["integrated"]) == _rows(spark, once["paths"]["integrated"])
 
 
 def test_partition_overwrite_is_idempotent(spark):
-    from pyspark.sql import functions as F
     from trackcast.sources.sinks import curated_weather, write_partitioned
     from trackcast.stages import Stages
     s = Stages(spark, SF)

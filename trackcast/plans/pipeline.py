@@ -3,44 +3,42 @@
 ``run_pipeline`` takes raw train / weather rows and a warehouse folder in
 shared storage and:
 
-1. cleans both feeds (G5, G6);
-2. stores trains for dates not yet loaded (B8) and weather rows whose
-   (station, hour) is absent (B2), date-partitioned;
-3. integrates every date of the range whose chunk has no integrated row yet
-   (B9), matching against weather widened by the tolerance at both ends;
-4. cuts lineage by writing the matched rows to the shared checkpoint folder,
-   engineers features over the batch and appends the integrated table (B4);
-5. assesses the new dates (G15-G22) and appends the metric rows (L4, B7).
+1. cleans both feeds (G5, G6), each written once to the shared work folder;
+2. stores trains of dates not yet loaded (B8) and weather rows whose
+   (station, hour) is absent (B2), date-partitioned, and appends the step
+   metrics of the new train dates and of the weather dates touched (L1, J1, B7);
+3. goes through the requested range in chunks anchored on its start (B10).
+   In a chunk every date that has trains and no integrated row is integrated
+   (per-date skip, B9), so days that arrive later are never lost; a chunk
+   without trains or without weather is refused and stored nowhere (N19), so
+   it is tried again when its rows have come;
+4. matches the chunk's trains against weather widened by a day on each side,
+   engineers features over the chunk, and appends the integrated table (B4);
+5. assesses the chunk's dates (G15-G22) and appends the report rows (L4).
 
 Every output is written before the next step reads it, and every step skips
 what is already stored, so a rerun after a failure (or an executor loss that
-aborts the job) resumes instead of duplicating rows.
+aborts the job) resumes instead of duplicating rows. Stored dates are read
+from partition names, stored rows only from the partitions a step needs.
 """
 
 from __future__ import annotations
 
-import uuid
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from trackcast.config import INTEGRATED_COLUMNS, TRAIN_COLUMNS, WEATHER_COLUMNS
+from trackcast.config import INTEGRATED_COLUMNS, TRAIN_COLUMNS, WEATHER_COLUMNS, TrainConfig, WeatherConfig
+from trackcast.operators import rules as R
 from trackcast.operators.features import engineer_features
 from trackcast.plans import dq, metrics, post
 from trackcast.plans.integrate import match_weather, project_integrated
-from trackcast.session import new_work_dir
+from trackcast.session import drop_path, new_work_dir
 from trackcast.sources import sinks as B
 
-
-def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A stored table, or an empty frame of its schema before the first write."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # the folder does not exist yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+NO_SOURCE = "No source data available"
 
 
 def _schema_of(df: DataFrame, extra: dict | None = None) -> StructType:
@@ -50,60 +48,106 @@ def _schema_of(df: DataFrame, extra: dict | None = None) -> StructType:
     return s
 
 
+def _dates(df: DataFrame) -> list[str]:
+    """The dates of a date-partitioned table or frame (a bounded calendar)."""
+    return sorted(r["date"] for r in df.select("date").distinct().collect() if r["date"] is not None)
+
+
+def _around(dates: list[str]) -> list[str]:
+    """The dates and their neighbours: where weather within the tolerance can lie."""
+    days = {dt.date.fromisoformat(d) + dt.timedelta(days=k) for d in dates for k in (-1, 0, 1)}
+    return sorted(d.isoformat() for d in days)
+
+
+def _written(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    path = new_work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def run_pipeline(spark: SparkSession, *, trains_raw: DataFrame, weather_raw: DataFrame, warehouse: str,
-                 tolerance_minutes: int = 60, chunk_days: int = 1) -> dict:
+                 tolerance_minutes: int = 60, chunk_days: int = 1, start_date: str | None = None,
+                 end_date: str | None = None) -> dict:
+    """Runs the job; returns the table paths and one result per chunk.
+
+    The range defaults to the stored train dates, from the first to the last. A result holds the range,
+    success, whether it was skipped, the error if refused, source and integrated row counts, match rate and quality score."""
     wh = warehouse.rstrip("/")
     paths = {k: f"{wh}/{k}" for k in ("trains", "weather", "integrated", "metrics")}
 
-    # 1. clean
-    trains = dq.process_train(trains_raw).select(*TRAIN_COLUMNS)
-    weather = dq.process_weather(weather_raw).select(*WEATHER_COLUMNS, "ingest_seq")
-
-    # 2. store: trains by date (skip loaded dates), weather insert-if-absent
-    t_schema = _schema_of(trains, {"date": "string"})
-    stored_t = read_or_empty(spark, paths["trains"], t_schema)
-    new_dates = B.skip_loaded_dates(trains, stored_t).select(F.date_format("date", "yyyy-MM-dd").alias("date"))
-    t_new = B.with_date(trains).join(new_dates, "date", "left_semi")
-    t_new.write.mode("append").partitionBy("date").parquet(paths["trains"])
-
-    w_schema = _schema_of(weather, {"date": "string"})
-    stored_w = read_or_empty(spark, paths["weather"], w_schema)
-    w_new = B.with_date(B.insert_if_absent(weather, stored_w.drop("date"), ["station_code", "timestamp"],
-                                           "ingest_seq"))
-    w_new.write.mode("append").partitionBy("date").parquet(paths["weather"])
-
-    # 3. which dates still need integration (chunks with no integrated row)
-    stored_t = spark.read.schema(t_schema).parquet(paths["trains"])
-    stored_w = spark.read.schema(w_schema).parquet(paths["weather"])
-    integrated_now = read_or_empty(spark, paths["integrated"], _integrated_schema(spark))
-    bounds = stored_t.agg(F.min(F.to_date("timestamp")).alias("start_date"),
-                          F.max(F.to_date("timestamp")).alias("end_date"))
-    ranges = B.skip_loaded_range(bounds, integrated_now, chunk_days)
-    todo = ranges.where(~F.col("skip")).select(
-        F.explode(F.sequence("chunk_start", "chunk_end")).alias("d")).select(
-        F.date_format("d", "yyyy-MM-dd").alias("date"))
-    batch_t = stored_t.join(todo, "date", "left_semi").drop("date")
-    # weather of the batch dates widened by one day each side covers +-tolerance
-    wdates = todo.select(F.explode(F.array(
-        F.date_format(F.date_sub(F.to_date("date"), 1), "yyyy-MM-dd"), F.col("date"),
-        F.date_format(F.date_add(F.to_date("date"), 1), "yyyy-MM-dd"))).alias("date")).distinct()
-    batch_w = stored_w.join(wdates, "date", "left_semi").drop("date", "ingest_seq")
-
-    # 4. match, cut lineage in shared storage, features over the batch, append
-    matched_path = new_work_dir(spark, "matched")
-    match_weather(batch_t, batch_w, tolerance_minutes=tolerance_minutes).write.parquet(matched_path)
-    matched = spark.read.parquet(matched_path)
-    out = B.with_date(project_integrated(engineer_features(matched)))
-    out.write.mode("append").partitionBy("date").parquet(paths["integrated"])
-
-    # 5. assess the new dates and append metric rows
-    new_rows = spark.read.schema(_integrated_schema(spark)).parquet(paths["integrated"]).join(todo, "date",
-                                                                                              "left_semi")
-    parts = post.assess(new_rows.drop("date"))
-    rows = metrics.post_report_rows(post.summary(parts), new_rows.select("station_code").distinct(),
-                                    post.recommendations(parts))
-    rows.write.mode("append").partitionBy("date").parquet(paths["metrics"])
-    return {"paths": paths, "matched": matched_path}
+    # 1. clean, once
+    trains, trains_at = _written(spark, B.with_date(dq.process_train(trains_raw).select(*TRAIN_COLUMNS)), "trains")
+    weather, weather_at = _written(spark, B.with_date(
+        dq.process_weather(weather_raw).select(*WEATHER_COLUMNS, "ingest_seq")), "weather")
+
+    # 2. store: trains by date (skip loaded dates), weather insert-if-absent in the dates it touches
+    loaded = set(_dates(B.read_if_exists(spark, paths["trains"], trains.schema)))
+    new_dates = [d for d in _dates(trains) if d not in loaded]
+    trains.where(F.col("date").isin(new_dates)).write.mode("append").partitionBy("date").parquet(paths["trains"])
+    w_dates = _dates(weather)
+    stored = B.read_if_exists(spark, paths["weather"], weather.schema).where(F.col("date").isin(w_dates))
+    fresh, fresh_at = _written(spark, B.insert_if_absent(weather, stored, ["station_code", "timestamp"], "ingest_seq"),
+                               "weather-new")
+    fresh_dates = _dates(fresh)
+    fresh.write.mode("append").partitionBy("date").parquet(paths["weather"])
+    _append_step_metrics(trains_raw, weather_raw, new_dates, fresh_dates, paths["metrics"])
+    for path in (trains_at, weather_at, fresh_at):
+        drop_path(spark, path)
+
+    # 3. - 5. chunk by chunk over the requested range
+    have = _dates(B.read_if_exists(spark, paths["trains"], trains.schema))
+    have_weather = set(_dates(B.read_if_exists(spark, paths["weather"], weather.schema)))
+    results = []
+    if have:
+        first, last = dt.date.fromisoformat(start_date or have[0]), dt.date.fromisoformat(end_date or have[-1])
+        while first <= last:
+            until = min(first + dt.timedelta(days=chunk_days - 1), last)
+            inside = [d for d in have if first.isoformat() <= d <= until.isoformat()]
+            results.append(_integrate_chunk(spark, paths, first.isoformat(), until.isoformat(), inside, have_weather,
+                                            trains.schema, weather.schema, tolerance_minutes))
+            first = until + dt.timedelta(days=1)
+    return {"paths": paths, "results": results}
+
+
+def _append_step_metrics(trains_raw, weather_raw, train_dates: list[str], weather_dates: list[str], path: str) -> None:
+    """L1 + J1 rows of the dates this run has stored, beside the report rows (no step column in the table)."""
+    t, w = TrainConfig(), WeatherConfig()
+    day = F.date_format("timestamp", "yyyy-MM-dd")
+    steps = metrics.steps_by_date(
+        trains_raw.where(day.isin(train_dates)), processor="train", required=t.required_fields, rules=R.train_business_rules(),
+        round_to_hour=False, dedup_keys=t.dedup_keys, order_by="ingest_seq").unionByName(metrics.steps_by_date(
+            weather_raw.where(day.isin(weather_dates)), processor="weather", required=w.required_fields,
+            rules=R.weather_business_rules(), round_to_hour=True, dedup_keys=w.dedup_keys, order_by="ingest_seq"))
+    rows = metrics.metrics_table(steps).select("table_name", "metric_name", "metric_value", "timestamp", "details", "date")
+    rows.write.mode("append").partitionBy("date").parquet(path)
+
+
+def _integrate_chunk(spark, paths, start, end, dates, have_weather, t_schema, w_schema, tolerance_minutes) -> dict:
+    out = {"start_date": start, "end_date": end, "success": False, "skipped": False, "error": None, "train_records": 0,
+           "weather_records": 0, "total_records": 0, "match_rate": 0.0, "quality_score": 0.0}
+    schema = _integrated_schema(spark)
+    done = set(_dates(B.read_if_exists(spark, paths["integrated"], schema).where(F.col("date").between(start, end))))
+    todo = [d for d in dates if d not in done]
+    if dates and not todo:
+        rows = B.read_if_exists(spark, paths["integrated"], schema).where(F.col("date").isin(dates)).count()
+        return out | {"success": True, "skipped": True, "total_records": rows, "quality_score": 1.0}
+    near = [d for d in _around(todo) if d in have_weather]
+    if not todo or not near:
+        return out | {"error": NO_SOURCE}
+    t = spark.read.schema(t_schema).parquet(paths["trains"]).where(F.col("date").isin(todo)).drop("date")
+    w = spark.read.schema(w_schema).parquet(paths["weather"]).where(F.col("date").isin(near)).drop("date", "ingest_seq")
+    matched, matched_at = _written(spark, match_weather(t, w, tolerance_minutes=tolerance_minutes), "matched")
+    B.with_date(project_integrated(engineer_features(matched))).write.mode("append").partitionBy("date").parquet(
+        paths["integrated"])
+    n = matched.agg(F.count(F.lit(1)).alias("rows"), F.count("temperature").alias("hits")).first()
+    drop_path(spark, matched_at)
+    new_rows = spark.read.schema(schema).parquet(paths["integrated"]).where(F.col("date").isin(todo)).drop("date")
+    report = metrics.post_report_rows(post.assess(new_rows)["report"])
+    report.select("table_name", "metric_name", "metric_value", "timestamp", "details", "date").write.mode(
+        "append").partitionBy("date").parquet(paths["metrics"])
+    rate = n["hits"] / n["rows"] if n["rows"] else 0.0
+    return out | {"success": True, "train_records": n["rows"], "weather_records": w.count(), "total_records": n["rows"],
+                  "match_rate": rate, "quality_score": min(rate + 0.2, 1.0)}
 
 
 def _integrated_schema(spark: SparkSession) -> StructType:
