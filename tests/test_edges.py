@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from trackcast.config import DELAY_BINS, RAIN_BINS, TEMP_BINS, WIND_BINS
+from trackcast.functions import timefns as TF
 from trackcast.functions.binning import bin_column
 from trackcast.functions.timefns import parse_clock, round_hour_half_even, round_hour_half_up
 from trackcast.operators.dedup import dedup_best, dedup_last, duplicate_count, duplicate_flag
 from trackcast.operators.features import engineer_features
-from trackcast.operators.nearest import nearest_join, nearest_join_window, ranked_candidates
+from trackcast.operators.nearest import nearest_join, ranked_candidates
 from trackcast.plans import dq, post
 
 TS = "timestamp_ntz"
@@ -59,13 +60,6 @@ def test_nearest_join_edges(spark):
     assert out == {1: 1.0, 2: 3.0, 3: None, 4: None, 5: None, 6: None}
 
 
-def test_nearest_join_window_strategy_agrees(spark):
-    left, right = _nearest_fixture(spark)
-    a = dict(rows(nearest_join(left, right, right_cols=["temperature"]), "id", "temperature"))
-    b = dict(rows(nearest_join_window(left, right, right_cols=["temperature"]), "id", "temperature"))
-    assert a == b
-
-
 def test_ranked_candidates_rank_one_is_the_pick(spark):
     left, right = _nearest_fixture(spark)
     r = ranked_candidates(left, right, left_cols=["id", "station_code", "timestamp"])
@@ -230,11 +224,11 @@ def test_insert_if_absent_twice_equals_once(spark):
 @pytest.mark.parametrize("score,level", [(0.95, "EXCELLENT"), (0.9499, "GOOD"), (0.85, "GOOD"), (0.8499, "ACCEPTABLE"),
                                          (0.70, "ACCEPTABLE"), (0.6999, "POOR")])
 def test_quality_levels(spark, score, level):
-    s = spark.createDataFrame([("2024-01-01", score, 10, 0)],
-                              "date string, overall_quality_score double, total_records long, total_flagged_records long")
-    rules = spark.createDataFrame([], "date string, rule_type string, passed boolean, affected_records long")
-    out = post.summary({"score": s, "rules": rules}).first()
-    assert out["quality_level"] == level
+    rule = "struct<rule_type:string, passed:boolean, emit:boolean, affected_records:bigint>"
+    report = spark.createDataFrame([("2024-01-01", score, 10, 0, [])], "date string, overall_quality_score double, "
+                                   f"total long, total_flagged_records long, rule_list array<{rule}>")
+    out = post.summary({"report": report}).first()
+    assert out["quality_level"] == level and out["issues_by_type"] is None
 
 
 def test_rule_counts_match_flags(spark):
@@ -284,3 +278,43 @@ def test_attach_one_row_requires_a_proven_bound(spark):
     assert attach_one_row(rows_df, one).count() == 10
     with pytest.raises(ValueError):
         attach_one_row(one, rows_df.where("id > 3"))
+
+
+@pytest.mark.parametrize("text, want", [
+    ("2024-01-01T10:00:00Z", "2024-01-01 10:00:00"), ("2024-01-01T10:00:00+02:00", "2024-01-01 08:00:00"),
+    ("2024-01-01 10:00 -0530", "2024-01-01 15:30:00"), ("20240101T100000+01", "2024-01-01 09:00:00"),
+    ("Jan 2 2024 10:00", "2024-01-02 10:00:00"), ("2 Jan 2024 10:00:30", "2024-01-02 10:00:30"),
+    ("2024-01-15", "2024-01-15 00:00:00"), ("15/01/2024", "2024-01-15 00:00:00"), ("20240115T1030", "2024-01-15 10:30:00"),
+    ("2024-13-01T10:00", None), ("at 10:00", None), ("", None), (None, None)])
+def test_timestamp_texts(spark, text, want):
+    df = spark.createDataFrame([(text,)], "timestamp string")
+    got = df.select(TF.parse_timestamp("timestamp").alias("t")).first()[0]
+    assert (None if got is None else str(got)) == want
+
+
+def test_timestamp_text_without_offset_is_in_the_source_zone(spark):
+    df = spark.createDataFrame([("2024-01-01 10:00",), ("2024-07-01 10:00",), ("2024-07-01T10:00Z",)], "timestamp string")
+    got = [str(r[0]) for r in df.select(TF.parse_timestamp("timestamp", source_tz="Europe/Rome")).collect()]
+    assert got == ["2024-01-01 09:00:00", "2024-07-01 08:00:00", "2024-07-01 10:00:00"]
+
+
+def test_half_even_follows_the_clock_of_the_zone(spark):
+    df = spark.createDataFrame([(ts("2024-01-01 12:30:00"),), (ts("2024-07-01 12:30:00"),)], f"t {TS}")
+    pick = lambda zone: [str(r[0]) for r in df.select(TF.round_hour_half_even("t", zone)).collect()]
+    assert pick("UTC") == ["2024-01-01 12:00:00", "2024-07-01 12:00:00"]
+    assert pick("Europe/Rome") == ["2024-01-01 13:00:00", "2024-07-01 12:00:00"]
+
+
+def test_options_that_the_defaults_leave_off(spark):
+    from trackcast.functions.text import parse_delay
+    from trackcast.plans import dq
+    day = spark.sql("select date'2024-01-05' as d, '23:50 - 04/01' as s, '23:50 - 31/02' as bad, '10:15' as plain")
+    got = day.select(*[TF.parse_clock(c, "d", use_suffix_date=True) for c in ("s", "bad", "plain")]).first()
+    assert [str(x) for x in got] == ["2024-01-04 23:50:00", "None", "2024-01-05 10:15:00"]
+    assert str(day.select(TF.parse_clock("s", "d")).first()[0]) == "2024-01-05 23:50:00"
+    text = spark.createDataFrame([("-7",), ("7",), ("x",)], "t string")
+    assert [r[0] for r in text.select(parse_delay(F.col("t"), allow_negative=True)).collect()] == [-7, 7, 0]
+    assert [r[0] for r in text.select(parse_delay(F.col("t"))).collect()] == [0, 7, 0]
+    df = spark.createDataFrame([("a", None, 1), ("b", "x", None), (None, None, None)], "p string, q string, r int")
+    assert [r["p"] for r in dq.drop_invalid_rows(df, ("p", "q")).collect()] == ["b"]
+    assert [r["p"] for r in dq.drop_missing_critical(df, ("p", "q", "r"), 0.5).collect()] == ["a", "b"]

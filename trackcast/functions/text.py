@@ -18,9 +18,11 @@ def extract_destination(route: Column) -> Column:
             .otherwise(F.trim(route)))
 
 
-def parse_delay(text: Column) -> Column:
-    """All-digit text to int, anything else 0 (negative numbers too)."""
-    return F.when(F.coalesce(text.rlike("^[0-9]+$"), F.lit(False)), text.try_cast("int")).otherwise(F.lit(0))
+def parse_delay(text: Column, allow_negative: bool = False) -> Column:
+    """All-digit text to int, anything else 0 (negative numbers too, unless
+    ``allow_negative``, N17). Digits beyond the int range give null."""
+    digits = "^-?[0-9]+$" if allow_negative else "^[0-9]+$"
+    return F.when(F.coalesce(text.rlike(digits), F.lit(False)), text.try_cast("int")).otherwise(F.lit(0))
 
 
 def pick_delay(departure: Column, arrival: Column) -> Column:

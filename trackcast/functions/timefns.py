@@ -47,13 +47,14 @@ def round_hour_half_up(ts) -> Column:
     return hour_floor(F.timestamp_add("MINUTE", F.lit(30), col_(ts).cast("timestamp_ntz")))
 
 
-def round_hour_half_even(ts) -> Column:
-    """Nearest hour, exact half hour goes to the even hour."""
+def round_hour_half_even(ts, zone: str = "UTC") -> Column:
+    """Nearest hour, exact half hour goes to the hour that is even on the clock of ``zone``."""
     t = col_(ts)
     r = micros_past_hour(t)
     base = hour_floor(t)
     half = F.lit(30 * US_PER_MIN)
-    up = (r > half) | ((r == half) & (F.hour(base) % 2 == 1))
+    clock = base if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), base)
+    up = (r > half) | ((r == half) & (F.hour(clock) % 2 == 1))
     return F.when(t.isNull(), F.lit(None)).when(up, F.timestamp_add("HOUR", F.lit(1), base)).otherwise(base)
 
 
@@ -114,14 +115,37 @@ TIMESTAMP_FORMATS = (
     "dd/MM/yyyy HH:mm:ss",
     "dd/MM/yyyy HH:mm",
     "dd/MM/yyyy",
+    "yyyyMMdd'T'HHmmss",
+    "yyyyMMdd'T'HHmm",
+    "MMM d yyyy HH:mm:ss",
+    "MMM d yyyy HH:mm",
+    "MMM d yyyy",
+    "d MMM yyyy HH:mm:ss",
+    "d MMM yyyy HH:mm",
+    "d MMM yyyy",
 )
 
+#: A zone at the end of a text that has a time: Z, UTC or an offset such as +02:00, +0200 or +02.
+ZONE_SUFFIX = r"(?<=[0-9])\s*(Z|UTC|[+-][0-9]{2}(?::?[0-9]{2})?)$"
 
-def parse_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
-    """Text or timestamp to timestamp_ntz; unparseable text gives null (F1)."""
-    x = col_(c)
-    parsed = F.coalesce(*[F.try_to_timestamp(x, F.lit(f)) for f in formats])
-    return parsed.cast("timestamp_ntz")
+
+def parse_timestamp(c, formats=TIMESTAMP_FORMATS, source_tz: str = "UTC") -> Column:
+    """Text or timestamp to the UTC wall clock as timestamp_ntz; unparseable text gives null (F1).
+
+    A text that names its zone or offset is taken at its word; a text without one is in ``source_tz``.
+    Only texts with a time of day can have an offset (``-01-15`` of a plain date is none).
+    """
+    x = F.trim(col_(c).cast("string"))
+    zone = F.when(x.contains(":") | x.rlike("T[0-9]{4}"), F.regexp_extract(x, ZONE_SUFFIX, 1)).otherwise(F.lit(""))
+    named = zone != ""
+    bare = F.when(named, F.regexp_replace(x, ZONE_SUFFIX, "")).otherwise(x)
+    parsed = F.coalesce(*[F.try_to_timestamp(bare, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    digits = F.rpad(F.regexp_replace(zone, "[^0-9]", ""), 4, "0")
+    minutes = F.when(zone.isin("Z", "UTC"), F.lit(0)).otherwise(
+        (F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int"))
+        * F.when(zone.startswith("-"), -1).otherwise(1))
+    local = parsed if source_tz == "UTC" else F.convert_timezone(F.lit(source_tz), F.lit("UTC"), parsed)
+    return F.when(named, F.timestamp_add("MINUTE", -minutes, parsed)).otherwise(local)
 
 
 def strict_weather_time(c) -> Column:
@@ -129,11 +153,12 @@ def strict_weather_time(c) -> Column:
     return F.try_to_timestamp(col_(c), F.lit("yyyy-MM-dd'T'HH:mm")).cast("timestamp_ntz")
 
 
-def parse_clock(text, day) -> Column:
+def parse_clock(text, day, use_suffix_date: bool = False) -> Column:
     """``HH:MM[:SS][ - DD/MM]`` to that day's HH:MM:00.
 
     ``X``, ``Non rilevato``, blank, no colon or a non-number give null; the
-    ``DD/MM`` suffix is ignored (the query day is kept).
+    ``DD/MM`` suffix is ignored (the query day is kept) unless ``use_suffix_date``
+    (N16): then it replaces day and month, and an impossible date gives null.
     """
     s = col_(text)
     time_part = F.substring_index(s, " - ", 1)
@@ -143,5 +168,9 @@ def parse_clock(text, day) -> Column:
     ok = (s.isNotNull() & (F.trim(s) != "") & ~s.isin("X", "Non rilevato") & time_part.contains(":")
           & hh.between(0, 23) & mm.between(0, 59))
     d = col_(day).cast("date")
+    if use_suffix_date:
+        suffix = F.regexp_extract(s, r" - ([0-9]{1,2}/[0-9]{1,2})\s*$", 1)
+        d = F.when(suffix == "", d).otherwise(F.try_to_timestamp(
+            F.concat_ws("/", suffix, F.year(d).cast("string")), F.lit("d/M/yyyy")).cast("date"))
     stamp = F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), hh, mm, F.lit(0))
     return F.when(ok, stamp)

@@ -13,14 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-UNKNOWN = -1  # no JVM plan to inspect (Spark Connect client): the check is skipped
-
 
 def max_rows(df: DataFrame) -> int | None:
     """Catalyst's static upper bound on the rows of ``df`` (None: unbounded)."""
     jdf = getattr(df, "_jdf", None)
-    if jdf is None:
-        return UNKNOWN
+    if jdf is None:  # no plan to inspect (Spark Connect client): nothing is proven
+        return None
     bound = jdf.queryExecution().analyzed().maxRows()
     return int(bound.get()) if bound.isDefined() else None
 

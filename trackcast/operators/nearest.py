@@ -22,12 +22,10 @@ from trackcast.functions.timefns import US_PER_MIN, epoch_us
 
 
 def time_bucket(e, bucket_us: int):
-    """Exact bucket index of epoch microseconds: ``(e - pmod(e, B)) / B`` divides
-    an exact multiple of ``B``, so no floating-point rounding can move a value
-    that sits a microsecond before a bucket edge (a plain ``floor(e / B)`` in
-    double precision can)."""
+    """Exact bucket index of epoch microseconds, by whole-number division of the
+    multiple of the bucket width at or below ``e`` (also before 1970)."""
     b = F.lit(int(bucket_us))
-    return ((e - F.pmod(e, b)) / b).cast("long")
+    return F.call_function("div", e - F.pmod(e, b), b)
 
 
 def candidate_table(right: DataFrame, *, by: str, right_ts: str, right_cols: Sequence[str], bucket_us: int) -> DataFrame:
@@ -89,37 +87,3 @@ def ranked_candidates(left: DataFrame, right: DataFrame, *, left_cols, by: str =
     return (j.select(*left_cols, F.posexplode(ordered).alias("pos", "c"))
              .select(*left_cols, (F.col("pos") + 1).alias("rank"), F.col("c.t").alias("candidate_timestamp"),
                      F.col("c.d").alias("diff_us")))
-
-
-def nearest_join_window(left: DataFrame, right: DataFrame, *, by: str = "station_code", left_ts: str = "timestamp",
-                        right_ts: str = "timestamp", tolerance_minutes: int = 60,
-                        right_cols: Sequence[str] | None = None) -> DataFrame:
-    """Second strategy for large tolerances: union both sides, carry the last
-    right row forward and the next one backward over ``(by, ts)`` order, pick
-    the nearer. No explosion, but one ``by`` value is one window partition."""
-    from pyspark.sql import Window
-    if right_cols is None:
-        right_cols = [c for c in right.columns if c not in (by, right_ts)]
-    tol_us = int(tolerance_minutes) * US_PER_MIN
-    rs = F.struct(epoch_us(right_ts).alias("e"), *[F.col(c).alias(c) for c in right_cols])
-    lpart = left.select(F.col(by).alias("_by"), epoch_us(left_ts).alias("_t"), F.lit(1).alias("_side"),
-                        F.struct(*[F.col(c) for c in left.columns]).alias("_l"),
-                        F.lit(None).cast(right.select(rs.alias("x")).schema["x"].dataType).alias("_r"))
-    rpart = right.where(F.col(right_ts).isNotNull()).select(
-        F.col(by).alias("_by"), epoch_us(right_ts).alias("_t"), F.lit(0).alias("_side"),
-        F.lit(None).cast(left.select(F.struct(*left.columns).alias("x")).schema["x"].dataType).alias("_l"),
-        rs.alias("_r"))
-    u = lpart.unionByName(rpart)
-    w_back = Window.partitionBy("_by").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    w_fwd = Window.partitionBy("_by").orderBy("_t", "_side").rowsBetween(0, Window.unboundedFollowing)
-    u = u.select("*", F.last("_r", ignorenulls=True).over(w_back).alias("_prev"),
-                 F.first("_r", ignorenulls=True).over(w_fwd).alias("_next"))
-    u = u.where(F.col("_side") == 1)
-    dp = F.col("_t") - F.col("_prev.e")
-    dn = F.col("_next.e") - F.col("_t")
-    okp = F.col("_by").isNotNull() & F.col("_prev").isNotNull() & (dp <= tol_us)
-    okn = F.col("_by").isNotNull() & F.col("_next").isNotNull() & (dn <= tol_us)
-    pick = (F.when(okp & okn, F.when(dp <= dn, F.col("_prev")).otherwise(F.col("_next")))
-             .when(okp, F.col("_prev")).when(okn, F.col("_next")))
-    return u.select(*[F.col(f"_l.{c}").alias(c) for c in left.columns],
-                    *[pick[c].alias(c) for c in right_cols])

@@ -73,14 +73,15 @@ def validate_schema(df: DataFrame, required: Sequence[str], processor: str) -> D
 
 # ---- F1 --------------------------------------------------------------------
 
-def normalize_timestamps(df: DataFrame, *, col: str = "timestamp", round_to_hour: bool = False) -> DataFrame:
-    """Parse text timestamps (fixed format list), keep timestamps as they are,
-    optionally round half-up to the hour, drop rows without a timestamp."""
+def normalize_timestamps(df: DataFrame, *, col: str = "timestamp", round_to_hour: bool = False,
+                         source_tz: str = "UTC") -> DataFrame:
+    """Parse text timestamps (fixed format list; text without an offset is in
+    ``source_tz``), keep timestamps as they are, optionally round half-up to the hour, drop rows without a timestamp."""
     if col not in df.columns:
         return df
     src = F.col(col)
     if isinstance(df.schema[col].dataType, StringType):
-        ts = parse_timestamp(src)
+        ts = parse_timestamp(src, source_tz=source_tz)
     else:
         ts = src.cast("timestamp_ntz")
     if round_to_hour:
@@ -106,12 +107,23 @@ def _all_invalid_guard(raw: DataFrame, clean: DataFrame, required: Sequence[str]
     return clean.where(F.coalesce(any_valid, F.lit(0)) == 1)
 
 
+def drop_invalid_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """N11, on request: only the rows with every required field."""
+    return df.where(~any_required_null(df, required))
+
+
+def drop_missing_critical(df: DataFrame, critical: Sequence[str], threshold: float) -> DataFrame:
+    """Without the rows whose share of missing critical fields exceeds ``threshold``."""
+    missing = sum((F.col(c).isNull().cast("int") for c in critical), F.lit(0))
+    return df.where(missing / F.lit(len(critical)) <= F.lit(threshold))
+
+
 def process_train(raw: DataFrame, cfg: TrainConfig = TrainConfig(), *, tie_break: str = "ingest_seq",
-                  all_invalid_exit: bool = True) -> DataFrame:
+                  all_invalid_exit: bool = True, drop_invalid: bool = False) -> DataFrame:
     """Schema report, timestamp normalisation, most-complete dedup,
     business rules; returns the clean frame with ``delay_anomaly`` /
-    ``delay_outlier`` flags."""
-    df = normalize_timestamps(raw)
+    ``delay_outlier`` flags. ``drop_invalid`` drops what the schema report only counts."""
+    df = normalize_timestamps(drop_invalid_rows(raw, cfg.required_fields) if drop_invalid else raw)
     df = dedup_best(df, keys=cfg.dedup_keys, tie_break=tie_break)
     init = ("delay_anomaly", "delay_outlier") if "delay_minutes" in df.columns else ()
     df = R.apply_rules(df, R.train_business_rules(cfg.delay_min_threshold, cfg.delay_max_threshold), init_flags=init)
@@ -119,10 +131,10 @@ def process_train(raw: DataFrame, cfg: TrainConfig = TrainConfig(), *, tie_break
 
 
 def process_weather(raw: DataFrame, cfg: WeatherConfig = WeatherConfig(), *, order_by: str = "ingest_seq",
-                    all_invalid_exit: bool = True) -> DataFrame:
+                    all_invalid_exit: bool = True, drop_invalid: bool = False) -> DataFrame:
     """Schema report, timestamp normalisation with half-up hour rounding,
     keep-last dedup on ``(station_code, timestamp)`` by ``order_by``, range rules."""
-    df = normalize_timestamps(raw, round_to_hour=True)
+    df = normalize_timestamps(drop_invalid_rows(raw, cfg.required_fields) if drop_invalid else raw, round_to_hour=True)
     df = dedup_last(df, keys=cfg.dedup_keys, order_by=order_by)
     init = [f for f, c in (("temp_range_violation", "temperature"),) if c in df.columns]
     if "precipitation" in df.columns or "precip_mm" in df.columns:

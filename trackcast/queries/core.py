@@ -101,6 +101,23 @@ from (
 """
 
 
+@register("schema_compliance", """
+select 'train' as processor, 'schema_validation' as step, count(*) as total_records, count(*) - bad as valid_records,
+  bad as dropped_records, 0 as flagged_records, round((count(*) - bad) * 1e0 / count(*), 9) as schema_compliance_rate
+from trains_raw, (select count(*) as bad from trains_raw where station_code is null or timestamp is null or train_id is null) b
+group by bad
+union all
+select 'weather', 'schema_validation', count(*), count(*) - bad, bad, 0, round((count(*) - bad) * 1e0 / count(*), 9)
+from weather_raw, (select count(*) as bad from weather_raw
+                   where station_code is null or timestamp is null or temperature is null) b
+group by bad""")
+def schema_compliance(s):
+    """G1 step summary of both raw tables with the share of rows that have every required field."""
+    out = (dq.validate_schema(s.trains_raw, TC.required_fields, "train")
+           .unionByName(dq.validate_schema(s.weather_raw, WC.required_fields, "weather")))
+    return out.withColumn("schema_compliance_rate", F.round("schema_compliance_rate", 9))
+
+
 @register("train_rules", _TRAIN_RULES_SQL)
 def train_rules(s):
     """G2 rule counts on the deduplicated trains (a row only when violated)."""

@@ -94,9 +94,14 @@ def time_order_check(s):
 # Text stand-ins: every raw weather row rendered in each accepted text form
 # plus one unparseable form; the job itself only sees strings.
 _TEXT_FORMS_SPARK = (("iso_minute", "yyyy-MM-dd'T'HH:mm"), ("iso_second", "yyyy-MM-dd'T'HH:mm:ss"),
-                     ("space_micros", "yyyy-MM-dd HH:mm:ss.SSSSSS"), ("day_first", "dd/MM/yyyy HH:mm"))
+                     ("space_micros", "yyyy-MM-dd HH:mm:ss.SSSSSS"), ("day_first", "dd/MM/yyyy HH:mm"),
+                     ("basic", "yyyyMMdd'T'HHmmss"), ("month_name", "MMM d yyyy HH:mm"),
+                     ("zulu", "yyyy-MM-dd'T'HH:mm:ss'Z'"), ("east", "yyyy-MM-dd'T'HH:mm:ss'+02:00'"),
+                     ("west", "yyyy-MM-dd HH:mm'-0530'"))
 _TEXT_FORMS_DUCK = (("iso_minute", "%Y-%m-%dT%H:%M"), ("iso_second", "%Y-%m-%dT%H:%M:%S"),
-                    ("space_micros", "%Y-%m-%d %H:%M:%S.%f"), ("day_first", "%d/%m/%Y %H:%M"))
+                    ("space_micros", "%Y-%m-%d %H:%M:%S.%f"), ("day_first", "%d/%m/%Y %H:%M"),
+                    ("basic", "%Y%m%dT%H%M%S"), ("month_name", "%b %-d %Y %H:%M"), ("zulu", "%Y-%m-%dT%H:%M:%SZ"),
+                    ("east", "%Y-%m-%dT%H:%M:%S+02:00"), ("west", "%Y-%m-%d %H:%M-0530"))
 
 
 def _texts(s):
@@ -118,7 +123,9 @@ _TEXTS_SQL = " union all ".join(
 
 _DUCK_PARSE = ("coalesce(" + ", ".join(f"try_strptime(text, '{f}')" for f in (
     "%Y-%m-%dT%H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %H:%M:%S",
-    "%Y-%m-%d %H:%M", "%Y-%m-%d", "%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d/%m/%Y")) + ")")
+    "%Y-%m-%d %H:%M", "%Y-%m-%d", "%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d/%m/%Y", "%Y%m%dT%H%M%S", "%b %d %Y %H:%M",
+    "%Y-%m-%dT%H:%M:%SZ")) + ", try_strptime(text, '%Y-%m-%dT%H:%M:%S+02:00') - interval 2 hour, "
+    "try_strptime(text, '%Y-%m-%d %H:%M-0530') + interval 330 minute)")
 
 
 @register("normalize_timestamp", f"select ingest_seq, form, text, {_DUCK_PARSE} as parsed, "

@@ -11,6 +11,7 @@ from trackcast.config import DELAY_STATUSES, TRAIN_COLUMNS, TrainConfig, Weather
 from trackcast.functions.nulls import count_if
 from trackcast.operators import rules as R
 from trackcast.operators import setops
+from trackcast.operators.attach import one_row
 from trackcast.operators.dedup import dedup_last, duplicate_count, duplicate_flag
 from trackcast.operators.spatial import EXAMPLE_REGION, points_in_region, ring_edges_sql
 from trackcast.operators.windows import gap_hours as gap_hours_op
@@ -18,7 +19,6 @@ from trackcast.operators.windows import top_k_per_group
 from trackcast.plans import dq, post, pre
 from trackcast.sources import constraints as K
 from trackcast.sources import sinks as B
-from trackcast.operators.attach import one_row
 
 TC, WC = TrainConfig(), WeatherConfig()
 RANGE_START, RANGE_END = "2024-01-01", "2024-01-31"   # the whole month of the test data
@@ -841,13 +841,13 @@ select 'trains_raw' as table_name, count(*) as rows,
 union all
 select 'weather_raw', count(*), count(*) filter (where {_null_share(WC.critical_fields)} > 0.3) from weather_raw""")
 def missing_critical_drop(s):
-    """Rows whose share of missing critical fields exceeds 50 % (train) /
-    30 % (weather)."""
+    """Rows dropped because their share of missing critical fields exceeds 50 % (train) /
+    30 % (weather): rows before less rows that stay."""
     out = None
     for name, df, crit, lim in (("trains_raw", s.trains_raw, TC.critical_fields, TC.missing_value_threshold),
                                 ("weather_raw", s.weather_raw, WC.critical_fields, WC.missing_value_threshold)):
-        share = sum((F.col(c).isNull().cast("int") for c in crit), F.lit(0)) / F.lit(len(crit))
-        part = df.agg(F.count(F.lit(1)).alias("rows"), count_if(share > lim).alias("rows_dropped")) \
-                 .select(F.lit(name).alias("table_name"), "rows", "rows_dropped")
+        stay = dq.drop_missing_critical(df, crit, lim).agg(F.count(F.lit(1)).alias("stay"))
+        part = one_row(df.agg(F.count(F.lit(1)).alias("rows")), stay).select(
+            F.lit(name).alias("table_name"), "rows", (F.col("rows") - F.col("stay")).alias("rows_dropped"))
         out = part if out is None else out.unionByName(part)
     return out
