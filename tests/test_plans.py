@@ -54,3 +54,12 @@ def test_nearest_join_without_broadcast_is_a_sort_merge_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_report_rows_read_each_source_once_per_stage(spark):
+    """The post report is one row per date: no branch rebuilds the integrated rows."""
+    import __spark_entry__ as E
+    for k in ("report_rows", "retrieve_reports", "json_details_extract", "post_overall_score"):
+        df = E.queries()[k](spark, SF_MID)
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+        assert leaves <= 10, (k, leaves)

@@ -63,9 +63,14 @@ def integrate(s):
 
 @register("append_integrated", "select * from integrated_table")
 def append_integrated(s):
-    """B4 projection: the target table columns that exist, in table order."""
+    """The target table columns that exist, in table order, appended by date and read back."""
     from trackcast.plans.integrate import project_integrated
-    return project_integrated(s.features)
+    from trackcast.session import new_work_dir
+    from trackcast.sources.sinks import with_date, write_partitioned
+    frame = with_date(project_integrated(s.features))
+    path = new_work_dir(s.spark, "integrated")
+    write_partitioned(frame, path, partition_by=("date",))
+    return s.spark.read.schema(frame.schema).parquet(path).select(*frame.columns).drop("date")
 
 
 _SCHEMA_SQL = """

@@ -226,6 +226,11 @@ def pre_report_rows(s):
 
 @register("append_metrics", msql(f"select table_name, metric_name, {_R9}, timestamp from mlong"))
 def append_metrics(s):
-    """The metric rows appended to the store (step metrics of every run)."""
-    m = M.metrics_table(_steps(s))
+    """The metric rows (step metrics of every run) appended to a new store by date, read back."""
+    from trackcast.session import new_work_dir
+    from trackcast.sources.sinks import write_partitioned
+    rows = M.metrics_table(_steps(s))
+    path = new_work_dir(s.spark, "metrics")
+    write_partitioned(rows, path, partition_by=("date",))
+    m = s.spark.read.schema(rows.schema).parquet(path)
     return m.select("table_name", "metric_name", F.round("metric_value", 9).alias("metric_value"), "timestamp")

@@ -17,6 +17,7 @@ from trackcast.operators.spatial import EXAMPLE_REGION, points_in_region, ring_e
 from trackcast.operators.windows import gap_hours as gap_hours_op
 from trackcast.operators.windows import top_k_per_group
 from trackcast.plans import dq, post, pre
+from trackcast.session import new_work_dir
 from trackcast.sources import constraints as K
 from trackcast.sources import sinks as B
 
@@ -75,10 +76,17 @@ def list_stations(s):
 
 # ---- writes (B1-B3, B8-B10) -----------------------------------------------------------
 
+def _stored(s, frame, name, partition_by):
+    """The frame written to a new table under its partitions and read back in its own columns."""
+    path = new_work_dir(s.spark, name)
+    B.write_partitioned(frame, path, partition_by=partition_by)
+    return s.spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
+
+
 @register("append_trains", f"select *, strftime(timestamp, {DAY}) as date from trains")
 def append_trains(s):
-    """B1: the 11 stored train columns and the date partition column."""
-    return B.append_trains(s.trains_clean)
+    """B1: the 11 stored train columns appended under their date partitions, read back."""
+    return _stored(s, B.append_trains(s.trains_clean), "trains", ("date",))
 
 
 _WNORM = "(select station_code, timestamp, temperature, wind_speed, precip_mm, weather_code, ingest_seq from weather_norm)"
@@ -183,14 +191,18 @@ from trains_raw"""
 
 @register("land_raw", _LAND_RAW_SQL)
 def land_raw(s):
-    """Raw train rows as JSON documents keyed by date and station."""
-    return B.land_raw(s.trains_raw)
+    """Raw train rows as JSON documents landed under date and station, read back."""
+    return _stored(s, B.land_raw(s.trains_raw), "raw", ("date", "station_code"))
 
 
 @register("write_curated_csv", "select *, cast(year(timestamp) as integer) as year from weather")
 def write_curated_csv(s):
-    """Curated weather rows with the year partition column."""
-    return B.curated_weather(s.weather)
+    """Curated weather CSV per station and year with a header; a second write skips what exists; read back."""
+    frame = B.curated_weather(s.weather)
+    path = new_work_dir(s.spark, "curated")
+    for _ in range(2):
+        B.write_absent_partitions(frame, path, partition_by=("station_code", "year"), fmt="csv")
+    return s.spark.read.schema(frame.schema).option("header", True).options(**B.TS_OPTIONS).csv(path).select(*frame.columns)
 
 
 # ---- constraints (K1-K5) ----------------------------------------------------------------

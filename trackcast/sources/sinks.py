@@ -39,7 +39,7 @@ def with_date(df: DataFrame, ts: str = "timestamp", name: str = "date") -> DataF
 
 def append_trains(df: DataFrame) -> DataFrame:
     """B1 frame: the 11 train columns plus the ``date`` partition column;
-    refuses a frame without the required columns."""
+    refuses a frame without the required columns (an empty frame writes nothing)."""
     missing = require_columns(df, ("train_id", "timestamp", "station_code"))
     if missing:
         raise ValueError(f"missing required columns: {missing}")
@@ -58,12 +58,21 @@ def write_partitioned(df: DataFrame, path: str, *, partition_by: Sequence[str],
     w.save(path)
 
 
-def read_if_exists(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def write_absent_partitions(df: DataFrame, path: str, *, partition_by: Sequence[str], fmt: str = "csv") -> None:
+    """Writes only the partitions that have no file yet (the reference skips a curated file that exists).
+
+    Stored partitions are read from folder names; a partition is written whole in one job, so it is there or it is not."""
+    keys = StructType([f for f in df.schema.fields if f.name in partition_by])
+    stored = read_if_exists(df.sparkSession, path, StructType(list(df.schema.fields)), fmt).select(*keys.fieldNames()).distinct()
+    write_partitioned(df.join(stored, list(partition_by), "left_anti"), path, partition_by=partition_by, fmt=fmt)
+
+
+def read_if_exists(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     """A stored table, or an empty frame of its schema before the first write.
 
     Only a missing path counts as "not written yet"; any other failure is raised."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("header", True).format(fmt).load(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
