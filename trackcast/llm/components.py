@@ -20,8 +20,10 @@ def components(links: DataFrame, work: WorkTables, name: str) -> DataFrame:
     Each round rewires every edge towards smaller keys; stars are the fixed point. Rounds grow with the
     logarithm of the longest chain; every round is written, so a lost executor costs one round.
     """
+    # every round has at most as many edges as there are links: its files are sized by that count
+    files = max(8, -(-links.count() // 500_000))
     edges = work.put(f"{name}-0", links.filter("a <> b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().coalesce(files))
     seen, k = None, 0
     while True:
         # u > v in every edge; both directions give a node all its neighbours
@@ -32,7 +34,7 @@ def components(links: DataFrame, work: WorkTables, name: str) -> DataFrame:
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
         k += 1
-        edges = work.put(f"{name}-{k}", small)
+        edges = work.put(f"{name}-{k}", small.coalesce(files))
         work.drop(f"{name}-{k - 1}")
         state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == seen:

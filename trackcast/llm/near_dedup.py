@@ -327,17 +327,17 @@ def _classes(rows: DataFrame, work: WorkTables, shingle: int, similarity: float,
                 .join(reps, "key").select(*_MEMBER))
 
     stars = dealt(in_blocks(shared.withColumn("comp", F.col("key"))), _star_pairs, "a long, b long").distinct()
-    links = work.put("links0", _confirmed(work.put("stars", stars), sets, similarity))
-    comp = work.put("comp0", components(links, work, "cc0"))
+    links = work.put("links0", _confirmed(stars, sets, similarity))
+    comp = components(links, work, "cc0")
     placed = shared.join(comp, "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     cross = in_blocks(placed.join(mixed.select("bucket"), "bucket", "left_semi"))
-    active = work.put("active", dealt(cross, _cross_members, "bucket long, x int, y int, band int, blk int, key long"))
+    active = dealt(cross, _cross_members, "bucket long, x int, y int, band int, blk int, key long")
     whole = (active.join(reps, "key").join(sets, "key").join(comp, "key", "left")
              .withColumn("comp", F.coalesce("component", "key")).select(*_MEMBER, "set"))
     more = work.put("links1", dealt(whole, _cross_links, "a long, b long"))
-    comp = work.put("comp1", components(links.unionByName(more), work, "cc1"))
-    work.drop("sets", "shared", "stars", "active", "reps")
+    comp = components(links.unionByName(more), work, "cc1")
+    work.drop("sets", "shared", "reps")
 
     by_class = classes.join(comp.withColumnRenamed("key", "class"), "class", "left").select(
         *digest, F.coalesce("component", "class").alias("component"))
