@@ -1,6 +1,6 @@
 """Operator 9: language identification by a byte convolutional network.
 
-Texts are cut into windows of 256 bytes. A window's bytes become small vectors; filters over
+Texts are cut into windows of 256 bytes (A-Z lower-cased). A window's bytes become small vectors; filters over
 2, 3 and 4 neighbouring bytes are applied at every place, each filter's largest value goes through a
 rectifier into a softmax over the languages. The network is trained in numpy on windows from a bounded sample (``per_language``
 documents of each language, chosen by a hash of their ids, ``per_document`` windows each at hashed
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from trackcast.llm.common import WorkTables, narrow, with_row_key
 from trackcast.llm.substring_dedup import _groups
 from trackcast.llm.toxicity import in_fold
+from trackcast.llm.words import LOWER
 
 WINDOW, DIM, WIDEST = 256, 8, 4
 WIDTHS = (2, 3, 4)
@@ -28,7 +29,7 @@ WIDTHS = (2, 3, 4)
 def _conv_input(windows: np.ndarray, embed: np.ndarray) -> np.ndarray:
     """(windows, places, WIDEST * DIM): the vectors of the bytes from each place on (zeros past the end)."""
     padded = np.zeros((len(windows), WINDOW + WIDEST - 1), np.uint8)
-    padded[:, :WINDOW] = windows
+    padded[:, :WINDOW] = LOWER[windows]
     x = embed[padded].reshape(len(windows), -1)
     places = np.lib.stride_tricks.sliding_window_view(x, WIDEST * DIM, axis=1)[:, ::DIM]
     return np.ascontiguousarray(places, dtype=np.float32)
@@ -91,7 +92,7 @@ def train(windows: np.ndarray, label: np.ndarray, classes: int, *, filters: int
                     "conv": np.einsum("nfi,nf->if", xin, g) * mask, "embed": np.zeros_like(net["embed"])}
             back = np.einsum("nf,if->nfi", g, net["conv"]).reshape(len(own), total, WIDEST, DIM)
             padded = np.zeros((len(own), WINDOW + WIDEST - 1), np.uint8)
-            padded[:, :WINDOW] = win
+            padded[:, :WINDOW] = LOWER[win]
             bytes_ = padded[np.arange(len(own))[:, None, None], peak[:, :, None] + np.arange(WIDEST)]
             np.add.at(grad["embed"], bytes_.ravel(), back.reshape(-1, DIM))
             grad["embed"][0] = 0

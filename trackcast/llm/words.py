@@ -13,8 +13,8 @@ CHUNK = 1 << 18
 #: The six white-space characters between words; none occurs inside a UTF-8 sequence.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
 
 
 class WordNames:
@@ -56,7 +56,7 @@ class WordNames:
         for batch in _chunks(texts):
             data = np.frombuffer(b" ".join(part for _, part in batch), np.uint8)
             if lower:
-                data = _LOWER[data]
+                data = LOWER[data]
             starts, ends = self.find(data)
             size = np.array([len(part) + 1 for _, part in batch])
             at = np.cumsum(size) - size
