@@ -9,7 +9,6 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trackcast.oracle_sql import with_
 from trackcast.stages import Stages

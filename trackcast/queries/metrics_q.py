@@ -214,14 +214,29 @@ prerow as (
                              f"select table_name, metric_name, {_R9}, timestamp from prerow")
 def pre_report_rows(s):
     """The pre report's 11 summary metrics and its complete-report row."""
+    r = _pre_rows(s)
+    return r.select("table_name", "metric_name", F.round("metric_value", 9).alias("metric_value"), "timestamp")
+
+
+@register("retrieve_pre_reports", f",\n{PRE_CTES.strip()},\n{_PRE_ROWS_SQL.strip()}\n"
+          f"select table_name, metric_name, {_R9}, timestamp from prerow where metric_name = 'complete_report' "
+          "and timestamp >= timestamp '2024-01-01 00:00:00' and exists "
+          "(select 1 from (select station_code from trains_raw union all select station_code from weather_raw) u "
+          "where station_code = 'S01') order by timestamp desc limit 10")
+def retrieve_pre_reports(s):
+    """L6 for pre-integration reports: newest complete reports of a window, at most 10, filtered by station."""
+    r = M.retrieve_pre_reports(_pre_rows(s), start_date="2024-01-01", station_codes=["S01"], limit=10)
+    return r.select("table_name", "metric_name", F.round("metric_value", 9).alias("metric_value"), "timestamp")
+
+
+def _pre_rows(s):
     parts = pre.assess(s.trains_raw, s.weather_raw)
     u = s.trains_raw.select("timestamp").unionByName(s.weather_raw.select("timestamp"))
     rng = u.agg(F.date_format(F.min(F.to_date("timestamp")), "yyyy-MM-dd").alias("start"),
                 F.date_format(F.max(F.to_date("timestamp")), "yyyy-MM-dd").alias("end"))
     stations = s.trains_raw.select("station_code").unionByName(s.weather_raw.select("station_code")) \
         .where(F.col("station_code").isNotNull())
-    r = M.pre_report_rows(parts["score"], pre.recommendations(parts), rng, stations)
-    return r.select("table_name", "metric_name", F.round("metric_value", 9).alias("metric_value"), "timestamp")
+    return M.pre_report_rows(parts["score"], pre.recommendations(parts), rng, stations)
 
 
 @register("append_metrics", msql(f"select table_name, metric_name, {_R9}, timestamp from mlong"))

@@ -39,14 +39,6 @@ WEATHER = StructType([
     StructField("weather_code", IntegerType(), True),
 ])
 
-METRICS = StructType([
-    StructField("table_name", StringType(), False),
-    StructField("metric_name", StringType(), False),
-    StructField("metric_value", DoubleType(), True),
-    StructField("timestamp", TS, True),
-    StructField("details", StringType(), True),
-])
-
 # Raw hourly weather payload (one JSON object per station request).
 HOURLY_PAYLOAD = StructType([
     StructField("station_code", StringType(), True),
@@ -66,13 +58,3 @@ STATION_FEED = StructType([
     StructField("lat", StringType(), True),
     StructField("lon", StringType(), True),
 ])
-
-RULE_RESULT = StructType([
-    StructField("processor", StringType(), False),
-    StructField("step", StringType(), False),
-    StructField("rule_name", StringType(), False),
-    StructField("rule_type", StringType(), False),
-    StructField("passed", BooleanType(), False),
-    StructField("affected_records", IntegerType(), False),
-    StructField("action", StringType(), False),
-])
