@@ -125,8 +125,8 @@ def line_dedup(docs: DataFrame, *, spread: int = 4, id_col: str = "doc_id", text
     again = work.put("again", chunks.join(twice, ["h1", "h2"], "left_semi"))
     work.drop("chunks", "twice")
     lists = again.groupBy("key").agg(F.collect_list(F.struct("h1", "h2", "line", "at", "size")).alias("places"))
-    members = base.join(lists, "key").select("key", "ord", "text", "places").mapInArrow(
-        _chunk_bytes, "h1 long, h2 long, bytes binary, ord long, key long, line long")
+    members = base.join(lists.hint("merge"), "key").select(  # the same plan at every size
+        "key", "ord", "text", "places").mapInArrow(_chunk_bytes, "h1 long, h2 long, bytes binary, ord long, key long, line long")
     classes = members.groupBy("h1", "h2", "bytes").agg(F.min(F.struct("ord", "key", "line")).alias("first"))
     heads = work.put("heads", classes.groupBy("h1", "h2").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("texts")))
     place = F.struct("ord", "key", "line")
@@ -139,5 +139,5 @@ def line_dedup(docs: DataFrame, *, spread: int = 4, id_col: str = "doc_id", text
     gone = work.put("gone", gone)
     out = gone.groupBy("key").agg(F.collect_list(F.struct("line", "lines")).alias("places"))
     none = F.from_json(F.lit("[]"), "array<struct<line:long,lines:int>>")
-    return (rows.join(out, "key", "left").select("id", "text", F.coalesce("places", none).alias("places"))
+    return (rows.join(out.hint("merge"), "key", "left").select("id", "text", F.coalesce("places", none).alias("places"))
             .mapInArrow(_keep_lines, f"id {kind}, n_lines long, n_removed long, kept string").withColumnRenamed("id", id_col))
