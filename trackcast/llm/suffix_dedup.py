@@ -184,7 +184,8 @@ def _refine(rows: DataFrame, keys: list[str], work: WorkTables, level: str, last
     Returns the spans found repeated and, unless it is the last level, one
     representative of each distinct (f1, f2) in buckets that hold several.
     """
-    several = rows.groupBy(*keys).agg(F.sum("n").alias("m")).filter("m > 1").select(*keys)
+    # written first, so that the join reads both sides from plain exchanges and Spark can split a hot bucket
+    several = work.put(f"several{level}", rows.groupBy(*keys).agg(F.sum("n").alias("m")).filter("m > 1").select(*keys))
     shared = work.put(f"shared{level}", rows.join(several, keys, "left_semi"))
     groups = shared.groupBy(*keys, "f1", "f2").agg(
         F.sum("n").alias("n"), F.min(F.struct("key", "start", "len", "back")).alias("one"))
@@ -204,14 +205,14 @@ def repeated_starts(rows: DataFrame, work: WorkTables, min_bytes: int) -> DataFr
     """(key, start, len): the starts of strings of ``min_bytes`` bytes that occur at another place too."""
     runs = work.put("runs", rows.select("key", "text").mapInArrow(_anchor_runs(min_bytes), _ddl(_RUN)))
     spans, reps = _refine(runs.withColumn("n", F.lit(1)), ["k1"], work, "0", False)
-    work.drop("runs", "shared0", "groups0")
+    work.drop("runs", "several0", "shared0", "groups0")
     found = spans
     widths = [w for w in (max(1, min_bytes // 25), 1)]
     for level, width in enumerate(dict.fromkeys(widths), 1):
         cut = at_places(rows, reps, "start", "len", "back", "n").mapInArrow(_pieces(min_bytes, width), _ddl(_PIECE))
         pieces = work.put(f"pieces{level}", cut)
         spans, reps = _refine(pieces, ["k1", "k2"], work, str(level), width == 1)
-        work.drop(f"pieces{level}", f"shared{level}", f"groups{level}")
+        work.drop(f"pieces{level}", f"several{level}", f"shared{level}", f"groups{level}")
         found = found.unionByName(spans)
     return found
 
