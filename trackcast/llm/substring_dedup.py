@@ -168,10 +168,11 @@ def repeated_windows(rows: DataFrame, work: WorkTables, window: int) -> DataFram
     """(key, start, len): starts of windows of ``window`` words that also start in a row with a smaller ``ord``."""
     base = rows.select("key", "ord", "text")
     runs = work.put("runs", base.mapInArrow(_sampled_runs(window), "name long, key long, ord long, start long, len int"))
-    both = runs.groupBy("name").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).filter("lo < hi")
+    # written first, here and below, so that the joins read plain exchanges and Spark can split hot names
+    both = work.put("both", runs.groupBy("name").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).filter("lo < hi"))
     shared = work.put("shared", runs.join(both, "name").select(
         "key", "start", "len", (F.col("ord") > F.col("lo")).alias("probe"), (F.col("ord") < F.col("hi")).alias("ref")))
-    work.drop("runs")
+    work.drop("runs", "both")
 
     def scan(places, fn, ddl, *fields):
         lists = places.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("places"))
@@ -180,17 +181,17 @@ def repeated_windows(rows: DataFrame, work: WorkTables, window: int) -> DataFram
     grams = work.put("grams", scan(shared, _blocks_and_probes(window),
                                    "b long, key long, ord long, pos long, block boolean, probe boolean",
                                    "start", "len", "probe", "ref"))
-    index = grams.filter("block").groupBy("b").agg(F.min("ord").alias("first"))
+    index = work.put("index", grams.filter("block").groupBy("b").agg(F.min("ord").alias("first")))
     hits = work.put("hits", grams.filter("probe").join(index, "b").filter("first < ord").select("b", "key", "ord", "pos"))
-    asked = hits.groupBy("b").agg(F.max("ord").alias("last"))
+    asked = work.put("asked", hits.groupBy("b").agg(F.max("ord").alias("last")))
     useful = grams.filter("block").join(asked, "b").filter("ord < last").select("key", "pos")
     places = (hits.select("key", "pos", F.lit(False).alias("block"), F.lit(True).alias("probe"))
               .unionByName(useful.select("key", "pos", F.lit(True).alias("block"), F.lit(False).alias("probe"))))
     around = work.put("around", scan(places, _neighbourhoods(window), "b long, f1 long, f2 long, key long, ord long, "
                                      "start long, len int, block boolean, probe boolean", "pos", "block", "probe"))
-    work.drop("shared", "grams", "hits")
+    work.drop("shared", "grams", "hits", "index", "asked")
 
-    known = around.filter("block").groupBy("f1", "f2").agg(F.min("ord").alias("first"))
+    known = work.put("known", around.filter("block").groupBy("f1", "f2").agg(F.min("ord").alias("first")))
     judged = work.put("judged", around.filter("probe").join(known, ["f1", "f2"], "left").select(
         "b", "key", "start", "len", F.coalesce(F.col("first") < F.col("ord"), F.lit(False)).alias("found")))
     spans, open_ = judged.filter("found").select("key", "start", "len"), judged.filter("not found")
@@ -204,7 +205,7 @@ def repeated_windows(rows: DataFrame, work: WorkTables, window: int) -> DataFram
     first = single.filter("block").groupBy("w1", "w2").agg(F.min("ord").alias("first"))
     ends = work.put("ends", single.filter("probe").join(first, ["w1", "w2"]).filter("first < ord")
                     .select("key", "start", F.lit(1).alias("len")))
-    work.drop("around", "single")
+    work.drop("around", "known", "single")
     return spans.unionByName(ends)
 
 
