@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from typing import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from trackcast.session import drop_path, new_work_dir
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of text that numpy works on at a time.
+CHUNK = 1 << 18
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -146,3 +151,27 @@ def pair_name(a: np.ndarray, b: np.ndarray, lane: int) -> np.ndarray:
     h *= _M1 if lane == 0 else _M2
     h ^= h >> np.uint64(29)
     return h
+
+
+def text_groups(batches: Iterator[pa.RecordBatch], text_at: int, rows: int = 512):
+    """Slices of record batches of about CHUNK bytes of text (at least one row)."""
+    for whole in batches:
+        at = 0
+        while at < whole.num_rows:
+            part = whole.slice(at, rows)
+            texts, size = [], 0
+            for t in part.column(text_at):
+                texts.append(t.as_py().encode("utf-8"))
+                size += len(texts[-1])
+                if size >= CHUNK:
+                    break
+            yield whole.slice(at, len(texts)), texts
+            at += len(texts)
+
+
+def covered(n: int, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Which of n places lie in one of the ranges [first, first + count)."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, np.minimum(first, n), 1)
+    np.add.at(edge, np.minimum(first + count, n), -1)
+    return np.cumsum(edge[:n]) > 0

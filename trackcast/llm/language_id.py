@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WorkTables, narrow, with_row_key
-from trackcast.llm.substring_dedup import _groups
+from trackcast.llm.common import WorkTables, narrow, text_groups, with_row_key
 from trackcast.llm.toxicity import in_fold
 from trackcast.llm.words import LOWER
 
@@ -119,7 +118,7 @@ def _cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _sampled_windows(per_document: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
-        for part, texts in _groups(batches, 1):
+        for part, texts in text_groups(batches, 1):
             lang, key = part.column(2).to_pylist(), part.column(0).to_pylist()
             out = {"lang": [], "window": []}
             for text, name, k in zip(texts, lang, key):
@@ -135,7 +134,7 @@ def _sampled_windows(per_document: int):
 
 def _predictions(net, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in _groups(batches, 1):
+        for part, texts in text_groups(batches, 1):
             windows, length, count = _cut(texts)
             p = np.zeros((len(texts), classes))
             np.add.at(p, np.repeat(np.arange(len(texts)), count), probabilities(windows, net.value) * length[:, None])

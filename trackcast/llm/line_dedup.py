@@ -21,8 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WorkTables, list_fields, pair_name, with_row_key
-from trackcast.llm.substring_dedup import _covered, _groups
+from trackcast.llm.common import WorkTables, covered, list_fields, pair_name, text_groups, with_row_key
 from trackcast.llm.words import WordNames
 
 _NEWLINE = 0x0A
@@ -65,7 +64,7 @@ def _chunks_of(texts: list[bytes], names: WordNames, spread: int):
 def _chunk_rows(spread: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = WordNames()
-        for part, texts in _groups(batches, 2):
+        for part, texts in text_groups(batches, 2):
             h1, h2, row, line, lines, at, size = _chunks_of(texts, names, spread)
             on = lines > 1
             yield pa.RecordBatch.from_arrays(
@@ -77,7 +76,7 @@ def _chunk_rows(spread: int):
 
 
 def _chunk_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in _groups(batches, 2, 64):
+    for part, texts in text_groups(batches, 2, 64):
         n, f = list_fields(part.column(3), "h1", "h2", "line", "at", "size")
         row = np.repeat(np.arange(len(texts)), n)
         bytes_ = [texts[r][a:a + s] for r, a, s in zip(row.tolist(), f["at"].tolist(), f["size"].tolist())]
@@ -87,13 +86,13 @@ def _chunk_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keep_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in _groups(batches, 1):
+    for part, texts in text_groups(batches, 1):
         n, f = list_fields(part.column(2), "line", "lines")
         cut = np.concatenate([[0], np.cumsum(n)])
         n_lines, n_removed, kept = [], [], []
         for r, text in enumerate(texts):
             lines = text.split(b"\n")
-            gone = _covered(len(lines), f["line"][cut[r]:cut[r + 1]], f["lines"][cut[r]:cut[r + 1]])
+            gone = covered(len(lines), f["line"][cut[r]:cut[r + 1]], f["lines"][cut[r]:cut[r + 1]])
             n_lines.append(len(lines))
             n_removed.append(int(gone.sum()))
             kept.append(b"\n".join([x for x, g in zip(lines, gone.tolist()) if not g]))

@@ -25,9 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WorkTables, numbered_rows, pair_name, with_row_key
+from trackcast.llm.common import WorkTables, numbered_rows, pair_name, text_groups, with_row_key
 from trackcast.llm.components import components
-from trackcast.llm.substring_dedup import _groups
 from trackcast.llm.words import WordNames, gram_names
 
 BANDS, ROWS = 32, 4
@@ -63,7 +62,7 @@ def _signatures(shingle: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = WordNames()
-        for part, texts in _groups(batches, 1):
+        for part, texts in text_groups(batches, 1):
             sizes, h, h2 = _sets(texts, names, shingle)
             full = np.flatnonzero(sizes)
             at = (np.cumsum(sizes) - sizes)[full]
@@ -97,7 +96,7 @@ def _signatures(shingle: int):
 def _full_sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = WordNames()
-        for part, texts in _groups(batches, 1):
+        for part, texts in text_groups(batches, 1):
             sizes, h, _ = _sets(texts, names, shingle)
             end = np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays(

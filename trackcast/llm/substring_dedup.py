@@ -20,31 +20,14 @@ combined (smallest document) before the shuffle; joins back to hits carry no tex
 
 from __future__ import annotations
 
-from typing import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WorkTables, list_fields, pair_name, ranges, sliding_min, with_row_key
-from trackcast.llm.words import CHUNK, WordNames, gram_names
-
-
-def _groups(batches: Iterator[pa.RecordBatch], text_at: int, rows: int = 512):
-    """Slices of record batches of about CHUNK bytes of text (at least one row)."""
-    for whole in batches:
-        at = 0
-        while at < whole.num_rows:
-            part = whole.slice(at, rows)
-            texts, size = [], 0
-            for t in part.column(text_at):
-                texts.append(t.as_py().encode("utf-8"))
-                size += len(texts[-1])
-                if size >= CHUNK:
-                    break
-            yield whole.slice(at, len(texts)), texts
-            at += len(texts)
+from trackcast.llm.common import (WorkTables, covered, list_fields, pair_name, ranges, sliding_min, text_groups,
+                                  with_row_key)
+from trackcast.llm.words import WordNames, gram_names
 
 
 def _table(**columns) -> pa.RecordBatch:
@@ -61,7 +44,7 @@ def _sampled_runs(window: int):
 
     def run(batches):
         names = WordNames()
-        for part, texts in _groups(batches, 2):
+        for part, texts in text_groups(batches, 2):
             counts, lanes = names.of(texts)
             n = int(counts.sum())
             if n < window:
@@ -88,7 +71,7 @@ def _blocks_and_probes(window: int):
 
     def run(batches):
         names = WordNames()
-        for part, texts in _groups(batches, 2):
+        for part, texts in text_groups(batches, 2):
             counts, lanes = names.of(texts)
             base = np.cumsum(counts) - counts
             grams = gram_names(lanes, (half,), 0)[half]
@@ -97,7 +80,7 @@ def _blocks_and_probes(window: int):
             wanted = {}
             for role in ("probe", "ref"):
                 on = f[role].astype(bool)
-                wanted[role] = _covered(len(grams), first[on], f["len"][on] + half - 1)
+                wanted[role] = covered(len(grams), first[on], f["len"][on] + half - 1)
             row = np.repeat(np.arange(len(texts)), counts)[:len(grams)]
             block = wanted["ref"] & ((np.arange(len(grams)) - base[row]) % half == 0)
             at = np.flatnonzero(wanted["probe"] | block)
@@ -107,20 +90,13 @@ def _blocks_and_probes(window: int):
     return run
 
 
-def _covered(n: int, first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, np.minimum(first, n), 1)
-    np.add.at(edge, np.minimum(first + count, n), -1)
-    return np.cumsum(edge[:n]) > 0
-
-
 def _neighbourhoods(window: int):
     """(b, f1, f2, key, ord, start, len, block, probe): the windows whose first block is at a place, under one name."""
     half = window // 2
 
     def run(batches):
         names = WordNames()
-        for part, texts in _groups(batches, 2):
+        for part, texts in text_groups(batches, 2):
             counts, lanes = names.of(texts)
             base = np.cumsum(counts) - counts
             n, f = list_fields(part.column(3), "pos", "block", "probe")
@@ -148,13 +124,13 @@ def _single_windows(window: int):
     """(w1, w2, key, ord, start, block, probe): single windows of undecided places, each start once."""
     def run(batches):
         names = WordNames()
-        for part, texts in _groups(batches, 2):
+        for part, texts in text_groups(batches, 2):
             counts, lanes = names.of(texts)
             base = np.cumsum(counts) - counts
             n, f = list_fields(part.column(3), "start", "len", "role")
             first = f["start"] + np.repeat(base, n)
             total = int(counts.sum())
-            block, probe, done = (_covered(total, first[f["role"] == r], f["len"][f["role"] == r]) for r in (0, 1, 2))
+            block, probe, done = (covered(total, first[f["role"] == r], f["len"][f["role"] == r]) for r in (0, 1, 2))
             probe &= ~done
             at = np.flatnonzero(block | probe)
             row = np.searchsorted(base + counts, at, side="right")
@@ -212,14 +188,14 @@ def repeated_windows(rows: DataFrame, work: WorkTables, window: int) -> DataFram
 def _keep_words(window: int):
     def run(batches):
         names = WordNames()
-        for part, texts in _groups(batches, 1):
+        for part, texts in text_groups(batches, 1):
             n, f = list_fields(part.column(2), "start", "len")
             cut = np.concatenate([[0], np.cumsum(n)])
             n_words, n_removed, kept = [], [], []
             for r, text in enumerate(texts):
                 starts, ends = names.find(np.frombuffer(text, np.uint8))
                 own = slice(cut[r], cut[r + 1])
-                gone = _covered(len(starts), f["start"][own], f["len"][own] + window - 1)
+                gone = covered(len(starts), f["start"][own], f["len"][own] + window - 1)
                 stay = np.flatnonzero(~gone)
                 n_words.append(len(starts))
                 n_removed.append(len(starts) - len(stay))

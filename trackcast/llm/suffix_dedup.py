@@ -31,10 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import (WorkTables, at_places, list_fields, pair_name, ranges, sliding_min,
+from trackcast.llm.common import (CHUNK, WorkTables, at_places, list_fields, pair_name, ranges, sliding_min,
                                   with_row_key)
 
-CHUNK = 1 << 18
 _POS = np.uint64((1 << 20) - 1)
 
 

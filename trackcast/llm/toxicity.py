@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WorkTables, narrow
-from trackcast.llm.substring_dedup import _groups
+from trackcast.llm.common import WorkTables, narrow, text_groups
 from trackcast.llm.words import WordNames
 
 NAME_BITS = 22
@@ -56,7 +55,7 @@ def _expressions(texts: list[bytes], names: WordNames) -> tuple[np.ndarray, np.n
 
 
 def _lowered(batches, text_at):
-    for part, texts in _groups(batches, text_at, 256):
+    for part, texts in text_groups(batches, text_at, 256):
         yield part, [t.decode("utf-8").lower().encode("utf-8") for t in texts]
 
 

@@ -6,9 +6,7 @@ from typing import Iterator
 
 import numpy as np
 
-from trackcast.llm.common import pair_name
-
-CHUNK = 1 << 18
+from trackcast.llm.common import CHUNK, pair_name
 
 #: The six white-space characters between words; none occurs inside a UTF-8 sequence.
 _SPACE = np.zeros(256, bool)
