@@ -70,3 +70,43 @@ def test_repeated_ids_and_rows_without_id_keep_one_copy(spark):
 
 def test_empty_table(spark):
     assert line_dedup(frame(spark, [])).collect() == []
+
+
+def brute_pairs(docs):
+    """Every two neighbouring lines that an earlier place has are removed."""
+    order = sorted((d is None, d or 0, key, (t or "").split("\n")) for key, (d, t) in enumerate(docs))
+    seen, out = set(), []
+    for null, d, _, lines in order:
+        gone = set()
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            if pair in seen:
+                gone |= {i, i + 1}
+            seen.add(pair)
+        out.append((None if null else d, (len(lines), len(gone), digest("\n".join(x for i, x in enumerate(lines) if i not in gone)))))
+    return sorted_groups(out)
+
+
+@pytest.mark.parametrize("weak, clash", [(False, True), (True, False)])
+def test_every_pair_equals_brute_force(spark, weak, clash):
+    docs = cases()
+    name = {"name": lambda a, b: (a % 7, b * 0)} if weak else {}
+    rows = line_dedup(frame(spark, docs, clash), every_pair=True, **name).collect()
+    assert by_id(rows, "n_lines", "n_removed", lambda r: digest(r["kept"])) == brute_pairs(docs)
+
+
+def test_query_removes_whole_short_passages(spark, tmp_path):
+    from trackcast.llm.queries_dedup import op4_line_dedup
+    docs = []
+    for i in range(20):  # passages of two to five lines between lines of their own
+        passage = [f"passage {i} line {k}" for k in range(2 + i % 4)]
+        docs += [(2 * i, "\n".join([f"own {i}", *passage, f"end {i}"])), (2 * i + 1, "\n".join([f"other {i}", *passage, f"last {i}"]))]
+    frame(spark, docs).write.parquet(str(tmp_path / "documents.parquet"))
+    removed = {r["doc_id"]: r["n_removed"] for r in op4_line_dedup(spark, str(tmp_path)).collect()}
+    assert removed == {d: 0 if d % 2 == 0 else 2 + d // 2 % 4 for d, _ in docs}
+
+
+def test_every_pair_finds_all_repeats_of_the_given_documents(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = line_dedup(df, every_pair=True).collect()
+    docs = [tuple(r) for r in df.collect()]
+    assert by_id(rows, "n_lines", "n_removed", lambda r: digest(r["kept"])) == brute_pairs(docs)

@@ -6,7 +6,13 @@ or cut earlier shifts nothing beyond the next boundary, and a passage of several
 cut alike wherever it stands. A chunk of two lines or more that occurs more than once, anywhere, stays
 at its first place (smallest id, then position) and is removed elsewhere.
 
-Chunks are first grouped by a 128-bit name, without their text. Only chunks whose name occurs
+Boundaries lose what lies before a passage's first and after its last one. With ``every_pair`` (the
+registered query) every boundary counts: each line is an anchor of its own, extended by the line after
+it, so the rolling hash names every two neighbouring lines, and neighbouring repeated pairs make up a passage of any
+length. A pair that an earlier place has is removed, so every line that belongs to a repeated run of two lines or
+more goes, and each line's first place of all stays.
+
+Chunks (or pairs) are first grouped by a 128-bit name, without their text. Only those whose name occurs
 twice are read again and grouped by name and bytes, so that no two different chunks are merged; equal ones are combined before the
 shuffle. Members then find their class by an equi-join on the name, in which rows carry no
 text; if a name stands for several texts (checked), the join compares the bytes as well.
@@ -61,11 +67,22 @@ def _chunks_of(texts: list[bytes], names: WordNames, spread: int):
     return (*found, row[begin], first_line, end - begin + 1, starts[begin] - text_at[row[begin]], ends[end] - starts[begin])
 
 
-def _chunk_rows(spread: int):
+def _pairs_of(texts: list[bytes], names: WordNames):
+    """Every two neighbouring lines of each text, in the form of ``_chunks_of``."""
+    data, starts, ends, count = _lines(texts)
+    row = np.repeat(np.arange(len(texts)), count)
+    on = np.flatnonzero(row[1:] == row[:-1])
+    line = [names.name(data, starts, ends, lane) for lane in (0, 1)]
+    found = [pair_name(line[lane][on], line[lane][on + 1], lane) for lane in (0, 1)]
+    first = (np.cumsum(count) - count)[row[on]]
+    return (*found, row[on], on - first, np.full(len(on), 2), starts[on] - starts[first], ends[on + 1] - starts[on])
+
+
+def _chunk_rows(spread: int, every_pair: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = WordNames()
         for part, texts in text_groups(batches, 2):
-            h1, h2, row, line, lines, at, size = _chunks_of(texts, names, spread)
+            h1, h2, row, line, lines, at, size = _pairs_of(texts, names) if every_pair else _chunks_of(texts, names, spread)
             on = lines > 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h1.view(np.int64)[on]), pa.array(h2.view(np.int64)[on]), part.column(0).take(pa.array(row[on])),
@@ -101,15 +118,15 @@ def _keep_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(kept, pa.binary()).cast(pa.string())], names=["id", "n_lines", "n_removed", "kept"])
 
 
-def line_dedup(docs: DataFrame, *, spread: int = 4, id_col: str = "doc_id", text_col: str = "text",
-               name=lambda h1, h2: (h1, h2)) -> DataFrame:
+def line_dedup(docs: DataFrame, *, spread: int = 4, every_pair: bool = False, id_col: str = "doc_id",
+               text_col: str = "text", name=lambda h1, h2: (h1, h2)) -> DataFrame:
     """One row per input row: id, n_lines, n_removed, kept (the lines that stay, joined by newlines).
 
     Lines are what newlines separate, so a text has one line more than newlines, and every line
     counts, empty ones too. Defined results: a null text counts as the empty text (one empty line); a text of one line loses
     nothing; rows that repeat an id are rows of their own (the first by a number given once); rows without an id come
     last; an empty table gives an empty result; extra columns are ignored; texts of any length are treated whole.
-    ``name`` maps the two name columns (tests pass a weak one).
+    ``every_pair`` removes every repeated run of two lines or more, not only whole chunks. ``name`` maps the two name columns (tests pass a weak one).
     """
     work = WorkTables(docs.sparkSession, "line-dedup")
     rows = with_row_key(docs, id_col, text_col, work)
@@ -117,7 +134,7 @@ def line_dedup(docs: DataFrame, *, spread: int = 4, id_col: str = "doc_id", text
     order = F.coalesce(F.col("id").cast("long"), F.lit((1 << 63) - 1)) if kind in (
         "bigint", "int", "smallint", "tinyint") else F.lit(0).cast("long")
     base = rows.select("key", order.alias("ord"), "text")
-    chunks = base.mapInArrow(_chunk_rows(spread), "h1 long, h2 long, key long, ord long, line long, lines int, at long, size long")
+    chunks = base.mapInArrow(_chunk_rows(spread, every_pair), "h1 long, h2 long, key long, ord long, line long, lines int, at long, size long")
     h1, h2 = name(F.col("h1"), F.col("h2"))
     chunks = work.put("chunks", chunks.withColumns({"h1": h1.cast("long"), "h2": h2.cast("long")}))
     twice = work.put("twice", chunks.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2"))

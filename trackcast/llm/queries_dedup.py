@@ -80,6 +80,6 @@ def op5_minhash_near_dedup(spark, sf_dir):
 
 @register("op4_line_dedup")
 def op4_line_dedup(spark, sf_dir):
-    """Repeated multi-line chunks removed from every row of documents."""
-    return line_dedup(table(spark, sf_dir, "documents")).select(
+    """Repeated runs of two lines or more removed from every row of documents."""
+    return line_dedup(table(spark, sf_dir, "documents"), every_pair=True).select(
         "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
