@@ -79,3 +79,48 @@ def test_without_both_classes_and_empty(spark):
     clean = spark.createDataFrame([(i, 0, 0, None) for i in range(20)], LABELS)
     assert {(r["score"], r["predicted"]) for r in score_toxicity(one, clean).collect()} == {(0.0, 0)}
     assert score_toxicity(one.limit(0), spark.createDataFrame(labels, LABELS)).collect() == []
+
+
+def spell(k):
+    """A word of letters for each number (digits separate words)."""
+    return "".join(chr(97 + int(c)) for c in str(k))
+
+
+def phrases():
+    """Toxic documents hold a word that always follows the same four words, or three ordinary words in an order of their own."""
+    docs, labels, rng = [], [], random.Random(5)
+    plain = [f"word{spell(k)}" for k in range(40)] + ["go", "back", "home"]
+    for i in range(900):
+        words = [rng.choice(plain) for _ in range(12)]
+        toxic = i % 6 == 0
+        if toxic:
+            words[6:6] = ["may", "your", "whole", "kin", "rotgrave"] if i % 12 else ["go", "back", "home"] * 2
+        elif i % 3 == 0:
+            words[6:6] = ["may", "your", "whole", "kin", "prosper"]
+        docs.append((i, " ".join(words), "x", 1))
+        labels.append((i, 0, int(toxic), "clash"))
+    return docs, labels
+
+
+def test_set_phrases_and_phrases_of_ordinary_words(spark):
+    docs, labels = phrases()
+    rows = {r["doc_id"]: r["predicted"] for r in score_toxicity(*frames(spark, docs, labels)).collect()}
+    held = [i for i, *_ in docs if fold(i, 5) == 0]
+    word = [i for i in held if i % 6 == 0 and i % 12]
+    phrase = [i for i in held if i % 12 == 0]
+    assert word and all(rows[i] for i in word)  # its only left context is "kin"
+    assert sum(rows[i] for i in phrase) >= 0.8 * len(phrase)
+    assert sum(rows[i] for i in held if i % 6) <= 0.05 * len(held)
+
+
+def test_rarity_is_judged_over_both_classes(spark):
+    from trackcast.llm.common import WorkTables
+    from trackcast.llm.toxicity import fit_models
+    from trackcast.llm.words import WordNames
+    import numpy as np
+    learn = [(f"left{spell(i)} calm odd{spell(i)}", 0) for i in range(200)] + [(f"left{spell(i)} snarl", 1) for i in range(100)]
+    x = {r["key"]: r["x"] for r in fit_models(
+        spark.createDataFrame(learn, "text string, toxic int"), WorkTables(spark, "t"), 5).collect()}
+    key = lambda w: int(WordNames().name(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)]), 0).view(np.int64)[0])
+    assert x[key("calm")] < -1 and x[key("snarl")] > 1  # calm has no toxic context at all
+    assert key("odd" + spell(7)) not in x

@@ -1,21 +1,21 @@
 """Operator 8: toxicity by class-conditional Kneser-Ney models.
 
-Each class (toxic, ordinary) has a Kneser-Ney word model: an expression (a word, lower-cased) weighs by the number of distinct words
-it follows in the class's documents, not by how often it occurs, so that a text
-copied a thousand times counts once. Counts come from every labelled document outside the held-out fold; they are gathered by
-Spark, and grow with the input.
+Each class (toxic, ordinary) has a Kneser-Ney model of word pairs. Counts come from every labelled document outside the
+held-out fold; they are gathered by Spark as a table of pairs (documents of each class that hold the pair) and one of
+words, and grow with the input.
 
-* Shared backoff: distinct left contexts in either class, discounted.
-* Reliable expressions (``reliable`` or more contexts in the toxic class, the smaller one): class counts less a discount,
-  which is given to the shared backoff counts.
-* Rare expressions: both classes take the shared estimate, so they weigh for neither.
+* Pairs: the chance of a word after the word before it is its discounted pair count; the discount is given to the lower order.
+* Lower order: an expression (a word, lower-cased) weighs by the number of distinct words it follows in the class's documents,
+  discounted, and backs off to the shared counts, which are the distinct left contexts in either class.
+* Rare expressions: both classes take the estimate below (a rare pair weighs as its word, a rare word for neither). Rare is
+  what the smaller class has fewer than ``reliable`` times (pairs, of which there are more to choose from: twice that), both as
+  counted and as expected from the count over both classes.
 
 A document's margin is the difference of its log-likelihoods under the two models over its number of
 words, over its whole text. A logistic curve through the learning documents' margins (a histogram,
 gathered by Spark) turns it into a score.
 
-Words are named by 22 bits, which bounds the model (4 million expressions, 16 MB when shipped) whatever the corpus; words that
-share a name share their counts.
+Words and pairs are named by 64 bits. Log ratios of those that are not rare are shipped to every task.
 """
 
 from __future__ import annotations
@@ -28,10 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WorkTables, narrow, text_groups
+from trackcast.llm.common import WorkTables, narrow, pair_name, text_groups
 from trackcast.llm.words import WordNames
 
-NAME_BITS = 22
 DISCOUNT = 0.75
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a"):ord("z") + 1] = _LETTER[0x80:] = True
@@ -50,8 +49,23 @@ def _expressions(texts: list[bytes], names: WordNames) -> tuple[np.ndarray, np.n
     on = np.concatenate([[False], _LETTER[data], [False]])
     edge = np.flatnonzero(on[1:] != on[:-1])
     starts, ends = edge[::2], edge[1::2]
-    name = names.name(data, starts, ends, 0) >> np.uint64(64 - NAME_BITS)
-    return np.diff(np.concatenate([np.searchsorted(starts, begin), [len(starts)]])), name.astype(np.int64)
+    return np.diff(np.concatenate([np.searchsorted(starts, begin), [len(starts)]])), names.name(data, starts, ends, 0)
+
+
+def _before(counts: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """Name of the word before each word; 0 before a text's first."""
+    before = np.concatenate([np.zeros(1, np.uint64), name[:-1]])[:len(name)]
+    before[(np.cumsum(counts) - counts)[counts > 0]] = 0
+    return before
+
+
+def _per_text(key: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of each text: number of the text, a place of the key, how often the text has it."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((key, row))
+    k, r = key[order], row[order]
+    first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (r[1:] != r[:-1])])[:len(k)])
+    return r[first], order[first], np.diff(np.concatenate([first, [len(k)]]))
 
 
 def _lowered(batches, text_at):
@@ -59,24 +73,31 @@ def _lowered(batches, text_at):
         yield part, [t.decode("utf-8").lower().encode("utf-8") for t in texts]
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(pair, cls): distinct (word, word before it) of a few texts at a time; cls 1 ordinary, 2 toxic."""
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(w, v, t, o): word, word before it, toxic and ordinary documents with the pair, of a few texts at a time."""
     names = WordNames()
     held, size = [], 0
 
     def out():
-        pair, cls = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-        one = np.unique(pair << 2 | cls)
-        return pa.RecordBatch.from_arrays([pa.array(one >> 2), pa.array((one & 3).astype(np.int32))], names=["pair", "cls"])
+        p, w, v, t = (np.concatenate([h[i] for h in held]) for i in range(4))
+        order = np.argsort(p)
+        p = p[order]
+        first = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+        toxic, both = np.add.reduceat(t[order], first), np.diff(np.concatenate([first, [len(p)]]))
+        at = order[first]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(w[at].view(np.int64)), pa.array(v[at].view(np.int64)), pa.array(toxic), pa.array(both - toxic)],
+            names=["w", "v", "t", "o"])
 
     for part, texts in _lowered(batches, 0):
-        counts, name = _expressions(texts, names)
-        before = np.concatenate([[0], name[:-1] + 1])
-        first = (np.cumsum(counts) - counts)[counts > 0]
-        before[first] = 0  # a text's first word follows nothing
-        cls = np.repeat(part.column(1).to_numpy(zero_copy_only=False).astype(np.int64) + 1, counts)
-        held.append((name << (NAME_BITS + 1) | before, cls))
-        size += len(name)
+        counts, w = _expressions(texts, names)
+        if not len(w):
+            continue
+        v = _before(counts, w)
+        p = pair_name(v, w, 0)
+        row, at, _ = _per_text(p, counts)
+        held.append((p[at], w[at], v[at], part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)[row]))
+        size += len(at)
         if size >= 1_000_000:
             yield out()
             held, size = [], 0
@@ -84,42 +105,111 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def fit_models(learn: DataFrame, work: WorkTables, reliable: int) -> np.ndarray | None:
-    """Log ratio of the two models for each name (zero for rare ones), from (text, toxic); None without both classes."""
-    pairs = learn.select("text", "toxic").mapInArrow(_contexts, "pair long, cls int")
-    seen = pairs.groupBy("pair").agg(F.bit_or("cls").alias("cls"))
-    by_word = seen.groupBy(F.shiftright("pair", NAME_BITS + 1).alias("w")).agg(
-        F.sum(F.shiftright("cls", 1).cast("long")).alias("t"), F.sum(F.col("cls").bitwiseAND(1).cast("long")).alias("o"),
-        F.count(F.lit(1)).alias("s"))
-    counts = work.put("counts", by_word)
-    total = counts.agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("n")).first()
-    if not total["t"] or not total["o"]:
+def _pair_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in batches:
+        w, v = (part.column(i).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for i in (0, 1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(pair_name(v, w, 0).view(np.int64)), part.column(2), part.column(3)], names=["key", "n", "x"])
+
+
+def fit_models(learn: DataFrame, work: WorkTables, reliable: int) -> DataFrame | None:
+    """(key, n, x) from (text, toxic): name of a word or pair, documents or contexts of both classes, and what it adds to the
+    log ratio of the two models (a pair: beyond its word); None without both classes."""
+    pairs = work.put("pairs", learn.select("text", "toxic").mapInArrow(_pair_counts, "w long, v long, t long, o long")
+                     .groupBy("w", "v").agg(F.sum("t").alias("t"), F.sum("o").alias("o")))
+    has = [F.when(F.col(c) > 0, 1).otherwise(0).cast("long") for c in ("t", "o")]
+    no, fields = F.lit(0).cast("long"), ("ct", "co", "cs", "nt", "no", "dt", "do")
+    as_word = F.struct(F.col("w").alias("k"), *[x.alias(f) for f, x in zip(fields, (*has, F.lit(1).cast("long"), no, no, no, no))])
+    as_left = F.struct(F.col("v").alias("k"), *[x.alias(f) for f, x in zip(fields, (no, no, no, F.col("t"), F.col("o"), *has))])
+    words = work.put("words", pairs.select(F.inline(F.array(as_word, as_left))).groupBy("k").agg(
+        *[F.sum(f).alias(f) for f in fields]))  # distinct left contexts; pairs and distinct pairs it begins
+    total = words.agg(*[F.sum(f).alias(f) for f in fields]).first()
+    if not total["ct"] or not total["co"]:
+        work.drop("pairs", "words")
         return None
-    kept = counts.filter(F.col("t") >= reliable).toPandas()  # at most 2 ** NAME_BITS rows, in fact far fewer
-    table = np.zeros(1 << NAME_BITS, np.float32)
-    if len(kept):
-        uniform = DISCOUNT * total["n"] / total["s"] / (1 << NAME_BITS)
-        shared = (kept["s"].to_numpy(float) - DISCOUNT) / total["s"] + uniform
-        shared /= shared.sum()
-        log = {}
-        for c in ("t", "o"):
-            n = kept[c].to_numpy(float)
-            backoff = np.minimum(n, DISCOUNT).sum() / n.sum() if n.sum() else 1.0
-            log[c] = np.log(np.maximum(n - DISCOUNT, 0) / max(n.sum(), 1.0) + max(backoff, 1e-9) * shared)
-        table[kept["w"].to_numpy()] = log["t"] - log["o"]
-    return table
-
-
-def margin_of(table):
-    """Column function: a text's margin under the models shipped in ``table``; whole texts, nulls count as empty."""
+
+    def rare(t, o, all_t, all_o, least):
+        few, share = (t, all_t / (all_t + all_o)) if all_t <= all_o else (o, all_o / (all_t + all_o))
+        return (few < least) & ((t + o) * F.lit(share) < least)
+
+    # among the words that are not rare: shared chance, and each class's discounted counts and backoff to it
+    sparse = rare(F.col("ct"), F.col("co"), total["ct"], total["co"], reliable)
+    kept = words.filter(~sparse).agg(
+        F.sum(F.col("cs") - DISCOUNT).alias("cs"), F.sum("ct").alias("ct"), F.sum("co").alias("co"),
+        *[F.sum(F.least(F.col(c).cast("double"), F.lit(DISCOUNT))).alias(f"b{c}") for c in ("ct", "co")]).first()
+    lower = {}
+    for c in ("ct", "co"):
+        backoff = max(kept[f"b{c}"] / kept[c], 1e-9) if kept[c] else 1.0
+        one = (F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.lit(float(max(kept[c] or 0, 1)))
+               + F.lit(backoff) * (F.col("cs") - DISCOUNT) / F.lit(float(kept["cs"] or 1)))
+        # all words: those kept share their part of all contexts, a rare one has the same chance in both classes
+        lower[c] = F.when(sparse, F.col("cs") / F.lit(float(total["cs"]))).otherwise(
+            one * F.lit(float((kept["cs"] or 0) / total["cs"])))
+    words = words.withColumns({"pt": lower["ct"], "po": lower["co"]})
+
+    def after(n, left, kinds, lower):
+        """Chance of a word after another, in a class: discounted pair count, and the discount times the lower order."""
+        return F.when(F.col(left) > 0, (F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(kinds) * F.col(lower))
+                      / F.col(left)).otherwise(F.col(lower))
+
+    known = (pairs.filter(~rare(F.col("t"), F.col("o"), total["nt"], total["no"], 2 * reliable))
+             .join(words.select(F.col("k").alias("w"), "pt", "po"), "w")
+             .join(words.select(F.col("k").alias("v"), "nt", "no", "dt", "do"), "v"))
+    beyond = (F.log(after("t", "nt", "dt", "pt")) - F.log(after("o", "no", "do", "po"))
+              - (F.log("pt") - F.log("po")))
+    weights = work.put("weights", words.filter(~sparse).select(
+        F.col("k").alias("key"), F.col("cs").alias("n"), (F.log("pt") - F.log("po")).alias("x")).unionByName(
+        known.select("w", "v", (F.col("t") + F.col("o")).alias("n"), beyond.alias("x")).mapInArrow(
+            _pair_keys, "key long, n long, x double")))
+    work.drop("pairs", "words")
+    return weights
+
+
+class Weights:
+    """Log ratios by name, as shipped to every task."""
+
+    def __init__(self, key: np.ndarray, x: np.ndarray):
+        order = np.argsort(key)
+        self.key, self.x = key[order], x[order]
+        self.some = np.zeros(1 << 22, bool)
+        self.some[self.key >> np.uint64(42)] = True
+
+    def of(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log ratio of each name (0 if not shipped), and whether it was shipped."""
+        x, known = np.zeros(len(key)), np.zeros(len(key), bool)
+        at = np.flatnonzero(self.some[key >> np.uint64(42)])
+        if len(at):
+            place = np.minimum(np.searchsorted(self.key, key[at]), len(self.key) - 1)
+            hit = self.key[place] == key[at]
+            known[at[hit]] = True
+            x[at[hit]] = self.x[place[hit]]
+        return x, known
+
+
+class Margins:
+    """Adds margins to rows."""
+
+    def __init__(self, weights: DataFrame):
+        sent = weights.select("key", "x").toArrow()
+        self.shipped = weights.sparkSession.sparkContext.broadcast(Weights(
+            sent.column("key").to_numpy().astype(np.int64).view(np.uint64), sent.column("x").to_numpy().astype(np.float64)))
+
+    def add(self, rows: DataFrame, text_col: str, name: str) -> DataFrame:
+        """The rows with their margins over whole texts as a further column; nulls count as empty."""
+        return rows.withColumn(name, margin_of(self.shipped)(F.col(f"`{text_col}`")))
+
+
+def margin_of(weights):
+    """Column function: a text's margin under the log ratios shipped in ``weights``; whole texts, nulls count as empty."""
     @F.pandas_udf("double")
     def margin(texts: pd.Series) -> pd.Series:
         names = WordNames()
         out = []
         for at in range(0, len(texts), 64):
             part = [(t or "").lower().encode("utf-8") for t in texts.iloc[at:at + 64]]
-            counts, name = _expressions(part, names)
-            sums = np.concatenate([[0.0], np.cumsum(table.value[name].astype(np.float64))])
+            counts, w = _expressions(part, names)
+            x = weights.value.of(w)[0] + weights.value.of(pair_name(_before(counts, w), w, 0))[0]
+            sums = np.concatenate([[0.0], np.cumsum(x)])
             end = np.cumsum(counts)
             out.append((sums[end] - sums[end - counts]) / np.maximum(counts, 1))
         return pd.Series(np.concatenate(out) if out else np.empty(0))
@@ -149,7 +239,10 @@ def in_fold(id_col: str, folds: int, fold: int):
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0, reliable: int = 5):
-    """Column function from a text column to a score, learned from the labelled rows outside the held-out fold."""
+    """Function that adds a score to rows like ``docs``, learned from the labelled rows outside the held-out fold.
+
+    It takes the rows and the name of the column to add.
+    """
     spark = docs.sparkSession
     work = WorkTables(spark, "toxicity")
     known = (narrow(labels, id_col, label_col).toDF("id", "toxic").filter("id is not null and toxic is not null")
@@ -157,18 +250,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
              .filter(~in_fold("id", folds, held_out_fold)))
     learn = join_within(narrow(docs, id_col, text_col).toDF("id", "text").withColumn(
         "text", F.coalesce("text", F.lit(""))), known, "id")
-    table = fit_models(learn, work, reliable)
-    if table is None:
+    weights = fit_models(learn, work, reliable)
+    if weights is None:
         share = known.agg(F.avg("toxic")).first()[0]
-        return lambda text: F.lit(0.5 if share is None else float(share))
-    shipped = spark.sparkContext.broadcast(table)  # 2 ** NAME_BITS numbers
-    margin = margin_of(shipped)
+        return lambda rows, name: rows.withColumn(name, F.lit(0.5 if share is None else float(share)))
+    margins = Margins(weights)
     # margins lie within a few units, so their histogram has a few thousand rows
-    bins = (learn.select("toxic", F.round(margin("text"), 3).alias("m")).groupBy("m")
+    bins = (margins.add(learn, "text", "m").select("toxic", F.round("m", 3).alias("m")).groupBy("m")
             .agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))).toPandas()
     toxic = bins["t"].to_numpy(float)
     slope, offset = fit_curve(bins["m"].to_numpy(float), toxic, bins["n"].to_numpy(float) - toxic)
-    return lambda text: 1 / (1 + F.exp(-(F.lit(slope) * margin(text) + F.lit(offset))))
+
+    def score(rows: DataFrame, name: str) -> DataFrame:
+        return margins.add(rows, text_col, name).withColumn(
+            name, 1 / (1 + F.exp(-(F.lit(slope) * F.col(name) + F.lit(offset)))))
+    return score
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -183,12 +279,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     """
     score = fit_toxicity(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, folds=folds,
                          held_out_fold=held_out_fold, reliable=reliable)
-    return (narrow(docs, id_col, text_col).select(
-        F.col(id_col), in_fold(id_col, folds, held_out_fold).alias("held_out"), score(F.col(text_col)).alias("score"))
-        .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+    rows = score(narrow(docs, id_col, text_col), "toxicity_score")
+    return (rows.select(F.col(id_col), in_fold(id_col, folds, held_out_fold).alias("held_out"),
+                        F.col("toxicity_score").alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The input without the rows whose score is 0.5 or more; all columns stay."""
-    text = options.get("text_col", "text")
-    return docs.filter(fit_toxicity(docs, labels, **options)(F.col(text)) < 0.5)
+    name = "toxicity_score"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return fit_toxicity(docs, labels, **options)(docs, name).filter(F.col(name) < 0.5).drop(name)
