@@ -124,3 +124,31 @@ def test_rarity_is_judged_over_both_classes(spark):
     key = lambda w: int(WordNames().name(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)]), 0).view(np.int64)[0])
     assert x[key("calm")] < -1 and x[key("snarl")] > 1  # calm has no toxic context at all
     assert key("odd" + spell(7)) not in x
+
+
+def test_joined_ratios_score_as_shipped_ones(spark):
+    docs, labels = corpus(240)
+    docs += [(None, "vermin filth snarl", "x", 1), (5000, None, None, None), (7, docs[7][1], "x", 1)]
+    a, b, c = (sorted((str(r["doc_id"]), round(r["score"], 4)) for r in score_toxicity(*frames(spark, docs, labels), ship=k).collect())
+               for k in (2_000_000, 10, 0))
+    assert a == b == c
+    kept = drop_toxic(*frames(spark, docs, labels), ship=10)
+    assert kept.columns == ["doc_id", "text", "toxic", "score"] and kept.count() == sum(s < 0.5 for _, s in a)
+
+
+def test_names_do_not_run_out(spark):
+    """Words that share their first 22 bits of name keep counts and ratios of their own."""
+    import numpy as np
+    from trackcast.llm.words import WordNames
+    names, seen, pair = WordNames(), {}, None
+    for k in range(100_000):
+        w = spell(k)
+        n = int(names.name(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)]), 0)[0]) >> 42
+        if n in seen:
+            pair = (seen[n], w)
+            break
+        seen[n] = w
+    good, bad = pair
+    docs = [(i, f"left{spell(i % 50)} {bad if i % 4 == 0 else good} right{spell(i % 7)}", "x", 1) for i in range(800)]
+    rows = score_toxicity(*frames(spark, docs, [(i, 0, int(i % 4 == 0), None) for i in range(800)])).collect()
+    assert all(r["predicted"] == int(r["doc_id"] % 4 == 0) for r in rows)

@@ -15,7 +15,8 @@ A document's margin is the difference of its log-likelihoods under the two model
 words, over its whole text. A logistic curve through the learning documents' margins (a histogram,
 gathered by Spark) turns it into a score.
 
-Words and pairs are named by 64 bits. Log ratios of those that are not rare are shipped to every task.
+Words and pairs are named by 64 bits. Log ratios are shipped to every task up to ``ship`` rows (counted), the most frequent
+first; documents' other expressions, counted per document, join the rest by a shuffle.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackcast.llm.common import WorkTables, narrow, pair_name, text_groups
+from trackcast.llm.common import WorkTables, narrow, numbered_rows, pair_name, text_groups
 from trackcast.llm.words import WordNames
 
 DISCOUNT = 0.75
@@ -187,16 +188,52 @@ class Weights:
 
 
 class Margins:
-    """Adds margins to rows."""
-
-    def __init__(self, weights: DataFrame):
+    """Adds margins to rows: the most frequent log ratios are shipped, others are joined."""
+
+    def __init__(self, weights: DataFrame, work: WorkTables, ship: int):
+        self.work, self.rest = work, None
+        sizes = weights.groupBy("n").agg(F.count(F.lit(1)).alias("rows"))
+        if weights.count() > ship:  # one row per count that occurs, summed from the top
+            least, rows = None, 0
+            for n, more in sorted(((r["n"], r["rows"]) for r in sizes.collect()), reverse=True):
+                if rows + more > ship:
+                    break
+                least, rows = n, rows + more
+            often = F.col("n") >= F.lit(least) if least is not None else F.lit(False)
+            self.rest, weights = weights.filter(~often).select("key", "x"), weights.filter(often)
         sent = weights.select("key", "x").toArrow()
-        self.shipped = weights.sparkSession.sparkContext.broadcast(Weights(
+        self.shipped = work.spark.sparkContext.broadcast(Weights(
             sent.column("key").to_numpy().astype(np.int64).view(np.uint64), sent.column("x").to_numpy().astype(np.float64)))
 
-    def add(self, rows: DataFrame, text_col: str, name: str) -> DataFrame:
+    def add(self, rows: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
         """The rows with their margins over whole texts as a further column; nulls count as empty."""
-        return rows.withColumn(name, margin_of(self.shipped)(F.col(f"`{text_col}`")))
+        here = margin_of(self.shipped)(F.col(f"`{text_col}`"))
+        if self.rest is None:
+            return rows.withColumn(name, here)
+        rows, key = numbered_rows(rows, id_col, self.work)
+        spread = narrow(rows, key, text_col).toDF("key", "text").select("key", F.coalesce("text", F.lit("")).alias("text"))
+        found = self.work.put("found", spread.mapInArrow(unshipped(self.shipped), "row long, key long, part double"))
+        there = found.join(self.rest.hint("merge"), "key").groupBy("row").agg(F.sum(F.col("part") * F.col("x")).alias(name))
+        there = self.work.put("there", there.withColumnRenamed("row", key))
+        return rows.join(there, key, "left").withColumn(
+            name, here + F.coalesce(F.col(name), F.lit(0.0))).drop(key)
+
+
+def unshipped(weights):
+    """(row, key, part): what each text has of words and pairs that are not shipped, as parts of its number of words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = WordNames()
+        for part, texts in _lowered(batches, 1):
+            counts, w = _expressions(texts, names)
+            if not len(w):
+                continue
+            for key in (w, pair_name(_before(counts, w), w, 0)):
+                row, at, n = _per_text(key, counts)
+                on = ~weights.value.of(key[at])[1]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(row[on])), pa.array(key[at][on].view(np.int64)),
+                     pa.array(n[on] / counts[row[on]])], names=["row", "key", "part"])
+    return run
 
 
 def margin_of(weights):
@@ -238,7 +275,7 @@ def in_fold(id_col: str, folds: int, fold: int):
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                 label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0, reliable: int = 5):
+                 label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0, reliable: int = 5, ship: int = 2_000_000):
     """Function that adds a score to rows like ``docs``, learned from the labelled rows outside the held-out fold.
 
     It takes the rows and the name of the column to add.
@@ -254,21 +291,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     if weights is None:
         share = known.agg(F.avg("toxic")).first()[0]
         return lambda rows, name: rows.withColumn(name, F.lit(0.5 if share is None else float(share)))
-    margins = Margins(weights)
+    margins = Margins(weights, work, ship)
     # margins lie within a few units, so their histogram has a few thousand rows
-    bins = (margins.add(learn, "text", "m").select("toxic", F.round("m", 3).alias("m")).groupBy("m")
+    bins = (margins.add(learn, "id", "text", "m").select("toxic", F.round("m", 3).alias("m")).groupBy("m")
             .agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))).toPandas()
     toxic = bins["t"].to_numpy(float)
     slope, offset = fit_curve(bins["m"].to_numpy(float), toxic, bins["n"].to_numpy(float) - toxic)
 
     def score(rows: DataFrame, name: str) -> DataFrame:
-        return margins.add(rows, text_col, name).withColumn(
+        return margins.add(rows, id_col, text_col, name).withColumn(
             name, 1 / (1 + F.exp(-(F.lit(slope) * F.col(name) + F.lit(offset)))))
     return score
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0, reliable: int = 5) -> DataFrame:
+                   label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0, reliable: int = 5,
+                   ship: int = 2_000_000) -> DataFrame:
     """One row per input row: id, held_out, score (0 to 1), predicted (1 from 0.5 on).
 
     Learned from rows with a label outside the held-out fold; only the text enters a score. Defined
@@ -278,7 +316,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     tables give empty results; extra columns are ignored; whole texts are read.
     """
     score = fit_toxicity(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, folds=folds,
-                         held_out_fold=held_out_fold, reliable=reliable)
+                         held_out_fold=held_out_fold, reliable=reliable, ship=ship)
     rows = score(narrow(docs, id_col, text_col), "toxicity_score")
     return (rows.select(F.col(id_col), in_fold(id_col, folds, held_out_fold).alias("held_out"),
                         F.col("toxicity_score").alias("score"))
