@@ -12,9 +12,10 @@ All arcs with one label end in one state, so a state is named by the token
 that leads to it, and a copy differs from its original by one missing arc. The
 table therefore holds one row per merge (left part, right part, rank); whether
 a state has an arc is read by undoing the gadgets that concern the two tokens, newest
-first (``Automaton.arc``), and remembered in the transition table. Exactly one path spells a given
-word, and every prefix has its own single path, so encoding runs over a word once from left to
-right. Decoding emits the labels of the path's arcs.
+first (``Automaton.arc``), when it is asked for, and remembered in a bounded memo; no table of all arcs is
+built, as most tokens may follow most others. Exactly one path spells a given word, and every prefix has
+its own single path. Encoding searches it from the left, longest token first, and takes a token back where nothing
+leads on (``Encoder.word_ids``). Decoding emits the labels of the path's arcs.
 
 Text is split beforehand as the tokenizer file says (special tokens, canonical
 composition, lower case, then words), which is fixed behaviour of the file.
@@ -119,7 +120,7 @@ class Automaton:
                 return True
 
     def arc(self, state: int, token: int) -> bool:
-        """The finished transition table, filled as it is used (bounded by clearing)."""
+        """Whether ``token`` may follow ``state`` in the end; a memo of what was asked (bounded by clearing)."""
         key = (state, token)
         known = self.table.get(key)
         if known is None:
