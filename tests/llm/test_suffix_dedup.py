@@ -1,10 +1,11 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from cases import by_id, digest, frame, odd_docs, sorted_groups
 
-from trackcast.llm.suffix_dedup import suffix_dedup
+from trackcast.llm.suffix_dedup import bucket_names, suffix_dedup
 
 
 def brute(docs, length):
@@ -49,5 +50,25 @@ def test_a_text_longer_than_a_chunk(spark):
     assert spans == {1: [(261_900, 262_400)], 2: [(2, 502)]}
 
 
+@pytest.mark.parametrize("shared, one, other", [(199, "C", "é"), (301, "b", "\u201c"), (250, "d", "ä"), (199, "B", "\u00e9"), (200, "a", "\u00e1")])
+def test_strings_that_differ_in_the_top_bit_of_their_last_byte(spark, shared, one, other):
+    rng = random.Random(shared)
+    text = "".join(rng.choice("abcdefg h") for _ in range(shared))
+    docs = [(1, text + one + "tail"), (2, text + other + "end")]
+    assert values(suffix_dedup(frame(spark, docs)).collect()) == brute(docs, 200)
+
+
+def test_names_of_eight_bytes_keep_every_bit():
+    base = np.frombuffer(b"abcdefgh", np.uint8)
+    for lane in (0, 1):
+        names = {int(bucket_names(base, 8, lane)[8][0])}
+        for byte in range(8):
+            for bit in range(8):
+                other = base.copy()
+                other[byte] ^= 1 << bit
+                names.add(int(bucket_names(other, 8, lane)[8][0]))
+        assert len(names) == 65
+
+
 def test_empty_table(spark):
     assert suffix_dedup(frame(spark, [])).collect() == []

@@ -35,6 +35,7 @@ from trackcast.llm.common import (CHUNK, WorkTables, at_places, list_fields, pai
                                   with_row_key)
 
 _POS = np.uint64((1 << 20) - 1)
+_EIGHT = np.uint64(0x5851F42D4C957F2D)
 
 
 def bucket_names(data: np.ndarray, upto: int, lane: int) -> dict[int, np.ndarray]:
@@ -42,7 +43,7 @@ def bucket_names(data: np.ndarray, upto: int, lane: int) -> dict[int, np.ndarray
     x = data[:-1].astype(np.uint64) | (data[1:].astype(np.uint64) << np.uint64(8))
     x = x[:-2] | (x[2:] << np.uint64(16))
     x = x[:-4] | (x[4:] << np.uint64(32))
-    names = {8: pair_name(x, x, lane)}
+    names = {8: pair_name(x, _EIGHT, lane)}  # the multiplier is odd, so different bytes have different names
     h = 8
     while h < upto:
         names[2 * h] = pair_name(names[h][:-h], names[h][h:], lane)
