@@ -8,7 +8,7 @@ of the repository.
 from __future__ import annotations
 
 import corpus_pipeline
-from trackcast.llm import queries_dedup, queries_text, queries_vectors  # noqa: F401
+from trackcast.llm import queries_dedup, queries_selection, queries_text, queries_vectors  # noqa: F401
 from trackcast.llm.register import ORACLE, QUERIES
 
 QUERIES["pipeline"] = corpus_pipeline.run
