@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from trackcast import fixtures
-from trackcast.plans.pipeline import run_pipeline
+from trackcast.plans.pipeline import _mark, ledger, run_pipeline
 
 SF = "/root/testdata/sf0.001"
 
@@ -64,6 +64,80 @@ def test_without_weather_nothing_is_stored_and_it_is_tried_again(spark):
     assert _rows(spark, second["paths"]["integrated"]) == _rows(spark, once["paths"]["integrated"])
 
 
+def _ten_january(spark):
+    """Twenty train rows of 10 January and weather of 9 to 11 January."""
+    day = lambda d: F.date_format("timestamp", "yyyy-MM-dd") == d
+    tr = fixtures.trains_raw(spark, SF).where(day("2024-01-10"))
+    wr = fixtures.weather_raw(spark, SF).where(F.date_format("timestamp", "yyyy-MM-dd").between("2024-01-09", "2024-01-11"))
+    late = F.col("timestamp") >= F.lit("2024-01-11 06:00:00").cast("timestamp_ntz")
+    return tr, wr, wr.where(late), wr.where(day("2024-01-10"))
+
+
+def test_a_date_waits_for_its_own_weather(spark):
+    """A neighbour day's weather does not close a date; the end equals one run with all rows."""
+    tr, wr, late, _ = _ten_january(spark)
+    wh, other = (tempfile.mkdtemp(prefix="trackcast-wh-") for _ in range(2))
+    first = run_pipeline(spark, trains_raw=tr, weather_raw=late, warehouse=wh)
+    assert [(r["success"], r["error"], r["pending_dates"]) for r in first["results"]] == [
+        (False, "No source data available", ["2024-01-10"])]
+    assert ledger(spark, first["paths"]["dates"]) == {"2024-01-10": "pending"}
+    second = run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=wh)
+    once = run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=other)
+    got, want = second["results"][0], once["results"][0]
+    assert got["success"] and not got["skipped"] and got["match_rate"] == want["match_rate"] > 0
+    for table in ("integrated", "dates"):
+        assert _rows(spark, second["paths"][table]) == _rows(spark, once["paths"][table])
+
+
+def test_weather_that_comes_later_replaces_a_date(spark):
+    """A date stored with part of its weather is done again, rows and reports replaced, when more comes."""
+    tr, wr, _, own = _ten_january(spark)
+    wh, other = (tempfile.mkdtemp(prefix="trackcast-wh-") for _ in range(2))
+    part = own.where(F.hour("timestamp") < 12)
+    first = run_pipeline(spark, trains_raw=tr, weather_raw=part, warehouse=wh)
+    again = run_pipeline(spark, trains_raw=tr, weather_raw=part, warehouse=wh)
+    second = run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=wh)
+    once = run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=other)
+    assert [r["skipped"] for x in (first, again, second) for r in x["results"]] == [False, True, False]
+    assert first["results"][0]["match_rate"] <= second["results"][0]["match_rate"] == once["results"][0]["match_rate"]
+    assert _rows(spark, second["paths"]["integrated"]) == _rows(spark, once["paths"]["integrated"])
+    m = [spark.read.parquet(x["paths"]["metrics"]).where("table_name = 'post_integration_report'") for x in (second, once)]
+    assert sorted(map(str, m[0].collect())) == sorted(map(str, m[1].collect()))
+    assert spark.read.parquet(second["paths"]["metrics"]).where("table_name = 'train'").count() > 0
+
+
+def test_a_run_that_ended_early_is_done_again(spark):
+    """Rows stored without a final ledger entry count as not done, and doing them again adds none."""
+    tr, wr, _, _ = _ten_january(spark)
+    wh = tempfile.mkdtemp(prefix="trackcast-wh-")
+    first = run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=wh)
+    before = {k: _rows(spark, v) for k, v in first["paths"].items()}
+    _mark(spark, first["paths"]["dates"], ["2024-01-10"], "pending")
+    second = run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=wh)
+    assert not second["results"][0]["skipped"]
+    assert {k: _rows(spark, v) for k, v in second["paths"].items()} == before
+
+
+def test_stored_partitions_are_folder_names(spark):
+    """No data file is opened: the listing works over files that are no CSV at all, and B6 leaves them."""
+    import os
+    from trackcast.sources.sinks import stored_partitions, write_absent_partitions
+    path = tempfile.mkdtemp(prefix="trackcast-csv-") + "/curated"
+    have = lambda: {tuple(r) for r in stored_partitions(spark, path, ("code", "year")).collect()}
+    assert have() == set()
+    rows = spark.createDataFrame([("a b", 2024, 1.0), ("x=y/z%", 2023, 2.0), (None, 2024, 3.0)], "code string, year int, v double")
+    write_absent_partitions(rows.where("code = 'a b' or code is null"), path, partition_by=("code", "year"))
+    for folder, _, names in os.walk(path):
+        for name in names:
+            if name.endswith(".csv"):
+                with open(f"{folder}/{name}", "wb") as f:
+                    f.write(b"\x00\xff")
+    assert have() == {("a b", "2024"), (None, "2024")}
+    write_absent_partitions(rows, path, partition_by=("code", "year"))
+    assert have() == {("a b", "2024"), (None, "2024"), ("x=y/z%", "2023")}
+    assert sum(n.endswith(".csv") for _, _, names in os.walk(path) for n in names) == 3
+
+
 def test_partition_overwrite_is_idempotent(spark):
     from trackcast.sources.sinks import curated_weather, write_partitioned
     from trackcast.stages import Stages

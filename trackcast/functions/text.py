@@ -19,10 +19,10 @@ def extract_destination(route: Column) -> Column:
 
 
 def parse_delay(text: Column, allow_negative: bool = False) -> Column:
-    """All-digit text to int, anything else 0 (negative numbers too, unless
-    ``allow_negative``, N17). Digits beyond the int range give null."""
+    """All-digit text to its number, anything else 0 (negative numbers too, unless
+    ``allow_negative``, N17). A long; digits beyond 64 bits give null."""
     digits = "^-?[0-9]+$" if allow_negative else "^[0-9]+$"
-    return F.when(F.coalesce(text.rlike(digits), F.lit(False)), text.try_cast("int")).otherwise(F.lit(0))
+    return F.when(F.coalesce(text.rlike(digits), F.lit(False)), text.try_cast("bigint")).otherwise(F.lit(0).cast("bigint"))
 
 
 def pick_delay(departure: Column, arrival: Column) -> Column:

@@ -26,6 +26,13 @@ from trackcast.operators.attach import attach_one_row, one_row
 
 ALL_GROUPS = ("temporal", "weather", "delay", "categorical")
 
+#: Batch statistics, and the feature columns that need one; all others are expressions over their own row.
+STATISTICS = ("hour", "precip", "wind", "delay", "stations", "route")
+STATISTIC_OF = {"time_period": "hour", "rain_intensity": "precip", "wind_category": "wind", "delay_category": "delay",
+                "station_traffic_rank": "stations", "station_importance": "stations", "is_complex_route": "route"}
+WEATHER_FEATURES = ("temp_category", "is_extreme_cold", "is_extreme_hot", "is_freezing", "is_raining", "rain_intensity", "is_heavy_rain",
+                    "wind_category", "is_high_wind", "weather_severity_score", "adverse_weather")
+
 
 def _has(df: DataFrame, c: str) -> bool:
     # one schema round trip per frame, not one per test
@@ -39,22 +46,25 @@ def _has(df: DataFrame, c: str) -> bool:
     return c in cols
 
 
-def batch_stats(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def batch_stats(df: DataFrame, need: Sequence[str] | None = None) -> tuple[DataFrame | None, DataFrame]:
     """(station_counts, scalars): per-station row counts and a one-row frame of
-    batch-wide guards, medians and quantiles, from one pass over ``df``."""
+    batch-wide guards, medians and quantiles, from one pass over ``df``.
+
+    ``need`` names the statistics wanted (see ``STATISTICS``; all if not given), so that only their columns are read."""
+    need = set(STATISTICS if need is None else need)
     keys, aggs = [], [F.count(F.lit(1)).alias("n")]
-    has_station = _has(df, "station_code")
+    has_station = "stations" in need and _has(df, "station_code")
     if has_station:
         keys.append(F.col("station_code"))
-    keys.append((T.route_complexity(F.col("route")) if _has(df, "route") else F.lit(0)).alias("rlen"))
+    keys.append((T.route_complexity(F.col("route")) if "route" in need and _has(df, "route") else F.lit(0)).alias("rlen"))
     probes = {}
-    if _has(df, "timestamp"):
+    if "hour" in need and _has(df, "timestamp"):
         probes["hour"] = F.hour("timestamp")
-    if _has(df, "precip_mm"):
+    if "precip" in need and _has(df, "precip_mm"):
         probes["precip"] = fill0(F.col("precip_mm"))
-    if _has(df, "wind_speed"):
+    if "wind" in need and _has(df, "wind_speed"):
         probes["wind"] = fill0(F.col("wind_speed"))
-    if _has(df, "delay_minutes"):
+    if "delay" in need and _has(df, "delay_minutes"):
         probes["delay"] = fill0(F.col("delay_minutes"))
     for k, e in probes.items():
         aggs += [F.min(e).alias(f"{k}_lo"), F.max(e).alias(f"{k}_hi")]
@@ -83,22 +93,30 @@ def batch_stats(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return station_counts, scalars
 
 
-def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guard_constant: bool = True) -> DataFrame:
+def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guard_constant: bool = True,
+                      columns: Sequence[str] | None = None) -> DataFrame:
     """All feature groups over the whole batch (F43). Optional columns are
-    tested at plan time; a group whose source column is absent is skipped."""
+    tested at plan time; a group whose source column is absent is skipped.
+
+    ``df`` is read twice where a statistic is needed, once for it and once for the rows, so pass rows that are stored (a
+    table, or a plan written with ``session.work_table``). With ``columns`` only those features are built; without a statistic
+    among them there is one pass and no join."""
     groups = set(groups)
     df_cols = df.columns
-    station_counts, scalars = batch_stats(df)
+    need = set(STATISTICS if columns is None else (STATISTIC_OF[c] for c in columns if c in STATISTIC_OF))
+    station_counts, scalars = batch_stats(df, need) if need else (None, None)
     if station_counts is not None:
         # small table: per-station counts with the one-row statistics attached
         # (a one-row broadcast); the batch joins it once on the station key
         stats = attach_one_row(station_counts, scalars)
         x = df.join(stats, df["station_code"].eqNullSafe(stats["_sc"]), "left")
     else:
-        x = attach_one_row(df, scalars)
+        x = attach_one_row(df, scalars) if need else df
+
+    have = frozenset(x.columns)
 
-    def S(name: str):
-        return F.col(name)
+    def S(name: str):  # a statistic that no wanted column needs is not there, and its feature is not selected
+        return F.col(name) if name in have else F.lit(None)
 
     new: dict = {}
 
@@ -163,7 +181,7 @@ def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guar
             new["is_high_speed"] = T.is_high_speed(F.col("train_category"))
             new["is_regional"] = T.is_regional(F.col("train_category"))
         if _has(df, "station_code"):
-            r = F.col("station_traffic_rank")
+            r = S("station_traffic_rank")
             importance = bin_dynamic(r, F.lit(0), S("traffic_q33"), S("traffic_q67"), TRAFFIC_LABELS)
             valid_edges = S("traffic_varies") & (S("traffic_q33") < S("traffic_q67"))
             new["station_traffic_rank"] = r
@@ -176,7 +194,7 @@ def engineer_features(df: DataFrame, *, groups: Sequence[str] = ALL_GROUPS, guar
         if _has(df, "destination"):
             new["is_major_destination"] = T.is_major_destination(F.col("destination"))
 
-    out_cols = [F.col(c) for c in df_cols] + [v.alias(k) for k, v in new.items()]
+    out_cols = [F.col(c) for c in df_cols] + [v.alias(k) for k, v in new.items() if columns is None or k in columns]
     return x.select(*out_cols)
 
 

@@ -1,14 +1,21 @@
 """Nearest-in-time left join within a tolerance.
 
 Plan: the right side is bucketed by time (bucket width = tolerance) and each
-right row is offered to its own bucket and the two neighbours; candidates are
-collected per ``(by, bucket)``. Every left row then equi-joins exactly one
-candidate list on ``(by, own bucket)`` and picks the nearest candidate with
-``array_min`` over ``(abs_diff, right_ts, ...)`` -- ties go to the earlier
-right row. The left side is never exploded nor re-grouped: one left-outer
-equi-join, a 1:1 output, unmatched left rows kept with nulls. A hot station
-is spread over its hour buckets; AQE broadcasts the candidate table when its
-measured size is small and splits skewed left partitions otherwise.
+right row is offered to its own bucket and the two neighbours. A bucket's
+observations are laid out as blocks of at most ``BLOCK`` observations that follow one
+another in time: a block covers the left times from its first observation up
+to the first one of the next block, and carries that one too, so both the last observation
+before a left time and the first one after it lie in its block. Every left
+row equi-joins on ``(by, own bucket)`` exactly the one block that covers its
+time and picks the nearest with ``array_min`` over ``(abs_diff, right_ts, ...)`` -- ties go to the
+earlier right row. A block's size is fixed, however dense the observations
+are; a hot bucket only has more blocks.
+
+The left side is never exploded nor re-grouped: one left-outer equi-join, a
+1:1 output, unmatched left rows kept with nulls. A hot station is spread over
+its hour buckets; AQE broadcasts the blocks when their measured size is small
+and splits skewed left partitions otherwise. Blocks are cut by windows over
+slices of a bucket (1/64 of it), linked over one row per block.
 """
 
 from __future__ import annotations
@@ -17,8 +24,13 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from trackcast.functions.timefns import US_PER_MIN, epoch_us, from_epoch_us
 
-from trackcast.functions.timefns import US_PER_MIN, epoch_us
+#: Observations in a block, and slices of a bucket that are sorted on their own.
+BLOCK = 64
+SLICES = 64
 
 
 def time_bucket(e, bucket_us: int):
@@ -28,15 +40,32 @@ def time_bucket(e, bucket_us: int):
     return F.call_function("div", e - F.pmod(e, b), b)
 
 
-def candidate_table(right: DataFrame, *, by: str, right_ts: str, right_cols: Sequence[str], bucket_us: int) -> DataFrame:
-    """``(by, bucket, cands)``: right rows within one bucket of ``bucket``."""
+def offered(right: DataFrame, *, by: str, right_ts: str, right_cols: Sequence[str], bucket_us: int) -> DataFrame:
+    """Right rows with a key and a time, once for each bucket that they are within a bucket of."""
     payload = [F.col(c).alias(f"p_{i}") for i, c in enumerate(right_cols)]
     r = (right.where(F.col(by).isNotNull() & F.col(right_ts).isNotNull())
-              .select(F.col(by).alias("_by"), epoch_us(right_ts).alias("_e"), F.col(right_ts).alias("_rts"), *payload))
-    b0 = time_bucket(F.col("_e"), bucket_us)
-    r = r.withColumn("_bucket", F.explode(F.array(b0 - 1, b0, b0 + 1)))
-    return (r.groupBy("_by", "_bucket")
-             .agg(F.collect_list(F.struct("_e", "_rts", *[f"p_{i}" for i in range(len(right_cols))])).alias("_cands")))
+              .select(F.col(by).alias("_by"), F.struct(epoch_us(right_ts).alias("_e"), *payload).alias("_o")))
+    b0 = time_bucket(F.col("_o._e"), bucket_us)
+    return r.withColumn("_bucket", F.explode(F.array(b0 - 1, b0, b0 + 1)))
+
+
+def blocks(rows: DataFrame, bucket_us: int) -> DataFrame:
+    """``(_by, _bucket, _lo, _hi, _cands)``: the offered rows of a bucket as blocks that cover all its times between them.
+
+    Of rows with one time the smallest payload is kept (the join's choice among equals)."""
+    e = F.col("_o._e")
+    x = rows.withColumn("_slice", time_bucket(e, max(1, bucket_us // SLICES)))
+    w = Window.partitionBy("_by", "_bucket", "_slice").orderBy("_o")
+    x = x.withColumn("_before", F.lag("_o._e").over(w)).where(F.col("_before").isNull() | (F.col("_before") != e))
+    x = x.withColumn("_block", F.expr(f"(row_number() over (partition by _by, _bucket, _slice order by _o) - 1) div {BLOCK}"))
+    g = x.groupBy("_by", "_bucket", "_slice", "_block").agg(F.collect_list("_o").alias("_own"), F.min("_o").alias("_first"))
+    by_time = Window.partitionBy("_by", "_bucket").orderBy("_slice", "_block")
+    g = g.withColumn("_next", F.lead("_first").over(by_time)).withColumn("_at", F.row_number().over(by_time))
+    return g.select("_by", "_bucket",
+                    F.when(F.col("_at") > 1, F.col("_first._e")).otherwise(F.lit(-(1 << 63))).alias("_lo"),
+                    F.coalesce("_next._e", F.lit((1 << 63) - 1)).alias("_hi"),
+                    F.when(F.col("_next").isNull(), F.col("_own"))
+                    .otherwise(F.concat("_own", F.array("_next"))).alias("_cands"))
 
 
 def nearest_join(left: DataFrame, right: DataFrame, *, by: str = "station_code", left_ts: str = "timestamp",
@@ -50,11 +79,12 @@ def nearest_join(left: DataFrame, right: DataFrame, *, by: str = "station_code",
     right_cols = list(right_cols)
     tol_us = int(tolerance_minutes) * US_PER_MIN
     bucket_us = max(tol_us, US_PER_MIN)
-    cands = candidate_table(right, by=by, right_ts=right_ts, right_cols=right_cols, bucket_us=bucket_us)
+    cands = blocks(offered(right, by=by, right_ts=right_ts, right_cols=right_cols, bucket_us=bucket_us), bucket_us)
 
     le = epoch_us(left_ts)
     l2 = left.withColumn("_le", le).withColumn("_bucket", time_bucket(F.col("_le"), bucket_us))
-    j = l2.join(cands, (l2[by] == cands["_by"]) & (l2["_bucket"] == cands["_bucket"]), "left")
+    j = l2.join(cands, (l2[by] == cands["_by"]) & (l2["_bucket"] == cands["_bucket"])
+                & (l2["_le"] >= cands["_lo"]) & (l2["_le"] < cands["_hi"]), "left")
 
     within = F.filter(F.col("_cands"), lambda c: F.abs(c["_e"] - F.col("_le")) <= F.lit(tol_us))
     ranked = F.transform(within, lambda c: F.struct(F.abs(c["_e"] - F.col("_le")).alias("d"), c["_e"].alias("e"),
@@ -73,17 +103,20 @@ def nearest_join(left: DataFrame, right: DataFrame, *, by: str = "station_code",
 def ranked_candidates(left: DataFrame, right: DataFrame, *, left_cols, by: str = "station_code",
                       left_ts: str = "timestamp", right_ts: str = "timestamp", tolerance_minutes: int = 60) -> DataFrame:
     """Every right candidate within tolerance of each left row with its
-    rank by (distance, right time); rank 1 is the nearest-join pick. Uses the
-    same bucketed candidate lists, so no pair outside the window is formed."""
+    rank by (distance, right time); rank 1 is the nearest-join pick.
+
+    An equi-join on (by, bucket) whose pairs outside the window are dropped as they are formed, then a rank per left row.
+    Left rows equal in all ``left_cols`` are ranked once and repeated."""
     tol_us = int(tolerance_minutes) * US_PER_MIN
     bucket_us = max(tol_us, US_PER_MIN)
-    cands = candidate_table(right, by=by, right_ts=right_ts, right_cols=[], bucket_us=bucket_us)
+    cands = offered(right, by=by, right_ts=right_ts, right_cols=[], bucket_us=bucket_us)
+    key = [*left_cols, "_lby", "_le"]
     l2 = (left.select(*left_cols, F.col(by).alias("_lby"), epoch_us(left_ts).alias("_le"))
+              .groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"))
               .withColumn("_bucket", time_bucket(F.col("_le"), bucket_us)))
-    j = l2.join(cands, (l2["_lby"] == cands["_by"]) & (l2["_bucket"] == cands["_bucket"]), "inner")
-    within = F.filter(F.col("_cands"), lambda c: F.abs(c["_e"] - F.col("_le")) <= F.lit(tol_us))
-    ordered = F.array_sort(F.transform(within, lambda c: F.struct(F.abs(c["_e"] - F.col("_le")).alias("d"),
-                                                                   c["_rts"].alias("t"))))
-    return (j.select(*left_cols, F.posexplode(ordered).alias("pos", "c"))
-             .select(*left_cols, (F.col("pos") + 1).alias("rank"), F.col("c.t").alias("candidate_timestamp"),
-                     F.col("c.d").alias("diff_us")))
+    diff = F.abs(F.col("_o._e") - F.col("_le"))
+    j = l2.join(cands, (l2["_lby"] == cands["_by"]) & (l2["_bucket"] == cands["_bucket"]) & (diff <= F.lit(tol_us)))
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(diff, F.col("_o._e")))
+    return (j.withColumn("rank", rank).withColumn("diff_us", diff).withColumn("candidate_timestamp", from_epoch_us(F.col("_o._e")))
+             .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
+             .select(*left_cols, "rank", "candidate_timestamp", "diff_us"))

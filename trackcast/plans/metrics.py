@@ -13,6 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trackcast.config import TrainConfig
 from trackcast.functions.nulls import as_flag, count_if
 from trackcast.operators import rules as R
 from trackcast.operators.dedup import dedup_best, dedup_last
@@ -35,42 +36,90 @@ def run_time(day: Column) -> Column:
     return F.timestamp_add("DAY", F.lit(1), F.to_timestamp_ntz(day))
 
 
+#: What a step's result carries beside its counts; a step fills its own fields, JSON leaves the others out.
+CUSTOM = {"required_fields_count": "int", "schema_compliance_rate": "double", "parsing_errors": "bigint", "normalized_count": "bigint",
+          "target_timezone": "string", "hourly_rounding": "boolean", "duplicate_count": "bigint", "deduplication_rate": "double",
+          "key_fields": "array<string>", "selection_strategy": "string", "data_type": "string"}
+
+
+def _custom(**fields: Column) -> Column:
+    return F.struct(*[fields.get(k, F.lit(None)).cast(kind).alias(k) for k, kind in CUSTOM.items()])
+
+
+def _rule(name: str, kind: str, passed, affected, action) -> Column:
+    return F.struct(F.lit(name).alias("rule_name"), F.lit(kind).alias("rule_type"), passed.alias("passed"),
+                    affected.cast("bigint").alias("affected_records"), action.alias("action_taken"))
+
+
+def _if_any(n, action: str) -> Column:
+    return F.when(n > 0, F.lit(action)).otherwise(F.lit("none"))
+
+
 def steps_by_date(raw: DataFrame, *, processor: str, required: Sequence[str], rules: Sequence[R.Rule],
-                  round_to_hour: bool, dedup_keys: Sequence[str], order_by: str) -> DataFrame:
+                  round_to_hour: bool, dedup_keys: Sequence[str], order_by: str,
+                  target_timezone: str = TrainConfig.target_timezone) -> DataFrame:
     """G5/G6 step results of one run per date (dedup keys hold the timestamp,
-    so no duplicate crosses a date)."""
+    so no duplicate crosses a date): counts, rule results, custom metrics and anomalies.
+
+    Counts and rule counts of a date are one grouped aggregate each over the raw, normalised and deduplicated rows; a step's rules
+    are an array of at most as many entries as there are rules."""
     normed = dq.normalize_timestamps(raw, round_to_hour=round_to_hour)
     if processor == "train":
         deduped = dedup_best(normed, keys=dedup_keys, tie_break=order_by)
     else:
         deduped = dedup_last(normed, keys=dedup_keys, order_by=order_by)
     act = R.active(deduped, rules)
-    flagged = sum((F.sum(as_flag(r.predicate(deduped))) for r in act), F.lit(0)) if act else F.lit(0)
-    a = raw.groupBy(_day().alias("date")).agg(F.count(F.lit(1)).alias("total"),
-                                              count_if(dq.any_required_null(raw, required)).alias("bad"))
+    present = [f for f in required if f in raw.columns]
+    a = raw.groupBy(_day().alias("date")).agg(
+        F.count(F.lit(1)).alias("total"), count_if(dq.any_required_null(raw, required)).alias("bad"),
+        count_if(dq.timestamp_parse_errors(raw)).alias("unparsed"), *[count_if(F.col(f).isNull()).alias(f"null_{f}") for f in present])
     b = normed.groupBy(_day().alias("date")).agg(F.count(F.lit(1)).alias("normalized"))
-    c = deduped.groupBy(_day().alias("date")).agg(F.count(F.lit(1)).alias("deduped"),
-                                                  flagged.cast("bigint").alias("flagged"))
-    x = a.join(b, "date", "left").join(c, "date", "left").na.fill(0, ["normalized", "deduped", "flagged"])
-    col = F.col
-
-    def st(name, t, v, d, f):
+    c = deduped.groupBy(_day().alias("date")).agg(
+        F.count(F.lit(1)).alias("deduped"), *[F.sum(as_flag(r.predicate(deduped))).cast("bigint").alias(f"hit_{i}") for i, r in enumerate(act)])
+    hits = [f"hit_{i}" for i in range(len(act))]
+    x = a.join(b, "date", "left").join(c, "date", "left").na.fill(0, ["normalized", "deduped", *hits])
+    col, z = F.col, F.lit(0)
+    flagged = sum((col(h) for h in hits), z)
+    duplicates = col("normalized") - col("deduped")
+    rate = lambda n, of: F.when(of > 0, F.round(n / of, 9)).otherwise(F.lit(0.0))
+
+    def st(name, t, v, d, f, results, metrics):
         return F.struct(F.lit(name).alias("step"), t.cast("bigint").alias("t"), v.cast("bigint").alias("v"),
-                        d.cast("bigint").alias("d"), f.cast("bigint").alias("f"))
-
-    z = F.lit(0)
+                        d.cast("bigint").alias("d"), f.cast("bigint").alias("f"), results.alias("rules"), metrics.alias("metrics"))
+
+    schema = [_rule(f"{f}_not_null", "schema", col(f"null_{f}") == 0, col(f"null_{f}"), _if_any(col(f"null_{f}"), "drop")) if f in present
+              else _rule(f"{f}_exists", "schema", F.lit(False), col("total"), F.lit("drop")) for f in required]
+    times = [_rule("timestamp_parsing", "schema", col("unparsed") == 0, col("unparsed"), _if_any(col("unparsed"), "drop")),
+             _rule("timestamp_normalization", "schema", F.lit(True), col("normalized"), F.lit("transform"))]
+    dups = [_rule("duplicate_removal", "deduplication", F.lit(True), duplicates, _if_any(duplicates, "drop"))]
+    business = [F.when((col(h) > 0) | F.lit(r.emit_when_clean), _rule(
+        r.name, r.rule_type, col(h) == 0, col(h), _if_any(col(h), r.action))) for h, r in zip(hits, act)]
     return x.select("date", F.explode(F.array(
-        st("schema_validation", col("total"), col("total") - col("bad"), col("bad"), z),
-        st("timestamp_normalization", col("total"), col("normalized"), col("total") - col("normalized"), z),
-        st("deduplication", col("normalized"), col("deduped"), col("normalized") - col("deduped"), z),
-        st("business_rules", col("deduped"), col("deduped"), z, col("flagged")))).alias("s")
+        st("schema_validation", col("total"), col("total") - col("bad"), col("bad"), z, F.array(*schema), _custom(
+            required_fields_count=F.lit(len(required)), schema_compliance_rate=rate(col("total") - col("bad"), col("total")))),
+        st("timestamp_normalization", col("total"), col("normalized"), col("total") - col("normalized"), z, F.array(*times), _custom(
+            parsing_errors=col("unparsed"), normalized_count=col("normalized"), target_timezone=F.lit(target_timezone),
+            hourly_rounding=F.lit(round_to_hour))),
+        st("deduplication", col("normalized"), col("deduped"), duplicates, z, F.array(*dups), _custom(
+            duplicate_count=duplicates, deduplication_rate=rate(duplicates, col("normalized")),
+            key_fields=F.array(*[F.lit(k) for k in dedup_keys]),
+            selection_strategy=F.lit("completeness" if processor == "train" else "keep_last"))),
+        st("business_rules", col("deduped"), col("deduped"), z, flagged, F.filter(F.array(*dups, *business), lambda r: r["rule_type"] != "deduplication"),
+           _custom(data_type=F.lit(processor))))).alias("s")
     ).select(F.lit(processor).alias("processor"), "date", "s.step", F.col("s.t").alias("total_records"),
              F.col("s.v").alias("valid_records"), F.col("s.d").alias("dropped_records"),
-             F.col("s.f").alias("flagged_records"))
+             F.col("s.f").alias("flagged_records"), F.col("s.rules").alias("validation_rules"),
+             F.col("s.metrics").alias("custom_metrics"), F.array().cast("array<string>").alias("anomalies"))
 
 
-def metrics_long(steps: DataFrame) -> DataFrame:
-    """Five metric rows per step result; the success rate is 0 for
+def _details() -> Column:
+    counts = F.struct("total_records", "valid_records", "dropped_records", "flagged_records").alias("counts")
+    return F.to_json(F.struct(F.col("processor").alias("processor_type"), "step", "date", counts, "validation_rules",
+                              "custom_metrics", "anomalies"))
+
+
+def metrics_table(steps: DataFrame) -> DataFrame:
+    """The stored metric rows (L1, B7) with their JSON details (J1): five per step result; the success rate is 0 for
     an empty result."""
     t = F.col("total_records")
     rate = F.when(t > 0, F.col("valid_records") / t).otherwise(F.lit(0.0))
@@ -78,24 +127,19 @@ def metrics_long(steps: DataFrame) -> DataFrame:
                                                     else rate).alias("metric_value"))
              for m in STEP_METRICS]
     return steps.select(F.col("processor").alias("table_name"), "step", "date", run_time(F.col("date")).alias("timestamp"),
-                        F.explode(F.array(*items)).alias("m")) \
+                        _details().alias("details"), F.explode(F.array(*items)).alias("m")) \
                 .select("table_name", F.col("m.metric_name").alias("metric_name"),
-                        F.col("m.metric_value").alias("metric_value"), "timestamp", "step", "date")
+                        F.col("m.metric_value").alias("metric_value"), "timestamp", "step", "date", "details")
 
 
-def details_json(steps: DataFrame, rule_rows: DataFrame | None = None) -> DataFrame:
-    """``details`` JSON per step result: processor, step, date, counts."""
-    d = F.to_json(F.struct(F.col("processor").alias("processor_type"), "step", "date",
-                           F.struct("total_records", "valid_records", "dropped_records", "flagged_records")
-                           .alias("counts")))
-    return steps.select("processor", "step", "date", d.alias("details"))
+def metrics_long(steps: DataFrame) -> DataFrame:
+    """L1: the metric rows without their details."""
+    return metrics_table(steps).drop("details")
 
 
-def metrics_table(steps: DataFrame) -> DataFrame:
-    """The stored metric rows with their JSON details (L1 + J1 joined)."""
-    m = metrics_long(steps)
-    dj = details_json(steps).withColumnRenamed("processor", "table_name")
-    return m.join(dj, ["table_name", "step", "date"], "left")
+def details_json(steps: DataFrame) -> DataFrame:
+    """``details`` JSON per step result: processor, step, date, counts, rule results, custom metrics, anomalies."""
+    return steps.select("processor", "step", "date", _details().alias("details"))
 
 
 def latest_metrics(metrics: DataFrame, table_name: str, n: int = 10) -> DataFrame:

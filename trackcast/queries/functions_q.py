@@ -8,6 +8,7 @@ from trackcast.catalog import register
 from trackcast.functions import text as T
 from trackcast.functions import timefns as TF
 from trackcast.functions.binning import bin_column
+from trackcast.operators.attach import one_row
 from trackcast.operators.features import batch_stats, feature_families
 
 KEY = ("train_id", "timestamp", "station_code")
@@ -41,7 +42,7 @@ FEATURE_KEYS = {
 
 def _feature_query(cols):
     def q(s):
-        return s.features.select(*KEY, *cols)
+        return s.some_features(*cols).select(*KEY, *cols)
     return q
 
 
@@ -191,7 +192,7 @@ def broadcast_scalar(s):
 @register("station_traffic", "select station_code, station_traffic_rank from station_counts")
 def station_traffic(s):
     """Rows per station of the integrated batch."""
-    counts, _ = batch_stats(s.integrated.drop("matched"))
+    counts, _ = batch_stats(s.trains_clean, ["stations"])
     return counts.where(F.col("_sc").isNotNull()).select(F.col("_sc").alias("station_code"), "station_traffic_rank")
 
 
@@ -199,7 +200,7 @@ def station_traffic(s):
 def global_median(s):
     """Exact median of the route length over all rows (weighted percentile
     over the per-(station, length) counts)."""
-    _, sc = batch_stats(s.integrated.drop("matched"))
+    _, sc = batch_stats(s.trains_clean, ["route"])
     return sc.select("route_median")
 
 
@@ -207,7 +208,7 @@ def global_median(s):
                                "round(quantile_cont(station_traffic_rank, 0.67), 9) as traffic_q67 from station_counts")
 def station_quantiles(s):
     """33 % / 67 % of the per-station counts, linear interpolation."""
-    _, sc = batch_stats(s.integrated.drop("matched"))
+    _, sc = batch_stats(s.trains_clean, ["stations"])
     return sc.select(F.round("traffic_q33", 9).alias("traffic_q33"), F.round("traffic_q67", 9).alias("traffic_q67"))
 
 
@@ -216,12 +217,19 @@ def station_quantiles(s):
                             "count(distinct coalesce(wind_speed, 0)) as wind_values, "
                             "count(distinct coalesce(delay_minutes, 0)) as delay_values from integrated")
 def distinct_guard(s):
-    """Distinct values of the guarded columns (nulls read as 0)."""
-    i = s.integrated
-    return i.agg(F.count_distinct(F.hour("timestamp")).alias("hours"),
-                 F.count_distinct(F.coalesce("precip_mm", F.lit(0.0))).alias("precip_values"),
-                 F.count_distinct(F.coalesce("wind_speed", F.lit(0.0))).alias("wind_values"),
-                 F.count_distinct(F.coalesce("delay_minutes", F.lit(0))).alias("delay_values"))
+    """Distinct values of the guarded columns (nulls read as 0).
+
+    The hours are a bitmap (one long per task). Each other column is made distinct on its own, combined before its shuffle, over
+    the matched rows, which are matched and written once; no row is expanded."""
+    i = s.matched_rows
+    hours = i.agg(F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.hour("timestamp"))))
+                  .cast("bigint").alias("hours")).select(F.coalesce("hours", F.lit(0)).cast("bigint").alias("hours"))
+
+    def values(column, name):
+        return i.select(F.coalesce(column, F.lit(0)).alias("v")).distinct().agg(F.count("v").alias(name))
+
+    return one_row(hours, values("precip_mm", "precip_values"), values("wind_speed", "wind_values"),
+                   values("delay_minutes", "delay_values"))
 
 
 # ---- feature profile (P1) -------------------------------------------------------------

@@ -25,22 +25,25 @@ def _steps(s):
 
 
 def _steps_sql() -> str:
-    def one(proc, raw, norm, dedup, bad, flag):
+    def one(proc, raw, norm, dedup, fields, hits):
+        bad = " or ".join(f"{f} is null" for f in fields)
+        nulls = ", ".join(f"count(*) filter (where {f} is null) as null{k}" for k, f in enumerate(fields, 1))
+        one_hit, two_hits = (f"count(*) filter (where {h})" for h in hits)
+        flag = f"{one_hit} as hit1, {two_hits} as hit2, {one_hit} + {two_hits}"
         return f"""
   select '{proc}' as processor, a.date, a.total, a.bad, coalesce(b.normalized, 0) as normalized,
-    coalesce(c.deduped, 0) as deduped, coalesce(c.flagged, 0) as flagged
-  from (select strftime(timestamp, {DAY}) as date, count(*) as total, count(*) filter (where {bad}) as bad
+    coalesce(c.deduped, 0) as deduped, coalesce(c.flagged, 0) as flagged, null1, null2, null3,
+    coalesce(c.hit1, 0) as hit1, coalesce(c.hit2, 0) as hit2
+  from (select strftime(timestamp, {DAY}) as date, count(*) as total, count(*) filter (where {bad}) as bad, {nulls}
         from {raw} group by 1) a
   left join (select strftime(timestamp, {DAY}) as date, count(*) as normalized from {norm} group by 1) b
     on b.date = a.date
   left join (select strftime(timestamp, {DAY}) as date, count(*) as deduped, {flag} as flagged
              from {dedup} group by 1) c on c.date = a.date"""
     t = one("train", "trains_raw", "trains_norm", "trains_dedup",
-            "station_code is null or timestamp is null or train_id is null",
-            "count(*) filter (where delay_minutes < -5) + count(*) filter (where delay_minutes > 300)")
+            TC.required_fields, ("delay_minutes < -5", "delay_minutes > 300"))
     w = one("weather", "weather_raw", "weather_norm", "weather_dedup",
-            "station_code is null or timestamp is null or temperature is null",
-            "count(*) filter (where temperature < -20 or temperature > 50) + count(*) filter (where precip_mm < 0)")
+            WC.required_fields, ("temperature < -20 or temperature > 50", "precip_mm < 0"))
     return f"""
 mx as ({t}
   union all {w}),
@@ -79,10 +82,51 @@ def metrics_long(s):
                     "step", "date")
 
 
+def _details_sql() -> str:
+    """Per step result: its rule results and custom metrics, as JSON."""
+    def rule(name, kind, passed, n, action):
+        return (f"json_object('rule_name', '{name}', 'rule_type', '{kind}', 'passed', {passed}, 'affected_records', {n}, "
+                f"'action_taken', {action})")
+
+    def some(n, action):
+        return f"case when {n} > 0 then '{action}' else 'none' end"
+
+    def rate(n, of):
+        return f"case when {of} > 0 then round({n} * 1e0 / {of}, 9) else 0e0 end"
+
+    parts = []
+    for proc, cfg, rounded, strategy, hits in (
+            ("train", TC, "false", "completeness", (("extreme_early_delay", "business", "transform"),
+                                                    ("extreme_delay_outlier", "business", "flag"))),
+            ("weather", WC, "true", "keep_last", (("temperature_range_validation", "range", "transform"),
+                                                  ("precip_mm_range_validation", "range", "transform")))):
+        schema = ", ".join(rule(f"{f}_not_null", "schema", f"null{k} = 0", f"null{k}", some(f"null{k}", "drop"))
+                           for k, f in enumerate(cfg.required_fields, 1))
+        times = (rule("timestamp_parsing", "schema", "true", 0, "'none'") + ", "
+                 + rule("timestamp_normalization", "schema", "true", "normalized", "'transform'"))
+        dups = rule("duplicate_removal", "deduplication", "true", "normalized - deduped", some("normalized - deduped", "drop"))
+        broken = ", ".join(f"case when hit{k} > 0 then {rule(n, kind, 'false', f'hit{k}', repr(action))} end"
+                           for k, (n, kind, action) in enumerate(hits, 1))
+        keys = "[" + ", ".join(f"'{k}'" for k in cfg.dedup_keys) + "]"
+        for step, rules, custom in (
+                ("schema_validation", f"[{schema}]", f"json_object('required_fields_count', {len(cfg.required_fields)}, "
+                 f"'schema_compliance_rate', {rate('(total - bad)', 'total')})"),
+                ("timestamp_normalization", f"[{times}]", "json_object('parsing_errors', 0, 'normalized_count', normalized, "
+                 f"'target_timezone', '{cfg.target_timezone}', 'hourly_rounding', {rounded})"),
+                ("deduplication", f"[{dups}]", "json_object('duplicate_count', normalized - deduped, 'deduplication_rate', "
+                 f"{rate('(normalized - deduped)', 'normalized')}, 'key_fields', {keys}, 'selection_strategy', '{strategy}')"),
+                ("business_rules", f"list_filter([{broken}], lambda x: x is not null)", f"json_object('data_type', '{proc}')")):
+            parts.append(f"select processor, date, '{step}' as step, {rules} as rules, {custom} as custom from mx "
+                         f"where processor = '{proc}'")
+    return " union all ".join(parts)
+
+
 @register("metrics_to_json", msql(
-    "select processor, step, date, json_object('processor_type', processor, 'step', step, 'date', date, 'counts', "
+    f"select s.processor, s.step, s.date, json_object('processor_type', s.processor, 'step', s.step, 'date', s.date, 'counts', "
     "json_object('total_records', total_records, 'valid_records', valid_records, 'dropped_records', dropped_records, "
-    "'flagged_records', flagged_records))::varchar as details from msteps"))
+    "'flagged_records', flagged_records), 'validation_rules', d.rules, 'custom_metrics', d.custom, 'anomalies', "
+    f"[]::varchar[])::varchar as details from msteps s join ({_details_sql()}) d on d.processor = s.processor "
+    "and d.step = s.step and d.date is not distinct from s.date"))
 def metrics_to_json(s):
     """The JSON details of every step result."""
     return M.details_json(_steps(s))

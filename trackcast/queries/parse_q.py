@@ -25,7 +25,7 @@ _CLOCK = """case when {t} is null or trim({t}) = '' or {t} in ('X', 'Non rilevat
   then cast({d} as timestamp) + to_hours(try_cast(split_part(split_part({t}, ' - ', 1), ':', 1) as integer))
        + to_minutes(try_cast(split_part(split_part({t}, ' - ', 1), ':', 2) as integer)) end"""
 
-_DELAY = "case when regexp_matches({x}, '^[0-9]+$') then cast({x} as integer) else 0 end"
+_DELAY = "case when regexp_matches({x}, '^[0-9]+$') then cast({x} as bigint) else 0 end"
 
 PARSE_CTES = f""",
 {_PG},
@@ -122,7 +122,9 @@ def parse_clock(s):
 _DELAY_FORMS = (("plain", "cast(delay_minutes as string)", "cast(delay_minutes as varchar)"),
                 ("padded", "concat(' ', cast(abs(delay_minutes) as string))",
                  "' ' || cast(abs(delay_minutes) as varchar)"),
-                ("absolute", "cast(abs(delay_minutes) as string)", "cast(abs(delay_minutes) as varchar)"))
+                ("absolute", "cast(abs(delay_minutes) as string)", "cast(abs(delay_minutes) as varchar)"),
+                ("large", "concat(cast(abs(delay_minutes) as string), '0000000000')",
+                 "cast(abs(delay_minutes) as varchar) || '0000000000'"))
 
 
 @register("parse_delay", "select ingest_seq, form, text, " + _DELAY.format(x="text") + " as delay from ("

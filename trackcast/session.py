@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins from measured shuffle sizes
 # (broadcast only when the runtime size is under the threshold) and splits
@@ -73,6 +73,14 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def work_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written once to the shared folder and read back, and where it lies: what is read more than
+    once is computed once, and a lost executor costs a reread."""
+    path = new_work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a work table through Hadoop's file system API (works on any store)."""
     jvm = spark.sparkContext._jvm

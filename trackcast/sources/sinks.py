@@ -7,12 +7,13 @@ the "what to write" parts are joins (anti / full outer) over the target.
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from trackcast.config import INTEGRATED_COLUMNS, TRAIN_COLUMNS, WEATHER_COLUMNS
 from trackcast.operators.attach import attach_one_row
@@ -58,13 +59,32 @@ def write_partitioned(df: DataFrame, path: str, *, partition_by: Sequence[str],
     w.save(path)
 
 
+def stored_partitions(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """The stored partitions of ``path`` as distinct text values of ``columns``, from the names of the folders that hold files:
+    Spark lists the files and only their paths are selected, so no data file is opened. Empty before the first write."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in columns]))
+
+    def value(column: str):
+        text = F.regexp_extract("path", f"/{re.escape(column)}=([^/]*)/", 1)
+        name = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))  # special characters of a value are escaped in its folder's name
+        return F.when(text != "__HIVE_DEFAULT_PARTITION__", name).alias(column)
+
+    return files.select(*[value(c) for c in columns]).distinct()
+
+
 def write_absent_partitions(df: DataFrame, path: str, *, partition_by: Sequence[str], fmt: str = "csv") -> None:
     """Writes only the partitions that have no file yet (the reference skips a curated file that exists).
 
     Stored partitions are read from folder names; a partition is written whole in one job, so it is there or it is not."""
-    keys = StructType([f for f in df.schema.fields if f.name in partition_by])
-    stored = read_if_exists(df.sparkSession, path, StructType(list(df.schema.fields)), fmt).select(*keys.fieldNames()).distinct()
-    write_partitioned(df.join(stored, list(partition_by), "left_anti"), path, partition_by=partition_by, fmt=fmt)
+    stored = stored_partitions(df.sparkSession, path, partition_by)
+    stored = stored.select(*[F.col(c).cast(df.schema[c].dataType).alias(f"_{c}") for c in partition_by])
+    same = [df[c].eqNullSafe(stored[f"_{c}"]) for c in partition_by]
+    write_partitioned(df.join(stored, same, "left_anti"), path, partition_by=partition_by, fmt=fmt)
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:

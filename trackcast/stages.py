@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trackcast import fixtures
 from trackcast.config import TRAIN_COLUMNS, WEATHER_COLUMNS
-from trackcast.operators.features import engineer_features
+from trackcast.operators.features import STATISTIC_OF, WEATHER_FEATURES, engineer_features
 from trackcast.plans import dq
-from trackcast.plans.integrate import match_weather, project_integrated
+from trackcast.plans.integrate import TRAIN_PART, match_weather, project_integrated
+from trackcast.session import work_table
 
 
 class Stages:
@@ -66,9 +67,24 @@ class Stages:
     def integrated(self) -> DataFrame:
         return match_weather(self.trains_clean, self.weather, matched_col="matched")
 
+    @cached_property
+    def matched_rows(self) -> DataFrame:
+        """The integrated rows, matched once and written: what reads them more than once starts here."""
+        return work_table(self.integrated.drop("matched"), "matched")[0]
+
     @cached_property
     def features(self) -> DataFrame:
-        return engineer_features(self.integrated.drop("matched"))
+        return engineer_features(self.matched_rows)
+
+    def some_features(self, *columns: str) -> DataFrame:
+        """Features over their own input: without weather among the columns they read, the cleaned trains (one row each, as
+        matched); written first where a batch statistic reads them too."""
+        weather = any(c in WEATHER_FEATURES for c in columns)
+        if not any(c in STATISTIC_OF for c in columns):
+            rows = self.integrated.drop("matched") if weather else self.trains_clean.select(*TRAIN_PART)
+        else:
+            rows = self.matched_rows if weather else work_table(self.trains_clean.select(*TRAIN_PART), "trains")[0]
+        return engineer_features(rows, columns=columns)
 
     @cached_property
     def integrated_table(self) -> DataFrame:
