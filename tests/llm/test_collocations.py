@@ -72,6 +72,7 @@ def test_small_frontiers_change_nothing(spark, seed):
 def test_false_hits_and_small_batches_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(collocations, "BITS", 7)
     monkeypatch.setattr(collocations, "HELD", 20)
+    monkeypatch.setattr(collocations, "VOCABULARY", 9)
     docs = corpus(9)
     got = mine_collocations(spark.createDataFrame(docs, COLS), top=10, at_least=3, frontier=8)
     assert sorted(tuple(r) for r in got.collect()) == brute(docs, 10, 3)

@@ -12,15 +12,14 @@ the extensions by one word to the left are counted too, since a longer candidate
 the level or above, it is settled, ties included; if not, its frontier grows four times as large, down to level 0, where all
 candidates are counted.
 
-Counting is a pass over the texts: tasks test which n-grams to count by bits of their checksums in tables of a fixed size (built by Spark
-from the frontier; a false hit costs a count that nothing needs, never a result), count those as whole strings in batches of bounded size, and
+Counting is a pass over the texts: tasks number their words, test which n-grams to count by bits of their names in tables of a fixed size (built by Spark
+from the frontier; a false hit costs a count that nothing needs, never a result), count those by their numbers in batches of bounded size, and
 Spark adds the counts up by (language, phrase), combined before the shuffle. All later steps are joins and
 aggregates over counted phrases; nothing but the bit tables and the number of open languages reaches the driver.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from itertools import repeat
 from typing import Iterator
 from zlib import crc32
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trackcast.llm.common import CHUNK, WorkTables, narrow
+from trackcast.llm.common import CHUNK, WorkTables, narrow, pair_name
 
 #: Marks the end of a piece; no UTF-8 text holds this byte.
 END = b"\xff"
@@ -40,8 +39,8 @@ TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x20 if b == 0x09 else 0xFF if b
 
 #: Bits of a filter table (8 MB).
 BITS = 26
-#: Phrases a task counts before it sends them on.
-HELD = 200_000
+#: n-grams a task collects before it sends their counts on, and words that it numbers.
+HELD, VOCABULARY = 1 << 21, 1 << 19
 
 _COUNTS = "lang string, phrase string, f long"
 
@@ -78,75 +77,135 @@ def token_lists(texts: Iterator[bytes], carry: int) -> Iterator[list[bytes]]:
         yield END.join(group).replace(END, b" \xff ").split()
 
 
-class Grams:
-    """Checksums of the n-grams of a token list that lie within pieces, chained from those of one word less."""
+class Vocabulary(dict):
+    """Numbers of the words of one language in order of first sight (the end of a piece is 0), and names for the filters."""
 
-    def __init__(self, tokens: list[bytes], lang: bytes, n: int):
-        self.tokens = tokens
-        inside = ~np.fromiter(map(END.__eq__, tokens), bool, len(tokens))
-        seed = crc32(lang + b"\0")
-        chain = list(map(crc32, tokens, repeat(seed)))
-        self.names, self.inside = {1: np.array(chain, np.uint32)}, {1: inside}
-        for k in range(2, n + 1):
-            chain = list(map(crc32, tokens[k - 1:], map(crc32, repeat(b" "), chain)))
-            self.names[k] = np.array(chain, np.uint32)
-            self.inside[k] = self.inside[k - 1][:len(chain)] & inside[k - 1:]
+    def __init__(self, lang: str):
+        super().__init__({END: 0})
+        self.words, self.seed, self.names = [END], crc32(lang.encode("utf-8") + b"\0"), np.empty(0, np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self.words)
+        self.words.append(word)
+        return n
+
+    def numbers(self, tokens: list[bytes]) -> np.ndarray:
+        ids = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        more = self.words[len(self.names):]
+        self.names = np.concatenate([self.names, word_names(more, self.seed)])
+        return ids
+
+
+def word_names(words: list[bytes], seeds) -> np.ndarray:
+    seeds = repeat(seeds) if isinstance(seeds, int) else seeds
+    sums = np.fromiter(map(crc32, words, seeds), np.uint32, len(words)).astype(np.uint64)
+    return pair_name(sums, np.uint64(1), 0)
+
+
+def gram_names(names: np.ndarray, n: int) -> dict[int, np.ndarray]:
+    """Names of the runs of 1 to n words that start at each word, each from that of one word less."""
+    out = {1: names}
+    for k in range(2, n + 1):
+        out[k] = pair_name(out[k - 1][:max(0, len(names) - k + 1)], names[k - 1:], 0)
+    return out
 
 
 def _has(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
-    at = names & np.uint32((1 << BITS) - 1)
-    return (bits[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8)) & np.uint8(1) != 0
+    at = names >> np.uint64(64 - BITS)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
 
 
-def _wanted(grams: Grams, n: int, filters: dict[str, np.ndarray]) -> np.ndarray:
+def _wanted(ids: np.ndarray, words: np.ndarray, n: int, filters: dict[str, np.ndarray]) -> np.ndarray:
     """Where n-grams start that a pass counts. ``both``: parts of ``m`` words that must all be frequent; ``grow``: first n - 1
     words to be grown; ``inner``: last n - 1 words whose growth to the left is counted; ``whole``: the n-gram itself."""
-    out = grams.inside[n].copy()
-    at = np.flatnonzero(out)
+    inside = ids != 0
+    for k in range(1, n):
+        inside = inside[:-1] & (ids[k:] != 0)
+    names = gram_names(words[ids], n if "whole" in filters else n - 1)
     if "whole" in filters:
-        keep = _has(filters["whole"], grams.names[n][at])
-    else:
-        m = min(n - 1, 2)
-        keep = np.ones(len(at), bool)
-        for k in range(n - m + 1):
-            keep[keep] = _has(filters["both"], grams.names[m][at[keep] + k])
-        if "grow" in filters:
-            own = at[keep]
-            keep[keep] = (_has(filters["grow"], grams.names[n - 1][own]) | _has(filters["inner"], grams.names[n - 1][own + 1]))
-    return at[keep]
+        at = np.flatnonzero(inside)
+        return at[_has(filters["whole"], names[n][at])]
+    m = min(n - 1, 2)
+    frequent = _has(filters["both"], names[m])
+    for k in range(n - m + 1):
+        inside &= frequent[k:k + len(inside)]
+    at = np.flatnonzero(inside)
+    if "grow" in filters:
+        at = at[_has(filters["grow"], names[n - 1][at]) | _has(filters["inner"], names[n - 1][at + 1])]
+    return at
+
+
+class Held:
+    """n-grams of one language that wait to be counted, as rows of word numbers."""
+
+    def __init__(self, lang: str, n: int):
+        self.lang, self.n = lang, n
+        self.clear()
+
+    def clear(self) -> None:
+        self.vocabulary, self.rows, self.size, self.total = Vocabulary(self.lang), [], 0, 0
+
+    def add(self, tokens: list[bytes], filters) -> None:
+        ids = self.vocabulary.numbers(tokens)
+        if self.n == 1:
+            ids = ids[ids != 0]
+            self.total += len(ids)
+            rows = ids[:, None]
+        else:
+            rows = np.stack([ids[at:len(ids) - self.n + at + 1] for at in range(self.n)], axis=1)[
+                _wanted(ids, self.vocabulary.names, self.n, filters)] if len(ids) >= self.n else np.empty((0, self.n), np.int64)
+        self.rows.append(rows)
+        self.size += len(rows)
+
+    def full(self) -> bool:
+        return self.size >= HELD or len(self.vocabulary.words) >= VOCABULARY
+
+    def counted(self) -> Iterator[pa.RecordBatch]:
+        """The distinct n-grams with their counts; for words also their number, under a null phrase."""
+        words, rows = self.vocabulary.words, np.concatenate(self.rows) if self.rows else np.empty((0, self.n), np.int64)
+        key = rows[:, 0]
+        for k in range(1, self.n):  # numbers fit in 20 bits, so two of them and a rank (21 bits) fit in a long
+            if k == 3:
+                key = np.unique(key, return_inverse=True)[1]
+            key = key << 21 | rows[:, k]
+        key, first, counts = np.unique(key, return_index=True, return_counts=True)
+        rows = rows[first]
+        for at in range(0, len(rows), 1 << 16):
+            part = rows[at:at + (1 << 16)]
+            phrases = [words[i] for i in part[:, 0].tolist()]
+            for k in range(1, self.n):
+                phrases = [p + b" " + words[i] for p, i in zip(phrases, part[:, k].tolist())]
+            yield self._batch(phrases, counts[at:at + (1 << 16)])
+        if self.total:
+            yield self._batch([None], [self.total])
+        self.clear()
+
+    def _batch(self, phrases, counts) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([self.lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(
+            pa.string()), pa.array(counts, pa.int64())], names=["lang", "phrase", "f"])
 
 
 def _count(n: int, filters):
     """n-grams a pass wants (all words, if n is 1, and under a null phrase their number) with their counts, per language."""
-    def send(held: dict) -> Iterator[pa.RecordBatch]:
-        for lang, counts in held.items():
-            if counts:
-                phrases = [None if p is None else p.decode("utf-8") for p in counts]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
-                                                  pa.array(list(counts.values()), pa.int64())], names=["lang", "phrase", "f"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = filters.value if filters is not None else None
-        held: dict[str, Counter] = {}
+        all_held: dict[str, Held] = {}
         for batch in batches:
             langs = batch.column(0).to_pylist()
+            texts = batch.column(1).cast(pa.binary())
             for lang in dict.fromkeys(langs):
-                counts = held.setdefault(lang, Counter())
-                own = (t.as_py().encode("utf-8") for x, t in zip(langs, batch.column(1)) if x == lang)
+                held = all_held.setdefault(lang, Held(lang, n))
+                own = (t.as_py() for x, t in zip(langs, texts) if x == lang)
                 for tokens in token_lists(own, n - 1):
-                    if n == 1:
-                        more = Counter(tokens)
-                        ends = more.pop(END, 0)
-                        counts.update(more)
-                        counts[None] += len(tokens) - ends
-                    else:
-                        at = _wanted(Grams(tokens, lang.encode("utf-8"), n), n, tables)
-                        counts.update([b" ".join(tokens[i:i + n]) for i in at.tolist()])
-                    if sum(map(len, held.values())) > HELD:
-                        yield from send(held)
-                        held = {x: Counter() for x in held}
-                        counts = held[lang]
-        yield from send(held)
+                    held.add(tokens, tables)
+                    if held.full():
+                        yield from held.counted()
+            if sum(len(h.vocabulary.words) for h in all_held.values()) >= VOCABULARY:  # many languages
+                for held in all_held.values():
+                    yield from held.counted()
+                all_held.clear()
+        for held in all_held.values():
+            yield from held.counted()
     return run
 
 
@@ -159,12 +218,30 @@ def phrase_counts(rows: DataFrame, n: int, at_least: int, **filters: DataFrame)
             .filter((F.col("f") >= at_least) | F.col("phrase").isNull()))
 
 
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        by_size: dict[int, tuple[list, list]] = {}
+        for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            words = phrase.split(b" ")
+            seeds, rows = by_size.setdefault(len(words), ([], []))
+            seeds += [crc32(lang.encode("utf-8") + b"\0")] * len(words)
+            rows += words
+        for n, (seeds, rows) in by_size.items():
+            names = word_names(rows, seeds).reshape(-1, n)
+            name = names[:, 0]
+            for k in range(1, n):
+                name = pair_name(name, names[:, k], 0)
+            at = np.unique((name >> np.uint64(64 - BITS)).astype(np.int64))
+            first = np.flatnonzero(np.diff(at >> 6, prepend=-1))
+            bits = np.bitwise_or.reduceat(np.int64(1) << (at & 63), first)
+            yield pa.RecordBatch.from_arrays([pa.array(at[first] >> 6), pa.array(bits)], names=["word", "bits"])
+
+
 def bit_table(phrases: DataFrame) -> np.ndarray:
-    """The bits of the phrases' checksums, 2 ** BITS of them whatever the number of phrases."""
-    at = F.crc32(F.concat("lang", F.lit("\0"), "phrase")).bitwiseAND(F.lit((1 << BITS) - 1))
-    words = (phrases.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")))
-    out = np.zeros(1 << (BITS - 6), np.int64)
+    """The bits of the phrases' names, 2 ** BITS of them whatever the number of phrases."""
+    words = (phrases.select("lang", "phrase").mapInArrow(_bits, "word long, bits long")
+             .groupBy("word").agg(F.bit_or("bits").alias("bits")))
+    out = np.zeros(max(1, 1 << BITS >> 6), np.int64)
     found = words.toPandas()  # at most 2 ** (BITS - 6) rows
     out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
     return out.view(np.uint8)
