@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackcast.llm import collocations
-from trackcast.llm.collocations import mine_collocations, scored, token_lists
+from trackcast.llm.collocations import mine_collocations, scored, split_words, token_chunks
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 COLS = "doc_id long, text string, lang string"
@@ -78,15 +78,23 @@ def test_false_hits_and_small_batches_change_nothing(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == brute(docs, 10, 3)
 
 
-def test_a_text_longer_than_a_list(spark):
+def test_a_text_longer_than_a_chunk(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "LIST", 1 << 16)
     rng = random.Random(2)
     long = "".join(rng.choice(["ab ", "cde ", "fg ", "hij. ", "É\t", "k\n"]) for _ in range(300_000))
     docs = [(1, long, "en"), (2, "x" * 400_000 + " ab", "en"), (3, "ab " * 200_000, "de")]
-    assert len(list(token_lists([long.encode()], 3))) > 3
+    assert len(list(token_chunks([long.encode()], 3))) > 3
     got = mine_collocations(spark.createDataFrame(docs, COLS), frontier=50, top=60)
     assert sorted(tuple(r) for r in got.collect()) == brute(docs, 60, 30)
 
 
+def test_words_of_a_chunk():
+    for chunk in (b"", b" ", b"a", b" a  b a\xff \x00 ", b"a b a"):
+        words, at = split_words(chunk)
+        assert [words[k] for k in at if words[k]] == chunk.split()
+        assert len(set(words)) == len(words)
+
+
 def test_products_beyond_64_bits(spark):
     big = 7 * 10 ** 13 + 1
     one = spark.createDataFrame([("en", "a", big + 5), ("en", "b", big + 2)], "lang string, phrase string, f long")

@@ -26,11 +26,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trackcast.llm.common import CHUNK, WorkTables, narrow, pair_name
+from trackcast.llm.common import WorkTables, narrow, pair_name
 
 #: Marks the end of a piece; no UTF-8 text holds this byte.
 END = b"\xff"
@@ -39,42 +40,53 @@ TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x20 if b == 0x09 else 0xFF if b
 
 #: Bits of a filter table (8 MB).
 BITS = 26
+#: Bytes of text whose words are numbered at a time.
+LIST = 1 << 20
 #: n-grams a task collects before it sends their counts on, and words that it numbers.
 HELD, VOCABULARY = 1 << 21, 1 << 19
 
 _COUNTS = "lang string, phrase string, f long"
 
 
-def token_lists(texts: Iterator[bytes], carry: int) -> Iterator[list[bytes]]:
-    """Words and piece ends of the texts, in lists of about CHUNK bytes.
+def token_chunks(texts: Iterator[bytes], carry: int) -> Iterator[bytes]:
+    """The texts' words and piece ends, blanks between them, in chunks of about LIST bytes.
 
-    Every text starts a new piece. A list that goes on within a text starts with up to ``carry`` words of the
-    list before, those of its last piece, so that each run of ``carry + 1`` words is in exactly one list.
+    Every text starts a new piece. A chunk that goes on within a text starts with up to ``carry`` words of the
+    chunk before, those of its last piece, so that each run of ``carry + 1`` words is in exactly one chunk.
     """
     group, size = [], 0
     for text in texts:
         text = text.translate(TABLE)
-        if len(text) <= CHUNK:
+        if len(text) <= LIST:
             group.append(text)
             size += len(text)
-            if size >= CHUNK:
-                yield END.join(group).replace(END, b" \xff ").split()
+            if size >= LIST:
+                yield END.join(group).replace(END, b" \xff ")
                 group, size = [], 0
             continue
-        at, before = 0, []
+        at, before = 0, b""
         while at < len(text):
-            end = text.find(b" ", at + CHUNK)
+            end = text.find(b" ", at + LIST)
             end = len(text) if end < 0 else end
-            tokens = before + text[at:end].replace(END, b" \xff ").split()
-            yield tokens
-            before = []
-            for token in reversed(tokens):
-                if len(before) == carry or token == END:
-                    break
-                before.insert(0, token)
+            chunk = before + text[at:end].replace(END, b" \xff ")
+            yield chunk
+            last = chunk.rsplit(END, 1)[-1].split() if carry else []
+            before = b"".join(word + b" " for word in last[max(0, len(last) - carry):])
             at = end
     if group:
-        yield END.join(group).replace(END, b" \xff ").split()
+        yield END.join(group).replace(END, b" \xff ")
+
+
+def split_words(chunk: bytes) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words of a chunk, and which of them stand in it, in order."""
+    whole = pa.Array.from_buffers(pa.large_binary(), 1, [None, pa.py_buffer(np.array([0, len(chunk)], np.int64)), pa.py_buffer(chunk)])
+    coded = pc.split_pattern(whole, pattern=b" ").values.dictionary_encode()
+    _, ends, data = coded.dictionary.buffers()
+    size = len(coded.dictionary)
+    ends = np.frombuffer(ends, np.int64, size + 1, coded.dictionary.offset * 8)
+    data = b"" if data is None else data.to_pybytes()
+    cut = ends.tolist()
+    return [data[a:b] for a, b in zip(cut, cut[1:])], coded.indices.to_numpy()
 
 
 class Vocabulary(dict):
@@ -89,11 +101,14 @@ class Vocabulary(dict):
         self.words.append(word)
         return n
 
-    def numbers(self, tokens: list[bytes]) -> np.ndarray:
-        ids = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+    def numbers(self, chunk: bytes) -> np.ndarray:
+        """Numbers of the chunk's words, in order."""
+        words, at = split_words(chunk)
+        blank = words.index(b"") if b"" in words else -1
+        number = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         more = self.words[len(self.names):]
         self.names = np.concatenate([self.names, word_names(more, self.seed)])
-        return ids
+        return number[at if blank < 0 else at[at != blank]]
 
 
 def word_names(words: list[bytes], seeds) -> np.ndarray:
@@ -145,8 +160,8 @@ class Held:
     def clear(self) -> None:
         self.vocabulary, self.rows, self.size, self.total = Vocabulary(self.lang), [], 0, 0
 
-    def add(self, tokens: list[bytes], filters) -> None:
-        ids = self.vocabulary.numbers(tokens)
+    def add(self, chunk: bytes, filters) -> None:
+        ids = self.vocabulary.numbers(chunk)
         if self.n == 1:
             ids = ids[ids != 0]
             self.total += len(ids)
@@ -162,27 +177,29 @@ class Held:
 
     def counted(self) -> Iterator[pa.RecordBatch]:
         """The distinct n-grams with their counts; for words also their number, under a null phrase."""
-        words, rows = self.vocabulary.words, np.concatenate(self.rows) if self.rows else np.empty((0, self.n), np.int64)
-        key = rows[:, 0]
-        for k in range(1, self.n):  # numbers fit in 20 bits, so two of them and a rank (21 bits) fit in a long
-            if k == 3:
-                key = np.unique(key, return_inverse=True)[1]
-            key = key << 21 | rows[:, k]
-        key, first, counts = np.unique(key, return_index=True, return_counts=True)
-        rows = rows[first]
-        for at in range(0, len(rows), 1 << 16):
-            part = rows[at:at + (1 << 16)]
-            phrases = [words[i] for i in part[:, 0].tolist()]
-            for k in range(1, self.n):
-                phrases = [p + b" " + words[i] for p, i in zip(phrases, part[:, k].tolist())]
-            yield self._batch(phrases, counts[at:at + (1 << 16)])
+        words = pa.array(self.vocabulary.words, pa.binary())
+        rows = np.concatenate(self.rows) if self.rows else np.empty((0, self.n), np.int64)
+        if self.n <= 2:
+            key, counts = np.unique(rows[:, 0] if self.n == 1 else rows[:, 0] << 21 | rows[:, 1], return_counts=True)
+            columns = [key] if self.n == 1 else [key >> 21, key & ((1 << 21) - 1)]
+        else:
+            key = rows[:, 0] << 21 | rows[:, 1]
+            for k in range(2, self.n):
+                if k == 3:  # numbers fit in 20 bits: two of them and a third, or a rank and one more, fit in a long
+                    key = np.unique(key, return_inverse=True)[1]
+                key = key << 21 | rows[:, k]
+            _, first, counts = np.unique(key, return_index=True, return_counts=True)
+            columns = list(rows[first].T)
+        for at in range(0, len(counts), 1 << 16):
+            part = [words.take(pa.array(c[at:at + (1 << 16)])) for c in columns]
+            yield self._batch(pc.binary_join_element_wise(*part, b" ") if self.n > 1 else part[0], counts[at:at + (1 << 16)])
         if self.total:
-            yield self._batch([None], [self.total])
+            yield self._batch(pa.array([None], pa.binary()), [self.total])
         self.clear()
 
-    def _batch(self, phrases, counts) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([self.lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(
-            pa.string()), pa.array(counts, pa.int64())], names=["lang", "phrase", "f"])
+    def _batch(self, phrases: pa.Array, counts) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([self.lang] * len(phrases), pa.string()), phrases.cast(pa.string()),
+                                           pa.array(counts, pa.int64())], names=["lang", "phrase", "f"])
 
 
 def _count(n: int, filters):
@@ -196,8 +213,8 @@ def _count(n: int, filters):
             for lang in dict.fromkeys(langs):
                 held = all_held.setdefault(lang, Held(lang, n))
                 own = (t.as_py() for x, t in zip(langs, texts) if x == lang)
-                for tokens in token_lists(own, n - 1):
-                    held.add(tokens, tables)
+                for chunk in token_chunks(own, n - 1):
+                    held.add(chunk, tables)
                     if held.full():
                         yield from held.counted()
             if sum(len(h.vocabulary.words) for h in all_held.values()) >= VOCABULARY:  # many languages
