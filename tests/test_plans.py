@@ -63,3 +63,22 @@ def test_report_rows_read_each_source_once_per_stage(spark):
         df = E.queries()[k](spark, SF_MID)
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
         assert leaves <= 10, (k, leaves)
+
+
+def test_features_are_built_over_rows_matched_once(spark):
+    """The match is written and read back: no plan of the features holds it twice, and none that needs no weather holds it at all."""
+    import __spark_entry__ as E
+    q = E.queries()
+    for k in ("engineer_features", "integrate", "feature_profile", "station_importance", "time_period", "distinct_guard"):
+        p = _plan(q[k](spark, SF_MID))
+        assert "_cands" not in p and "max_by" not in p, k
+    for k in ("is_weekend", "temporal_parts", "is_high_speed", "delay_flags", "service_disruption"):
+        df = q[k](spark, SF_MID)
+        p = _plan(df)
+        assert "_cands" not in p and "Join" not in p and "Union" in p, k
+        assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2, k   # the rows and their copies
+
+
+def test_distinct_counts_expand_no_row(spark):
+    import __spark_entry__ as E
+    assert "Expand" not in _plan(E.queries()["distinct_guard"](spark, SF_MID))

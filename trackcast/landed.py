@@ -8,8 +8,13 @@ form producing the same documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+#: Entries in a fragment of a rendered document, and sequence numbers in a slot that is numbered on its own.
+FRAGMENT = 500
+SLOT = 1 << 16
 
 # FIXED VALUES: page layout around the table and its header entry.
 PAGE_HEAD = "<html><body><script>var table = ["
@@ -29,21 +34,41 @@ def _entry_spark() -> F.Column:
                        clock(c("scheduled_time")), dep_actual, delay)
 
 
+def with_positions(rows: DataFrame, group: list[str], slot: Column, order: list[str]) -> DataFrame:
+    """``rows`` with their position ``pos`` in their group and its number of rows ``n``.
+
+    ``slot`` rises with the order; slots are counted (combined before the shuffle) and their counts summed up per group, rows are
+    numbered within a slot only. So no task sorts a whole group, however large, but one row per slot of it."""
+    rows = rows.withColumn("_slot", slot)
+    key = [*group, "_slot"]
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*group)
+    counts = counts.select(*key, (F.sum("_n").over(whole.orderBy("_slot")) - F.col("_n")).alias("_first"), F.sum("_n").over(whole).alias("n"))
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return (rows.withColumn("_rank", rank).join(counts, key)
+            .withColumn("pos", F.col("_first") + F.col("_rank") - 1).drop("_slot", "_rank", "_first"))
+
+
 def train_pages(trains_raw: DataFrame, pages: DataFrame) -> DataFrame:
     """One page per (station, hour) holding header + entries + a blank entry +
-    a short note entry; plus every page of the ``pages`` table (no table)."""
-    t = trains_raw.where(F.col("station_code").isNotNull() & F.col("timestamp").isNotNull())
-    hour = F.date_format("timestamp", "yyyy-MM-dd HH")
-    g = t.groupBy("station_code", hour.alias("hour")).agg(
-        F.sort_array(F.collect_list(F.struct("ingest_seq", _entry_spark().alias("e")))).alias("es"),
-        F.min("ingest_seq").alias("page_id"))
+    a short note entry, in fragments whose ``first`` is the position of their first train; plus every page of the
+    ``pages`` table (no table), each one fragment."""
+    t = trains_raw.where(F.col("station_code").isNotNull() & F.col("timestamp").isNotNull()).select(
+        "station_code", F.date_format("timestamp", "yyyy-MM-dd HH").alias("hour"), "ingest_seq", _entry_spark().alias("e"))
+    page = t.groupBy("station_code", "hour").agg(F.min("ingest_seq").alias("page_id"))
+    at = with_positions(t, ["station_code", "hour"], F.expr(f"ingest_seq div {SLOT}"), ["ingest_seq"])
+    g = at.groupBy("station_code", "hour", "n", F.expr(f"pos div {FRAGMENT} * {FRAGMENT}").alias("first")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "e"))).alias("es"))
     quoted = F.array_join(F.transform(F.col("es"), lambda x: F.concat(F.lit("'"), x["e"], F.lit("'"))), ",")
-    html = F.concat(F.lit(PAGE_HEAD + "'" + HEADER_ENTRY + "',"), quoted,
-                    F.lit(",'  ','" + NOTE_PREFIX), F.substring("hour", 12, 2), F.lit("'" + PAGE_TAIL))
-    gen = g.select(F.col("page_id").cast("bigint").alias("page_id"), "station_code",
-                   F.to_date(F.substring("hour", 1, 10)).alias("day"), html.alias("html"))
+    head = F.when(F.col("first") == 0, F.lit(f"'{HEADER_ENTRY}',")).otherwise("")
+    note = F.when(F.col("first") + F.size("es") == F.col("n"), F.concat(
+        F.lit(",'  ','" + NOTE_PREFIX), F.substring("hour", 12, 2), F.lit("'"))).otherwise("")
+    html = F.concat(F.lit(PAGE_HEAD), head, quoted, note, F.lit(PAGE_TAIL))
+    gen = g.join(page, ["station_code", "hour"]).select(
+        F.col("page_id").cast("bigint").alias("page_id"), "station_code",
+        F.to_date(F.substring("hour", 1, 10)).alias("day"), html.alias("html"), "first")
     web = pages.select((-F.col("page_id") - 1).cast("bigint").alias("page_id"), F.lit("S00").alias("station_code"),
-                       F.lit("2024-01-01").cast("date").alias("day"), "html")
+                       F.lit("2024-01-01").cast("date").alias("day"), "html", F.lit(0).cast("bigint").alias("first"))
     return gen.unionByName(web)
 
 
@@ -68,17 +93,18 @@ train_pages as (
 
 def hourly_payloads(weather_raw: DataFrame) -> DataFrame:
     """One payload per (station, day): parallel hourly arrays; the
-    precipitation array stops one hour short (a shorter array)."""
-    w = weather_raw.where(F.col("station_code").isNotNull() & F.col("timestamp").isNotNull())
-    g = w.groupBy("station_code", F.to_date("timestamp").alias("day")).agg(
-        F.sort_array(F.collect_list(F.struct("timestamp", "ingest_seq", "temperature", "precip_mm", "wind_speed",
-                                             "weather_code"))).alias("r"))
+    precipitation array stops one hour short (a shorter array). In fragments whose ``first`` is the position of their first hour."""
+    w = weather_raw.where(F.col("station_code").isNotNull() & F.col("timestamp").isNotNull()).withColumn("day", F.to_date("timestamp"))
+    at = with_positions(w, ["station_code", "day"], F.date_trunc("minute", "timestamp"), ["timestamp", "ingest_seq"])
+    g = at.groupBy("station_code", "day", "n", F.expr(f"pos div {FRAGMENT} * {FRAGMENT}").alias("first")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "timestamp", "temperature", "precip_mm", "wind_speed", "weather_code"))).alias("r"))
     arr = lambda name: F.transform("r", lambda x: x[name])
+    short = F.when(F.col("first") + F.size("r") == F.col("n"), F.size("r") - 1).otherwise(F.size("r"))
     hourly = F.struct(F.transform("r", lambda x: F.date_format(x["timestamp"], "yyyy-MM-dd'T'HH:mm")).alias("time"),
                       arr("temperature").alias("temperature_2m"),
-                      F.slice(arr("precip_mm"), 1, F.size("r") - 1).alias("precipitation"),
+                      F.slice(arr("precip_mm"), F.lit(1), short).alias("precipitation"),
                       arr("wind_speed").alias("windspeed_10m"), arr("weather_code").alias("weathercode"))
-    return g.select("station_code", "day", F.to_json(F.struct("station_code", hourly.alias("hourly"))).alias("payload"))
+    return g.select("station_code", "day", F.to_json(F.struct("station_code", hourly.alias("hourly"))).alias("payload"), "first")
 
 
 def station_feed(nation: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def stream_dedup(s):
     X.stream_dedup(s.spark, d["landing"], d["target"], d["checkpoint"], schema, WC.dedup_keys, "ingest_seq",
                    prepare=lambda df: df.where(F.col("timestamp").isNotNull()).withColumn(
                        "timestamp", round_hour_half_up("timestamp")))
-    return X.first_arrivals(s.spark.read.parquet(d["target"]), WC.dedup_keys, "ingest_seq")
+    return X.folded(s.spark, d["target"])
 
 
 @register("stream_nearest", "select c.train_id, c.timestamp, c.station_code, c.delay_minutes, c.ingest_seq, "
@@ -88,4 +88,4 @@ def stream_hourly_dq(s):
     d = _dirs(s, "hourly")
     schema = _trains_landed(s, d["landing"])
     X.stream_hourly_dq(s.spark, d["landing"], d["target"], d["checkpoint"], schema)
-    return X.window_totals(s.spark.read.parquet(d["target"]))
+    return X.folded(s.spark, d["target"])

@@ -25,14 +25,17 @@ BLANK = r"^\s*$"
 
 def page_entries(pages: DataFrame, html: str = "html") -> DataFrame:
     """Per page: whether a table exists and the train entries (quoted,
-    non-blank entries after the header), as an array column."""
+    non-blank entries after the header), as an array column. With a column ``first`` the rows are fragments of pages, and
+    only those that start a page (``first`` 0) have a header."""
     h = F.col(html)
     has_table = F.coalesce(h.rlike(TABLE_PATTERN), F.lit(False))
     body = F.regexp_extract(h, TABLE_PATTERN, 1)
     quoted = F.regexp_extract_all(body, F.lit(ENTRY_PATTERN), 1)
     kept = F.filter(quoted, lambda e: ~e.rlike(BLANK))
-    trains = F.when(has_table & (F.size(kept) > 1), F.slice(kept, 2, F.size(kept) - 1)).otherwise(
-        F.array().cast("array<string>"))
+    without = F.when(F.size(kept) > 1, F.slice(kept, 2, F.size(kept) - 1)).otherwise(F.array().cast("array<string>"))
+    if "first" in pages.columns:
+        without = F.when(F.col("first") > 0, kept).otherwise(without)
+    trains = F.when(has_table, without).otherwise(F.array().cast("array<string>"))
     return pages.withColumns({"has_table": has_table, "entries_found": F.when(has_table, F.size(kept)).otherwise(0),
                               "train_entries": trains})
 
@@ -69,10 +72,15 @@ def parse_entry(entry: Column, station: Column, day: Column) -> dict[str, Column
 def parse_train_pages(pages: DataFrame, *, station: str = "station_code", day: str = "day",
                       page_id: str = "page_id") -> dict[str, DataFrame]:
     """A6 + A7: ``rows`` (parsed trains), ``rejected`` (entries with fewer
-    than 9 fields) and ``counts`` (per page: found / kept / rejected)."""
+    than 9 fields) and ``counts`` (per page: found / kept / rejected). ``pages`` are whole pages, or fragments of
+    them with the position of their first train entry in ``first``."""
+    first = F.col("first") if "first" in pages.columns else F.lit(0)
     p = page_entries(pages)
-    e = p.select(page_id, station, day, "has_table", "entries_found",
-                 F.posexplode_outer("train_entries").alias("pos", "entry"))
+    e = p.select(page_id, station, day, "has_table", "entries_found", first.alias("_first"),
+                 F.posexplode_outer("train_entries").alias("_at", "entry"))
+    # a fragment's number of entries goes with its first row
+    e = e.withColumns({"pos": (F.col("_first") + F.col("_at")).cast("int"),
+                       "entries_found": F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("entries_found")).otherwise(0)})
     fields = parse_entry(F.col("entry"), F.col(station), F.col(day))
     parsed = e.select(page_id, "pos", "entry", "has_table", "entries_found",
                       *[v.alias(k) for k, v in fields.items()])
@@ -80,7 +88,7 @@ def parse_train_pages(pages: DataFrame, *, station: str = "station_code", day: s
     rows = parsed.where(has_entry & F.col("valid")).select(page_id, "pos", *TRAIN_COLUMNS)
     rejected = parsed.where(has_entry & ~F.col("valid")).select(page_id, "pos", "entry")
     counts = parsed.groupBy(page_id).agg(
-        F.max("has_table").alias("has_table"), F.max("entries_found").alias("entries_found"),
+        F.max("has_table").alias("has_table"), F.sum("entries_found").cast("int").alias("entries_found"),
         F.count_if(has_entry & F.col("valid")).alias("kept"),
         F.count_if(has_entry & ~F.col("valid")).alias("rejected"))
     return {"rows": rows, "rejected": rejected, "counts": counts}
@@ -88,16 +96,18 @@ def parse_train_pages(pages: DataFrame, *, station: str = "station_code", day: s
 
 def explode_hourly(payloads: DataFrame, *, doc: str = "payload") -> DataFrame:
     """A5: one row per hour of each payload; ``time`` drives, a shorter array
-    gives nulls past its end, a payload without ``time`` gives no row."""
+    gives nulls past its end, a payload without ``time`` gives no row. A column ``first`` says that the rows are fragments
+    of payloads and where they start."""
+    first = F.col("first") if "first" in payloads.columns else F.lit(0)
     p = payloads.withColumn("_p", F.from_json(F.col(doc), HOURLY_PAYLOAD))
     h = F.col("_p.hourly")
     x = p.select(F.col("_p.station_code").alias("station_code"),
                  F.posexplode(F.coalesce(h["time"], F.array().cast("array<string>"))).alias("pos", "time"),
-                 h.alias("h"))
+                 h.alias("h"), first.alias("_first"))
     at = lambda name: F.get(F.col("h")[name], F.col("pos"))
     return x.select("station_code", F.col("time").alias("timestamp"), at("temperature_2m").alias("temperature"),
                     at("windspeed_10m").alias("wind_speed"), at("precipitation").alias("precip_mm"),
-                    at("weathercode").alias("weather_code"), "pos")
+                    at("weathercode").alias("weather_code"), (F.col("_first") + F.col("pos")).cast("int").alias("pos"))
 
 
 def parse_station_feed(feed: DataFrame, *, doc: str = "doc", region=EXAMPLE_REGION) -> DataFrame:
