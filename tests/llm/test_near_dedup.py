@@ -1,10 +1,13 @@
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pytest
 from cases import CLASH, WORDS, by_id, frame, sorted_groups
+from pyspark.sql import functions as F
 
+from trackcast.llm import near_dedup
 from trackcast.llm.components import components
 from trackcast.llm.common import WorkTables
 from trackcast.llm.near_dedup import drop_near_duplicates, most_odd_bits, near_duplicates
@@ -74,6 +77,30 @@ def test_a_large_group_in_small_blocks(spark):
     assert by_id(rows, "n_shingles", "component_id", "kept") == brute(docs, 2)
 
 
+@pytest.mark.parametrize("near, out", [(300, 0), (300, 2), (4, 300), (60, 20)])
+def test_a_bucket_of_several_blocks_is_dealt_out_in_proportion(spark, near, out):
+    """A large component and outsiders: rows grow with the members, not with members times blocks, and every two members
+    of different components meet exactly once."""
+    block, m = 100, near + out
+    members = spark.range(m).select(
+        F.lit(7).cast("long").alias("bucket"), F.lit(0).alias("band"), F.col("id").alias("key"), F.lit(5).cast("long").alias("n"),
+        F.lit(-(-m // block)).alias("blocks"), F.when(F.col("id") < near, F.lit(0)).otherwise(F.col("id")).alias("comp"))
+    assert near_dedup._alone(members).count() == m
+    assert near_dedup._left_over(members, block).count() == (out + 1 if out and m > block else 0)
+    rows = near_dedup._against_rest(members, block).collect()
+    if not out or m <= block:
+        assert len(rows) == (m if out else 0)
+    elif out < near:
+        assert len(rows) == near + out * (-(-near // block) + 1)
+    groups, met = {}, Counter()
+    for r in rows:
+        groups.setdefault((r["x"], r["y"]), []).append(r)
+    for (x, y), own in groups.items():
+        met.update(tuple(sorted((r["key"], s["key"]))) for r, s in combinations(own, 2)
+                   if r["comp"] != s["comp"] and (x == y or r["blk"] != s["blk"]))
+    assert len(met) == near * out + out * (out - 1) // 2 and set(met.values()) <= {1}
+
+
 def test_sketch_limit_is_not_passed_at_the_threshold():
     """Odd sketches of random pairs at exactly 0.8: XOR counts stay under the limit."""
     from trackcast.llm.common import pair_name

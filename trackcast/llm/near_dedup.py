@@ -12,8 +12,10 @@
    members of different components of a bucket are compared, so that no link between them is missed: where sketches
    leave a pair (in the first band it shares), the full sets decide at once, and only links come out.
 
-A bucket of any size is cut into blocks of about ``block`` members and 16 MB of sets and compared block by
-block, in as many tasks as there are pairs of blocks. Two sets at exactly 0.8 share no band with probability 5e-8.
+A bucket of any size is cut into blocks of about ``block`` members and 16 MB of sets. Centres link each block by itself, so each member
+is dealt out once, then one member of each component that the blocks of a bucket are left with. Beyond that, a bucket's largest
+component is not compared with itself: its members meet the others (the outsiders) only, block by block, and a bucket without outsiders is
+not dealt out again. Two sets at exactly 0.8 share no band with probability 5e-8.
 """
 
 from __future__ import annotations
@@ -263,6 +265,46 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     return whole.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
+def _blocks(m, names, block: int):
+    """Blocks that hold about ``block`` members and 16 MB of full sets each."""
+    return F.greatest(F.lit(1), F.ceil(m / block), F.ceil(names / (1 << 21))).cast("int")
+
+
+def _alone(members: DataFrame) -> DataFrame:
+    """Members (bucket, key, blocks ...), each in one block of its bucket."""
+    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    return members.withColumn("blk", own).withColumn("x", F.col("blk")).withColumn("y", F.col("blk"))
+
+
+def _left_over(placed: DataFrame, block: int) -> DataFrame:
+    """One member of each component of the buckets that have several blocks and several components."""
+    one = (placed.filter("blocks > 1").groupBy("bucket", "comp").agg(F.min(F.struct("key", "band", "n")).alias("one"))
+           .select("bucket", "comp", "one.*"))
+    counts = one.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("names")).filter("m > 1")
+    return one.join(counts.select("bucket", _blocks(F.col("m"), F.col("names"), block).alias("blocks")), "bucket")
+
+
+def _against_rest(placed: DataFrame, block: int) -> DataFrame:
+    """Members of buckets with several components, under the pairs of blocks in which they meet members of other components.
+
+    The blocks of the largest component (0 to ``ins`` - 1) are paired with those of the outsiders (``outs`` more), and those with one
+    another; a bucket that is one block stays one."""
+    per = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("names"))
+    mixed = per.groupBy("bucket").agg(
+        F.max_by(F.struct("comp", "m", "names"), F.struct("m", "comp")).alias("big"), F.sum("m").alias("m"),
+        F.sum("names").alias("names"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    whole = _blocks(F.col("m"), F.col("names"), block) == 1
+    ins = F.when(whole, F.lit(0)).otherwise(_blocks(F.col("big.m"), F.col("big.names"), block))
+    outs = F.when(whole, F.lit(1)).otherwise(_blocks(F.col("m") - F.col("big.m"), F.col("names") - F.col("big.names"), block))
+    roles = mixed.select("bucket", F.col("big.comp").alias("main"), ins.alias("ins"), outs.alias("outs"))
+    name, inside = F.xxhash64("key"), (F.col("comp") == F.col("main")) & (F.col("ins") > 0)
+    own = F.when(inside, F.pmod(name, F.greatest(F.col("ins"), F.lit(1)))).otherwise(F.col("ins") + F.pmod(name, F.col("outs")))
+    last = F.col("ins") + F.col("outs") - 1
+    return (placed.join(roles, "bucket").withColumn("blk", own.cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.when(inside, F.col("ins")).otherwise(F.lit(0)), last)))
+            .withColumn("x", F.least("blk", "other")).withColumn("y", F.greatest("blk", "other")).drop("main", "ins", "outs", "other"))
+
+
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id",
                     text_col: str = "text", block: int = 4096) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id reachable by links), kept.
@@ -305,12 +347,10 @@ def _classes(rows: DataFrame, work: WorkTables, shingle: int, similarity: float,
     classes = signed.filter("n > 0").groupBy(*digest).agg(F.min("key").alias("class"))
     reps = work.put("reps", signed.select("key", "n", "bands", "sketch").join(
         classes.select(F.col("class").alias("key")), "key", "left_semi"))
-    # a bucket's blocks hold about `block` members and 16 MB of full sets each
     placed = reps.select("key", "n", F.posexplode("bands").alias("band", "bucket"))
     counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("names")).filter("m > 1")
-    counts = counts.select("bucket", F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("names") / (1 << 21)))
-                           .cast("int").alias("blocks"))
-    shared = work.put("shared", placed.drop("n").join(counts, "bucket"))
+    counts = counts.select("bucket", _blocks(F.col("m"), F.col("names"), block).alias("blocks"))
+    shared = work.put("shared", placed.join(counts, "bucket"))
     sets = work.put("sets", rows.select("key", "text").join(shared.select("key").distinct(), "key", "left_semi")
                     .mapInArrow(_full_sets(shingle), "key long, set binary"))
 
@@ -318,24 +358,27 @@ def _classes(rows: DataFrame, work: WorkTables, shingle: int, similarity: float,
         return (places.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "key")
                 .mapInArrow(_in_buckets(of_bucket, similarity), ddl))
 
-    def in_blocks(members: DataFrame) -> DataFrame:
-        """Members (bucket, band, key, blocks, comp) under every pair of blocks they take part in."""
-        return (members.withColumn("blk", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                .withColumn("x", F.least("blk", "other")).withColumn("y", F.greatest("blk", "other"))
-                .join(reps, "key").select(*_MEMBER))
+    def described(members: DataFrame) -> DataFrame:
+        return members.drop("n").join(reps, "key").select(*_MEMBER)
+
+    def stars(members: DataFrame) -> DataFrame:
+        pairs = dealt(described(_alone(members)), _star_pairs, "a long, b long").distinct()
+        return _confirmed(pairs, sets, similarity)
+
+    def in_components(members: DataFrame, comp: DataFrame) -> DataFrame:
+        return members.join(comp, "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
 
-    stars = dealt(in_blocks(shared.withColumn("comp", F.col("key"))), _star_pairs, "a long, b long").distinct()
-    links = work.put("links0", _confirmed(stars, sets, similarity))
+    links = work.put("links0", stars(shared.withColumn("comp", F.col("key"))))
     comp = components(links, work, "cc0")
-    placed = shared.join(comp, "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    cross = in_blocks(placed.join(mixed.select("bucket"), "bucket", "left_semi"))
+    if not shared.filter("blocks > 1").isEmpty():
+        found = work.put("links1", stars(_left_over(in_components(shared, comp), block)))
+        links = links.unionByName(found)
+        comp = components(links, work, "cc1")
+    cross = described(_against_rest(in_components(shared, comp), block))
     active = dealt(cross, _cross_members, "bucket long, x int, y int, band int, blk int, key long")
-    whole = (active.join(reps, "key").join(sets, "key").join(comp, "key", "left")
-             .withColumn("comp", F.coalesce("component", "key")).select(*_MEMBER, "set"))
-    more = work.put("links1", dealt(whole, _cross_links, "a long, b long"))
-    comp = components(links.unionByName(more), work, "cc1")
+    whole = in_components(active.join(reps, "key").join(sets, "key"), comp).select(*_MEMBER, "set")
+    more = work.put("links2", dealt(whole, _cross_links, "a long, b long"))
+    comp = components(links.unionByName(more), work, "cc2")
     work.drop("sets", "shared", "reps")
 
     by_class = classes.join(comp.withColumnRenamed("key", "class"), "class", "left").select(
