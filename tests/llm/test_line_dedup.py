@@ -90,7 +90,7 @@ def brute_pairs(docs):
 def test_every_pair_equals_brute_force(spark, weak, clash):
     docs = cases()
     name = {"name": lambda a, b: (a % 7, b * 0)} if weak else {}
-    rows = line_dedup(frame(spark, docs, clash), every_pair=True, **name).collect()
+    rows = line_dedup(frame(spark, docs, clash), extend=True, **name).collect()
     assert by_id(rows, "n_lines", "n_removed", lambda r: digest(r["kept"])) == brute_pairs(docs)
 
 
@@ -107,6 +107,6 @@ def test_query_removes_whole_short_passages(spark, tmp_path):
 
 def test_every_pair_finds_all_repeats_of_the_given_documents(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
-    rows = line_dedup(df, every_pair=True).collect()
+    rows = line_dedup(df, extend=True).collect()
     docs = [tuple(r) for r in df.collect()]
     assert by_id(rows, "n_lines", "n_removed", lambda r: digest(r["kept"])) == brute_pairs(docs)

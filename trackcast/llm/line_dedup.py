@@ -6,13 +6,14 @@ or cut earlier shifts nothing beyond the next boundary, and a passage of several
 cut alike wherever it stands. A chunk of two lines or more that occurs more than once, anywhere, stays
 at its first place (smallest id, then position) and is removed elsewhere.
 
-Boundaries lose what lies before a passage's first and after its last one. With ``every_pair`` (the
-registered query) every boundary counts: each line is an anchor of its own, extended by the line after
-it, so the rolling hash names every two neighbouring lines, and neighbouring repeated pairs make up a passage of any
-length. A pair that an earlier place has is removed, so every line that belongs to a repeated run of two lines or
-more goes, and each line's first place of all stays.
-
-Chunks (or pairs) are first grouped by a 128-bit name, without their text. Only those whose name occurs
+Boundaries lose what lies before a passage's first and after its last one. With ``extend`` (the
+registered query) the removed chunks are anchors of a second level: what lies inside them is settled, and everything else is cut at every
+boundary, so a chunk there is two neighbouring lines, those across an anchor's edge included. The anchors so
+grow line by line over what equals an earlier place, and passages that hold no whole chunk are found too. Every line that belongs to a
+repeated run of two lines or more goes, and each line's first place of all stays. (A chunk's
+first place is never inside a removed one, so the second level misses nothing by leaving their insides out.)
+
+At both levels chunks are first grouped by a 128-bit name, without their text. Only those whose name occurs
 twice are read again and grouped by name and bytes, so that no two different chunks are merged; equal ones are combined before the
 shuffle. Members then find their class by an equi-join on the name, in which rows carry no
 text; if a name stands for several texts (checked), the join compares the bytes as well.
@@ -78,12 +79,21 @@ def _pairs_of(texts: list[bytes], names: WordNames):
     return (*found, row[on], on - first, np.full(len(on), 2), starts[on] - starts[first], ends[on + 1] - starts[on])
 
 
-def _chunk_rows(spread: int, every_pair: bool):
+def _settled(part: pa.RecordBatch, row: np.ndarray, line: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Which pairs of neighbouring lines lie inside a chunk that is removed already (column 3 has its places)."""
+    n, f = list_fields(part.column(3), "line", "lines")
+    count = np.array([t.count(b"\n") + 1 for t in texts], np.int64)
+    base = np.cumsum(count) - count
+    first = base[np.repeat(np.arange(len(texts)), n)] + f["line"]
+    return covered(int(count.sum()), first, f["lines"].astype(np.int64) - 1)[base[row] + line]
+
+
+def _chunk_rows(spread: int, pairs: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = WordNames()
         for part, texts in text_groups(batches, 2):
-            h1, h2, row, line, lines, at, size = _pairs_of(texts, names) if every_pair else _chunks_of(texts, names, spread)
-            on = lines > 1
+            h1, h2, row, line, lines, at, size = _pairs_of(texts, names) if pairs else _chunks_of(texts, names, spread)
+            on = ~_settled(part, row, line, texts) if pairs else lines > 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h1.view(np.int64)[on]), pa.array(h2.view(np.int64)[on]), part.column(0).take(pa.array(row[on])),
                  part.column(1).take(pa.array(row[on])), pa.array(line[on]), pa.array(lines[on].astype(np.int32)),
@@ -118,7 +128,39 @@ def _keep_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(kept, pa.binary()).cast(pa.string())], names=["id", "n_lines", "n_removed", "kept"])
 
 
-def line_dedup(docs: DataFrame, *, spread: int = 4, every_pair: bool = False, id_col: str = "doc_id",
+def _repeats(base: DataFrame, chunk_rows, work: WorkTables, level: str, name) -> DataFrame:
+    """(key, line, lines) of the chunks that an earlier place has."""
+    chunks = base.mapInArrow(chunk_rows, "h1 long, h2 long, key long, ord long, line long, lines int, at long, size long")
+    h1, h2 = name(F.col("h1"), F.col("h2"))
+    chunks = work.put(f"chunks{level}", chunks.withColumns({"h1": h1.cast("long"), "h2": h2.cast("long")}))
+    twice = work.put(f"twice{level}", chunks.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2"))
+    again = work.put(f"again{level}", chunks.join(twice, ["h1", "h2"], "left_semi"))
+    work.drop(f"chunks{level}", f"twice{level}")
+    lists = again.groupBy("key").agg(F.collect_list(F.struct("h1", "h2", "line", "at", "size")).alias("places"))
+    members = base.select("key", "ord", "text").join(lists.hint("merge"), "key").select(  # the same plan at every size
+        "key", "ord", "text", "places").mapInArrow(_chunk_bytes, "h1 long, h2 long, bytes binary, ord long, key long, line long")
+    classes = members.groupBy("h1", "h2", "bytes").agg(F.min(F.struct("ord", "key", "line")).alias("first"))
+    heads = work.put(f"heads{level}", classes.groupBy("h1", "h2").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("texts")))
+    place = F.struct("ord", "key", "line")
+    gone = again.join(heads.filter("texts = 1"), ["h1", "h2"]).filter(place > F.col("first")).select("key", "line", "lines")
+    if not heads.filter("texts > 1").isEmpty():  # some name stands for several texts: its members are matched by bytes
+        shared = heads.filter("texts > 1").select("h1", "h2")
+        exact = (members.join(shared, ["h1", "h2"], "left_semi").join(classes, ["h1", "h2", "bytes"])
+                 .filter(place > F.col("first")).select("key", "line"))
+        gone = gone.unionByName(exact.join(again.select("key", "line", "lines"), ["key", "line"]))
+    gone = work.put(f"gone{level}", gone)
+    work.drop(f"again{level}", f"heads{level}")
+    return gone
+
+
+def _with_places(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows with the places of their removed chunks as a list (positions within one text)."""
+    lists = gone.groupBy("key").agg(F.collect_list(F.struct("line", "lines")).alias("places"))
+    none = F.from_json(F.lit("[]"), "array<struct<line:long,lines:int>>")
+    return rows.join(lists.hint("merge"), "key", "left").withColumn("places", F.coalesce("places", none))
+
+
+def line_dedup(docs: DataFrame, *, spread: int = 4, extend: bool = False, id_col: str = "doc_id",
                text_col: str = "text", name=lambda h1, h2: (h1, h2)) -> DataFrame:
     """One row per input row: id, n_lines, n_removed, kept (the lines that stay, joined by newlines).
 
@@ -126,7 +168,8 @@ def line_dedup(docs: DataFrame, *, spread: int = 4, every_pair: bool = False, id
     counts, empty ones too. Defined results: a null text counts as the empty text (one empty line); a text of one line loses
     nothing; rows that repeat an id are rows of their own (the first by a number given once); rows without an id come
     last; an empty table gives an empty result; extra columns are ignored; texts of any length are treated whole.
-    ``every_pair`` removes every repeated run of two lines or more, not only whole chunks. ``name`` maps the two name columns (tests pass a weak one).
+    ``extend`` removes every repeated run of two lines or more, not only whole chunks; ``spread`` then changes the work, not the result.
+    ``name`` maps the two name columns (tests pass a weak one).
     """
     work = WorkTables(docs.sparkSession, "line-dedup")
     rows = with_row_key(docs, id_col, text_col, work)
@@ -134,26 +177,9 @@ def line_dedup(docs: DataFrame, *, spread: int = 4, every_pair: bool = False, id
     order = F.coalesce(F.col("id").cast("long"), F.lit((1 << 63) - 1)) if kind in (
         "bigint", "int", "smallint", "tinyint") else F.lit(0).cast("long")
     base = rows.select("key", order.alias("ord"), "text")
-    chunks = base.mapInArrow(_chunk_rows(spread, every_pair), "h1 long, h2 long, key long, ord long, line long, lines int, at long, size long")
-    h1, h2 = name(F.col("h1"), F.col("h2"))
-    chunks = work.put("chunks", chunks.withColumns({"h1": h1.cast("long"), "h2": h2.cast("long")}))
-    twice = work.put("twice", chunks.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2"))
-    again = work.put("again", chunks.join(twice, ["h1", "h2"], "left_semi"))
-    work.drop("chunks", "twice")
-    lists = again.groupBy("key").agg(F.collect_list(F.struct("h1", "h2", "line", "at", "size")).alias("places"))
-    members = base.join(lists.hint("merge"), "key").select(  # the same plan at every size
-        "key", "ord", "text", "places").mapInArrow(_chunk_bytes, "h1 long, h2 long, bytes binary, ord long, key long, line long")
-    classes = members.groupBy("h1", "h2", "bytes").agg(F.min(F.struct("ord", "key", "line")).alias("first"))
-    heads = work.put("heads", classes.groupBy("h1", "h2").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("texts")))
-    place = F.struct("ord", "key", "line")
-    gone = again.join(heads.filter("texts = 1"), ["h1", "h2"]).filter(place > F.col("first")).select("key", "line", "lines")
-    if not heads.filter("texts > 1").isEmpty():  # some name stands for several texts: its members are matched by bytes
-        shared = heads.filter("texts > 1").select("h1", "h2")
-        exact = (members.join(shared, ["h1", "h2"], "left_semi").join(classes, ["h1", "h2", "bytes"])
-                 .filter(place > F.col("first")).select("key", "line"))
-        gone = gone.unionByName(exact.join(again.select("key", "line", "lines"), ["key", "line"]))
-    gone = work.put("gone", gone)
-    out = gone.groupBy("key").agg(F.collect_list(F.struct("line", "lines")).alias("places"))
-    none = F.from_json(F.lit("[]"), "array<struct<line:long,lines:int>>")
-    return (rows.join(out.hint("merge"), "key", "left").select("id", "text", F.coalesce("places", none).alias("places"))
+    gone = _repeats(base, _chunk_rows(spread, False), work, "", name)
+    if extend:
+        gone = gone.unionByName(_repeats(_with_places(base, gone).select("key", "ord", "text", "places"),
+                                         _chunk_rows(spread, True), work, "-more", name))
+    return (_with_places(rows, gone).select("id", "text", "places")
             .mapInArrow(_keep_lines, f"id {kind}, n_lines long, n_removed long, kept string").withColumnRenamed("id", id_col))

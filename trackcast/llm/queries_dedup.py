@@ -81,5 +81,5 @@ def op5_minhash_near_dedup(spark, sf_dir):
 @register("op4_line_dedup")
 def op4_line_dedup(spark, sf_dir):
     """Repeated runs of two lines or more removed from every row of documents."""
-    return line_dedup(table(spark, sf_dir, "documents"), every_pair=True).select(
+    return line_dedup(table(spark, sf_dir, "documents"), extend=True).select(
         "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
