@@ -150,3 +150,35 @@ def test_partition_overwrite_is_idempotent(spark):
     back = spark.read.option("header", True).csv(path)
     assert back.count() == w.count()          # S01 replaced, other stations untouched
     assert back.where(F.col("station_code") == "S01").count() == one.count()
+
+
+def test_a_stored_pre_report_has_its_duration(spark):
+    from trackcast.plans.metrics import PRE_SUMMARY, retrieve_pre_reports, store_pre_report
+    path = tempfile.mkdtemp(prefix="trackcast-pre-") + "/metrics"
+    tr, wr = fixtures.trains_raw(spark, SF), fixtures.weather_raw(spark, SF)
+    rows = store_pre_report(tr, wr, path).collect()
+    assert {r["metric_name"] for r in rows} == {*PRE_SUMMARY, "complete_report"} and len(rows) == len(PRE_SUMMARY) + 1
+    took = [r["metric_value"] for r in rows if r["metric_name"] == "processing_duration"]
+    assert 0 < took[0] < 600
+    assert retrieve_pre_reports(spark.read.parquet(path), limit=5).count() == 1
+
+
+def test_stored_details_hold_rules_metrics_and_anomalies(spark):
+    """Every step metric of the job carries its rule results; a violated rule names its action."""
+    import json
+    wh = tempfile.mkdtemp(prefix="trackcast-wh-")
+    tr, wr = _upto(fixtures.trains_raw(spark, SF), "2024-01-05"), _upto(fixtures.weather_raw(spark, SF), "2024-01-05")
+    out = run_pipeline(spark, trains_raw=tr, weather_raw=wr, warehouse=wh, chunk_days=7)
+    stored = spark.read.parquet(out["paths"]["metrics"]).where("table_name in ('train', 'weather')").collect()
+    details = [json.loads(r["details"]) for r in stored]
+    assert all(d["anomalies"] == [] and d["custom_metrics"] for d in details)
+    by_step = {(d["processor_type"], d["step"], d["date"]): d for d in details}
+    rules = {r["rule_name"]: r for d in by_step.values() for r in d["validation_rules"]}
+    assert {"train_id_not_null", "temperature_not_null", "timestamp_parsing", "duplicate_removal", "extreme_early_delay"} <= set(rules)
+    for d in by_step.values():
+        for r in d["validation_rules"]:
+            assert set(r) == {"rule_name", "rule_type", "passed", "affected_records", "action_taken"}
+            assert r["rule_type"] not in ("business", "range") or (not r["passed"] and r["affected_records"] > 0)
+    early = tr.where("delay_minutes < -5").select("train_id", "timestamp", "station_code").distinct().count()
+    assert sum(r["affected_records"] for d in by_step.values() for r in d["validation_rules"]
+               if r["rule_name"] == "extreme_early_delay") == early

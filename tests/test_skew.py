@@ -65,7 +65,7 @@ def _dense(spark, hot):
     near = spark.range(hot).select(F.lit("A").alias("station_code"), (F.col("id") * 7_919_191 % 3_600_000_000 + 36_000_000_000).alias("us"),
                                    (F.col("id") + 1000).alias("id"))
     again = near.where("id % 50 = 0").withColumn("id", F.col("id") + 1_000_000)
-    edge = spark.createDataFrame([("A", 32_400_000_000, 5), ("A", 43_200_000_000, 6), ("A", 35_999_999_999, 7)], "station_code string, us long, id long")
+    edge = spark.createDataFrame([("A", 32_400_000_000, 500), ("A", 43_200_000_000, 501), ("A", 35_999_999_999, 503)], "station_code string, us long, id long")
     rows = far.unionByName(near).unionByName(again).unionByName(edge)
     return rows.withColumn("timestamp", F.timestamp_add("MICROSECOND", F.col("us"), F.lit("2024-01-10").cast("timestamp_ntz")))
 

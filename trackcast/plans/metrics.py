@@ -8,6 +8,7 @@ every date come out of one grouped pass; ``details`` is JSON text built with
 
 from __future__ import annotations
 
+import time
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,11 +20,13 @@ from trackcast.operators import rules as R
 from trackcast.operators.dedup import dedup_best, dedup_last
 from trackcast.plans import dq
 from trackcast.operators.attach import one_row
+from trackcast.session import drop_path, work_table
 
 STEP_METRICS = ("total_records", "valid_records", "dropped_records", "flagged_records", "validation_success_rate")
 PRE_SUMMARY = ("overall_quality_score", "completeness_score", "accuracy_score", "consistency_score",
                "uniqueness_score", "coverage_score", "records_processed", "records_valid", "records_flagged",
                "records_dropped", "processing_duration")
+EXPORT_FORMATS = ("json", "csv")
 POST_SUMMARY = ("overall_quality_score", "total_records", "total_flagged_records", "flagged_rate")
 
 
@@ -168,7 +171,8 @@ def post_report_rows(report: DataFrame) -> DataFrame:
     body = [F.struct(F.col("date").alias("start"), F.col("date").alias("end")).alias("date_range"), F.col("station_codes"),
             F.array_sort(F.transform("recommendation_list", lambda r: r["recommendation"])).alias("recommendations")]
     rules = F.size(F.filter("rule_list", lambda r: r["emit"]))
-    of_metric = F.to_json(F.struct(*header, *body, rules.alias("detailed_results_count")))
+    formats = F.array(*[F.lit(x) for x in EXPORT_FORMATS]).alias("export_formats")
+    of_metric = F.to_json(F.struct(*header, *body, formats, rules.alias("detailed_results_count")))
     metrics = F.struct(*[F.col(m).cast("double").alias(m) for m in POST_SUMMARY])
     of_report = F.to_json(F.struct(*header, F.struct(*body, metrics.alias("summary_metrics")).alias("full_report")))
 
@@ -182,12 +186,13 @@ def post_report_rows(report: DataFrame) -> DataFrame:
                     F.col("m.metric_value").alias("metric_value"), "timestamp", F.col("m.details").alias("details"), "date")
 
 
-def pre_report_rows(score: DataFrame, recs: DataFrame, date_range: DataFrame, stations: DataFrame) -> DataFrame:
-    """The 11 summary metrics of the pre report (duration not measured:
-    0.0) and one ``complete_report`` row of table ``pre_integration_complete``."""
+def pre_report_rows(score: DataFrame, recs: DataFrame, date_range: DataFrame, stations: DataFrame, *,
+                    processing_duration: float = 0.0) -> DataFrame:
+    """The 11 summary metrics of the pre report (the duration in seconds as measured by the caller) and one ``complete_report``
+    row of table ``pre_integration_complete``."""
     rc = recs.agg(F.array_sort(F.collect_list("recommendation")).alias("recommendations"))
     st = stations.agg(F.array_sort(F.collect_set("station_code")).alias("station_codes"))
-    x = one_row(score.withColumn("processing_duration", F.lit(0.0)), rc, st, date_range)
+    x = one_row(score.withColumn("processing_duration", F.lit(float(processing_duration))), rc, st, date_range)
     pillars = F.struct(*[F.col(c) for c in ("completeness_score", "accuracy_score", "consistency_score",
                                             "uniqueness_score", "coverage_score")])
     details = F.to_json(F.struct(F.lit("pre_integration").alias("processor_type"),
@@ -204,6 +209,35 @@ def pre_report_rows(score: DataFrame, recs: DataFrame, date_range: DataFrame, st
             .select("m.table_name", "m.metric_name", "m.metric_value", "timestamp", "details")
 
 
+def assessed_rows(trains_raw: DataFrame, weather_raw: DataFrame) -> tuple[dict[str, DataFrame], DataFrame, DataFrame, DataFrame]:
+    """Pillars and score, recommendations, date range and stations of a pre-integration assessment."""
+    from trackcast.plans import pre
+    parts = pre.assess(trains_raw, weather_raw)
+    times = trains_raw.select("timestamp").unionByName(weather_raw.select("timestamp"))
+    span = times.agg(F.date_format(F.min(F.to_date("timestamp")), "yyyy-MM-dd").alias("start"),
+                     F.date_format(F.max(F.to_date("timestamp")), "yyyy-MM-dd").alias("end"))
+    stations = (trains_raw.select("station_code").unionByName(weather_raw.select("station_code"))
+                .where(F.col("station_code").isNotNull()))
+    return parts, pre.recommendations(parts), span, stations
+
+
+def store_pre_report(trains_raw: DataFrame, weather_raw: DataFrame, path: str) -> DataFrame:
+    """Assesses two raw tables and appends the report's rows (L5, B7), with the seconds the score took, to the store at ``path``.
+
+    The score is written to the shared folder once, which is what is timed, and the report is built from it. Returns the rows stored."""
+    began = time.monotonic()
+    parts, recs, span, stations = assessed_rows(trains_raw, weather_raw)
+    score, score_at = work_table(parts["score"], "pre-score")
+    took = time.monotonic() - began
+    rows, at = work_table(pre_report_rows(score, recs, span, stations, processing_duration=took).withColumn(
+        "date", F.date_format(F.timestamp_add("DAY", F.lit(-1), F.col("timestamp")), "yyyy-MM-dd")), "pre-report")
+    rows.write.mode("append").partitionBy("date").parquet(path)
+    for used in (score_at, at):
+        drop_path(rows.sparkSession, used)
+    stored = trains_raw.sparkSession.read.schema(rows.schema).parquet(path)
+    return stored.where(F.col("table_name").startswith("pre_integration"))
+
+
 # ---- retrieval ----------------------------------------------------------------
 
 _BODY = ("date_range:struct<start:string, end:string>, station_codes:array<string>, recommendations:array<string>, "

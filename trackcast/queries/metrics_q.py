@@ -8,7 +8,7 @@ from trackcast.catalog import register
 from trackcast.config import TrainConfig, WeatherConfig
 from trackcast.operators import rules as R
 from trackcast.plans import metrics as M
-from trackcast.plans import post, pre
+from trackcast.plans import post
 from trackcast.queries.assess import POST_CTES, PRE_CTES
 
 TC, WC = TrainConfig(), WeatherConfig()
@@ -274,13 +274,8 @@ def retrieve_pre_reports(s):
 
 
 def _pre_rows(s):
-    parts = pre.assess(s.trains_raw, s.weather_raw)
-    u = s.trains_raw.select("timestamp").unionByName(s.weather_raw.select("timestamp"))
-    rng = u.agg(F.date_format(F.min(F.to_date("timestamp")), "yyyy-MM-dd").alias("start"),
-                F.date_format(F.max(F.to_date("timestamp")), "yyyy-MM-dd").alias("end"))
-    stations = s.trains_raw.select("station_code").unionByName(s.weather_raw.select("station_code")) \
-        .where(F.col("station_code").isNotNull())
-    return M.pre_report_rows(parts["score"], pre.recommendations(parts), rng, stations)
+    parts, recs, span, stations = M.assessed_rows(s.trains_raw, s.weather_raw)
+    return M.pre_report_rows(parts["score"], recs, span, stations)
 
 
 @register("append_metrics", msql(f"select table_name, metric_name, {_R9}, timestamp from mlong"))
