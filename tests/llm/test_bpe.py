@@ -51,6 +51,22 @@ def test_automaton_accepts_only_what_bpe_makes(tables, library):
         assert auto.arc(vocab[a], vocab[b]) == (whole == [vocab[a], vocab[b]]), (a, b)
 
 
+def test_words_are_table_steps_forward_only(tables, library):
+    """One integer transition per symbol; a word read again asks the automaton nothing; clearing changes no id."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoinshrdlu'") for _ in range(rng.randint(1, 14))).strip("'") or "a" for _ in range(3000)]
+    enc = bpe.Encoder(tables)
+    want = {w: enc.word_ids(w) for w in words}
+    assert all(want[w] == library.encode(w, add_special_tokens=False).ids for w in words if "'" not in w)
+    stepper = enc.stepper
+    assert all(type(k) is int and type(v) is int for t in (stepper.table, stepper.last) for k, v in t.items())
+    assert max(v >> 16 for v in stepper.table.values()) < len(stepper.states)
+    stepper.auto = None
+    assert {w: enc.word_ids(w) for w in words} == want
+    small = bpe.Stepper(bpe.Automaton(tables), tables, bpe._byte_alphabet(), keep=40)
+    assert {w: small.path(w.encode()) for w in words} == want
+
+
 def test_every_merge_has_its_gadget(tables):
     assert len(tables["rank"]) == 48_894
 

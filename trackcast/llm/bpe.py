@@ -12,10 +12,15 @@ All arcs with one label end in one state, so a state is named by the token
 that leads to it, and a copy differs from its original by one missing arc. The
 table therefore holds one row per merge (left part, right part, rank); whether
 a state has an arc is read by undoing the gadgets that concern the two tokens, newest
-first (``Automaton.arc``), when it is asked for, and remembered in a bounded memo; no table of all arcs is
-built, as most tokens may follow most others. Exactly one path spells a given word, and every prefix has
-its own single path. Encoding searches it from the left, longest token first, and takes a token back where nothing
-leads on (``Encoder.word_ids``). Decoding emits the labels of the path's arcs.
+first (``Automaton.arc``); no table of all arcs is built, as most tokens may follow most others. Exactly one path spells a given
+word, and every prefix has its own single path.
+
+To encode, the automaton is read symbol by symbol (``Stepper``). What is to come depends on the symbols read only by the longest end of them
+that some token begins with, and by the last token of the path of each prefix that ends in there: that is a state. Reading a symbol leads to
+the next state and says the last token of the path so far, which is the one token ending there that may
+follow the path before it. States and transitions are integers in a table that is filled when one is first needed, so a
+word is one table step per symbol, forward only; its tokens are then read off from its end, each saying where
+the one before it ends. Decoding emits the labels of the path's arcs.
 
 Text is split beforehand as the tokenizer file says (special tokens, canonical
 composition, lower case, then words), which is fixed behaviour of the file.
@@ -75,8 +80,9 @@ def compile_merges(path: str) -> dict:
         if not auto.gadget(t, u, v, w):
             alive.discard(w)
     vocab = {label: i for label, i in vocab.items() if i in alive}  # a token without a gadget is on no path
-    return {"vocab": vocab, "labels": labels, "longest": max(len(x.removesuffix(END)) for x in vocab),
-            "special": {t["content"]: t["id"] for t in spec["added_tokens"]},
+    if n > 1 << 16:
+        raise ValueError(f"{path}: more than 65,536 tokens")
+    return {"vocab": vocab, "labels": labels, "special": {t["content"]: t["id"] for t in spec["added_tokens"]},
             "left": auto.left, "right": auto.right, "born": auto.born, "rank": auto.rank}
 
 
@@ -130,16 +136,81 @@ class Automaton:
         return known
 
 
+class Stepper:
+    """Transitions over symbols (bytes): ``table[state << 8 | byte]`` is ``next << 16 | token``, ``last`` the same for a word's
+    last byte (the token only). Both are derived from the automaton when first asked for, and cleared at a word's
+    start beyond ``keep`` entries."""
+
+    def __init__(self, auto: Automaton, tables: dict, alphabet: dict[int, str], keep: int = 400_000):
+        self.auto, self.vocab, self.keep = auto, tables["vocab"], keep
+        self.symbols = [alphabet[b] for b in range(256)]
+        self.begins = {label[:k] for label in self.vocab for k in range(1, len(label.removesuffix(END)))}
+        self.size = {t: len(label.removesuffix(END)) for label, t in self.vocab.items()}
+        self.clear()
+
+    def clear(self) -> None:
+        """State 0: nothing read, on no token (-1)."""
+        self.states, self.number = [("", (-1,))], {("", (-1,)): 0}
+        self.table: dict[int, int] = {}
+        self.last: dict[int, int] = {}
+
+    def token(self, read: str, before: tuple, end: str) -> int:
+        """The token that ends the path, among those that end in ``read``; ``before[k]`` is the last token of the path up to ``read[k:]``."""
+        for k, own in enumerate(before):
+            t = self.vocab.get(read[k:] + end)
+            if t is not None and (own < 0 or self.auto.arc(own, t)):
+                return t
+        raise ValueError(f"no path spells a word that ends in {read!r}")
+
+    def step(self, state: int, byte: int) -> int:
+        read, before = self.states[state]
+        read += self.symbols[byte]
+        t = self.token(read, before, "")
+        k = 0
+        while k < len(read) and read[k:] not in self.begins:
+            k += 1
+        new = read[k:], (*before, t)[k:]
+        at = self.number.get(new)
+        if at is None:
+            at = self.number[new] = len(self.states)
+            self.states.append(new)
+        out = self.table[state << 8 | byte] = at << 16 | t
+        return out
+
+    def path(self, word: bytes) -> list[int]:
+        """The tokens of the one path that spells ``word``."""
+        if len(self.table) + len(self.last) > self.keep:
+            self.clear()
+        table, state, tokens = self.table, 0, []
+        for byte in word[:-1]:
+            found = table.get(state << 8 | byte)
+            if found is None:
+                found = self.step(state, byte)
+            state = found >> 16
+            tokens.append(found & 0xFFFF)
+        key = state << 8 | word[-1]
+        t = self.last.get(key)
+        if t is None:
+            read, before = self.states[state]
+            t = self.last[key] = self.token(read + self.symbols[word[-1]], before, END)
+        out, at, size = [t], len(word) - self.size[t], self.size
+        while at:
+            t = tokens[at - 1]
+            out.append(t)
+            at -= size[t]
+        out.reverse()
+        return out
+
+
 class Encoder:
     """Encodes and decodes texts; keeps the words it has met (at most ``keep``)."""
 
     def __init__(self, tables: dict, keep: int = 300_000):
         import regex
-        self.auto = Automaton(tables)
-        self.vocab, self.labels, self.longest = tables["vocab"], tables["labels"], tables["longest"]
+        self.labels = tables["labels"]
+        self.stepper = Stepper(Automaton(tables), tables, _byte_alphabet())
         self.special, self.keep = tables["special"], keep
         self.known: dict[str, bytes] = {}
-        self.byte_chars = _byte_alphabet()
         self.between = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.beyond = re.compile("[^\\x00-\\u017f]")
         self.latin = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]"
@@ -155,37 +226,8 @@ class Encoder:
         return self.any.findall(text.replace("Σ", "σ").lower())
 
     def word_ids(self, word: str) -> list[int]:
-        """The one path that spells ``word``.
-
-        From each position the longest arc is tried first. A position from which no arc leads to
-        the end is dead whichever way it was reached, as its prefix has one path only, so every
-        position is left at most once and the run is linear in the word.
-        """
-        s = word.encode("utf-8").decode("latin-1").translate(self.byte_chars)
-        get, arc, n, longest = self.vocab.get, self.auto.arc, len(s), self.longest
-        s += END
-        path, ends, dead = [], [0], set()
-        last, i = -1, 0
-        while i < n:
-            j = min(n, i + longest)
-            while j > i:
-                if j not in dead:
-                    t = get(s[i:j] if j < n else s[i:])
-                    if t is not None and (last < 0 or arc(last, t)):
-                        break
-                j -= 1
-            if j > i:
-                path.append(t)
-                ends.append(j)
-                last, i = t, j
-            else:
-                if not path:
-                    raise ValueError(f"no path spells {word!r}")
-                dead.add(i)
-                path.pop()
-                ends.pop()
-                last, i = path[-1] if path else -1, ends[-1]
-        return path
+        """The token ids of one word."""
+        return self.stepper.path(word.encode("utf-8"))
 
     def encode(self, text: str) -> bytes:
         """Token ids of a text as little-endian unsigned 32-bit integers."""
