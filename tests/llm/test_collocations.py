@@ -62,7 +62,7 @@ def test_equals_brute_force(spark, top, frontier, clash):
     assert sorted(tuple(r) for r in got.collect()) == brute(docs, top, 4)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_small_frontiers_change_nothing(spark, seed):
     docs = corpus(seed)
     got = mine_collocations(spark.createDataFrame(docs, COLS).repartition(3), top=12, at_least=3, frontier=4)

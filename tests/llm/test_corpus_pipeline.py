@@ -94,3 +94,35 @@ def test_odd_rows_pass_all_stages(spark):
     for name, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, SF)
         assert none.collect() == []
+
+
+def test_a_very_long_text_and_a_clashing_column_pass_all_stages(spark):
+    """A text beyond any chunk and extra columns by names that stages use: kept whole and equal to the library's ids."""
+    import random
+
+    from cases import WORDS
+    from tokenizers import Tokenizer
+    from trackcast.llm.queries_text import tokenizer_path
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(5000)]
+    long = " ".join(rng.choice(words) for _ in range(120_000))
+    other = [" ".join(rng.choice(words) for _ in range(400)) for _ in range(12)]
+    rows = [(900_001, long, "en", "a", len(long)), (900_002, long, "en", "a", len(long)), (900_003, long + " more", "en", "a", 5)]
+    rows += [(900_010 + i, t, "en", "ab"[i % 2], len(t)) for i, t in enumerate(other)]
+    clash = ("key", "row_key", "times", "component", "rank")
+    docs = spark.createDataFrame([(*r, *("z" for _ in clash)) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in clash))
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = stage(spark, docs, SF)
+        if name != "bpe":
+            assert docs.columns == before.columns, name
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        if name == "exact_dedup":
+            assert {r["doc_id"] for r in docs.collect()} == {r[0] for r in rows} - {900_001}
+        if name == "near_dedup":  # the longer copy is near the one kept
+            assert {r["doc_id"] for r in docs.collect()} == {r[0] for r in rows} - {900_001, 900_003}
+    lib, text = Tokenizer.from_file(tokenizer_path()), {r[0]: r[1] for r in rows}
+    out = docs.collect()
+    assert out and all(r["ids"] == lib.encode(text[r["doc_id"]], add_special_tokens=False).ids for r in out)
+    assert len(WORDS.findall(long)) == 120_000

@@ -35,6 +35,13 @@ def test_a_hot_text_in_many_partitions(spark):
     assert len(rows) == 601 and {r["group_size"] for r in rows} == {1, 300}
 
 
+def test_very_long_texts(spark):
+    long = "line of words\n" * 60_000
+    docs = [(1, long), (2, long + "x"), (3, long), (4, "x" + long), (5, long[:-1])]
+    rows = exact_dedup(frame(spark, docs)).collect()
+    assert by_id(rows, "keep_id", "group_size", "kept", "text_sha256") == brute(docs)
+
+
 def test_drop_copies_keeps_one_row_and_all_columns(spark):
     docs = [(1, "x", "p"), (4, "x", None), (4, "x", "q"), (None, "x", "r"), (2, None, "s"), (3, "", "t"), (None, "only", "u")]
     df = spark.createDataFrame(docs, "doc_id long, text string, key string")

@@ -110,3 +110,15 @@ def test_every_pair_finds_all_repeats_of_the_given_documents(spark):
     rows = line_dedup(df, extend=True).collect()
     docs = [tuple(r) for r in df.collect()]
     assert by_id(rows, "n_lines", "n_removed", lambda r: digest(r["kept"])) == brute_pairs(docs)
+
+
+def test_a_text_longer_than_a_slice(spark):
+    """Runs of 2 and of 900 lines repeated inside a text of 60,000 lines, and a line longer than a slice."""
+    rng = random.Random(21)
+    lines = [f"line {k} {rng.random()}" for k in range(60_000)]
+    lines[40_000:40_900] = lines[100:1000]
+    lines[50_000:50_002] = lines[7:9]
+    docs = [(1, "\n".join(lines)), (2, "z" * 400_000 + "\n" + "\n".join(lines[39_998:40_003]))]
+    rows = {r["doc_id"]: r for r in line_dedup(frame(spark, docs), extend=True).collect()}
+    assert rows[1]["kept"].split("\n") == lines[:40_000] + lines[40_900:50_000] + lines[50_002:]
+    assert rows[2]["kept"] == "z" * 400_000 and rows[2]["n_lines"] == 6

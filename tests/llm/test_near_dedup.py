@@ -118,6 +118,19 @@ def test_sketch_limit_is_not_passed_at_the_threshold():
             assert (odd[0] != odd[1]).sum() <= most_odd_bits(np.array([n * 1.8]), 0.8)[0]
 
 
+def test_very_long_texts(spark):
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(30_000)}" for _ in range(90_000)]
+    near, far = list(words), list(words)
+    for i in range(0, 90_000, 40):
+        near[i] = "n"
+    for i in range(0, 90_000, 7):
+        far[i] = "f"
+    docs = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far)), (4, "A " * 200_000), (5, "a\n" * 150_000)]
+    rows = near_duplicates(frame(spark, docs), shingle=2).collect()
+    assert by_id(rows, "n_shingles", "component_id", "kept") == brute(docs, 2)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r["key"]: r["component"] for r in components(links, WorkTables(spark, "t"), "c").collect()}

@@ -152,3 +152,13 @@ def test_names_do_not_run_out(spark):
     docs = [(i, f"left{spell(i % 50)} {bad if i % 4 == 0 else good} right{spell(i % 7)}", "x", 1) for i in range(800)]
     rows = score_toxicity(*frames(spark, docs, [(i, 0, int(i % 4 == 0), None) for i in range(800)])).collect()
     assert all(r["predicted"] == int(r["doc_id"] % 4 == 0) for r in rows)
+
+
+def test_a_very_long_text_is_scored_whole(spark):
+    """What makes the difference stands at the end of a text of 200,000 words: toxic words there raise the score."""
+    docs, labels = corpus()
+    plain = docs[1][1]
+    calm = " ".join([plain] * 9000)
+    docs = docs + [(90_001, calm, "x", 1), (90_002, calm + " snarl vermin filth" * 60_000, "x", 1)]
+    rows = {r["doc_id"]: r["score"] for r in score_toxicity(*frames(spark, docs, labels)).collect()}
+    assert rows[90_002] > 0.5 > rows[90_001]
