@@ -229,7 +229,7 @@ def store_pre_report(trains_raw: DataFrame, weather_raw: DataFrame, path: str) -
     parts, recs, span, stations = assessed_rows(trains_raw, weather_raw)
     score, score_at = work_table(parts["score"], "pre-score")
     took = time.monotonic() - began
-    rows, at = work_table(pre_report_rows(score, recs, span, stations, processing_duration=took).withColumn(
+    rows, at = work_table(pre_report_rows(score.limit(1), recs, span, stations, processing_duration=took).withColumn(
         "date", F.date_format(F.timestamp_add("DAY", F.lit(-1), F.col("timestamp")), "yyyy-MM-dd")), "pre-report")
     rows.write.mode("append").partitionBy("date").parquet(path)
     for used in (score_at, at):
