@@ -97,7 +97,7 @@ def test_nearest_over_dense_weather_equals_brute_force(spark):
     for tol in (60, 1):
         got = {r["id"]: r["v"] for r in N.nearest_join(left, right, right_cols=["v"], tolerance_minutes=tol).collect()}
         assert len(got) == len(L) and got == _brute(L, R, tol * US_PER_MIN)
-        cut = N.blocks(N.offered(right, by="station_code", right_ts="timestamp", right_cols=["v"], bucket_us=tol * US_PER_MIN), tol * US_PER_MIN)
+        cut = N.blocks(N.offered(right, by="station_code", right_ts="timestamp", right_cols=["v"], bucket_us=tol * US_PER_MIN))
         assert cut.agg(F.max(F.size("_cands"))).first()[0] <= N.BLOCK + 1
 
 

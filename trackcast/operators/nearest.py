@@ -14,8 +14,8 @@ are; a hot bucket only has more blocks.
 The left side is never exploded nor re-grouped: one left-outer equi-join, a
 1:1 output, unmatched left rows kept with nulls. A hot station is spread over
 its hour buckets; AQE broadcasts the blocks when their measured size is small
-and splits skewed left partitions otherwise. Blocks are cut by windows over
-slices of a bucket (1/64 of it), linked over one row per block.
+and splits skewed left partitions otherwise. Blocks are cut and linked by two windows
+over the bucket, on the join's own shuffle.
 """
 
 from __future__ import annotations
@@ -28,9 +28,8 @@ from pyspark.sql.window import Window
 
 from trackcast.functions.timefns import US_PER_MIN, epoch_us, from_epoch_us
 
-#: Observations in a block, and slices of a bucket that are sorted on their own.
+#: Observations in a block.
 BLOCK = 64
-SLICES = 64
 
 
 def time_bucket(e, bucket_us: int):
@@ -49,23 +48,26 @@ def offered(right: DataFrame, *, by: str, right_ts: str, right_cols: Sequence[st
     return r.withColumn("_bucket", F.explode(F.array(b0 - 1, b0, b0 + 1)))
 
 
-def blocks(rows: DataFrame, bucket_us: int) -> DataFrame:
+def blocks(rows: DataFrame) -> DataFrame:
     """``(_by, _bucket, _lo, _hi, _cands)``: the offered rows of a bucket as blocks that cover all its times between them.
 
-    Of rows with one time the smallest payload is kept (the join's choice among equals)."""
-    e = F.col("_o._e")
-    x = rows.withColumn("_slice", time_bucket(e, max(1, bucket_us // SLICES)))
-    w = Window.partitionBy("_by", "_bucket", "_slice").orderBy("_o")
-    x = x.withColumn("_before", F.lag("_o._e").over(w)).where(F.col("_before").isNull() | (F.col("_before") != e))
-    x = x.withColumn("_block", F.expr(f"(row_number() over (partition by _by, _bucket, _slice order by _o) - 1) div {BLOCK}"))
-    g = x.groupBy("_by", "_bucket", "_slice", "_block").agg(F.collect_list("_o").alias("_own"), F.min("_o").alias("_first"))
-    by_time = Window.partitionBy("_by", "_bucket").orderBy("_slice", "_block")
-    g = g.withColumn("_next", F.lead("_first").over(by_time)).withColumn("_at", F.row_number().over(by_time))
-    return g.select("_by", "_bucket",
-                    F.when(F.col("_at") > 1, F.col("_first._e")).otherwise(F.lit(-(1 << 63))).alias("_lo"),
-                    F.coalesce("_next._e", F.lit((1 << 63) - 1)).alias("_hi"),
-                    F.when(F.col("_next").isNull(), F.col("_own"))
-                    .otherwise(F.concat("_own", F.array("_next"))).alias("_cands"))
+    Of rows with one time the smallest payload is kept (the join's choice among equals). All steps share one shuffle by bucket, the
+    join's own; a bucket's rows are sorted (spilling if need be) and pass by, only a block is held."""
+    return rows.sparkSession.sql(_BLOCKS, rows=rows)  # one statement, so that the plan below it is analysed once
+
+
+_BLOCKS = f"""
+with ranked as (
+  select _by, _bucket, _o, lag(_o._e) over in_time as _before, row_number() over in_time as _rank
+  from {{rows}} window in_time as (partition by _by, _bucket order by _o)),
+cut as (
+  select _by, _bucket, (_rank - 1) div {BLOCK} as _block, collect_list(_o) as _own, min(_o) as _first
+  from ranked where _before is null or _before <> _o._e group by _by, _bucket, (_rank - 1) div {BLOCK}),
+linked as (
+  select _by, _bucket, _own, _first, lead(_first) over in_turn as _next, row_number() over in_turn as _at
+  from cut window in_turn as (partition by _by, _bucket order by _block))
+select _by, _bucket, case when _at > 1 then _first._e else {-(1 << 63) + 1} end as _lo, coalesce(_next._e, {(1 << 63) - 1}) as _hi,
+  case when _next is null then _own else concat(_own, array(_next)) end as _cands from linked"""
 
 
 def nearest_join(left: DataFrame, right: DataFrame, *, by: str = "station_code", left_ts: str = "timestamp",
@@ -79,7 +81,7 @@ def nearest_join(left: DataFrame, right: DataFrame, *, by: str = "station_code",
     right_cols = list(right_cols)
     tol_us = int(tolerance_minutes) * US_PER_MIN
     bucket_us = max(tol_us, US_PER_MIN)
-    cands = blocks(offered(right, by=by, right_ts=right_ts, right_cols=right_cols, bucket_us=bucket_us), bucket_us)
+    cands = blocks(offered(right, by=by, right_ts=right_ts, right_cols=right_cols, bucket_us=bucket_us))
 
     le = epoch_us(left_ts)
     l2 = left.withColumn("_le", le).withColumn("_bucket", time_bucket(F.col("_le"), bucket_us))
